@@ -68,7 +68,9 @@ def round_even(x: str, digits: int) -> str:
 
 
 def round_half_up(x: str, digits: int) -> str:
-    return f"CAST(round(CAST(({x}) AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+    """Half-up on the shortest decimal representation of the double (what Spark's round
+    does): the text form is parsed exactly into a decimal, then rounded."""
+    return f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
 def exact_avg(x: str, scale: int = 0) -> str:

@@ -33,6 +33,7 @@ RAW_FIELDS = {
 # Extra archive columns written by :func:`write_raw_csv` so readers must map by name.
 EXTRA_COLUMNS = ["ROT", "IMO", "Callsign", "Cargo type", "Width", "Length"]
 CORRUPT = "_corrupt_record"
+OVERFLOW = "_overflow"      # a field past the header: the row has too many fields
 
 PERIOD_RE = r"aisdk-(\d{4}-\d{2}(?:-\d{2})?)"
 
@@ -54,19 +55,22 @@ def _reader(spark: SparkSession):
 
 def read_raw_csv(spark: SparkSession, path: str, with_period: bool = False) -> DataFrame:
     """Scan raw CSV file(s) (S1). Only the twelve used columns survive the projection, so
-    CSV column pruning skips parsing the rest. Every file's header is checked against the
-    first one (``enforceSchema=false``), so a file with another column order fails loudly
-    instead of being read by position."""
+    CSV column pruning skips parsing the rest. Columns are named from the header (the
+    archive's files share one layout). One extra trailing text field catches rows with
+    more fields than the header -- the lines the reference skips; short rows are padded
+    with nulls and kept."""
     header = _reader(spark).csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header]
-                          + [T.StructField(CORRUPT, T.StringType())])
-    df = (_reader(spark).option("mode", "PERMISSIVE").option("enforceSchema", False)
+                          + [T.StructField(OVERFLOW, T.StringType()), T.StructField(CORRUPT, T.StringType())])
+    df = (_reader(spark).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", CORRUPT).schema(schema).csv(path))
     cols = [(_typed(raw, typ) if raw in header else F.lit(None).cast(typ if typ != "timestamp" else "timestamp_ntz"))
             .alias(name) for raw, (name, typ) in RAW_FIELDS.items()]
     if with_period:
         cols.append(F.regexp_extract(F.col("_metadata.file_path"), PERIOD_RE, 1).alias("period"))
-    return df.select(*cols, F.col(CORRUPT))
+    bad = F.col(OVERFLOW).isNotNull()
+    return df.select(*cols, F.when(bad, F.coalesce(F.col(CORRUPT), F.lit("too many fields")))
+                     .otherwise(F.col(CORRUPT)).alias(CORRUPT))
 
 
 def scan_periods(spark: SparkSession, root: str) -> DataFrame:

@@ -45,7 +45,10 @@ def pings_from_events(events: DataFrame) -> DataFrame:
     """Raw pings (one per event): the AIS fields the engine uses, engine-native names."""
     eid = F.col("event_id")
     uid = F.col("user_id")
-    ts = F.date_trunc("second", F.col("ts")).cast("timestamp_ntz")
+    src = F.col("ts")
+    # whole seconds, in TIMESTAMP_NTZ arithmetic only (no session time zone involved)
+    ts = F.make_timestamp_ntz(F.year(src), F.month(src), F.dayofmonth(src), F.hour(src), F.minute(src),
+                              F.second(src))
     site = (uid + F.floor(F.dayofmonth(F.col("ts")) / F.lit(4.0)).cast("int")) % 6
     u = ((eid * 37) % 101) / F.lit(100.0)
     v = ((eid * 53) % 101) / F.lit(100.0)
