@@ -21,6 +21,17 @@ def flit(x: float) -> Column:
     return F.lit(float(x)).cast("float")
 
 
+def f32_sql(x: float) -> str:
+    """SQL text of a float32 literal: the double value narrowed to float (``D`` keeps the
+    literal a DOUBLE; a bare ``55.4`` would be DECIMAL)."""
+    return f"CAST({float(x)!r}D AS FLOAT)"
+
+
+def in_box_sql(box: "Box", lat: str = "latitude", lon: str = "longitude") -> str:
+    a, b, c, d = box
+    return f"({lat} BETWEEN {f32_sql(a)} AND {f32_sql(b)} AND {lon} BETWEEN {f32_sql(c)} AND {f32_sql(d)})"
+
+
 def in_box(lat: Column, lon: Column, box: Box) -> Column:
     """Inclusive box test in float32."""
     lat_min, lat_max, lon_min, lon_max = box
@@ -34,34 +45,27 @@ def in_box_double(lat: Column, lon: Column, box: Box) -> Column:
             & lon.cast("double").between(F.lit(lon_min), F.lit(lon_max)))
 
 
-def any_region(lat: Column, lon: Column, regions: Mapping[str, Box] = config.PORTS) -> Column:
+def any_region_sql(regions: Mapping[str, Box] = config.PORTS, lat: str = "latitude",
+                   lon: str = "longitude") -> str:
+    return "(" + " OR ".join(in_box_sql(b, lat, lon) for b in regions.values()) + ")"
+
+
+def any_region(lat: str = "latitude", lon: str = "longitude", regions: Mapping[str, Box] = config.PORTS) -> Column:
     """True when the position lies in at least one region (edges inclusive)."""
-    cond = F.lit(False)
-    for box in regions.values():
-        cond = cond | in_box(lat, lon, box)
-    return cond
+    return F.expr(any_region_sql(regions, lat, lon))
 
 
-def region_label(lat: Column, lon: Column, regions: Mapping[str, Box] = config.PORTS,
-                 outside: str | None = "") -> Column:
+def region_label_sql(regions: Mapping[str, Box] = config.PORTS, outside: str | None = "",
+                     lat: str = "latitude", lon: str = "longitude") -> str:
     """Name of the matching region; when boxes overlap the LAST one in order wins."""
-    expr = F.lit(outside)
-    for name, box in regions.items():
-        expr = F.when(in_box(lat, lon, box), F.lit(name)).otherwise(expr)
-    return expr
+    whens = " ".join(f"WHEN {in_box_sql(b, lat, lon)} THEN '{n}'" for n, b in reversed(list(regions.items())))
+    other = "NULL" if outside is None else f"'{outside}'"
+    return f"CASE {whens} ELSE {other} END"
 
 
-def _diagonal_lon_f32(lat: Column) -> Column:
-    """Boundary longitude of the anchorage/south-terminal diagonal, evaluated in float32.
-
-    ``lon_a + (lat - lat_a) * dlon / dlat`` left to right; dlon and dlat are differences
-    of doubles narrowed to float32. Spark's float/float is double, so each product and
-    quotient is cast back to float to keep every step in float32.
-    """
-    (lat_a, lon_a), (lat_b, lon_b) = config.ANCHORAGE_DIAGONAL
-    step = ((lat - flit(lat_a)) * flit(lon_b - lon_a)).cast("float")
-    step = (step / flit(lat_b - lat_a)).cast("float")
-    return (flit(lon_a) + step).cast("float")
+def region_label(lat: str = "latitude", lon: str = "longitude", regions: Mapping[str, Box] = config.PORTS,
+                 outside: str | None = "") -> Column:
+    return F.expr(region_label_sql(regions, outside, lat, lon))
 
 
 def zone_band() -> Box:
@@ -70,27 +74,38 @@ def zone_band() -> Box:
     return (z["anchorage"][0], z["anchorage"][1], z["anchorage"][2], z["south_terminal"][3])
 
 
-def zone_label(lat: Column, lon: Column) -> Column:
+def _diagonal_sql(lat: str) -> str:
+    (lat_a, lon_a), (lat_b, lon_b) = config.ANCHORAGE_DIAGONAL
+    step = f"CAST(({lat} - {f32_sql(lat_a)}) * {f32_sql(lon_b - lon_a)} AS FLOAT)"
+    step = f"CAST({step} / {f32_sql(lat_b - lat_a)} AS FLOAT)"
+    return f"CAST({f32_sql(lon_a)} + {step} AS FLOAT)"
+
+
+def zone_label_sql(lat: str = "latitude", lon: str = "longitude") -> str:
     """Aarhus sub-zone of a float32 position, or null (the NW gap).
 
     Precedence: outer_approach, north_terminal, then the shared band split by the
     diagonal (west -> anchorage, on/east -> south_terminal). The inner edges of the two
     band zones are not used; the band spans anchorage.lon_min..south_terminal.lon_max.
+    The diagonal ``lon_a + (lat - lat_a) * dlon / dlat`` is evaluated in float32 step by
+    step (Spark's float/float is double, so each step is narrowed back to float).
     """
     z = config.AARHUS_ZONES
-    split = F.when(lon < _diagonal_lon_f32(lat), F.lit("anchorage")).otherwise(F.lit("south_terminal"))
-    return (
-        F.when(in_box(lat, lon, z["outer_approach"]), F.lit("outer_approach"))
-        .when(in_box(lat, lon, z["north_terminal"]), F.lit("north_terminal"))
-        .when(in_box(lat, lon, zone_band()), split)
-    )
+    return (f"CASE WHEN {in_box_sql(z['outer_approach'], lat, lon)} THEN 'outer_approach' "
+            f"WHEN {in_box_sql(z['north_terminal'], lat, lon)} THEN 'north_terminal' "
+            f"WHEN {in_box_sql(zone_band(), lat, lon)} THEN "
+            f"CASE WHEN {lon} < {_diagonal_sql(lat)} THEN 'anchorage' ELSE 'south_terminal' END END")
+
+
+def zone_label(lat: str = "latitude", lon: str = "longitude") -> Column:
+    return F.expr(zone_label_sql(lat, lon))
 
 
-def in_any_zone(lat: Column, lon: Column) -> Column:
+def in_any_zone(lat: str = "latitude", lon: str = "longitude") -> Column:
     """Exactly the positions :func:`zone_label` labels (the union of the zone boxes)."""
     z = config.AARHUS_ZONES
-    return (in_box(lat, lon, z["outer_approach"]) | in_box(lat, lon, z["north_terminal"])
-            | in_box(lat, lon, zone_band()))
+    boxes = [z["outer_approach"], z["north_terminal"], zone_band()]
+    return F.expr("(" + " OR ".join(in_box_sql(b, lat, lon) for b in boxes) + ")")
 
 
 def zone_index(lat: Column, lon: Column) -> Column:

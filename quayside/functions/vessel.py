@@ -1,16 +1,27 @@
 """Vessel attributes: ship-type normalisation, speed validity, display names."""
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside import config
 
 
+def _last_wins_sql(low: str) -> str:
+    whens = " ".join(f"WHEN contains({low}, '{k}') THEN '{lbl}'" for k, lbl in reversed(config.TYPE_KEYS))
+    return f"CASE {whens} ELSE '{config.OTHER_TYPE}' END"
+
+
+def _first_wins_sql(low: str) -> str:
+    whens = " ".join(f"WHEN contains({low}, '{t.lower()}') THEN '{t}'" for t in config.TOP_TYPES)
+    return f"CASE {whens} ELSE '{config.OTHER_TYPE}' END"
+
+
 def normalise_type(raw: Column) -> Column:
     """Pipeline form: lower-cased, trimmed substring match; the LAST matching key wins.
 
     Null becomes "Other". ``Tug/Cargo`` -> ``Tug`` because "tug" comes after "cargo".
+    (Expression form; :func:`with_vessel_type` is the cheaper column-adding form.)
     """
     low = F.lower(F.trim(F.coalesce(raw, F.lit(""))))
     expr = F.lit(config.OTHER_TYPE)
@@ -32,6 +43,21 @@ def normalise_type_first(raw: Column) -> Column:
     return expr.otherwise(F.lit(config.OTHER_TYPE))
 
 
+def with_vessel_type(df: DataFrame, src: str = "ship_type", out: str = "vessel_type",
+                     first_wins: bool = False) -> DataFrame:
+    """Add the normalised type. The lower-cased text is its own projection, referenced
+    by every branch, so it is computed once per row (Catalyst keeps a non-trivial
+    expression used eight times in a separate projection instead of copying it)."""
+    tmp = f"_{out}_low"
+    if first_wins:
+        low = F.lower(F.col(src))
+        case = _first_wins_sql(tmp)
+    else:
+        low = F.lower(F.trim(F.coalesce(F.col(src), F.lit(""))))
+        case = _last_wins_sql(tmp)
+    return df.withColumn(tmp, low).withColumn(out, F.expr(case)).drop(tmp)
+
+
 def valid_speed(sog: Column) -> Column:
     """True for a usable speed: below the 102.3 sentinel (null is not usable)."""
     return sog < F.lit(config.SOG_SENTINEL)

@@ -23,8 +23,7 @@ PERCENTILES = {"sog_p025": 0.025, "sog_median": 0.5, "sog_p95": 0.95, "sog_p975"
 
 
 def with_type_and_hour(pings: DataFrame) -> DataFrame:
-    return (pings.withColumn("vessel_type", vessel.normalise_type(F.col("ship_type")))
-            .withColumn("hour", F.hour("ts")))
+    return vessel.with_vessel_type(pings).withColumn("hour", F.hour("ts"))
 
 
 def hourly_stats(pings: DataFrame, region: str) -> DataFrame:
@@ -39,7 +38,7 @@ def hourly_stats(pings: DataFrame, region: str) -> DataFrame:
 
 def visits(pings: DataFrame, region: str, with_hours: bool = True) -> DataFrame:
     """One row per (mmsi, region, date): first/last ping, modal type, pings and dwell."""
-    df = pings.withColumn("vessel_type", vessel.normalise_type(F.col("ship_type")))
+    df = vessel.with_vessel_type(pings)
     out = (df.groupBy("mmsi", region, "date")
            .agg(F.min("ts").alias("first_seen"),
                 F.max("ts").alias("last_seen"),
@@ -55,7 +54,7 @@ def visits(pings: DataFrame, region: str, with_hours: bool = True) -> DataFrame:
 
 def type_distribution(pings: DataFrame, region: str) -> DataFrame:
     """Vessel types counted once per (mmsi, region, date), taking the type of the first ping."""
-    df = pings.withColumn("vessel_type", vessel.normalise_type(F.col("ship_type")))
+    df = vessel.with_vessel_type(pings)
     order_key = F.struct(F.col("ts").isNull(), F.col("ts"), F.col("event_id"))
     first = (df.groupBy("mmsi", region, "date")
              .agg(F.min_by("vessel_type", order_key).alias("vessel_type")))
@@ -67,7 +66,7 @@ def navstatus_stats(pings: DataFrame, region: str, by_type: bool) -> DataFrame:
     df = pings.where(F.col("nav_status").isNotNull())
     keys = [region, "date"]
     if by_type:
-        df = df.withColumn("vessel_type", vessel.normalise_type(F.col("ship_type")))
+        df = vessel.with_vessel_type(df)
         keys.append("vessel_type")
     return df.groupBy(*keys, "nav_status").agg(F.count(F.lit(1)).alias("ping_count"))
 

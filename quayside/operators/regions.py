@@ -18,12 +18,12 @@ def bbox_filter(pings: DataFrame, regions: Mapping[str, geo.Box] = config.PORTS)
     A plain ``where`` on lat/lon: Parquet receives the range predicates as pushed filters
     and skips row groups whose statistics fall outside every box.
     """
-    return pings.where(geo.any_region(F.col("latitude"), F.col("longitude"), regions))
+    return pings.where(geo.any_region("latitude", "longitude", regions))
 
 
 def port_label(pings: DataFrame, regions: Mapping[str, geo.Box] = config.PORTS) -> DataFrame:
     """Add ``port``: the matching region, last one wins, "" outside."""
-    return pings.withColumn("port", geo.region_label(F.col("latitude"), F.col("longitude"), regions))
+    return pings.withColumn("port", geo.region_label("latitude", "longitude", regions))
 
 
 def filter_and_label(pings: DataFrame, regions: Mapping[str, geo.Box] = config.PORTS) -> DataFrame:
@@ -33,8 +33,7 @@ def filter_and_label(pings: DataFrame, regions: Mapping[str, geo.Box] = config.P
 
 def assign_zones(pings: DataFrame) -> DataFrame:
     """Add ``zone`` (Aarhus sub-zone) and drop pings in no zone."""
-    lat, lon = F.col("latitude"), F.col("longitude")
-    return pings.where(geo.in_any_zone(lat, lon)).withColumn("zone", geo.zone_label(lat, lon))
+    return pings.where(geo.in_any_zone()).withColumn("zone", geo.zone_label())
 
 
 def coverage_filter(pings: DataFrame, real_vessels_only: bool = True) -> DataFrame:

@@ -47,7 +47,7 @@ def day_map_pings(raw: DataFrame) -> DataFrame:
     """Coverage box, Class A/B, minute of day and first-match vessel type."""
     return (regions.coverage_filter(raw).where(F.col("ts").isNotNull())
             .withColumn("t", timeparts.minute_of_day(F.col("ts")))
-            .withColumn("type", vessel.normalise_type_first(F.col("ship_type"))))
+            .transform(lambda d: vessel.with_vessel_type(d, out="type", first_wins=True)))
 
 
 def day_tracks(raw: DataFrame, min_points: int = config.DAY_MAP_MIN_POINTS,
@@ -81,7 +81,7 @@ def core_union_approach(raw: DataFrame, pings: DataFrame, epoch: str,
         both = both.unionByName(joins.approach_semi(raw, core).select(*cols, F.lit(1).alias("src")))
     t = timeparts.minutes_since(F.col("ts"), epoch)
     return (both.withColumn("t", t).where((F.col("t") >= 0) & (F.col("t") < days * 1440))
-            .withColumn("type", vessel.normalise_type_first(F.col("ship_type"))))
+            .transform(lambda d: vessel.with_vessel_type(d, out="type", first_wins=True)))
 
 
 def dedupe_minute(points: DataFrame) -> DataFrame:

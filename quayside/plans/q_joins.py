@@ -62,7 +62,7 @@ def q_zone_index(spark, sf_dir):
 def q_normalise_type(spark, sf_dir):
     r = Tables(spark, sf_dir).raw
     return (r.groupBy("ship_type").agg(F.count(F.lit(1)).alias("pings"))
-            .withColumn("vessel_type", vessel.normalise_type(F.col("ship_type"))))
+            .transform(vessel.with_vessel_type))
 
 
 @reg("normalise_type_first", f"SELECT ship_type, {o.type_first_wins()} AS type, count(*) AS pings "
@@ -70,7 +70,7 @@ def q_normalise_type(spark, sf_dir):
 def q_normalise_type_first(spark, sf_dir):
     r = Tables(spark, sf_dir).raw
     return (r.groupBy("ship_type").agg(F.count(F.lit(1)).alias("pings"))
-            .withColumn("type", vessel.normalise_type_first(F.col("ship_type"))))
+            .transform(lambda d: vessel.with_vessel_type(d, out="type", first_wins=True)))
 
 
 @reg("coverage_filter", f"SELECT event_id, mobile_type FROM raw WHERE {o.box_double(config.COVERAGE_BOX)} "

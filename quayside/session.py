@@ -29,8 +29,14 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Column construction without per-call Python stack capture (it only enriches
+        # error messages, and costs several py4j round trips per expression node).
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("QUAYSIDE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
+        # let HotSpot JIT generated methods above 8 KB of bytecode (large fused stages)
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
+        .config("spark.executor.extraJavaOptions", "-XX:-DontCompileHugeMethods")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

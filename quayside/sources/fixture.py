@@ -28,69 +28,59 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _site_coord(site: Column, event_id: Column, frac: Column, axis: int,
-                near: tuple[float, float], far: tuple[float, float]) -> Column:
-    """Coordinate for sites 0-4 (``lo + (hi - lo) * frac`` in the port box) and 5 (outside)."""
-    lows = F.array(*[F.lit(config.PORTS[p][axis]) for p in SITE_PORTS])
-    highs = F.array(*[F.lit(config.PORTS[p][axis + 1]) for p in SITE_PORTS])
-    idx = (site + 1).cast("int")
-    lo, hi = F.element_at(lows, idx), F.element_at(highs, idx)
-    inside = lo + (hi - lo) * frac
-    outside = F.when(event_id % 2 == 0, F.lit(near[0]) + F.lit(near[1]) * frac) \
-               .otherwise(F.lit(far[0]) + F.lit(far[1]) * frac)
-    return F.when(site < len(SITE_PORTS), inside).otherwise(outside).cast("float")
+def _d(x: float) -> str:
+    return f"{float(x)!r}D"
+
+
+def _coord_sql(frac: str, axis: int, near: tuple[float, float], far: tuple[float, float]) -> str:
+    """Sites 0-4: ``lo + (hi - lo) * frac`` inside that port's box; site 5 outside."""
+    lows = ", ".join(_d(config.PORTS[p][axis]) for p in SITE_PORTS)
+    highs = ", ".join(_d(config.PORTS[p][axis + 1]) for p in SITE_PORTS)
+    idx = "CAST(_site + 1 AS INT)"
+    lo, hi = f"element_at(array({lows}), {idx})", f"element_at(array({highs}), {idx})"
+    outside = (f"CASE WHEN event_id % 2 = 0 THEN {_d(near[0])} + {_d(near[1])} * {frac} "
+               f"ELSE {_d(far[0])} + {_d(far[1])} * {frac} END")
+    return f"CAST(CASE WHEN _site < {len(SITE_PORTS)} THEN {lo} + ({hi} - {lo}) * {frac} ELSE {outside} END AS FLOAT)"
 
 
 def pings_from_events(events: DataFrame) -> DataFrame:
-    """Raw pings (one per event): the AIS fields the engine uses, engine-native names."""
-    eid = F.col("event_id")
-    uid = F.col("user_id")
-    src = F.col("ts")
-    # whole seconds, in TIMESTAMP_NTZ arithmetic only (no session time zone involved)
-    ts = F.make_timestamp_ntz(F.year(src), F.month(src), F.dayofmonth(src), F.hour(src), F.minute(src),
-                              F.second(src))
-    site = (uid + F.floor(F.dayofmonth(F.col("ts")) / F.lit(4.0)).cast("int")) % 6
-    u = ((eid * 37) % 101) / F.lit(100.0)
-    v = ((eid * 53) % 101) / F.lit(100.0)
-
-    sog = (F.when(eid % 29 == 0, F.lit(None))
-           .when(eid % 23 == 0, F.lit(102.3))
-           .when(eid % 3 == 0, F.lit(0.0))
-           .otherwise(F.col("value") / F.lit(20.0))).cast("float")
-
-    nav = None
-    for etype, status in NAV_STATUS.items():
-        cond = F.col("event_type") == etype
-        nav = F.when(cond, F.lit(status)) if nav is None else nav.when(cond, F.lit(status))
-
-    type_idx = (uid + F.when(eid % 5 == 0, 1).otherwise(0)) % len(SHIP_TYPES)
-    ship_type = F.element_at(F.array(*[F.lit(t).cast("string") for t in SHIP_TYPES]),
-                             (type_idx + 1).cast("int"))
-
-    mobile = (F.when(uid % 17 == 16, F.lit("Base Station"))
-              .when(uid % 2 == 0, F.lit("Class A"))
-              .otherwise(F.lit("Class B")))
-    name = F.when(eid % 13 == 0, F.lit(None).cast("string")) \
-            .otherwise(F.concat(F.lit("VESSEL "), uid.cast("string")))
-
-    cols = [
-        eid.alias("event_id"),
-        (F.lit(219000000) + uid).cast("long").alias("mmsi"),
-        ts.alias("ts"),
-        ts.cast("date").alias("date"),
-        _site_coord(site, eid, u, 0, (56.05, 0.20), (58.0, 6.0)).alias("latitude"),
-        _site_coord(site, eid, v, 2, (10.31, 0.24), (11.0, 8.0)).alias("longitude"),
-        sog.alias("sog"),
-        nav.alias("nav_status"),
-        ship_type.alias("ship_type"),
-        mobile.alias("mobile_type"),
-        name.alias("name"),
-    ]
-    # One-element ``inline``: the derived columns become Generate output, so Catalyst
-    # evaluates each formula once per event instead of substituting it into every box
-    # predicate downstream (dozens of copies would overflow the 64 KB codegen limit).
+    """Raw pings (one per event): the AIS fields the engine uses, engine-native names.
+
+    Written as SQL expressions (one parse each on the JVM side). Step 1 computes the
+    intermediates used several times once per event: whole-second time in TIMESTAMP_NTZ
+    arithmetic only (no session time zone involved), the site and the two fractions.
+    """
+    base = events.selectExpr(
+        "event_id", "user_id", "value", "event_type",
+        "make_timestamp_ntz(year(ts), month(ts), day(ts), hour(ts), minute(ts), second(ts)) AS _ts",
+        "(user_id + CAST(floor(day(ts) / 4.0D) AS INT)) % 6 AS _site",
+        "((event_id * 37) % 101) / 100.0D AS _u",
+        "((event_id * 53) % 101) / 100.0D AS _v",
+    )
+    nav = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in NAV_STATUS.items())
+    types = ", ".join("CAST(NULL AS STRING)" if t is None else f"'{t}'" for t in SHIP_TYPES)
+    fields = {
+        "event_id": "event_id",
+        "mmsi": "CAST(219000000 + user_id AS BIGINT)",
+        "ts": "_ts",
+        "date": "CAST(_ts AS DATE)",
+        "latitude": _coord_sql("_u", 0, (56.05, 0.20), (58.0, 6.0)),
+        "longitude": _coord_sql("_v", 2, (10.31, 0.24), (11.0, 8.0)),
+        "sog": ("CAST(CASE WHEN event_id % 29 = 0 THEN NULL WHEN event_id % 23 = 0 THEN 102.3D "
+                "WHEN event_id % 3 = 0 THEN 0.0D ELSE value / 20.0D END AS FLOAT)"),
+        "nav_status": f"CASE event_type {nav} END",
+        "ship_type": (f"element_at(array({types}), "
+                      f"CAST((user_id + CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END) % {len(SHIP_TYPES)} + 1 AS INT))"),
+        "mobile_type": ("CASE WHEN user_id % 17 = 16 THEN 'Base Station' WHEN user_id % 2 = 0 THEN 'Class A' "
+                        "ELSE 'Class B' END"),
+        "name": "CASE WHEN event_id % 13 = 0 THEN CAST(NULL AS STRING) ELSE concat('VESSEL ', CAST(user_id AS STRING)) END",
+    }
+    struct = ", ".join(f"{expr} AS {name}" for name, expr in fields.items())
+    # Step 2: a one-element ``inline``. The derived columns become Generate output, so
+    # Catalyst cannot substitute their formulas into every downstream box predicate
+    # (dozens of copies would overflow codegen limits); each is evaluated once per event.
     # A real scan delivers these as plain Parquet columns and needs no such step.
-    return events.select(F.inline(F.array(F.struct(*cols))))
+    return base.selectExpr(f"inline(array(struct({struct})))")
 
 
 def raw_pings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ def test_t2_diagonal_in_float32(spark):
     expect = np.where(lon < boundary, "anchorage", "south_terminal")
     df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(lat, lon))],
                                "i long, latitude float, longitude float")
-    got = [r.z for r in df.select("i", geo.zone_label(F.col("latitude"), F.col("longitude")).alias("z"))
+    got = [r.z for r in df.select("i", geo.zone_label("latitude", "longitude").alias("z"))
            .orderBy("i").collect()]
     assert got == list(expect)
 
