@@ -33,17 +33,20 @@ def table_checks(table: str) -> list[tuple[str, str]]:
 
 
 def check_table(df: DataFrame, table: str) -> DataFrame:
+    """All checks of one table in a single grouped pass: group by the primary key with
+    per-group violation counts (partial aggregation map-side), then one global sum. The
+    duplicate count of a key group is its size minus one."""
     checks = table_checks(table)
-    sums = [F.sum(F.when(F.expr(pred), 1).otherwise(0)).cast("long").alias(f"c{i}")
-            for i, (_, pred) in enumerate(checks)]
-    row = df.agg(*sums)
-    pairs = ", ".join(f"'{name}', c{i}" for i, (name, _) in enumerate(checks))
-    per_check = row.selectExpr(f"stack({len(checks)}, {pairs}) AS (check, violations)")
     key = PRIMARY_KEYS[table]
-    dups = (df.groupBy(*key).count().where(F.col("count") > 1)
-            .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("long").alias("violations"))
-            .select(F.lit("primary_key").alias("check"), "violations"))
-    return per_check.unionByName(dups).select(F.lit(table).alias("table"), "check", "violations")
+    per_key = df.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(F.when(F.expr(pred), 1).otherwise(0)).alias(f"c{i}") for i, (_, pred) in enumerate(checks)])
+    totals = per_key.agg(
+        *[F.sum(f"c{i}").cast("long").alias(f"c{i}") for i in range(len(checks))],
+        F.sum(F.col("_n") - 1).cast("long").alias("dups"))
+    pairs = ", ".join(f"'{name}', c{i}" for i, (name, _) in enumerate(checks)) + ", 'primary_key', dups"
+    return totals.selectExpr(f"'{table}' AS table", f"stack({len(checks) + 1}, {pairs}) AS (check, violations)") \
+                 .select("table", "check", F.coalesce(F.col("violations"), F.lit(0)).cast("long").alias("violations"))
 
 
 def constraint_check(tables: dict[str, DataFrame]) -> DataFrame:
