@@ -252,3 +252,33 @@ def q_constraint_check(spark, sf_dir):
     """Declared keys and NOT NULL / range / domain rules checked on the published tables."""
     t = Tables(spark, sf_dir)
     return quality.constraint_check({tb: published(t.table(tb), tb) for tb in TABLE_ATTRS})
+
+
+_base = config.SOURCE_BASE_URL
+
+
+@reg("period_calendar", f"""
+SELECT c.period, c.kind, {isod('c.period_start')} AS period_start, c.url, coalesce(n.pings, 0) AS pings FROM (
+  SELECT strftime(d, '%Y-%m') AS period, 'monthly' AS kind, CAST(d AS DATE) AS period_start,
+         '{_base}/' || strftime(d, '%Y') || '/aisdk-' || strftime(d, '%Y-%m') || '.zip' AS url
+  FROM generate_series(DATE '{config.MONTHLY_START}', DATE '{config.MONTHLY_END}', INTERVAL 1 MONTH) g(d)
+  UNION ALL
+  SELECT strftime(d, '%Y-%m-%d'), 'daily', CAST(d AS DATE),
+         CASE WHEN d >= DATE '{config.FLAT_ROOT_FROM}' THEN '{_base}/aisdk-' || strftime(d, '%Y-%m-%d') || '.zip'
+              ELSE '{_base}/' || strftime(d, '%Y') || '/aisdk-' || strftime(d, '%Y-%m-%d') || '.zip' END
+  FROM generate_series(DATE '{config.DAILY_START}', DATE '{config.DAILY_END}', INTERVAL 1 DAY) g(d)) c
+LEFT JOIN (SELECT CASE WHEN date < DATE '{config.DAILY_START}' THEN strftime(date, '%Y-%m')
+                       ELSE strftime(date, '%Y-%m-%d') END AS period, count(*) AS pings
+           FROM raw GROUP BY 1) n ON n.period = c.period""", ["raw"])
+def q_period_calendar(spark, sf_dir):
+    """Source calendar (monthly archives, then daily ones, with their URLs) and the raw
+    pings each archive period holds in the data: dates before the daily regime belong to
+    their month's archive."""
+    raw = Tables(spark, sf_dir).raw
+    period = F.when(F.col("date") < F.lit(config.DAILY_START), F.date_format("date", "yyyy-MM")) \
+              .otherwise(F.date_format("date", "yyyy-MM-dd"))
+    counts = raw.groupBy(period.alias("period")).agg(F.count(F.lit(1)).alias("pings"))
+    cal = manifest.period_calendar(spark)
+    return (cal.join(counts, "period", "left").na.fill(0, ["pings"])
+            .select("period", "kind", F.date_format("period_start", "yyyy-MM-dd").alias("period_start"), "url",
+                    "pings"))
