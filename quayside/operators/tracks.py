@@ -95,7 +95,12 @@ def month_points(raw: DataFrame, pings: DataFrame, epoch: str, with_approach: bo
     """Deduplicated, 1-minute downsampled month points with rounded coordinates, speed
     only when valid, and the map zone index of the rounded position."""
     pts = dedupe_minute(core_union_approach(raw, pings, epoch, with_approach=with_approach))
-    down = downsample(pts, ["mmsi"], bucket_minutes)
+    if bucket_minutes == 1:
+        # one row per (mmsi, minute) already: the downsample would be the identity, so
+        # skip its shuffle (the dedupe window has partitioned on the same key)
+        down = pts.withColumn("bucket", F.col("t")).select("mmsi", "bucket", "t", *POINT_COLS)
+    else:
+        down = downsample(pts, ["mmsi"], bucket_minutes)
     lat = F.bround(F.col("latitude").cast("double"), 5)
     lon = F.bround(F.col("longitude").cast("double"), 5)
     return (down.withColumn("lat", lat).withColumn("lon", lon)
@@ -108,10 +113,12 @@ def month_tracks(raw: DataFrame, pings: DataFrame, epoch: str, with_approach: bo
     """Per vessel: month track (>= min_points points), name/type from the downsampled points."""
     pts = month_points(raw, pings, epoch, with_approach)
     point = F.struct(F.col("t"), F.col("lat"), F.col("lon"), F.col("sog_v").alias("sog"), F.col("z"))
-    tracks = (pts.groupBy("mmsi").agg(F.array_sort(F.collect_list(point)).alias("track"))
-              .withColumn("n_points", F.size("track")).where(F.col("n_points") >= min_points))
-    meta = vessel_meta(pts, ["mmsi"])
-    return tracks.join(meta, "mmsi", "inner")
+    # track, dominant name and dominant type come from the same points: one aggregation
+    return (pts.groupBy("mmsi")
+            .agg(F.array_sort(F.collect_list(point)).alias("track"),
+                 F.mode("name", deterministic=True).alias("name"), F.mode("type", deterministic=True).alias("type"))
+            .withColumn("name", F.trim(F.coalesce(F.col("name"), F.lit(""))))
+            .withColumn("n_points", F.size("track")).where(F.col("n_points") >= min_points))
 
 
 def track_json(tracks: DataFrame, keep_nulls: bool) -> Column:
