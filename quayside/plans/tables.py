@@ -18,28 +18,44 @@ from quayside.sources import fixture
 
 
 class Tables:
-    """All derived tables of one dataset (``sf_dir``), optionally restricted to a date range."""
+    """All derived tables of one dataset, optionally restricted to a date range.
 
-    def __init__(self, spark: SparkSession, sf_dir: str, date_from: str | None = None,
-                 date_to: str | None = None):
+    The source is one of: ``sf_dir`` (the driver's test data, projected to pings),
+    ``raw`` (raw pings, e.g. :func:`quayside.sources.ais_csv.raw_pings_from_csv`) or
+    ``pings`` (already filtered and labelled, e.g. the filtered Parquet table, where the
+    date window becomes partition pruning).
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None, date_from: str | None = None,
+                 date_to: str | None = None, raw: DataFrame | None = None, pings: DataFrame | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.date_from = date_from
         self.date_to = date_to
+        self._raw = raw
+        self._pings = pings
 
-    # ---- pings ---------------------------------------------------------------
-    @cached_property
-    def raw(self) -> DataFrame:
-        df = fixture.raw_pings(self.spark, self.sf_dir)
+    def _window(self, df: DataFrame) -> DataFrame:
         if self.date_from is not None:
             df = df.where(F.col("date") >= F.lit(self.date_from).cast("date"))
         if self.date_to is not None:
             df = df.where(F.col("date") <= F.lit(self.date_to).cast("date"))
         return df
 
+    # ---- pings ---------------------------------------------------------------
+    @cached_property
+    def raw(self) -> DataFrame:
+        if self._raw is not None:
+            return self._window(self._raw)
+        if self.sf_dir is None:
+            raise ValueError("no raw source: give sf_dir or raw")
+        return self._window(fixture.raw_pings(self.spark, self.sf_dir))
+
     @cached_property
     def pings(self) -> DataFrame:
         """Filtered pings: inside a port box, labelled with ``port``."""
+        if self._pings is not None:
+            return self._window(self._pings)
         return regions.filter_and_label(self.raw)
 
     @cached_property

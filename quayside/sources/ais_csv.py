@@ -108,3 +108,12 @@ def write_raw_csv(raw_pings: DataFrame, path: str, period_col: str | None = None
     if period_col:
         w = w.partitionBy(period_col)
     w.csv(path)
+
+
+def raw_pings_from_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Raw archive CSV as engine pings: bad lines and rows without MMSI dropped, ``date``
+    from the timestamp, and a deterministic ``event_id`` (a hash of the row's fields)
+    that breaks time ties the same way on every run."""
+    df = clean_rows(read_raw_csv(spark, path))
+    return (df.withColumn("date", F.to_date("ts"))
+              .withColumn("event_id", F.xxhash64(*[F.col(n) for _, (n, _) in RAW_FIELDS.items()])))

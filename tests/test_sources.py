@@ -90,3 +90,44 @@ def test_streaming_rerun_adds_nothing(spark):
     n1 = spark.read.parquet(out).count()
     ingest.run_ingest(spark, f"{src}/*/*.csv", header, out, ck, max_files=5)
     assert spark.read.parquet(out).count() == n1 == t.pings.count()
+
+
+def test_tables_from_csv_match_fixture(spark):
+    """The same plans run on archive CSV input give the fixture's tables (tie-free ones)."""
+    from quayside.plans.tables import published
+    t = Tables(spark, SF_SMALL)
+    path = scratch_path(spark, "t-csvsrc")
+    ais_csv.write_raw_csv(t.raw, path)
+    c = Tables(spark, raw=ais_csv.raw_pings_from_csv(spark, path))
+    for name in ("port_hourly_stats", "port_navstatus_stats", "port_speed_stats", "vessel_visits",
+                 "aarhus_zone_hourly_stats", "port_daily_flow"):
+        a = sorted(map(tuple, published(t.table(name), name).collect()))
+        b = sorted(map(tuple, published(c.table(name), name).collect()))
+        assert a == b, name
+
+
+def test_tables_from_filtered_parquet(spark):
+    from quayside.plans.tables import published
+    t = Tables(spark, SF_SMALL)
+    path = scratch_path(spark, "t-fsrc")
+    filtered.write_filtered(t.raw, path)
+    f = Tables(spark, pings=filtered.read_filtered(spark, path), date_from="2024-01-05", date_to="2024-01-20")
+    w = Tables(spark, SF_SMALL, "2024-01-05", "2024-01-20")
+    for name in ("port_hourly_stats", "type_distribution", "aarhus_zone_visits"):
+        assert sorted(map(tuple, published(f.table(name), name).collect())) == \
+               sorted(map(tuple, published(w.table(name), name).collect())), name
+
+
+def test_pipeline_filter_transform_export(spark):
+    from quayside import pipeline
+    t = Tables(spark, SF_SMALL)
+    csv_root, filt, tabs, pay = (scratch_path(spark, n) for n in ("p-csv", "p-filt", "p-tabs", "p-pay"))
+    ais_csv.write_raw_csv(t.raw.withColumn("period", F.concat(F.lit("aisdk-"), F.date_format("date", "yyyy-MM-dd"))),
+                          csv_root, period_col="period")
+    pipeline.run_filter(spark, csv_root, filt)
+    assert spark.read.parquet(filt).count() == t.pings.count()
+    pipeline.run_transform(spark, filt, tabs)
+    assert spark.read.parquet(f"{tabs}/port_hourly_stats").count() == t.port_hourly_stats.count()
+    pipeline.run_export(spark, filt, pay)
+    doc = spark.read.json(pay).first()
+    assert len(doc["summary"]) == 5
