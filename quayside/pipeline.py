@@ -41,7 +41,10 @@ def run_export(spark: SparkSession, filtered_root: str, out_dir: str, date_from:
         "summary": kpis.port_summary_df(t),
         "hourly_totals": kpis.hourly_totals(t),
     }
-    sinks.export_payload(sets, {"date_from": date_from or "", "date_to": date_to or ""}, out_dir)
+    order = {k: kpis.ORDER_BY[k] for k in ("daily_traffic", "congestion_heatmap", "stationary_heatmap",
+                                           "hourly_totals")}
+    order["summary"] = kpis.ORDER_BY["port_summary"]
+    sinks.export_payload(sets, {"date_from": date_from or "", "date_to": date_to or ""}, out_dir, order)
 
 
 def main(argv: list[str]) -> int:

@@ -17,6 +17,46 @@ from quayside.plans.tables import Tables
 
 iso = timeparts.iso_date
 
+# ORDER BY of each KPI result as the reference's SQL states it: (column, ascending).
+# Registered queries return unordered frames (a global sort is an extra job); exports and
+# callers that need the order apply it (:func:`ordered`, ``sinks.export_payload``).
+ORDER_BY: dict[str, list[tuple[str, bool]]] = {
+    "daily_traffic": [("port", True), ("date", True)],
+    "peak_hour": [("port", True), ("date", True)],
+    "type_share": [("port", True), ("total_vessels", False)],
+    "dwell_by_type": [("port", True), ("avg_dwell_minutes", False)],
+    "congestion_heatmap_sun": [("port", True), ("day_of_week", True), ("hour", True)],
+    "congestion_heatmap": [("port", True), ("dow", True), ("hour", True)],
+    "busiest_port": [("total_vessel_hours", False)],
+    "type_congestion": [("port", True), ("day_of_week", True), ("hour", True), ("avg_vessel_count", False)],
+    "arrival_hours": [("port", True), ("vessel_type", True), ("entry_hour", True)],
+    "navstatus_share": [("port", True), ("ping_count", False)],
+    "movement_by_port": [("avg_pct_stationary", False)],
+    "flow_rates": [("port", True), ("avg_daily_vessels", False)],
+    "turnover_rate": [("port", True), ("turnover_rate", False)],
+    "movement_by_hour": [("port", True), ("hour", True)],
+    "stationary_heatmap": [("port", True), ("dow", True), ("hour", True)],
+    "daily_flow_padded": [("port", True), ("date", True)],
+    "port_summary": [("total_vessel_hours", False)],
+    "hourly_totals": [("port", True), ("date", True), ("hour", True)],
+    "zone_daily_traffic": [("date", True), ("zone", True)],
+    "zone_daily_traffic_type": [("date", True), ("zone", True), ("vessel_type", True)],
+    "zone_congestion": [("zone", True), ("vessel_type", True), ("dow", True), ("hour", True)],
+    "zone_dwell": [("zone", True), ("avg_dwell_minutes", False)],
+    "zone_navstatus_share": [("zone", True), ("ping_count", False)],
+    "zone_navstatus_counts": [("zone", True), ("vessel_type", True), ("ping_count", False)],
+    "approach_speed": [("hour", True)],
+    "zone_speed_profile": [("zone", True), ("hour", True), ("vessel_type", True)],
+    "zone_type_mix": [("zone", True), ("visit_count", False)],
+    "zone_overview": [("total_vessel_hours", False)],
+}
+
+
+def ordered(name: str, df: DataFrame) -> DataFrame:
+    """Apply the reference's ORDER BY of KPI ``name`` (a global sort: range shuffle)."""
+    return df.orderBy(*[F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last()
+                        for c, asc in ORDER_BY[name]])
+
 
 def _date_window(df: DataFrame, date_from: str | None, date_to: str | None) -> DataFrame:
     """Inclusive date window; on a date-partitioned table this prunes partitions."""

@@ -155,7 +155,12 @@ def q_export_payload(spark, sf_dir):
         "hourly_totals": kpis.hourly_totals(t),
     }
     path = scratch_path(spark, "payload")
-    sinks.export_payload(sets, {"date_from": "2024-01-01", "date_to": "2024-01-30"}, path)
+    order = {k: kpis.ORDER_BY[k] for k in ("daily_traffic", "congestion_heatmap", "stationary_heatmap",
+                                           "hourly_totals")}
+    order["summary"] = kpis.ORDER_BY["port_summary"]
+    order["type_distribution"] = [("port", True), ("count", False)]
+    order["movement_behaviour"] = [("port", True), ("hour", True)]
+    sinks.export_payload(sets, {"date_from": "2024-01-01", "date_to": "2024-01-30"}, path, order)
     return sinks.read_payload_counts(spark, path, list(sets))
 
 

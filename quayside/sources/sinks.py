@@ -54,16 +54,33 @@ def table_overview(spark: SparkSession, views: list[str]) -> DataFrame:
     return out
 
 
-def export_payload(sets: dict[str, DataFrame], meta: dict[str, str], path: str) -> None:
+def _comparator(order: list[tuple[str, bool]]):
+    """array_sort comparator for an ORDER BY list of (column, ascending)."""
+    def cmp(left, right):
+        out = F.lit(0)
+        for col, asc in reversed(order):
+            lo, hi = (-1, 1) if asc else (1, -1)
+            out = F.when(left[col] < right[col], F.lit(lo)).when(left[col] > right[col], F.lit(hi)).otherwise(out)
+        return out
+    return cmp
+
+
+def export_payload(sets: dict[str, DataFrame], meta: dict[str, str], path: str,
+                   order: dict[str, list[tuple[str, bool]]] | None = None) -> None:
     """Write one compact JSON document holding every result set.
 
-    The sets are KPI aggregates (hundreds to thousands of rows), so each is gathered with
-    ``collect_list`` inside Spark; the document is assembled as one row and written as
-    text by a single task. Nothing passes through the driver."""
+    The sets are KPI aggregates (bounded by ports x days x hours), so each is gathered
+    with ``collect_list`` inside Spark and, when an ORDER BY is given for it, sorted in
+    the array with a comparator (no global sort job); the document is assembled as one
+    row and written as text by a single task. Nothing passes through the driver."""
+    order = order or {}
     spark = next(iter(sets.values())).sparkSession
     parts = [spark.range(1).select(F.lit(1).alias("_k"), *[F.lit(v).alias(k) for k, v in meta.items()])]
     for name, df in sets.items():
-        parts.append(df.agg(F.collect_list(F.struct(*df.columns)).alias(name)).withColumn("_k", F.lit(1)))
+        arr = F.collect_list(F.struct(*df.columns))
+        if name in order:
+            arr = F.array_sort(arr, _comparator(order[name]))
+        parts.append(df.agg(arr.alias(name)).withColumn("_k", F.lit(1)))
     doc = parts[0]
     for p in parts[1:]:
         doc = doc.join(p, "_k", "left")        # every side is exactly one row (a global aggregate)

@@ -131,3 +131,20 @@ def test_pipeline_filter_transform_export(spark):
     pipeline.run_export(spark, filt, pay)
     doc = spark.read.json(pay).first()
     assert len(doc["summary"]) == 5
+
+
+def test_payload_sets_are_ordered(spark):
+    from quayside.plans import kpis
+    from quayside.sources import sinks
+    t = Tables(spark, SF_SMALL)
+    path = scratch_path(spark, "p-ord")
+    sets = {"hourly_totals": kpis.hourly_totals(t), "summary": kpis.port_summary_df(t)}
+    sinks.export_payload(sets, {"x": "1"}, path, {"hourly_totals": kpis.ORDER_BY["hourly_totals"],
+                                                   "summary": kpis.ORDER_BY["port_summary"]})
+    doc = spark.read.json(path).first()
+    keys = [(r["port"], r["date"], r["hour"]) for r in doc["hourly_totals"]]
+    assert keys == sorted(keys) and len(keys) == kpis.hourly_totals(t).count()
+    hours = [r["total_vessel_hours"] for r in doc["summary"]]
+    assert hours == sorted(hours, reverse=True)
+    o = kpis.ordered("hourly_totals", kpis.hourly_totals(t)).collect()
+    assert [(r.port, r.date, r.hour) for r in o] == keys
