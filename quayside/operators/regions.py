@@ -1,7 +1,6 @@
 """Region operators: box filter, port label, Aarhus zones, coverage filter, region join."""
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession

@@ -1,8 +1,6 @@
 """Registered exploration queries."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from quayside import config
 from quayside.operators import explore, regions
 from quayside.plans import oracle as o

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.plans.tables import TABLE_ATTRS, TABLE_COLUMNS, Tables, published
+from quayside.plans.tables import TABLE_ATTRS, Tables, published
 
 
 def write_outputs(t: Tables, root: str) -> dict[str, str]:
@@ -107,5 +107,4 @@ def local_dir_size(path: str) -> int:
     return total
 
 
-__all__ = ["write_outputs", "load_tables", "table_overview", "export_payload", "read_payload_counts",
-           "TABLE_COLUMNS"]
+__all__ = ["write_outputs", "load_tables", "table_overview", "export_payload", "read_payload_counts"]
