@@ -73,6 +73,7 @@ def type_totals(t: Tables, ports: Sequence[str]) -> DataFrame:
     """Vessel-type totals over the selected ports and each type's % of them."""
     per = (t.type_distribution.where(F.col("port").isin(*ports)).groupBy("vessel_type")
            .agg(F.sum("count").alias("count")))
+    # un-partitioned window over the per-type aggregate: at most one row per vessel type
     total = F.sum("count").over(Window.partitionBy())
     return per.withColumn("pct", F.col("count").cast("double") / total.cast("double") * F.lit(100.0))
 
@@ -96,7 +97,7 @@ def zone_busiest_filtered(t: Tables, zones: Sequence[str], types: Sequence[str])
     """Vessel-hours of the whole selection and the busiest selected zone (top-1)."""
     per_zone = (_zone_traffic(t, zones, types).groupBy("zone")
                 .agg(F.sum("vessel_count").alias("zone_vessel_hours")))
-    total = F.sum("zone_vessel_hours").over(Window.partitionBy())
+    total = F.sum("zone_vessel_hours").over(Window.partitionBy())   # one row per zone
     return (per_zone.withColumn("selection_vessel_hours", total)
             .orderBy(F.col("zone_vessel_hours").desc(), F.col("zone")).limit(1))
 
@@ -148,6 +149,7 @@ def navstatus_top6(t: Tables, zones: Sequence[str], types: Sequence[str], k: int
     zone (the zone total includes the statuses outside the top k)."""
     n = (kpis.zone_navstatus_counts(t).where(F.col("zone").isin(*zones) & F.col("vessel_type").isin(*types))
          .groupBy("zone", "nav_status").agg(F.sum("ping_count").alias("ping_count")))
+    # global ranking over the per-status totals (one row per distinct status)
     top = (n.groupBy("nav_status").agg(F.sum("ping_count").alias("status_total"))
            .withColumn("rk", F.row_number().over(Window.orderBy(F.col("status_total").desc(), F.col("nav_status"))))
            .where(F.col("rk") <= k).select("nav_status", "rk"))
@@ -173,6 +175,7 @@ def zone_type_share(t: Tables, zones: Sequence[str], types: Sequence[str]) -> Da
     """Visit share of each type within a zone under the type filter, plus the global type
     order (dense rank of all-zone visit totals, unfiltered)."""
     mix = kpis.zone_type_mix(t)
+    # global ranking over the per-type totals (one row per vessel type)
     order = (mix.groupBy("vessel_type").agg(F.sum("visit_count").alias("all_visits"))
              .withColumn("type_rank", F.dense_rank().over(Window.orderBy(F.col("all_visits").desc())))
              .select("vessel_type", "type_rank"))
