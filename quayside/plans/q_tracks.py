@@ -190,3 +190,17 @@ WHERE t <= {ASOF_T}
 QUALIFY t >= {ASOF_T - TRAIL_MINUTES} OR t = max(t) OVER (PARTITION BY mmsi)""", ["month_track_pts"])
 def q_trail_window(spark, sf_dir):
     return tracks.trail_window(_month_points(spark, sf_dir), ASOF_T, TRAIL_MINUTES)
+
+
+ASOF_GRID = [2880 * k for k in range(1, 14)]     # every second day at 00:00 of the map month
+
+
+@reg("positions_asof_many", f"""
+SELECT p.mmsi, g.at_t, p.t, p.lat, p.lon, p.sog, p.z
+FROM month_track_pts p JOIN (VALUES {', '.join(f'({x})' for x in ASOF_GRID)}) g(at_t) ON p.t <= g.at_t
+QUALIFY row_number() OVER (PARTITION BY p.mmsi, g.at_t ORDER BY p.t DESC) = 1""", ["month_track_pts"])
+def q_positions_asof_many(spark, sf_dir):
+    """As-of positions for a grid of instants in one pass: points are assigned to the
+    first instant at or after them, the newest per (vessel, instant) is kept, and a
+    forward fill carries positions into instants without newer points."""
+    return tracks.positions_asof_many(_month_points(spark, sf_dir), ASOF_GRID)
