@@ -105,7 +105,7 @@ _count_needs = [o.PUBLISHED[tb][0] for tb in TABLE_ATTRS]
 def q_write_outputs(spark, sf_dir):
     """The ten tables written as Parquet and counted back from storage."""
     root = scratch_path(spark, "outputs")
-    paths = sinks.write_outputs(Tables(spark, sf_dir), root)
+    paths = sinks.write_outputs(Tables(spark, sf_dir).materialized(), root)
     out = None
     for table, path in paths.items():
         part = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(table).alias("table"), "rows")
@@ -117,7 +117,7 @@ def q_write_outputs(spark, sf_dir):
 def q_load_tables(spark, sf_dir):
     """Written tables loaded as (replaced) views; a missing table would be skipped."""
     root = scratch_path(spark, "outputs")
-    sinks.write_outputs(Tables(spark, sf_dir), root)
+    sinks.write_outputs(Tables(spark, sf_dir).materialized(), root)
     prefix = "qs_" + root.rsplit("-", 1)[-1] + "_"
     views = sinks.load_tables(spark, root, prefix)
     return sinks.table_overview(spark, views).select(F.expr(f"substr(`table`, {len(prefix) + 1})").alias("table"),
@@ -132,7 +132,7 @@ _overview_sql = " UNION ALL ".join(
 @reg("table_overview", _overview_sql, _count_needs)
 def q_table_overview(spark, sf_dir):
     root = scratch_path(spark, "outputs")
-    sinks.write_outputs(Tables(spark, sf_dir), root)
+    sinks.write_outputs(Tables(spark, sf_dir).materialized(), root)
     prefix = "qo_" + root.rsplit("-", 1)[-1] + "_"
     views = sinks.load_tables(spark, root, prefix)
     ov = sinks.table_overview(spark, views)
@@ -143,7 +143,7 @@ def q_table_overview(spark, sf_dir):
 def q_export_payload(spark, sf_dir):
     """The dashboard document (one compact JSON) written and read back; rows = set sizes."""
     from quayside.plans import kpis
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir).materialized()
     sets = {
         "daily_traffic": kpis.daily_traffic(t),
         "type_distribution": t.type_distribution.groupBy("port", "vessel_type").agg(F.sum("count").alias("count")),
@@ -255,7 +255,7 @@ def _check_sql() -> str:
 @reg("constraint_check", _check_sql(), _count_needs)
 def q_constraint_check(spark, sf_dir):
     """Declared keys and NOT NULL / range / domain rules checked on the published tables."""
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir).materialized()
     return quality.constraint_check({tb: published(t.table(tb), tb) for tb in TABLE_ATTRS})
 
 

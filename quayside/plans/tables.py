@@ -108,6 +108,17 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return getattr(self, TABLE_ATTRS[name])
 
+    def materialized(self) -> "Tables":
+        """The same tables computed from filtered pings written once with a reliable
+        ``checkpoint()`` (under ``spark.checkpoint.dir``, shared storage on a cluster).
+
+        For jobs that derive many tables in one go: the box filter and labels run once
+        instead of once per table, and each table's lineage starts at the checkpoint, so a
+        lost executor recomputes from there rather than from the raw scan."""
+        from quayside.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(self.spark)
+        return Tables(self.spark, pings=self.pings.checkpoint(eager=True))
+
 
 # Published table name -> attribute, in load order.
 TABLE_ATTRS = {
