@@ -180,3 +180,39 @@ def test_trail_keeps_latest_outside_window(spark):
     assert got == [(100, True)]
     allday = sorted(r.t for r in tracks.trail_window(pts, 450, float("inf")).collect())
     assert allday == [0, 100]
+
+
+def test_day_tracks_against_brute_force(make_pings):
+    """Dense hand-made day (the driver's data has ~2 pings per vessel-day, below the map's
+    10-point minimum): 10-minute buckets, first non-null per column, names/types from all
+    pings, the minimum-points filter and the JSON layout, checked against plain Python."""
+    import datetime as dt
+    rows, eid = [], 0
+    for k in range(15):                       # vessel 7: 15 buckets, 2 pings each
+        for j in range(2):
+            eid += 1
+            ts = dt.datetime(2026, 2, 1, 8, 0) + dt.timedelta(minutes=10 * k + 3 * j)
+            sog = None if (k == 2 and j == 0) else float(k) + 0.25 * j
+            name = "ANNA" if k % 3 else None
+            rows.append(ping(eid, 7, ts.isoformat(sep=" "), 56.1 + 0.001 * k, 10.2, sog,
+                             ship_type="Tug/Cargo" if k < 8 else "Tanker", name=name))
+    for k in range(5):                        # vessel 8: too few points, dropped
+        eid += 1
+        rows.append(ping(eid, 8, f"2026-02-01 0{k}:00:00", 56.1, 10.2))
+    df = make_pings(rows)
+    got = tracks.day_tracks(df).select("mmsi", "name", "type", "n_points",
+                                       tracks.track_json(tracks.day_tracks(df), keep_nulls=True).alias("j")).collect()
+    assert [r.mmsi for r in got] == [7]
+    r = got[0]
+    # brute force: per bucket the first ping in time, speed the first non-null one
+    expect = []
+    for k in range(15):
+        b = [x for x in rows if x[1] == 7 and (x[2].hour * 60 + x[2].minute) // 10 == (8 * 60 + 10 * k) // 10]
+        b.sort(key=lambda x: (x[2], x[0]))
+        sog = next((x[6] for x in b if x[6] is not None), None)
+        import numpy as np
+        expect.append({"t": b[0][2].hour * 60 + b[0][2].minute,
+                       "lat": round(float(np.float32(b[0][4])), 5), "lon": round(float(np.float32(b[0][5])), 5),
+                       "sog": None if sog is None else round(float(np.float32(sog)), 1)})
+    assert json.loads(r.j) == expect
+    assert (r.name, r.type, r.n_points) == ("ANNA", "Cargo", 15)   # first-wins type: Tug/Cargo -> Cargo (16 pings)
