@@ -40,7 +40,10 @@ def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+entry.registry.load_all()
+
+
+@pytest.mark.parametrize("name", sorted(entry.registry.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
