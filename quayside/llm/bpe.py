@@ -20,9 +20,9 @@ import numpy as np
 import regex
 
 #: Pieces up to so many characters are remembered, and so many of them at most.
-CACHED_CHARS, CACHED_PIECES = 48, 300_000
+CACHED_CHARS, CACHED_PIECES = 48, 150_000
 #: Compatible pairs that are remembered.
-CACHED_PAIRS = 500_000
+CACHED_PAIRS = 200_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -108,7 +108,7 @@ def load_spec(path: str) -> dict:
 
 
 class Codec:
-    """Encoder and decoder of one vocabulary."""
+    """Encoder of one vocabulary."""
 
     def __init__(self, spec: dict):
         self.tokens, self.ids = spec["tokens"], spec["ids"]
@@ -129,11 +129,6 @@ class Codec:
         self.added = {t: array("I", [spec["added"][t]]).tobytes() for t in added}
         self.split_added = re.compile("(" + "|".join(map(re.escape, added)) + ")").split if added else None
         self.cache = _Pieces(self)
-        # decoding: the bytes of id i are blob[offset[i]:offset[i + 1]]
-        by_id = dict(zip(self.ids, self.tokens)) | {i: t.encode() for t, i in spec["added"].items()}
-        parts = [by_id.get(i, b"") for i in range(max(by_id) + 1)]
-        self.offset = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
-        self.blob = np.frombuffer(b"".join(parts), np.uint8)
 
     @staticmethod
     def _pattern(letters: str, numbers: str, spaces: str):
@@ -223,15 +218,23 @@ class Codec:
         return b"".join(self.added[p] if i % 2 else b"".join(map(self.cache.__getitem__, self.pieces(p)))
                         for i, p in enumerate(parts) if p)
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        """The bytes of the tokens ``ids``, gathered through the offset table."""
-        if not len(ids):
-            return b""
-        start = self.offset[ids]
-        size = self.offset[np.asarray(ids, np.int64) + 1] - start
-        ends = np.cumsum(size)
-        where = np.arange(int(ends[-1])) + np.repeat(start - (ends - size), size)
-        return self.blob[where].tobytes()
+
+def decoding_table(spec: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and bytes of all tokens by id: those of id i are ``blob[offset[i]:offset[i + 1]]``."""
+    by_id = dict(zip(spec["ids"], spec["tokens"])) | {i: t.encode() for t, i in spec["added"].items()}
+    parts = [by_id.get(i, b"") for i in range(max(by_id) + 1)]
+    return (np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64),
+            np.frombuffer(b"".join(parts), np.uint8))
+
+
+def decode(ids: np.ndarray, offset: np.ndarray, blob: np.ndarray) -> bytes:
+    """The bytes of the tokens ``ids``, gathered through the offset table."""
+    if not len(ids):
+        return b""
+    start = offset[ids]
+    size = offset[np.asarray(ids, np.int64) + 1] - start
+    ends = np.cumsum(size)
+    return blob[np.arange(int(ends[-1])) + np.repeat(start - (ends - size), size)].tobytes()
 
 
 class _Pieces(dict):

@@ -1,9 +1,6 @@
-"""Small helpers shared by the operators: table access, lineage cuts, Arrow batches of bounded size."""
+"""Small helpers shared by the operators: table access and lineage cuts."""
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.session import ensure_checkpoint_dir
@@ -12,8 +9,15 @@ from quayside.session import ensure_checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def prepare(spark: SparkSession) -> None:
+    """Session settings of these operators: Arrow batches of a size that a Python worker holds several times."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, read with Spark's own reader so that any store it knows will do."""
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -25,26 +29,3 @@ def cut(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def slices(batches: Iterator[pa.RecordBatch], text: str | None, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Batches whose column ``text`` holds about ``limit`` bytes at most (one row at least).
-
-    Spark cuts batches by rows, so a batch of long texts can be large; work arrays of the operators are a
-    multiple of the bytes in hand, and this bounds them. A single longer text still comes whole.
-    """
-    for b in batches:
-        if not b.num_rows:
-            continue
-        if text is None or b.num_rows == 1:
-            yield b
-            continue
-        col = b.column(b.schema.get_field_index(text))
-        sizes = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_numpy(zero_copy_only=False)
-        start, held = 0, 0
-        for i, n in enumerate(sizes):
-            if i > start and held + n > limit:
-                yield b.slice(start, i - start)
-                start, held = i, 0
-            held += int(n)
-        yield b.slice(start)

@@ -1,7 +1,8 @@
 """BPE encoding and decoding of a text column (codec in ``bpe``).
 
-Rows are independent, so both operators are narrow: Arrow batches go to Python workers that keep one codec each.
-The vocabulary (about 2 MB) is read once, on the driver, and broadcast.
+Rows are independent, so both operators are narrow: Arrow batches go to Python workers; those that encode keep one
+codec each, those that decode only need the offset table. The vocabulary (about 2 MB) is read once, on the driver, and
+broadcast.
 
 Defined cases: a null text counts as empty and gives no tokens; null ids decode to the empty text; added tokens of
 the vocabulary (such as ``<|endoftext|>``) are found in a text as the library does by default. Bytes that are not
@@ -62,13 +63,12 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", out_col: st
 
 def decode(docs: DataFrame, vocabulary: str, ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
     """``docs`` with a column ``out_col``: the text of the tokens in ``ids_col``."""
-    codec = _codec(docs.sparkSession, vocabulary)
+    tokens = docs.sparkSession.sparkContext.broadcast(bpe.decoding_table(bpe.load_spec(vocabulary)))
 
     @F.arrow_udf(T.StringType())
-    def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        c = codec()
-        for lists in batches:
-            yield pa.array([c.decode(x).decode("utf-8", "replace") for x in ids_of(lists)], pa.string())
+    def texts(lists: pa.Array) -> pa.Array:
+        offset, blob = tokens.value
+        return pa.array([bpe.decode(x, offset, blob).decode("utf-8", "replace") for x in ids_of(lists)], pa.string())
 
     return docs.withColumn(out_col, texts(F.col(f"`{ids_col}`")))
 
