@@ -12,7 +12,7 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
 
 MODULES = (
-    "op4_token_counts", "op6_mixing", "op8_chat_format", "op9_simhash", "op10_bpe",
+    "op3_quality_rules", "op4_token_counts", "op6_mixing", "op7_quality_classifier", "op8_chat_format", "op9_simhash", "op10_bpe",
 )
 
 
