@@ -18,7 +18,7 @@ an empty table gives an empty result. Reruns agree: all orders are total up to e
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.llm.common import WORD, cut, table
@@ -55,12 +55,16 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float
                     F.expr("IF(level IS NULL, double(limit), LEAST(double(limit), weight * level))").alias("target")))
 
 
+def word_count(text_col: str) -> Column:
+    """Size of a text in words; 0 for null."""
+    return F.coalesce(F.regexp_count(F.col(f"`{text_col}`"), F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
           seed: str = SEED) -> DataFrame:
     """doc_id, source, size in words, and the key of the shuffled order."""
-    words = F.regexp_count(F.col(f"`{text_col}`"), F.lit(WORD))
     return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"),
-                       F.coalesce(words, F.lit(0)).cast("long").alias("size"),
+                       word_count(text_col).alias("size"),
                        F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null")))).alias("key"))
 
 
