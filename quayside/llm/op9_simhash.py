@@ -36,7 +36,7 @@ from quayside.llm.graph import components
 from quayside.llm.registry import register
 
 #: Points that the tree over the shards is fitted on, at most; points that a shard should have; points of a leaf.
-SAMPLE, SHARD, LEAF = 8192, 20_000, 64
+SAMPLE, SHARD, LEAF = 8192, 4096, 64
 #: Distances that are held at once when leaves are compared.
 TILE = 1 << 22
 
