@@ -62,12 +62,50 @@ def _filtered(spark, sf_dir) -> str:
     return path
 
 
-@reg("filter_pings", f"SELECT {isod('date')} AS date, count(*) AS rows FROM pings GROUP BY date", ["pings"])
+# Archive layouts of csv_layouts: daily files as written above, monthly ones with just the twelve columns, coordinates
+# swapped; every 97th line of the latter has too many fields, and every 89th time is not a time.
+_PLAIN = ["MMSI", "Longitude", "Latitude", "# Timestamp", "SOG", "Name", "Ship type", "Type of mobile", "Navigational status",
+          "COG", "Heading", "Destination"]
+
+
+@reg("csv_layouts", f"""
+SELECT CASE WHEN event_id % 89 = 0 THEN NULL ELSE {isots('ts')} END AS ts, mmsi, latitude, longitude, sog, nav_status, ship_type,
+       mobile_type, name, {isod("CASE WHEN date <= DATE '" + SPLIT_DAY + "' THEN date ELSE date_trunc('month', date)::DATE END")} AS date
+FROM raw WHERE NOT (date > DATE '{SPLIT_DAY}' AND event_id % 97 = 0)""", ["raw"])
+def q_csv_layouts(spark, sf_dir):
+    """Two file layouts, over-long lines and times that are none, in daily and monthly archives: every good row comes back,
+    mapped by the header of its own file, under the date of its period."""
+    raw = Tables(spark, sf_dir).raw
+    path = scratch_path(spark, "layouts")
+    bad_time = F.when(F.col("event_id") % 89 == 0, F.lit("no time")).otherwise(F.date_format("ts", config.RAW_TIMESTAMP_FORMAT))
+    raw = raw.withColumn("# Timestamp", bad_time)
+    early = F.col("date") <= F.lit(SPLIT_DAY).cast("date")
+    daily = F.concat(F.lit("aisdk-"), F.date_format("date", "yyyy-MM-dd"))
+    monthly = F.concat(F.lit("aisdk-"), F.date_format("date", "yyyy-MM"))
+    ais_csv.write_raw_csv(raw.where(early).withColumn("period", daily), path, "period")
+    late = raw.where(~early).withColumn("period", monthly).withColumn("Destination", F.when(F.col("event_id") % 97 == 0, F.lit("a,b,c")))
+    ais_csv.write_raw_csv(late, path, "period", _PLAIN, "append", quote="")
+    df = ais_csv.raw_pings_from_csv(spark, path)
+    return df.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "mmsi", "latitude", "longitude", "sog", "nav_status",
+                     "ship_type", "mobile_type", "name", F.date_format("date", "yyyy-MM-dd").alias("date"))
+
+
+_STORED = ("mmsi, latitude, longitude, sog, CAST(NULL AS FLOAT) AS cog, CAST(NULL AS FLOAT) AS heading, nav_status, ship_type, "
+           f"mobile_type, name, CAST(NULL AS VARCHAR) AS destination, port, {isots('ts')} AS ts")
+
+
+def _stored(df, *more):
+    """Rows of the filtered table, times and dates as text."""
+    return df.select(*more, "mmsi", "latitude", "longitude", "sog", "cog", "heading", "nav_status", "ship_type", "mobile_type", "name",
+                     "destination", "port", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"),
+                     F.date_format("date", "yyyy-MM-dd").alias("date"))
+
+
+@reg("filter_pings", f"SELECT event_id, {_STORED}, {isod('date')} AS date FROM pings", ["pings"])
 def q_filter_pings(spark, sf_dir):
-    """The filter sink: rows written per day partition, counted from what was written."""
+    """The filter sink: every row and column read back from what was written."""
     df = filtered.read_filtered(spark, _filtered(spark, sf_dir))
-    return df.groupBy("date").agg(F.count(F.lit(1)).alias("rows")).select(
-        F.date_format("date", "yyyy-MM-dd").alias("date"), "rows")
+    return _stored(df, "event_id")
 
 
 @reg("scan_filtered", f"SELECT event_id, port, {isod('date')} AS date, latitude, longitude FROM pings", ["pings"])
@@ -84,16 +122,13 @@ def q_scan_core(spark, sf_dir):
                      "longitude", "sog", "ship_type", "name", "mobile_type")
 
 
-@reg("port_subset", f"SELECT {isod('date')} AS date, count(*) AS rows FROM pings WHERE port = 'aarhus' GROUP BY date",
-     ["pings"])
+@reg("port_subset", f"SELECT event_id, {_STORED}, {isod('date')} AS date FROM pings WHERE port = 'aarhus'", ["pings"])
 def q_port_subset(spark, sf_dir):
     """Per-port copies partitioned by (port, date); reading Aarhus prunes to its folders."""
     src = filtered.read_filtered(spark, _filtered(spark, sf_dir))
     path = scratch_path(spark, "subset")
     filtered.write_port_subset(src, path)
-    df = filtered.read_port_subset(spark, path, "aarhus")
-    return df.groupBy("date").agg(F.count(F.lit(1)).alias("rows")).select(
-        F.date_format("date", "yyyy-MM-dd").alias("date"), "rows")
+    return _stored(filtered.read_port_subset(spark, path, "aarhus"), "event_id")
 
 
 _count_sql = " UNION ALL ".join(f"SELECT '{tb}' AS \"table\", count(*) AS rows FROM {o.PUBLISHED[tb][0]}"
@@ -176,22 +211,20 @@ def q_tracks_json(spark, sf_dir):
     return back.select("mmsi", F.size("track").cast("long").alias("n_points"))
 
 
-@reg("incremental_ingest", f"SELECT {isod('date')} AS date, count(*) AS rows FROM pings GROUP BY date", ["pings"])
+_period_date = f"CASE WHEN date <= DATE '{SPLIT_DAY}' THEN date ELSE date_trunc('month', date)::DATE END"
+
+
+@reg("incremental_ingest", f"SELECT {_STORED}, {isod(_period_date)} AS date FROM pings", ["pings"])
 def q_incremental_ingest(spark, sf_dir):
-    """Archive files streamed into the filtered table twice: the second run must add nothing."""
+    """Archive files streamed into the filtered table twice (the second run must add nothing): every row and column.
+
+    Pings carry the date of their archive period, which for a monthly archive is the first of the month."""
     src = scratch_path(spark, "stream-src")
     _archive(Tables(spark, sf_dir), src)
-    header = spark.read.option("header", True).option("recursiveFileLookup", True).csv(src).columns
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
-    ingest.run_ingest(spark, f"{src}/*/*.csv", header, out, ckpt)
-    first = spark.read.parquet(out).count()
-    ingest.run_ingest(spark, f"{src}/*/*.csv", header, out, ckpt)
-    again = spark.read.parquet(out).count()
-    if again != first:
-        raise RuntimeError(f"re-run added {again - first} rows")
-    df = spark.read.parquet(out)
-    return df.groupBy("date").agg(F.count(F.lit(1)).alias("rows")).select(
-        F.date_format("date", "yyyy-MM-dd").alias("date"), "rows")
+    for _ in range(2):
+        ingest.run_ingest(spark, f"{src}/*/*.csv", out, ckpt)
+    return _stored(spark.read.parquet(out))
 
 
 def _storage(spark, sf_dir):

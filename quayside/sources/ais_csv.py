@@ -1,17 +1,20 @@
 """Raw AIS CSV: scan (S1), period discovery (S2) and a writer for the same layout.
 
-The daily archives are header CSVs with more columns than the engine uses; columns are
-mapped by HEADER NAME, never by position. Every field is read as text (PERMISSIVE mode,
-so a short row is padded with nulls) and converted with ``try_cast`` /
-``try_to_timestamp``: an unparsable number or time becomes null instead of failing the
-job, as the reference's coercing reads do. Rows whose field count exceeds the header are
-the "bad lines" the reference skips; Spark flags them through the corrupt-record column.
+Files of an archive need not share one layout: columns are mapped by the HEADER NAME of
+each file, never by position. Files are grouped by header line (the first line of each,
+read from the file system), and every group is scanned as text lines that are parsed with
+its own names. What makes a line bad is counted in the line itself -- more fields than its
+header has -- so it does not depend on the columns a query selects. Short lines are padded
+with nulls; every field is converted with ``try_cast`` / ``try_to_timestamp``, so an
+unparsable number or time becomes null instead of failing the job. A record is one line:
+fields may be quoted, but hold no line feed.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quayside import config
 
@@ -30,90 +33,132 @@ RAW_FIELDS = {
     "Name": ("name", "string"),
     "Destination": ("destination", "string"),
 }
+ENGINE_NAMES = [name for name, _ in RAW_FIELDS.values()]
 # Extra archive columns written by :func:`write_raw_csv` so readers must map by name.
 EXTRA_COLUMNS = ["ROT", "IMO", "Callsign", "Cargo type", "Width", "Length"]
-CORRUPT = "_corrupt_record"
-OVERFLOW = "_overflow"      # a field past the header: the row has too many fields
+TOO_LONG = "too_long"       # the line has more fields than its header
 
 PERIOD_RE = r"aisdk-(\d{4}-\d{2}(?:-\d{2})?)"
 
 
-def _typed(col: str, typ: str):
-    c = F.col(f"`{col}`")
-    if typ == "timestamp":
-        return F.try_to_timestamp(c, F.lit(config.RAW_TIMESTAMP_FORMAT)).cast("timestamp_ntz")
-    if typ == "string":
-        return c
-    return F.expr(f"try_cast(`{col}` AS {typ})")
-
-
-def _reader(spark: SparkSession):
-    # recursive lookup: folder names are data (periods), never partition columns
-    return (spark.read.option("header", True).option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.csv"))
-
-
-def read_raw_csv(spark: SparkSession, path: str, with_period: bool = False) -> DataFrame:
-    """Scan raw CSV file(s) (S1). Only the twelve used columns survive the projection, so
-    CSV column pruning skips parsing the rest. Columns are named from the header (the
-    archive's files share one layout). One extra trailing text field catches rows with
-    more fields than the header -- the lines the reference skips; short rows are padded
-    with nulls and kept."""
-    header = _reader(spark).csv(path).columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header]
-                          + [T.StructField(OVERFLOW, T.StringType()), T.StructField(CORRUPT, T.StringType())])
-    df = (_reader(spark).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT).schema(schema).csv(path))
-    cols = [(_typed(raw, typ) if raw in header else F.lit(None).cast(typ if typ != "timestamp" else "timestamp_ntz"))
-            .alias(name) for raw, (name, typ) in RAW_FIELDS.items()]
-    if with_period:
-        cols.append(F.regexp_extract(F.col("_metadata.file_path"), PERIOD_RE, 1).alias("period"))
-    bad = F.col(OVERFLOW).isNotNull()
-    return df.select(*cols, F.when(bad, F.coalesce(F.col(CORRUPT), F.lit("too many fields")))
-                     .otherwise(F.col(CORRUPT)).alias(CORRUPT))
+def layouts(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Header line -> the CSV files under ``path`` (a folder, file or glob) that begin with it.
+
+    One line per file is read on the driver, through Hadoop's file system API; empty files have no layout."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    found: dict[str, list[str]] = {}
+    for status in fs.globStatus(root) or []:
+        files = fs.listFiles(status.getPath(), True)
+        while files.hasNext():
+            f = files.next().getPath()
+            if not f.getName().endswith(".csv") or f.getName()[0] in "_.":
+                continue
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(f), "UTF-8"))
+            try:
+                line = reader.readLine()
+            finally:
+                reader.close()
+            if line:
+                found.setdefault(line, []).append(f.toString())
+    return found
+
+
+def header_names(line: str) -> list[str]:
+    return [n.strip().lstrip("﻿") for n in next(csv.reader([line]))]
+
+
+def parsed(line: Column, header: str) -> Column:
+    """A struct of the twelve engine columns and ``too_long``, from a text line of a file with this header."""
+    names = header_names(header)
+    fields = F.from_csv(line, ", ".join(f"c{i} STRING" for i in range(len(names))))
+    out = []
+    for raw, (name, typ) in RAW_FIELDS.items():
+        to = "timestamp_ntz" if typ == "timestamp" else typ
+        if raw not in names:
+            out.append(F.lit(None).cast(to).alias(name))
+            continue
+        c = fields[f"c{names.index(raw)}"]
+        if typ == "timestamp":
+            c = F.try_to_timestamp(c, F.lit(config.RAW_TIMESTAMP_FORMAT)).cast(to)
+        elif typ != "string":
+            c = c.try_cast(typ)
+        out.append(c.alias(name))
+    commas = F.regexp_count(F.regexp_replace(line, '"[^"]*"', ""), F.lit(","))
+    return F.struct(*out, (commas >= len(names)).alias(TOO_LONG))
+
+
+def with_period(df: DataFrame, path_col: str) -> DataFrame:
+    """Add ``period`` and ``period_date`` from a file path: the day, or the first of the month of a monthly archive."""
+    period = F.nullif(F.regexp_extract(path_col, PERIOD_RE, 1), F.lit(""))
+    first = F.when(F.length("period") == 7, F.concat("period", F.lit("-01"))).otherwise(F.col("period"))
+    return df.withColumn("period", period).withColumn("period_date", F.to_date(first))
 
 
 def scan_periods(spark: SparkSession, root: str) -> DataFrame:
-    """All periods under ``root`` (S2): ``aisdk-YYYY-MM-DD`` (daily) and ``aisdk-YYYY-MM``
-    (monthly, several day files inside) folders, unioned by the glob; the period comes
-    from the file path and its date is the day, or the first of the month."""
-    df = read_raw_csv(spark, root, with_period=True)
-    return df.withColumn("period_date", F.to_date(
-        F.when(F.length("period") == 7, F.concat(F.col("period"), F.lit("-01"))).otherwise(F.col("period"))))
+    """All lines of the CSV files under ``root``, daily and monthly archives in one scan.
+
+    The twelve engine columns, ``too_long``, ``period`` and ``period_date`` (null where the path names no period)."""
+    out = None
+    for header, files in sorted(layouts(spark, root).items()):
+        lines = spark.read.text(files).select("value", F.col("_metadata.file_path").alias("file"))
+        rows = lines.where((F.col("value") != header) & (F.trim("value") != "")).select(parsed(F.col("value"), header).alias("r"), "file")
+        rows = with_period(rows, "file").select("r.*", "period", "period_date")
+        out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        types = ", ".join(f"{n} {'timestamp_ntz' if t == 'timestamp' else t}" for n, t in RAW_FIELDS.values())
+        out = spark.createDataFrame([], f"{types}, {TOO_LONG} boolean, period string, period_date date")
+    return out
+
+
+def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The twelve engine columns of every line under ``path``, and ``too_long``."""
+    return scan_periods(spark, path).drop("period", "period_date")
 
 
 def clean_rows(df: DataFrame) -> DataFrame:
     """Drop the lines the reference skips (too many fields) and rows without a valid MMSI."""
-    return df.where(F.col(CORRUPT).isNull() & F.col("mmsi").isNotNull()).drop(CORRUPT)
+    return df.where(~F.col(TOO_LONG) & F.col("mmsi").isNotNull()).drop(TOO_LONG)
+
 
+def as_pings(rows: DataFrame) -> DataFrame:
+    """Parsed rows with a period as engine pings, the same for batch and stream: bad lines and rows without MMSI
+    dropped, ``date`` that of the period (of the time where the path names none), and ``event_id``, a hash of the
+    row's fields that breaks time ties the same way on every run."""
+    return (clean_rows(rows).withColumn("date", F.coalesce("period_date", F.to_date("ts")))
+            .withColumn("event_id", F.xxhash64(*ENGINE_NAMES)).drop("period", "period_date"))
 
-def write_raw_csv(raw_pings: DataFrame, path: str, period_col: str | None = None) -> None:
+
+def raw_pings_from_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Raw archive CSV as engine pings."""
+    return as_pings(scan_periods(spark, path))
+
+
+def write_raw_csv(raw_pings: DataFrame, path: str, period_col: str | None = None, columns: list[str] | None = None,
+                  mode: str = "overwrite", quote: str = '"') -> None:
     """Write pings in the archive layout: header names, day-first timestamps, extra columns.
-    With ``period_col`` the files land in one folder per period value."""
+
+    With ``period_col`` the files land in one folder per period value. ``columns`` gives raw header names and their
+    order (else all, in an order that differs from the reader's list). A text column of the raw name is written as it
+    is, in place of the engine column."""
     cols = []
-    for raw, (name, typ) in RAW_FIELDS.items():
-        if name == "ts":
-            cols.append(F.date_format(F.col("ts"), config.RAW_TIMESTAMP_FORMAT).alias(raw))
+    for raw in columns or (list(RAW_FIELDS) + EXTRA_COLUMNS)[::-1]:
+        name = RAW_FIELDS[raw][0] if raw in RAW_FIELDS else None
+        if raw in raw_pings.columns:
+            c = F.col(f"`{raw}`")
+        elif name == "ts":
+            c = F.date_format(F.col("ts"), config.RAW_TIMESTAMP_FORMAT)
         elif name in raw_pings.columns:
-            cols.append(F.col(name).cast("string").alias(raw))
+            c = F.col(name).cast("string")
         else:
-            cols.append(F.lit(None).cast("string").alias(raw))
-    cols += [F.lit(None).cast("string").alias(c) for c in EXTRA_COLUMNS]
-    # a different column order than the reader's list: the reader must go by name
-    cols = cols[::-1]
+            c = F.lit(None).cast("string")
+        cols.append(c.alias(raw))
     if period_col:
         cols.append(F.col(period_col))
-    w = (raw_pings.select(*cols).write.mode("overwrite").option("header", True)
+    w = (raw_pings.select(*cols).write.mode(mode).option("header", True).option("quote", quote)
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if period_col:
         w = w.partitionBy(period_col)
     w.csv(path)
-
-
-def raw_pings_from_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Raw archive CSV as engine pings: bad lines and rows without MMSI dropped, ``date``
-    from the timestamp, and a deterministic ``event_id`` (a hash of the row's fields)
-    that breaks time ties the same way on every run."""
-    df = clean_rows(read_raw_csv(spark, path))
-    return (df.withColumn("date", F.to_date("ts"))
-              .withColumn("event_id", F.xxhash64(*[F.col(n) for _, (n, _) in RAW_FIELDS.items()])))

@@ -10,29 +10,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside import config
 from quayside.functions import vessel
 from quayside.operators import regions
+from quayside.sources import ais_csv
 
-FILTERED_COLUMNS = ["event_id", "mmsi", "ts", "latitude", "longitude", "nav_status", "sog", "ship_type",
-                    "mobile_type", "name", "port", "date"]
+# All twelve archive columns (those a source lacks are null), the tie-breaking id, the label and the day.
+FILTERED_COLUMNS = ["event_id", *ais_csv.ENGINE_NAMES, "port", "date"]
 
 
 def write_filtered(raw: DataFrame, path: str) -> None:
-    """Box filter + port label, written as one Parquet partition per day (S3).
-
-    ``repartition("date")`` gives each day's rows to one writer task, so a day becomes a
-    few large files instead of one small file per input split; with skewed days AQE
-    splits the large shuffle partitions. Only the days present are overwritten."""
-    pings = regions.filter_and_label(raw).select(*[c for c in FILTERED_COLUMNS if c in raw.columns or c == "port"])
-    spark = raw.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (pings.repartition("date").write.mode("overwrite").option("compression", "snappy")
-         .partitionBy("date").parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    """Box filter + port label, written as one folder per day (S3). Only the days present are overwritten.
+
+    Rows are rebalanced by day: a day goes to few writers, and a day that holds a large part of all rows to as many as
+    its size calls for, since adaptive execution may split what a rebalance deals out."""
+    for name, typ in ais_csv.RAW_FIELDS.values():
+        if name not in raw.columns:
+            raw = raw.withColumn(name, F.lit(None).cast("timestamp_ntz" if typ == "timestamp" else typ))
+    pings = regions.filter_and_label(raw).select(*FILTERED_COLUMNS)
+    (pings.hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("compression", "snappy").partitionBy("date").parquet(path))
 
 
 def read_filtered(spark: SparkSession, path: str) -> DataFrame:
@@ -52,13 +48,8 @@ def write_port_subset(filtered: DataFrame, path: str, ports: list[str] | None =
     """Per-port copies partitioned by (port, date) (S6): reading one port is partition
     pruning instead of a scan of every port's rows."""
     df = filtered if ports is None else filtered.where(F.col("port").isin(*ports))
-    spark = filtered.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.repartition("port", "date").write.mode("overwrite").partitionBy("port", "date").parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (df.hint("rebalance", "port", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("port", "date").parquet(path))
 
 
 def read_port_subset(spark: SparkSession, path: str, port: str) -> DataFrame:
@@ -69,6 +60,3 @@ def size_reduction(out_bytes, in_bytes):
     """Size reduction % = round((1 - out/in) * 100, 1); null when the input size is 0/absent."""
     ratio = out_bytes.cast("double") / F.nullif(in_bytes.cast("double"), F.lit(0.0))
     return F.rint((F.lit(1.0) - ratio) * F.lit(1000.0)) / F.lit(10.0)
-
-
-ALL_PORTS = list(config.PORTS)

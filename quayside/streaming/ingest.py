@@ -1,45 +1,52 @@
 """Incremental ingest with Structured Streaming.
 
-New raw archive files are picked up by a file-source stream, parsed, box-filtered and
-labelled, and appended to the date-partitioned filtered table. The checkpoint records
-which files were committed, so a re-run processes only new files and adds zero rows for
-old ones -- file-level exactly-once in place of the reference's mutable status flags.
-``trigger(availableNow=True)`` drains everything available (in bounded micro-batches)
-and stops, so the same job serves scheduled batch runs. The job is stateless (no
-aggregation), so no watermark or state store is involved; a lost executor only re-runs
-the current micro-batch, whose output is not committed until the batch is.
+New raw archive files are picked up by a file-source stream of text lines, parsed by the
+header of their file exactly as the batch scan does, box-filtered and labelled, and
+appended to the date-partitioned filtered table. The checkpoint records which files were
+committed, so a re-run processes only new files and adds zero rows for old ones --
+file-level exactly-once in place of the reference's mutable status flags.
+``trigger(availableNow=True)`` drains everything available (in bounded micro-batches) and
+stops, so the same job serves scheduled batch runs. The job is stateless (no aggregation),
+so no watermark or state store is involved; a lost executor only re-runs the current
+micro-batch, whose output is not committed until the batch is.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quayside.operators import regions
 from quayside.sources import ais_csv
-
-STREAM_COLUMNS = ["mmsi", "ts", "latitude", "longitude", "nav_status", "sog", "ship_type", "mobile_type", "name",
-                  "port", "date"]
-
-
-def raw_stream(spark: SparkSession, src_glob: str, header: list[str], max_files: int = 64) -> DataFrame:
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    df = (spark.readStream.option("header", True).option("maxFilesPerTrigger", max_files)
-          .schema(schema).csv(src_glob))
-    cols = [(ais_csv._typed(raw, typ) if raw in header else F.lit(None).cast("string")).alias(name)
-            for raw, (name, typ) in ais_csv.RAW_FIELDS.items()]
-    return df.select(*cols)
+from quayside.sources.filtered import FILTERED_COLUMNS
+
+
+def raw_stream(spark: SparkSession, src_glob: str, max_files: int = 64) -> DataFrame:
+    """New files as pings. Each line is parsed with the layout of its file, which is looked up by path; a file that came
+    after the layouts were listed fails its micro-batch, which the next run repeats with a new list."""
+    found = sorted(ais_csv.layouts(spark, src_glob).items())
+    files = spark.createDataFrame([(f, i) for i, (_, fs) in enumerate(found) for f in fs], "listed string, layout int")
+    lines = (spark.readStream.option("maxFilesPerTrigger", max_files).text(src_glob)
+             .select("value", F.col("_metadata.file_path").alias("file")))
+    path = F.regexp_replace("file", "^file:/+", "/")
+    lines = lines.join(files.withColumn("listed", F.regexp_replace("listed", "^file:/+", "/")), path == F.col("listed"), "left")
+    row, header = F.lit(None), F.lit(None)
+    for i, (h, _) in enumerate(found):
+        row = F.when(F.col("layout") == i, ais_csv.parsed(F.col("value"), h)).otherwise(row)
+        header = F.when(F.col("layout") == i, F.lit(h)).otherwise(header)
+    known = F.when(F.col("layout").isNull(), F.raise_error(F.concat(F.lit("no layout for "), F.col("file")))).otherwise(F.lit(True))
+    rows = lines.where(known & (F.col("value") != header) & (F.trim("value") != "")).select(row.alias("r"), "file")
+    return ais_csv.as_pings(ais_csv.with_period(rows, "file").select("r.*", "period", "period_date"))
 
 
 def filtered_stream(raw: DataFrame) -> DataFrame:
-    pings = raw.where(F.col("mmsi").isNotNull()).withColumn("date", F.to_date("ts"))
-    return regions.filter_and_label(pings).select(*STREAM_COLUMNS)
+    return regions.filter_and_label(raw).select(*FILTERED_COLUMNS)
 
 
-def run_ingest(spark: SparkSession, src_glob: str, header: list[str], out_dir: str, checkpoint_dir: str,
-               max_files: int = 64) -> None:
-    """Drain all new files once (availableNow) and wait for the stream to finish."""
-    q = (filtered_stream(raw_stream(spark, src_glob, header, max_files)).writeStream
+def run_ingest(spark: SparkSession, src_glob: str, out_dir: str, checkpoint_dir: str, max_files: int = 64) -> None:
+    """Drain all new files once (availableNow) and wait for the stream to finish; nothing to do without files."""
+    if not ais_csv.layouts(spark, src_glob):
+        return
+    q = (filtered_stream(raw_stream(spark, src_glob, max_files)).writeStream
          .format("parquet").option("checkpointLocation", checkpoint_dir).partitionBy("date")
          .outputMode("append").trigger(availableNow=True).start(out_dir))
     q.awaitTermination()

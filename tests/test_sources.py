@@ -15,11 +15,74 @@ HEADER = ("# Timestamp,Type of mobile,MMSI,Latitude,Longitude,Navigational statu
           "Callsign,Name,Ship type,Cargo type,Width,Length,Destination")
 
 
-def _write(path, lines):
+def _write(path, lines, header=HEADER):
     path = path[len("file:"):] if path.startswith("file:") else path
     os.makedirs(os.path.dirname(path), exist_ok=True)
     with open(path, "w") as f:
-        f.write(HEADER + "\n" + "\n".join(lines) + "\n")
+        f.write(header + "\n" + "\n".join(lines) + "\n")
+
+
+def _layout_archive(spark):
+    """A file of just the twelve columns, one with coordinates swapped and quoted fields, a monthly one with bad lines."""
+    root = scratch_path(spark, "t-lay")
+    plain = "# Timestamp,Type of mobile,MMSI,Latitude,Longitude,Navigational status,SOG,COG,Heading,Name,Ship type,Destination"
+    swapped = plain.replace("Latitude,Longitude", "Longitude,Latitude")
+    _write(f"{root}/aisdk-2026-02-01/a.csv", ["01/02/2026 08:00:00,Class A,11,55.45,8.45,Moored,1.5,1,2,ANNA,Cargo,AARHUS",
+                                              "not a time,Class A,12,55.45,8.45,Moored,1.5,1,2,BO,Tug,"], plain)
+    _write(f"{root}/aisdk-2026-02-02/b.csv", ['02/02/2026 09:00:00,Class A,13,8.45,55.45,Moored,1.5,1,2,"C, THE SHIP",Cargo,',
+                                              "02/02/2026 09:00:00,Class A,14,8.45,55.45,Moored,1.5,1,2,D,Cargo,,"], swapped)
+    _write(f"{root}/aisdk-2024-01/aisdk_20240107.csv",
+           ["07/01/2024 08:00:00,Class A,15,55.45,8.45,Moored,0,1.5,10,20,x,y,E,Cargo,,1,2,X",
+            "07/01/2024 08:00:00,Class A,16,55.45,8.45,Moored,0,1.5,10,20,x,y,F,Cargo,,1,2,X,MORE",
+            "07/01/2024 08:00:00,Class A,17,55.45,8.45", ""])
+    _write(f"{root}/aisdk-2024-01/empty.csv", [], "")
+    return root
+
+
+def test_layouts_go_by_the_header_of_each_file(spark):
+    root = _layout_archive(spark)
+    want = {(11, "2026-02-01"), (12, "2026-02-01"), (13, "2026-02-02"), (15, "2024-01-01"), (17, "2024-01-01")}
+    df = ais_csv.raw_pings_from_csv(spark, root)
+    rows = df.collect()
+    assert {(r.mmsi, str(r.date)) for r in rows} == want and len(rows) == len(want)
+    assert all(abs(r.latitude - 55.45) < 1e-4 and abs(r.longitude - 8.45) < 1e-4 for r in rows)
+    by = {r.mmsi: r for r in rows}
+    assert by[12].ts is None and by[13].name == "C, THE SHIP" and by[17].name is None and by[11].destination == "AARHUS"
+    # the same rows whatever columns are selected
+    for cols in (["mmsi"], ["mmsi", "latitude"], ["mmsi", "name", "ts"], ["mmsi", *ais_csv.ENGINE_NAMES[3:5]], df.columns):
+        assert {r.mmsi for r in df.select(*cols).collect()} == {m for m, _ in want} and df.select(*cols).count() == len(want)
+    assert not [r for r in Tables(spark, raw=df).vessel_visits.collect() if r.date is None]
+
+
+def test_stream_equals_batch(spark):
+    root = _layout_archive(spark)
+    out, ck = scratch_path(spark, "t-so"), scratch_path(spark, "t-sc")
+    ingest.run_ingest(spark, f"{root}/*/*.csv", out, ck)
+    filtered.write_filtered(ais_csv.raw_pings_from_csv(spark, root), batch := scratch_path(spark, "t-sb"))
+    a, b = (sorted(map(str, spark.read.parquet(p).select(*filtered.FILTERED_COLUMNS).collect())) for p in (out, batch))
+    assert a == b and len(a) == 5
+    tables = Tables(spark, pings=spark.read.parquet(out))
+    for name in ("type_distribution", "vessel_visits", "port_hourly_stats"):
+        assert tables.table(name).count() > 0
+    # a file of a new layout, later
+    _write(f"{root}/aisdk-2026-02-03/c.csv", ["21,03/02/2026 08:00:00,55.45,8.45"], "MMSI,# Timestamp,Latitude,Longitude")
+    ingest.run_ingest(spark, f"{root}/*/*.csv", out, ck)
+    assert spark.read.parquet(out).count() == 6
+
+
+def test_all_columns_are_stored_and_a_hot_day_is_split(spark):
+    t = Tables(spark, SF_SMALL)
+    path = scratch_path(spark, "t-hot")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
+    try:
+        hot = t.raw.repartition(8).withColumn("date", F.when(F.col("event_id") % 3 > 0, F.lit("2024-01-05").cast("date")).otherwise(F.col("date")))
+        filtered.write_filtered(hot, path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    df = spark.read.parquet(path)
+    assert set(df.columns) == set(filtered.FILTERED_COLUMNS) and {"cog", "heading", "destination"} <= set(df.columns)
+    files = df.where("date = '2024-01-05'").select(F.input_file_name()).distinct().count()
+    assert files > 1 and df.count() == t.pings.count()
 
 
 def test_csv_bad_values_become_null(spark):
@@ -44,7 +107,7 @@ def test_csv_long_rows_flagged_short_rows_kept(spark):
     ])
     rows = ais_csv.read_raw_csv(spark, root).collect()
     by_mmsi = {r.mmsi: r for r in rows}
-    assert by_mmsi[219000001][ais_csv.CORRUPT] is not None       # too many fields: the skipped kind
+    assert by_mmsi[219000001][ais_csv.TOO_LONG] and not by_mmsi[219000003][ais_csv.TOO_LONG]
     assert by_mmsi[219000003].latitude is not None                # short row: padded with nulls
     assert [r.mmsi for r in ais_csv.clean_rows(ais_csv.read_raw_csv(spark, root)).collect()] == [219000003]
 
@@ -84,11 +147,10 @@ def test_streaming_rerun_adds_nothing(spark):
     src = scratch_path(spark, "t-src")
     ais_csv.write_raw_csv(t.raw.withColumn("period", F.concat(F.lit("aisdk-"), F.date_format("date", "yyyy-MM-dd"))),
                           src, period_col="period")
-    header = spark.read.option("header", True).option("recursiveFileLookup", True).csv(src).columns
     out, ck = scratch_path(spark, "t-out"), scratch_path(spark, "t-ck")
-    ingest.run_ingest(spark, f"{src}/*/*.csv", header, out, ck, max_files=5)
+    ingest.run_ingest(spark, f"{src}/*/*.csv", out, ck, max_files=5)
     n1 = spark.read.parquet(out).count()
-    ingest.run_ingest(spark, f"{src}/*/*.csv", header, out, ck, max_files=5)
+    ingest.run_ingest(spark, f"{src}/*/*.csv", out, ck, max_files=5)
     assert spark.read.parquet(out).count() == n1 == t.pings.count()
 
 
