@@ -31,6 +31,14 @@ AARHUS_ZONES: dict[str, tuple[float, float, float, float]] = {
 # Diagonal between anchorage (west) and south_terminal (east): (lat, lon) south, north.
 ANCHORAGE_DIAGONAL: tuple[tuple[float, float], tuple[float, float]] = ((56.14, 10.21), (56.17, 10.25))
 
+# Corners of the zones as drawn, (lat, lon) counter-clockwise from the south-west.
+ZONE_VERTICES: dict[str, list[tuple[float, float]]] = {
+    "outer_approach": [(56.10, 10.15), (56.10, 10.30), (56.14, 10.30), (56.14, 10.15)],
+    "anchorage": [(56.14, 10.15), (56.14, 10.21), (56.17, 10.25), (56.17, 10.15)],
+    "south_terminal": [(56.14, 10.21), (56.14, 10.30), (56.17, 10.30), (56.17, 10.25)],
+    "north_terminal": [(56.17, 10.18), (56.17, 10.30), (56.22, 10.30), (56.22, 10.18)],
+}
+
 # Zone display order (map index 0..3) and labels.
 ZONE_ORDER = ["outer_approach", "anchorage", "south_terminal", "north_terminal"]
 ZONE_LABELS = {

@@ -27,18 +27,8 @@ def port_dimension(spark: SparkSession) -> DataFrame:
 def zone_polygons(spark: SparkSession) -> DataFrame:
     """Zone polygons as rows (zone, vertex, lat, lon); anchorage and south_terminal share
     the diagonal edge. Vertex order is counter-clockwise from the south-west."""
-    (s_lat, s_lon), (n_lat, n_lon) = config.ANCHORAGE_DIAGONAL
-    rows = []
-    for order, name in enumerate(config.ZONE_ORDER):
-        lat_min, lat_max, lon_min, lon_max = config.AARHUS_ZONES[name]
-        if name == "anchorage":
-            verts = [(lat_min, lon_min), (lat_min, s_lon), (lat_max, n_lon), (lat_max, lon_min)]
-        elif name == "south_terminal":
-            verts = [(lat_min, s_lon), (lat_min, lon_max), (lat_max, lon_max), (lat_max, n_lon)]
-        else:
-            verts = [(lat_min, lon_min), (lat_min, lon_max), (lat_max, lon_max), (lat_max, lon_min)]
-        for i, (la, lo) in enumerate(verts):
-            rows.append((order, name, config.ZONE_LABELS[name], i, float(la), float(lo)))
+    rows = [(order, zone, config.ZONE_LABELS[zone], i, lat, lon) for order, zone in enumerate(config.ZONE_ORDER)
+            for i, (lat, lon) in enumerate(config.ZONE_VERTICES[zone])]
     schema = T.StructType([
         T.StructField("zone_order", T.IntegerType()), T.StructField("zone", T.StringType()),
         T.StructField("label", T.StringType()), T.StructField("vertex", T.IntegerType()),

@@ -1,7 +1,6 @@
 """Exploration aggregates: message profiles, frequency tables, histograms, samples, pivots."""
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -115,8 +114,8 @@ def sample_per_port(pings: DataFrame, n: int = config.SAMPLE_PER_PORT, seed: int
     all rows for a hot port -- in one task. Instead: (1) within each (port, salt) group
     keep the n smallest hashes, (2) among those <= n * salt_buckets candidates per port
     keep the n smallest. The result is identical to the global top-n by hash."""
-    h = pings.withColumn("_h", F.xxhash64(F.col("event_id"), F.lit(seed)))
-    h = h.withColumn("_salt", F.pmod(F.col("_h"), F.lit(salt_buckets)))
+    h = pings.withColumn("_h", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("event_id").cast("string"))))
+    h = h.withColumn("_salt", F.pmod(F.xxhash64("_h"), F.lit(salt_buckets)))
     w1 = Window.partitionBy("port", "_salt").orderBy("_h", "event_id")
     cand = h.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= n).drop("_r")
     w2 = Window.partitionBy("port").orderBy("_h", "event_id")
@@ -136,8 +135,3 @@ def heatmap_pivot(pings: DataFrame) -> DataFrame:
     grid = (mean.select("port").distinct()
             .select("port", F.explode(F.sequence(F.lit(0), F.lit(6))).alias("dow")))
     return grid.join(wide, ["port", "dow"], "left")
-
-
-def numpy_edges(mn: float, mx: float, bins: int) -> list[float]:
-    """Reference edges (for tests): NumPy's own linspace."""
-    return [float(x) for x in np.linspace(mn, mx, bins + 1)]

@@ -55,9 +55,12 @@ def visits(pings: DataFrame, region: str, with_hours: bool = True) -> DataFrame:
 def type_distribution(pings: DataFrame, region: str) -> DataFrame:
     """Vessel types counted once per (mmsi, region, date), taking the type of the first ping."""
     df = vessel.with_vessel_type(pings)
-    order_key = F.struct(F.col("ts").isNull(), F.col("ts"), F.col("event_id"))
-    first = (df.groupBy("mmsi", region, "date")
-             .agg(F.min_by("vessel_type", order_key).alias("vessel_type")))
+    # (time, id) as one number, missing times last: its minimum per type is a hash aggregate that sends a row per
+    # vessel-day and type; the first of these few types is taken in a second step
+    place = F.expr("CAST(coalesce(unix_micros(CAST(ts AS TIMESTAMP)), 99999999999999999) AS DECIMAL(18, 0)) * "
+                   "CAST(100000000000000000000 AS DECIMAL(21, 0)) + CAST(event_id AS DECIMAL(20, 0)) + 9223372036854775808")
+    per_type = df.groupBy("mmsi", region, "date", "vessel_type").agg(F.min(place).alias("place"))
+    first = per_type.groupBy("mmsi", region, "date").agg(F.min_by("vessel_type", "place").alias("vessel_type"))
     return first.groupBy(region, "date", "vessel_type").agg(F.count(F.lit(1)).alias("count"))
 
 

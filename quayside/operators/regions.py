@@ -76,20 +76,17 @@ def region_cells(regions: DataFrame) -> DataFrame:
             .withColumn("cell_lon", F.explode(F.sequence(_cell(F.col("lon_min")), _cell(F.col("lon_max"))))))
 
 
-def region_join(pings: DataFrame, regions: DataFrame, max_broadcast_cells: int = 1_000_000) -> DataFrame:
+def region_join(pings: DataFrame, regions: DataFrame) -> DataFrame:
     """All (ping, region) pairs whose box contains the ping.
 
     A theta join would be a nested loop over pings x regions. Instead both sides get a
     0.1-degree grid-cell key: the join is an equi-join on (cell_lat, cell_lon) plus the
     exact float32 box test as a residual predicate. The region side is one row per cell;
-    it is broadcast when its cell count is below ``max_broadcast_cells`` (checked), and
-    otherwise shuffled on the cell key like any equi-join.
+    Spark broadcasts it if its size in bytes allows that, and else shuffles on the cell key.
     """
     cells = region_cells(regions)
-    n_cells = cells.count()
-    right = F.broadcast(cells) if n_cells <= max_broadcast_cells else cells
     p = pings.withColumn("cell_lat", _cell(F.col("latitude"))).withColumn("cell_lon", _cell(F.col("longitude")))
-    joined = p.join(right, ["cell_lat", "cell_lon"], "inner").where(
+    joined = p.join(cells, ["cell_lat", "cell_lon"], "inner").where(
         F.col("latitude").between(F.col("lat_min"), F.col("lat_max"))
         & F.col("longitude").between(F.col("lon_min"), F.col("lon_max")))
     return joined.drop("cell_lat", "cell_lon", "lat_min", "lat_max", "lon_min", "lon_max")

@@ -85,16 +85,20 @@ def core_union_approach(raw: DataFrame, pings: DataFrame, epoch: str,
 
 
 def dedupe_minute(points: DataFrame) -> DataFrame:
-    """First row per (mmsi, minute): core before corridor, then time, then event_id."""
-    w = Window.partitionBy("mmsi", "t").orderBy("src", "ts", "event_id")
-    return points.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    """First row per (mmsi, minute): core before corridor, then time, then event_id.
+
+    A grouped minimum, so a task sends one row per vessel-minute, not every ping."""
+    order = ["src", "ts", "event_id"]
+    rest = [c for c in points.columns if c not in ("mmsi", "t", *order)]
+    first = points.groupBy("mmsi", "t").agg(F.min(F.struct(*order, *rest)).alias("_p"))
+    return first.select("mmsi", "t", "_p.*").select(*points.columns)
 
 
 def month_points(raw: DataFrame, pings: DataFrame, epoch: str, with_approach: bool = True,
-                 bucket_minutes: int = config.MONTH_MAP_BUCKET_MINUTES) -> DataFrame:
+                 bucket_minutes: int = config.MONTH_MAP_BUCKET_MINUTES, days: int = config.MONTH_MAP_DAYS) -> DataFrame:
     """Deduplicated, 1-minute downsampled month points with rounded coordinates, speed
     only when valid, and the map zone index of the rounded position."""
-    pts = dedupe_minute(core_union_approach(raw, pings, epoch, with_approach=with_approach))
+    pts = dedupe_minute(core_union_approach(raw, pings, epoch, days, with_approach))
     if bucket_minutes == 1:
         # one row per (mmsi, minute) already: the downsample would be the identity, so
         # skip its shuffle (the dedupe window has partitioned on the same key)
@@ -109,9 +113,9 @@ def month_points(raw: DataFrame, pings: DataFrame, epoch: str, with_approach: bo
 
 
 def month_tracks(raw: DataFrame, pings: DataFrame, epoch: str, with_approach: bool = True,
-                 min_points: int = config.MONTH_MAP_MIN_POINTS) -> DataFrame:
+                 min_points: int = config.MONTH_MAP_MIN_POINTS, days: int = config.MONTH_MAP_DAYS) -> DataFrame:
     """Per vessel: month track (>= min_points points), name/type from the downsampled points."""
-    pts = month_points(raw, pings, epoch, with_approach)
+    pts = month_points(raw, pings, epoch, with_approach, days=days)
     point = F.struct(F.col("t"), F.col("lat"), F.col("lon"), F.col("sog_v").alias("sog"), F.col("z"))
     # track, dominant name and dominant type come from the same points: one aggregation
     return (pts.groupBy("mmsi")
@@ -137,6 +141,12 @@ def track_points(tracks: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # As-of positions and trails
 # ---------------------------------------------------------------------------
+def in_view(lat: Column, lon: Column, box: tuple[float, float, float, float], pad: float) -> Column:
+    """Whether a position is in a viewport (lat_min, lat_max, lon_min, lon_max) widened on each side by ``pad`` of its size."""
+    dy, dx = (box[1] - box[0]) * pad, (box[3] - box[2]) * pad
+    return lat.between(box[0] - dy, box[1] + dy) & lon.between(box[2] - dx, box[3] + dx)
+
+
 def positions_asof(points: DataFrame, at_t: int, types: list[str] | None = None,
                    zones: list[int | None] | None = None) -> DataFrame:
     """Newest point at or before ``at_t`` per vessel (one grouped max_by, no join), then

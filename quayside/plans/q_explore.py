@@ -98,12 +98,20 @@ def q_dwell_histogram(spark, sf_dir):
     return explore.dwell_histogram(Tables(spark, sf_dir).vessel_visits)
 
 
-@reg("sample_per_port", None)
+_sample = "SELECT port, event_id, mmsi, latitude, longitude FROM pings QUALIFY row_number() OVER (PARTITION BY port ORDER BY " \
+          f"md5('{config.SAMPLE_SEED}:' || event_id), event_id) <= "
+
+
+@reg("sample_per_port", _sample + str(config.SAMPLE_PER_PORT), ["pings"])
 def q_sample_per_port(spark, sf_dir):
-    """Seeded per-port sample; the hash is Spark's xxhash64, so the check is rows-only
-    (exactly min(5000, pings of the port) rows per port; see tests)."""
-    return explore.sample_per_port(Tables(spark, sf_dir).pings).select("port", "event_id", "mmsi", "latitude",
-                                                                       "longitude")
+    """Seeded per-port sample of the size that the exploration uses (all pings of a smaller port)."""
+    return explore.sample_per_port(Tables(spark, sf_dir).pings).select("port", "event_id", "mmsi", "latitude", "longitude")
+
+
+@reg("sample_per_port_small", _sample + "25", ["pings"])
+def q_sample_per_port_small(spark, sf_dir):
+    """The same sample of 25 pings per port, fewer than any port has."""
+    return explore.sample_per_port(Tables(spark, sf_dir).pings, 25).select("port", "event_id", "mmsi", "latitude", "longitude")
 
 
 _hcols = ", ".join(f"max(CASE WHEN hour = {h} THEN v END) AS h{h:02d}" for h in range(24))

@@ -76,12 +76,10 @@ GROUP BY port, vessel_type, entry_hour""", ["port_visits"])
 
 
 def _share_sql(src: str, region: str) -> str:
+    share = rhu(f"100e0 * pings / sum(pings) OVER (PARTITION BY {region})", 1)
     return f"""
-WITH totals AS (SELECT {region}, sum(ping_count) AS region_total FROM {src} GROUP BY {region})
-SELECT n.{region}, n.nav_status, CAST(sum(n.ping_count) AS BIGINT) AS ping_count,
-       {rhu('100e0 * sum(n.ping_count) / max(t.region_total)', 1)} AS pct
-FROM {src} n JOIN totals t ON n.{region} = t.{region}
-GROUP BY n.{region}, n.nav_status"""
+SELECT {region}, nav_status, pings AS ping_count, {share} AS pct
+FROM (SELECT {region}, nav_status, CAST(sum(ping_count) AS BIGINT) AS pings FROM {src} GROUP BY ALL) s"""
 
 
 def _nested(sql: str) -> str:
@@ -134,15 +132,15 @@ SELECT port, {isod('date')} AS date, entries, exits, unique_vessels FROM win_flo
 WHERE date BETWEEN DATE '{_f}' AND DATE '{_t}'""", ["win_flow"]))(
     lambda spark, sf_dir: kpis.daily_flow_padded(spark, sf_dir, _f, _t, config.FLOW_PAD_DAYS))
 
+# the rows of all three tables on end, one aggregation: measures of the other tables are null
 o.cte("port_summary", ["port_ht", "port_visits", "port_flow"], f"""
-SELECT h.port, h.total_vessel_hours, h.peak_hourly_count, d.avg_dwell_minutes, f.total_entries, f.avg_daily_arrivals
-FROM (SELECT port, CAST(sum(vessel_count) AS BIGINT) AS total_vessel_hours, max(vessel_count) AS peak_hourly_count
-      FROM port_ht GROUP BY port) h
-LEFT JOIN (SELECT port, {rhu(xavg('dwell_minutes', 1), 1)} AS avg_dwell_minutes FROM port_visits GROUP BY port) d
-       ON d.port = h.port
-LEFT JOIN (SELECT port, CAST(sum(entries) AS BIGINT) AS total_entries,
-                  {rhu('CAST(sum(entries) AS DOUBLE) / NULLIF(count(DISTINCT date), 0)', 1)} AS avg_daily_arrivals
-           FROM port_flow GROUP BY port) f ON f.port = h.port""")
+SELECT port, CAST(sum(hours) AS BIGINT) AS total_vessel_hours, max(hours) AS peak_hourly_count,
+       {rhu(xavg('dwell', 1), 1)} AS avg_dwell_minutes, CAST(sum(entries) AS BIGINT) AS total_entries,
+       {rhu('CAST(sum(entries) AS DOUBLE) / NULLIF(count(DISTINCT flow_date), 0)', 1)} AS avg_daily_arrivals
+FROM (SELECT port, vessel_count AS hours, NULL::DOUBLE AS dwell, NULL::BIGINT AS entries, NULL::DATE AS flow_date FROM port_ht
+      UNION ALL SELECT port, NULL, dwell_minutes, NULL, NULL FROM port_visits
+      UNION ALL SELECT port, NULL, NULL, entries, date FROM port_flow) m
+GROUP BY port HAVING count(hours) > 0""")
 _reg("port_summary", kpis.port_summary_df, "SELECT * FROM port_summary", ["port_summary"])
 
 _reg("hourly_totals", kpis.hourly_totals, f"SELECT port, {isod('date')} AS date, hour, vessel_count FROM port_ht",

@@ -203,7 +203,7 @@ def q_export_payload(spark, sf_dir):
 def q_tracks_json(spark, sf_dir):
     """Month tracks serialised as JSON lines and parsed back: points per vessel."""
     t = Tables(spark, sf_dir)
-    tr = tracks.month_tracks(t.raw, t.pings, EPOCH)
+    tr = tracks.month_tracks(t.raw, t.pings, EPOCH, days=q_tracks.MONTH_DAYS)
     path = scratch_path(spark, "tracks")
     tr.select(F.to_json(F.struct("mmsi", "name", "type", "track")).alias("value")).write.mode("overwrite").text(path)
     back = spark.read.schema("mmsi long, name string, type string, "

@@ -2,6 +2,8 @@
 A11, P19, J9-J11)."""
 from __future__ import annotations
 
+import calendar
+
 from pyspark.sql import functions as F
 
 from quayside import config
@@ -15,7 +17,11 @@ from quayside.plans.tables import Tables
 ASOF_T = 20160            # minute 20,160 of the month = day 15, 00:00
 TRAIL_MINUTES = 360       # the 6-hour trail
 
-MONTH_MINUTES = config.MONTH_MAP_DAYS * 1440
+MONTH_DAYS = calendar.monthrange(*map(int, EPOCH.split("-")[:2]))[1]   # the whole month of the data
+MONTH_MINUTES = MONTH_DAYS * 1440
+# A viewport of the harbour, its padding, and filters of the as-of queries.
+VIEW, VIEW_PAD = (56.12, 56.19, 10.18, 10.28), 0.1
+ASOF_TYPES, ASOF_ZONES = ["Cargo", "Tanker", "Passenger"], [0, 1, None]
 
 
 def _first(c: str) -> str:
@@ -39,7 +45,7 @@ SELECT date, mmsi, CAST(floor(t / {config.DAY_MAP_BUCKET_MINUTES}) AS INTEGER) A
 FROM day_src GROUP BY date, mmsi, bucket""")
 o.cte("day_name", ["day_src"], _mode("name", "date, mmsi", "day_src"))
 o.cte("day_type", ["day_src"], _mode("type", "date, mmsi", "day_src"))
-o.cte("day_tracks", ["day_down", "day_name", "day_type"], f"""
+_day_tracks = f"""
 SELECT d.date, d.mmsi, trim(coalesce(n.name, '')) AS name, ty.type, d.n_points, d.first_t, d.last_t, d.track_json
 FROM (SELECT date, mmsi, CAST(count(*) AS INTEGER) AS n_points, min(t) AS first_t, max(t) AS last_t,
              '[' || string_agg('{{"t":' || CAST(t AS VARCHAR)
@@ -47,9 +53,12 @@ FROM (SELECT date, mmsi, CAST(count(*) AS INTEGER) AS n_points, min(t) AS first_
                    || ',"lon":' || CAST(round_even(CAST(longitude AS DOUBLE), 5) AS VARCHAR)
                    || ',"sog":' || coalesce(CAST(round_even(CAST(sog AS DOUBLE), 1) AS VARCHAR), 'null') || '}}',
                    ',' ORDER BY t) || ']' AS track_json
-      FROM day_down GROUP BY date, mmsi HAVING count(*) >= {config.DAY_MAP_MIN_POINTS}) d
+      FROM day_down GROUP BY date, mmsi HAVING count(*) >= {{least}}) d
 LEFT JOIN day_name n ON n.date = d.date AND n.mmsi = d.mmsi
-JOIN day_type ty ON ty.date = d.date AND ty.mmsi = d.mmsi""")
+JOIN day_type ty ON ty.date = d.date AND ty.mmsi = d.mmsi"""
+o.cte("day_tracks", ["day_down", "day_name", "day_type"], _day_tracks.replace("{least}", str(config.DAY_MAP_MIN_POINTS)))
+# The same from two points on: vessels of the test data have about two pings a day.
+o.cte("day_tracks_short", ["day_down", "day_name", "day_type"], _day_tracks.replace("{least}", "2"))
 
 
 @reg("downsample_10m", f"SELECT {o.iso_date('date')} AS date, mmsi, bucket, t, latitude, longitude, sog, name, type "
@@ -78,6 +87,16 @@ def q_track_with_meta(spark, sf_dir):
                      F.col("track")[0]["t"].alias("first_t"), F.element_at("track", -1)["t"].alias("last_t"))
 
 
+@reg("tracks_day_short", f"SELECT {o.iso_date('date')} AS date, mmsi, name, type, n_points, first_t, last_t, track_json "
+                          "FROM day_tracks_short", ["day_tracks_short"])
+def q_tracks_day_short(spark, sf_dir):
+    """Day tracks and their vessel data from two points on, so that the test data has some."""
+    tr = tracks.day_tracks(Tables(spark, sf_dir).raw, min_points=2)
+    return tr.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "mmsi", "name", "type", "n_points",
+                     F.col("track")[0]["t"].alias("first_t"), F.element_at("track", -1)["t"].alias("last_t"),
+                     tracks.track_json(tr, keep_nulls=True).alias("track_json"))
+
+
 o.cte("meta_all_name", ["day_src"], _mode("name", "mmsi", "day_src"))
 o.cte("meta_all_type", ["day_src"], _mode("type", "mmsi", "day_src"))
 o.cte("vessel_meta", ["meta_all_name", "meta_all_type"], """
@@ -136,19 +155,19 @@ FROM month_pts p JOIN month_keep k ON k.mmsi = p.mmsi""")
 @reg("core_union_approach", "SELECT src, event_id, mmsi, t FROM month_union", ["month_union"])
 def q_core_union_approach(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return tracks.core_union_approach(t.raw, t.pings, EPOCH).select("src", "event_id", "mmsi", "t")
+    return tracks.core_union_approach(t.raw, t.pings, EPOCH, MONTH_DAYS).select("src", "event_id", "mmsi", "t")
 
 
 @reg("dedupe_minute", "SELECT mmsi, t, src, event_id FROM month_dedup", ["month_dedup"])
 def q_dedupe_minute(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return tracks.dedupe_minute(tracks.core_union_approach(t.raw, t.pings, EPOCH)).select("mmsi", "t", "src", "event_id")
+    return tracks.dedupe_minute(tracks.core_union_approach(t.raw, t.pings, EPOCH, MONTH_DAYS)).select("mmsi", "t", "src", "event_id")
 
 
 @reg("downsample_1m", "SELECT mmsi, bucket, t, latitude, longitude, sog, name, type FROM month_down", ["month_down"])
 def q_downsample_1m(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    pts = tracks.dedupe_minute(tracks.core_union_approach(t.raw, t.pings, EPOCH))
+    pts = tracks.dedupe_minute(tracks.core_union_approach(t.raw, t.pings, EPOCH, MONTH_DAYS))
     return tracks.downsample(pts, ["mmsi"], config.MONTH_MAP_BUCKET_MINUTES).select(
         "mmsi", "bucket", "t", "latitude", "longitude", "sog", "name", "type")
 
@@ -162,19 +181,19 @@ SELECT mmsi, name, type, CAST(count(*) AS INTEGER) AS n_points, '[' || string_ag
 FROM month_track_pts GROUP BY mmsi, name, type""", ["month_track_pts"])
 def q_tracks_month(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    tr = tracks.month_tracks(t.raw, t.pings, EPOCH)
+    tr = tracks.month_tracks(t.raw, t.pings, EPOCH, days=MONTH_DAYS)
     return tr.select("mmsi", "name", "type", "n_points", tracks.track_json(tr, keep_nulls=False).alias("track_json"))
 
 
 @reg("track_points", "SELECT mmsi, name, type, idx, t, lat, lon, sog, z FROM month_track_pts", ["month_track_pts"])
 def q_track_points(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return tracks.track_points(tracks.month_tracks(t.raw, t.pings, EPOCH))
+    return tracks.track_points(tracks.month_tracks(t.raw, t.pings, EPOCH, days=MONTH_DAYS))
 
 
 def _month_points(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return tracks.track_points(tracks.month_tracks(t.raw, t.pings, EPOCH))
+    return tracks.track_points(tracks.month_tracks(t.raw, t.pings, EPOCH, days=MONTH_DAYS))
 
 
 @reg("positions_asof", f"""
@@ -184,6 +203,31 @@ def q_positions_asof(spark, sf_dir):
     return tracks.positions_asof(_month_points(spark, sf_dir), ASOF_T)
 
 
+_latest = f"""SELECT mmsi, type, t, lat, lon, sog, z FROM month_track_pts WHERE t <= {ASOF_T}
+QUALIFY row_number() OVER (PARTITION BY mmsi ORDER BY t DESC) = 1"""
+
+
+@reg("positions_asof_filtered", f"""
+SELECT * FROM ({_latest}) p WHERE type IN {o.in_list(ASOF_TYPES)}
+AND (z IN ({', '.join(str(z) for z in ASOF_ZONES if z is not None)}) OR z IS NULL)""", ["month_track_pts"])
+def q_positions_asof_filtered(spark, sf_dir):
+    """As-of positions of chosen types in chosen zones (outside any zone included)."""
+    return tracks.positions_asof(_month_points(spark, sf_dir), ASOF_T, ASOF_TYPES, ASOF_ZONES)
+
+
+_dy, _dx = ((VIEW[i + 1] - VIEW[i]) * VIEW_PAD for i in (0, 2))
+
+
+@reg("positions_in_view", f"""
+SELECT type, count(*) AS vessels, count(*) FILTER (WHERE lat BETWEEN {o.d(VIEW[0] - _dy)} AND {o.d(VIEW[1] + _dy)}
+       AND lon BETWEEN {o.d(VIEW[2] - _dx)} AND {o.d(VIEW[3] + _dx)}) AS visible FROM ({_latest}) p GROUP BY type""", ["month_track_pts"])
+def q_positions_in_view(spark, sf_dir):
+    """Vessels per type at the instant, and how many of them a padded viewport shows."""
+    p = tracks.positions_asof(_month_points(spark, sf_dir), ASOF_T)
+    shown = tracks.in_view(F.col("lat"), F.col("lon"), VIEW, VIEW_PAD)
+    return p.groupBy("type").agg(F.count(F.lit(1)).alias("vessels"), F.count_if(shown).alias("visible"))
+
+
 @reg("trail_window", f"""
 SELECT mmsi, t, lat, lon, t = max(t) OVER (PARTITION BY mmsi) AS is_latest FROM month_track_pts
 WHERE t <= {ASOF_T}
@@ -192,7 +236,7 @@ def q_trail_window(spark, sf_dir):
     return tracks.trail_window(_month_points(spark, sf_dir), ASOF_T, TRAIL_MINUTES)
 
 
-ASOF_GRID = [2880 * k for k in range(1, 14)]     # every second day at 00:00 of the map month
+ASOF_GRID = [2880 * k for k in range(1, 16)]     # every second day at 00:00 of the map month
 
 
 @reg("positions_asof_many", f"""

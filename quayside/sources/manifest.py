@@ -53,9 +53,13 @@ def observed_by_date(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def period_manifest(calendar: DataFrame, raw_sizes: DataFrame, filtered_sizes: DataFrame,
-                    subset_sizes: DataFrame, previous: DataFrame | None = None) -> DataFrame:
+                    subset_sizes: DataFrame, previous: DataFrame | None = None,
+                    archives: DataFrame | None = None) -> DataFrame:
     """One row per calendar period with sticky flags and sizes (fresh size preferred, 0
-    counts as missing)."""
+    counts as missing). Reductions are of the sizes shown, fresh or previous. ``archives``
+    (period) are the downloaded archives that are still there: with one, a period is raw."""
+    zipped = calendar.select("period").limit(0) if archives is None else archives.select("period").distinct()
+    calendar = calendar.join(zipped.withColumn("zipped", F.lit(True)), "period", "left")
     m = (calendar.join(raw_sizes, "period", "left").join(filtered_sizes, "period", "left")
          .join(subset_sizes, "period", "left"))
     if previous is not None:
@@ -71,15 +75,12 @@ def period_manifest(calendar: DataFrame, raw_sizes: DataFrame, filtered_sizes: D
         return F.coalesce(F.nullif(fresh, F.lit(0)), F.nullif(prev, F.lit(0)))
 
     unzipped = F.col("unzipped_size").isNotNull() | F.coalesce(F.col("prev_unzipped"), F.lit(False))
-    raw = unzipped | F.coalesce(F.col("prev_raw"), F.lit(False))
+    raw = unzipped | F.coalesce(F.col("zipped"), F.lit(False)) | F.coalesce(F.col("prev_raw"), F.lit(False))
     filtered = F.col("filtered_size").isNotNull() | F.coalesce(F.col("prev_filtered"), F.lit(False))
     size = fresh_or_prev(F.col("unzipped_size"), F.col("prev_unzipped_size"))
     fsize = fresh_or_prev(F.col("filtered_size"), F.col("prev_filtered_size"))
     asize = fresh_or_prev(F.col("filtered_aarhus_size"), F.col("prev_filtered_aarhus_size"))
-    fcomp = F.when(F.col("unzipped_size").isNotNull() & F.col("filtered_size").isNotNull(),
-                   size_reduction(F.col("filtered_size"), F.col("unzipped_size")))
-    acomp = F.when(F.col("filtered_size").isNotNull() & F.col("filtered_aarhus_size").isNotNull(),
-                   size_reduction(F.col("filtered_aarhus_size"), F.col("filtered_size")))
+    fcomp, acomp = size_reduction(fsize, size), size_reduction(asize, fsize)
     return m.select(
         "period", raw.alias("raw"), unzipped.alias("unzipped"), size.cast("long").alias("unzipped_size"),
         filtered.alias("filtered"), fsize.cast("long").alias("filtered_size"),

@@ -2,8 +2,6 @@
 payload export (S9) and the table catalogue (S10)."""
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,13 +96,4 @@ def read_payload_counts(spark: SparkSession, path: str, names: list[str]) -> Dat
     return out
 
 
-def local_dir_size(path: str) -> int:
-    """Total bytes under a local folder (test helper)."""
-    total = 0
-    for dirpath, _, files in os.walk(path):
-        for f in files:
-            total += os.path.getsize(os.path.join(dirpath, f))
-    return total
-
-
 __all__ = ["write_outputs", "load_tables", "table_overview", "export_payload", "read_payload_counts"]
