@@ -102,14 +102,14 @@ def quartiles(sketches: DataFrame, keys: list[str], prefix: str) -> DataFrame:
 def fences(metrics: DataFrame) -> DataFrame:
     """For each language and source: the quartiles that apply to it, as lang, source, and metric1 to metric3."""
     s = cut(sketch(metrics.where("NOT base_failed")))
-    groups = metrics.select("lang", "source").distinct().withColumn("one", F.lit(1))
+    groups = metrics.select("lang", "source").distinct()
     own, by_lang = quartiles(s, ["lang", "source"], "s_"), quartiles(s, ["lang"], "l_")
-    everything = quartiles(s.withColumn("one", F.lit(1)), ["one"], "a_")
+    everything = quartiles(s, [], "a_").first().asDict()  # one row
     g = (groups.alias("g").join(own.alias("o"), F.col("g.lang").eqNullSafe(F.col("o.lang"))
                                 & F.col("g.source").eqNullSafe(F.col("o.source")), "left")
-         .join(by_lang.alias("l"), F.col("g.lang").eqNullSafe(F.col("l.lang")), "left")
-         .join(everything.alias("a"), F.col("g.one") == F.col("a.one"), "left"))
-    pick = lambda c: F.expr(f"CASE WHEN s_n >= {LEAST_GROUP} THEN s_{c} WHEN l_n >= {LEAST_GROUP} THEN l_{c} ELSE a_{c} END")
+         .join(by_lang.alias("l"), F.col("g.lang").eqNullSafe(F.col("l.lang")), "left"))
+    pick = lambda c: (F.when(F.col("s_n") >= LEAST_GROUP, F.col(f"s_{c}")).when(F.col("l_n") >= LEAST_GROUP, F.col(f"l_{c}"))
+                      .otherwise(F.lit(everything[f"a_{c}"]).cast("long")))
     return g.select("g.lang", "g.source", *[pick(f"{m}{k}").alias(f"{m}{k}") for m in METRICS for k in (1, 2, 3)])
 
 
