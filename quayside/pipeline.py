@@ -6,8 +6,8 @@
 
 ``filter`` reads every archive CSV under ``csv_root`` (daily and monthly folders), keeps
 pings inside the port boxes and writes them partitioned by day (re-running a day replaces
-only that day). ``transform`` writes the ten fact tables. ``export`` writes the dashboard
-document (KPI result sets as one JSON). Paths may be any Hadoop file system URI.
+only that day). ``transform`` writes the ten fact tables. ``export`` writes the two dashboard
+documents (KPI result sets as one JSON each: ``ports`` and ``zones``). Paths may be any Hadoop file system URI.
 """
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from quayside.plans import kpis
+from quayside.plans import payload
 from quayside.plans.tables import Tables
 from quayside.session import get_spark
 from quayside.sources import ais_csv, filtered, sinks
@@ -33,18 +33,9 @@ def run_transform(spark: SparkSession, filtered_root: str, tables_root: str, dat
 
 def run_export(spark: SparkSession, filtered_root: str, out_dir: str, date_from: str | None = None,
                date_to: str | None = None) -> None:
-    t = Tables(spark, pings=filtered.read_filtered(spark, filtered_root), date_from=date_from, date_to=date_to)
-    sets = {
-        "daily_traffic": kpis.daily_traffic(t),
-        "congestion_heatmap": kpis.congestion_heatmap(t),
-        "stationary_heatmap": kpis.stationary_heatmap(t),
-        "summary": kpis.port_summary_df(t),
-        "hourly_totals": kpis.hourly_totals(t),
-    }
-    order = {k: kpis.ORDER_BY[k] for k in ("daily_traffic", "congestion_heatmap", "stationary_heatmap",
-                                           "hourly_totals")}
-    order["summary"] = kpis.ORDER_BY["port_summary"]
-    sinks.export_payload(sets, {"date_from": date_from or "", "date_to": date_to or ""}, out_dir, order)
+    t = Tables(spark, pings=filtered.read_filtered(spark, filtered_root))
+    payload.export_ports(t, f"{out_dir}/ports", date_from, date_to)
+    payload.export_zones(t, f"{out_dir}/zones", date_from, date_to)
 
 
 def main(argv: list[str]) -> int:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quayside import config
 from quayside.operators import quality, tracks
 from quayside.plans import oracle as o
-from quayside.plans import q_facts, q_tracks  # noqa: F401  (CTEs)
+from quayside.plans import payload, q_facts, q_kpis, q_tracks  # noqa: F401  (CTEs, oracles)
 from quayside.plans.q_joins import EPOCH, reg
 from quayside.plans.tables import TABLE_ATTRS, TABLE_COLUMNS, Tables, published
 from quayside.session import scratch_path
@@ -174,29 +174,79 @@ def q_table_overview(spark, sf_dir):
     return ov.select(F.expr(f"substr(`table`, {len(prefix) + 1})").alias("table"), "rows", "columns")
 
 
-@reg("export_payload", None)
+# Sets of the documents: columns (text, whole numbers or decimals) and the SQL of their rows.
+_DOCUMENT_SQL = {
+    "ports": {
+        "daily_traffic": "daily_traffic", "congestion_heatmap": "congestion_heatmap", "stationary_heatmap": "stationary_heatmap",
+        "summary": "port_summary", "hourly_totals": "hourly_totals",
+        "type_distribution": o.build('SELECT port, vessel_type, CAST(sum("count") AS BIGINT) AS "count" FROM port_types GROUP BY ALL', ["port_types"]),
+        "daily_flow": o.build(f"SELECT port, {isod('date')} AS date, CAST(sum(entries) AS BIGINT) AS entries, CAST(sum(exits) AS BIGINT) AS exits, "
+                              "CAST(sum(unique_vessels) AS BIGINT) AS unique_vessels FROM port_flow GROUP BY ALL", ["port_flow"]),
+        "movement_behaviour": o.build(f"SELECT port, hour, {o.round_half_up(o.exact_avg('pct_stationary', 1), 1)} AS avg_pct_stationary "
+                                      "FROM port_speed GROUP BY ALL", ["port_speed"]),
+    },
+    "zones": {
+        "zone_daily_traffic": "zone_daily_traffic_type", "zone_type_mix": "zone_type_mix", "dwell_by_zone_type": "zone_dwell",
+        "navstatus_by_zone": "zone_navstatus_counts", "zone_speed_all": "zone_speed_profile", "zone_congestion_heatmap": "zone_congestion",
+    },
+}
+_SET_COLUMNS = {
+    "daily_traffic": "port string, date string, daily_vessel_count long",
+    "type_distribution": "port string, vessel_type string, count long",
+    "congestion_heatmap": "port string, dow int, hour int, avg_vessel_count double",
+    "stationary_heatmap": "port string, dow int, hour int, avg_pct_stationary double",
+    "daily_flow": "port string, date string, entries long, exits long, unique_vessels long",
+    "movement_behaviour": "port string, hour int, avg_pct_stationary double",
+    "summary": "port string, total_vessel_hours long, peak_hourly_count long, avg_dwell_minutes double, total_entries long, avg_daily_arrivals double",
+    "hourly_totals": "port string, date string, hour int, vessel_count long",
+    "zone_daily_traffic": "zone string, date string, vessel_type string, vessel_count long",
+    "zone_type_mix": "zone string, vessel_type string, visit_count long",
+    "dwell_by_zone_type": "zone string, vessel_type string, visit_count long, avg_dwell_minutes double, avg_dwell_hours double",
+    "navstatus_by_zone": "zone string, vessel_type string, nav_status string, ping_count long",
+    "zone_speed_all": "zone string, hour int, vessel_type string, sog_mean double, sog_median double, sog_p025 double, sog_p95 double, sog_p975 double",
+    "zone_congestion_heatmap": "zone string, vessel_type string, dow int, hour int, avg_vessel_count double",
+}
+
+
+def _columns(name: str) -> list[tuple[str, str]]:
+    return [tuple(c.split(" ")) for c in _SET_COLUMNS[name].split(", ")]
+
+
+def _content(name: str, cast: str, named: str) -> str:
+    """SQL for the values of a row as one text, decimals with three places; ``named`` is how a column is written."""
+    text = lambda c, t: f"CAST({named.format(c)} AS DECIMAL(18, 3))" if t == "double" else named.format(c)
+    return "concat_ws('|', " + ", ".join(f"coalesce(CAST({text(c, t)} AS {cast}), '')" for c, t in _columns(name)) + ")"
+
+
+def _document_sql() -> str:
+    from quayside.plans import registry
+    parts = []
+    for document, sets in _DOCUMENT_SQL.items():
+        orders = payload.PORT_SETS if document == "ports" else payload.ZONE_SETS
+        for name, sql in sets.items():
+            sql = registry.ORACLES.get(sql, sql)
+            by = orders[name] + [(c, True) for c, _ in _columns(name) if c not in [x for x, _ in orders[name]]]
+            order = ", ".join(f'"{c}" ' + ("ASC NULLS FIRST" if asc else "DESC NULLS LAST") for c, asc in by)
+            content = _content(name, "VARCHAR", '"{}"')
+            parts.append(f"SELECT '{document}' AS document, '{name}' AS dataset, CAST(row_number() OVER (ORDER BY {order}) - 1 AS INTEGER) AS idx, "
+                         f"{content} AS content FROM ({sql}) s")
+    return " UNION ALL ".join(parts)
+
+
+@reg("export_payload", _document_sql())
 def q_export_payload(spark, sf_dir):
-    """The dashboard document (one compact JSON) written and read back; rows = set sizes."""
-    from quayside.plans import kpis
+    """Both dashboard documents written and read back: every row of every set, in the order of the document."""
     t = Tables(spark, sf_dir).materialized()
-    sets = {
-        "daily_traffic": kpis.daily_traffic(t),
-        "type_distribution": t.type_distribution.groupBy("port", "vessel_type").agg(F.sum("count").alias("count")),
-        "congestion_heatmap": kpis.congestion_heatmap(t),
-        "stationary_heatmap": kpis.stationary_heatmap(t),
-        "movement_behaviour": t.port_speed_stats.groupBy("port", "hour").agg(
-            F.round(F.avg("pct_stationary"), 1).alias("avg_pct_stationary")),
-        "summary": kpis.port_summary_df(t),
-        "hourly_totals": kpis.hourly_totals(t),
-    }
-    path = scratch_path(spark, "payload")
-    order = {k: kpis.ORDER_BY[k] for k in ("daily_traffic", "congestion_heatmap", "stationary_heatmap",
-                                           "hourly_totals")}
-    order["summary"] = kpis.ORDER_BY["port_summary"]
-    order["type_distribution"] = [("port", True), ("count", False)]
-    order["movement_behaviour"] = [("port", True), ("hour", True)]
-    sinks.export_payload(sets, {"date_from": "2024-01-01", "date_to": "2024-01-30"}, path, order)
-    return sinks.read_payload_counts(spark, path, list(sets))
+    out = None
+    for document, sets, export in (("ports", payload.PORT_SETS, payload.export_ports), ("zones", payload.ZONE_SETS, payload.export_zones)):
+        export(t, path := scratch_path(spark, document))
+        kind = ", ".join(f"{name} array<struct<{_SET_COLUMNS[name].replace(' ', ':').replace(',:', ',')}>>" for name in sets)
+        doc = spark.read.schema(kind).json(path)
+        for name in sets:
+            rows = (doc.select(F.posexplode(name).alias("idx", "r"))
+                    .select(F.lit(document).alias("document"), F.lit(name).alias("dataset"), "idx", F.expr(_content(name, "STRING", "r.`{}`")).alias("content")))
+            out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @reg("tracks_json", "SELECT mmsi, n_points FROM month_keep", ["month_keep"])

@@ -35,6 +35,13 @@ class Tables:
         self._raw = raw
         self._pings = pings
 
+    def window(self, date_from: str | None, date_to: str | None) -> "Tables":
+        """The same source restricted to a date range (of this object's own range)."""
+        if date_from is None and date_to is None:
+            return self
+        pick = lambda a, b, f: f(x for x in (a, b) if x is not None) if a is not None or b is not None else None
+        return Tables(self.spark, self.sf_dir, pick(self.date_from, date_from, max), pick(self.date_to, date_to, min), self._raw, self._pings)
+
     def _window(self, df: DataFrame) -> DataFrame:
         if self.date_from is not None:
             df = df.where(F.col("date") >= F.lit(self.date_from).cast("date"))

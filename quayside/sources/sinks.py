@@ -58,26 +58,32 @@ def _comparator(order: list[tuple[str, bool]]):
         out = F.lit(0)
         for col, asc in reversed(order):
             lo, hi = (-1, 1) if asc else (1, -1)
-            out = F.when(left[col] < right[col], F.lit(lo)).when(left[col] > right[col], F.lit(hi)).otherwise(out)
+            a, b = left[col], right[col]
+            out = (F.when(a.isNull() & b.isNotNull(), F.lit(lo)).when(a.isNotNull() & b.isNull(), F.lit(hi))
+                   .when(a < b, F.lit(lo)).when(a > b, F.lit(hi)).otherwise(out))
         return out
     return cmp
 
 
 def export_payload(sets: dict[str, DataFrame], meta: dict[str, str], path: str,
-                   order: dict[str, list[tuple[str, bool]]] | None = None) -> None:
+                   order: dict[str, list[tuple[str, bool]]] | None = None, extra: list[DataFrame] | None = None) -> None:
     """Write one compact JSON document holding every result set.
 
     The sets are KPI aggregates (bounded by ports x days x hours), so each is gathered
     with ``collect_list`` inside Spark and, when an ORDER BY is given for it, sorted in
     the array with a comparator (no global sort job); the document is assembled as one
-    row and written as text by a single task. Nothing passes through the driver."""
+    row and written as text by a single task. Nothing passes through the driver. Ties of an
+    order go by the remaining columns; ``extra`` frames are one row each, whose columns
+    become fields of the document."""
     order = order or {}
     spark = next(iter(sets.values())).sparkSession
     parts = [spark.range(1).select(F.lit(1).alias("_k"), *[F.lit(v).alias(k) for k, v in meta.items()])]
+    parts += [df.withColumn("_k", F.lit(1)) for df in extra or []]
     for name, df in sets.items():
         arr = F.collect_list(F.struct(*df.columns))
         if name in order:
-            arr = F.array_sort(arr, _comparator(order[name]))
+            by = [c for c, _ in order[name]]
+            arr = F.array_sort(arr, _comparator(order[name] + [(c, True) for c in df.columns if c not in by]))
         parts.append(df.agg(arr.alias(name)).withColumn("_k", F.lit(1)))
     doc = parts[0]
     for p in parts[1:]:

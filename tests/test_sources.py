@@ -191,8 +191,19 @@ def test_pipeline_filter_transform_export(spark):
     pipeline.run_transform(spark, filt, tabs)
     assert spark.read.parquet(f"{tabs}/port_hourly_stats").count() == t.port_hourly_stats.count()
     pipeline.run_export(spark, filt, pay)
-    doc = spark.read.json(pay).first()
-    assert len(doc["summary"]) == 5
+    doc = spark.read.json(f"{pay}/ports").first()
+    assert len(doc["summary"]) == 5 and doc["ports"] == sorted(r["port"] for r in doc["summary"])
+    assert doc["date_from"] == "2024-01-01" and doc["date_to"] == max(r["date"] for r in doc["daily_traffic"])
+    zones = spark.read.json(f"{pay}/zones").first()
+    assert zones["zones"] == list(zones["zone_labels"].asDict()) or set(zones["zones"]) == set(zones["zone_labels"].asDict())
+    assert zones["summary"]["total_vessel_hours"] == sum(r["vessel_count"] for r in zones["zone_daily_traffic"])
+    assert zones["zone_polygons"]["anchorage"][1] == [56.14, 10.21] and zones["summary"]["busiest_zone"] in zones["zones"]
+    # a window: the flow of its first day knows the day before
+    pipeline.run_export(spark, filt, win := scratch_path(spark, "p-win"), "2024-01-10", "2024-01-12")
+    part = spark.read.json(f"{win}/ports").first()
+    whole = {(r["port"], r["date"]): (r["entries"], r["exits"]) for r in doc["daily_flow"]}
+    assert {r["date"] for r in part["daily_flow"]} == {"2024-01-10", "2024-01-11", "2024-01-12"}
+    assert all(whole[r["port"], r["date"]] == (r["entries"], r["exits"]) for r in part["daily_flow"])
 
 
 def test_payload_sets_are_ordered(spark):
