@@ -29,7 +29,3 @@ def exact_avg(c: Column, scale: int = 0) -> Column:
     units = F.rint(c.cast("double") * F.lit(float(f))).cast("long")
     return F.sum(units).cast("double") / (F.count(c) * F.lit(f)).cast("double")
 
-
-def exact_sum_avg(total: Column, count: Column) -> Column:
-    """Mean from an integer total and a count (one correctly rounded division)."""
-    return total.cast("double") / count.cast("double")

@@ -17,35 +17,12 @@ def _first_wins_sql(low: str) -> str:
     return f"CASE {whens} ELSE '{config.OTHER_TYPE}' END"
 
 
-def normalise_type(raw: Column) -> Column:
-    """Pipeline form: lower-cased, trimmed substring match; the LAST matching key wins.
-
-    Null becomes "Other". ``Tug/Cargo`` -> ``Tug`` because "tug" comes after "cargo".
-    (Expression form; :func:`with_vessel_type` is the cheaper column-adding form.)
-    """
-    low = F.lower(F.trim(F.coalesce(raw, F.lit(""))))
-    expr = F.lit(config.OTHER_TYPE)
-    for key, label in config.TYPE_KEYS:
-        expr = F.when(low.contains(key), F.lit(label)).otherwise(expr)
-    return expr
-
-
-def normalise_type_first(raw: Column) -> Column:
-    """Map form: case-insensitive substring match; the FIRST matching label wins.
-
-    Null becomes "Other". ``Tug/Cargo`` -> ``Cargo``.
-    """
-    low = F.lower(raw)
-    expr = None
-    for label in config.TOP_TYPES:
-        cond = low.contains(label.lower())
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(config.OTHER_TYPE))
-
-
 def with_vessel_type(df: DataFrame, src: str = "ship_type", out: str = "vessel_type",
                      first_wins: bool = False) -> DataFrame:
-    """Add the normalised type. The lower-cased text is its own projection, referenced
+    """Add the normalised type; null becomes "Other".
+
+    Pipeline form: lower-cased, trimmed substring match, the LAST matching key wins (``Tug/Cargo`` -> ``Tug``). Map form
+    (``first_wins``): the FIRST matching label wins (``Tug/Cargo`` -> ``Cargo``). The lower-cased text is its own projection, referenced
     by every branch, so it is computed once per row (Catalyst keeps a non-trivial
     expression used eight times in a separate projection instead of copying it)."""
     tmp = f"_{out}_low"

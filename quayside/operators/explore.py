@@ -61,49 +61,48 @@ def _bin_index(x: Column, mn: Column, mx: Column, bins: int) -> Column:
     return F.coalesce(lower, upper, est)
 
 
+def _histogram(counted: DataFrame, keys: list[str], bins: int, n: str, median: str) -> DataFrame:
+    """Histogram per ``keys`` of values that are already counted (keys, x, n): bins over the range of the group, empty
+    ones included, and the median. Range, median and bins come from the same counted values, so the source is read once;
+    windows hold one group's distinct values."""
+    group = Window.partitionBy(*keys) if keys else Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    lo, hi = F.min("x").over(group), F.max("x").over(group)
+    wide = F.when(lo == hi, F.lit(0.5)).otherwise(F.lit(0.0))    # NumPy widens a zero-width range
+    running = (Window.partitionBy(*keys) if keys else Window).orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counted.select(*keys, "x", "n", (lo - wide).alias("mn"), (hi + wide).alias("mx"),
+                            F.sum("n").over(running).alias("upto"), F.sum("n").over(group).alias("all"))
+    middle = lambda cond: F.min(F.expr(f"IF({cond}, x, NULL)")).over(group)
+    ranged = ranked.select(*keys, "x", "n", "mn", "mx",
+                           (F.lit(0.5) * middle("2 * upto >= all") + F.lit(0.5) * middle("2 * upto > all")).alias(median))
+    binned = (ranged.withColumn("bin", _bin_index(F.col("x"), F.col("mn"), F.col("mx"), bins))
+              .groupBy(*keys, "mn", "mx", median, "bin").agg(F.sum("n").alias("n")))
+    # one row per group with its counts by bin: dense without a second branch of the plan
+    dense = (binned.groupBy(*keys, "mn", "mx", median).agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("by_bin"))
+             .withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))))
+    return dense.select(*keys, "bin", _edge(F.col("bin"), F.col("mn"), F.col("mx"), bins).alias("bin_lo"),
+                        _edge(F.col("bin") + 1, F.col("mn"), F.col("mx"), bins).alias("bin_hi"),
+                        F.coalesce(F.try_element_at("by_bin", "bin"), F.lit(0)).alias(n), median)
+
+
 def speed_histogram(raw: DataFrame, bins: int = config.SPEED_HIST_BINS) -> DataFrame:
-    """SOG histogram of the coverage pings with 0 <= SOG <= 30 kn over the data's range.
+    """SOG histogram of the coverage pings with 0 <= SOG <= 30 kn over the data's range (no rows without data).
 
-    The range and the median are one global aggregate (three numbers to the driver);
-    binning is then a per-row expression and a grouped count, densified over the bins.
+    Speeds come in steps of 0.1 kn, so there are about 300 distinct ones however many pings there are.
     """
     lo_cap, hi_cap = config.SPEED_HIST_RANGE
     sog = raw.select(F.col("sog").cast("double").alias("x")).where(F.col("x").between(lo_cap, hi_cap))
-    stats = sog.agg(F.min("x").alias("mn"), F.max("x").alias("mx"), F.median("x").alias("med")).first()
-    spark = raw.sparkSession
-    if stats is None or stats["mn"] is None:
-        return spark.createDataFrame([], "bin int, bin_lo double, bin_hi double, messages long, median_sog double")
-    lo, hi = float(stats["mn"]), float(stats["mx"])
-    if lo == hi:                       # NumPy widens a zero-width range by 0.5 each side
-        lo, hi = lo - 0.5, hi + 0.5
-    mn, mx, med = F.lit(lo), F.lit(hi), F.lit(stats["med"])
-    counts = sog.groupBy(_bin_index(F.col("x"), mn, mx, bins).alias("bin")).agg(F.count(F.lit(1)).alias("messages"))
-    grid = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return (grid.join(counts, "bin", "left").na.fill(0, ["messages"])
-            .select("bin", _edge(F.col("bin"), mn, mx, bins).alias("bin_lo"),
-                    _edge(F.col("bin") + 1, mn, mx, bins).alias("bin_hi"), "messages", med.alias("median_sog")))
+    return _histogram(sog.groupBy("x").agg(F.count(F.lit(1)).alias("n")), [], bins, "messages", "median_sog")
 
 
 def dwell_histogram(visit_rows: DataFrame, bins: int = config.DWELL_HIST_BINS) -> DataFrame:
-    """Per port: histogram of visit dwell in hours (0 < h <= 24), bins over that port's
-    range, plus the port's median. Per-port range/median are a grouped aggregate joined
-    back on port (one row per port)."""
+    """Per port: histogram of visit dwell in hours (0 < h <= 24), bins over that port's range, plus the port's median.
+
+    Dwell is in whole seconds, so a port has at most 86,400 distinct values however many visits it has.
+    """
     h = visit_rows.select(
         "port", (timeparts.seconds_between(F.col("first_seen"), F.col("last_seen")) / F.lit(3600.0)).alias("x")
     ).where((F.col("x") > 0) & (F.col("x") <= config.DWELL_HIST_MAX_HOURS))
-    stats = (h.groupBy("port").agg(F.min("x").alias("mn"), F.max("x").alias("mx"),
-                                   F.median("x").alias("median_hours"))
-             .withColumn("zero", F.col("mn") == F.col("mx"))   # NumPy widens a zero-width range
-             .withColumn("mn", F.when(F.col("zero"), F.col("mn") - 0.5).otherwise(F.col("mn")))
-             .withColumn("mx", F.when(F.col("zero"), F.col("mx") + 0.5).otherwise(F.col("mx"))).drop("zero"))
-    binned = h.join(stats, "port").select("port", _bin_index(F.col("x"), F.col("mn"), F.col("mx"), bins).alias("bin"))
-    counts = binned.groupBy("port", "bin").agg(F.count(F.lit(1)).alias("visits"))
-    grid = stats.select("port", "mn", "mx", "median_hours",
-                        F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return (grid.join(counts, ["port", "bin"], "left").na.fill(0, ["visits"])
-            .select("port", "bin", _edge(F.col("bin"), F.col("mn"), F.col("mx"), bins).alias("bin_lo"),
-                    _edge(F.col("bin") + 1, F.col("mn"), F.col("mx"), bins).alias("bin_hi"), "visits",
-                    "median_hours"))
+    return _histogram(h.groupBy("port", "x").agg(F.count(F.lit(1)).alias("n")), ["port"], bins, "visits", "median_hours")
 
 
 def sample_per_port(pings: DataFrame, n: int = config.SAMPLE_PER_PORT, seed: int = config.SAMPLE_SEED,

@@ -149,10 +149,8 @@ def navstatus_top6(t: Tables, zones: Sequence[str], types: Sequence[str], k: int
     zone (the zone total includes the statuses outside the top k)."""
     n = (kpis.zone_navstatus_counts(t).where(F.col("zone").isin(*zones) & F.col("vessel_type").isin(*types))
          .groupBy("zone", "nav_status").agg(F.sum("ping_count").alias("ping_count")))
-    # global ranking over the per-status totals (one row per distinct status)
     top = (n.groupBy("nav_status").agg(F.sum("ping_count").alias("status_total"))
-           .withColumn("rk", F.row_number().over(Window.orderBy(F.col("status_total").desc(), F.col("nav_status"))))
-           .where(F.col("rk") <= k).select("nav_status", "rk"))
+           .orderBy(F.col("status_total").desc(), F.col("nav_status")).limit(k).select("nav_status"))
     zone_total = F.sum("ping_count").over(Window.partitionBy("zone"))
     shares = n.withColumn("share", F.col("ping_count").cast("double") / zone_total.cast("double"))
     return shares.join(F.broadcast(top), "nav_status", "left_semi")

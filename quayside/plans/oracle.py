@@ -79,10 +79,6 @@ def exact_avg(x: str, scale: int = 0) -> str:
             f" / CAST(count({x}) * {f} AS DOUBLE))")
 
 
-def big(x: str) -> str:
-    return f"CAST({x} AS BIGINT)"
-
-
 def iso_date(x: str) -> str:
     return f"strftime({x}, '%Y-%m-%d')"
 

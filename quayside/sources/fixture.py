@@ -82,7 +82,7 @@ def pings_from_events(events: DataFrame) -> DataFrame:
     return base.selectExpr(f"inline(array(struct({struct})))")
 
 
-_PLANS: dict[tuple[int, str], DataFrame] = {}
+_PLANS: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def raw_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +91,7 @@ def raw_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     The driver's test tables are read-only, so the projection's logical plan (file
     listing, footers, analysis) is built once per session and directory and reused by
     every query; no data is cached, each query still scans the file."""
-    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID(), sf_dir.rstrip("/"))
     plan = _PLANS.get(key)
     if plan is None:
         plan = pings_from_events(read_table(spark, sf_dir, "events"))

@@ -31,8 +31,7 @@ def test_t2_diagonal_in_float32(spark):
 def test_t5_two_normalisers(spark):
     df = spark.createDataFrame([("Tug/Cargo",), (" SAR ",), ("Pleasure craft",), ("Pleasure",), (None,),
                                 ("passenger/Tanker",)], "s string")
-    rows = df.select(vessel.normalise_type(F.col("s")).alias("a"),
-                     vessel.normalise_type_first(F.col("s")).alias("b")).collect()
+    rows = vessel.with_vessel_type(vessel.with_vessel_type(df, "s", "a"), "s", "b", first_wins=True).collect()
     assert [(r.a, r.b) for r in rows] == [("Tug", "Cargo"), ("SAR", "SAR"), ("Pleasure Craft", "Pleasure Craft"),
                                           ("Other", "Other"), ("Other", "Other"), ("Passenger", "Tanker")]
 
