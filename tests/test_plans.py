@@ -43,3 +43,45 @@ def test_filtered_scan_pushes_port_and_class(spark):
     filtered.write_filtered(Tables(spark, SF_SMALL).raw, path)
     plan = filtered.read_core(spark, path)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(port,aarhus)" in plan and "In(mobile_type" in plan
+
+
+def _stored(spark):
+    from quayside.plans.tables import Tables
+    from quayside.session import scratch_path
+    from quayside.sources import filtered
+    filtered.write_filtered(Tables(spark, SF_SMALL).raw, path := scratch_path(spark, "t-plans"))
+    return filtered.read_filtered(spark, path)
+
+
+def _final(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_window_prunes_days_and_columns_of_the_stored_table(spark):
+    from quayside.plans.tables import Tables
+    plan = _final(Tables(spark, pings=_stored(spark), date_from="2024-01-05", date_to="2024-01-07").vessel_visits)
+    assert "PartitionFilters: [isnotnull(date" in plan and "2024-01-05" in plan
+    read = plan.split("ReadSchema:")[1].split("\n")[0]
+    assert "mmsi" in read and not any(c in read for c in ("destination", "heading", "nav_status", "latitude"))
+
+
+def test_zone_boxes_reach_the_scan_of_the_stored_table(spark):
+    from quayside.plans.tables import Tables
+    plan = _final(Tables(spark, pings=_stored(spark)).zone_hourly_stats)
+    assert "EqualTo(port,aarhus)" in plan and "GreaterThanOrEqual(latitude" in plan
+
+
+def test_types_are_hash_aggregated_before_the_shuffle(spark):
+    from quayside.plans.tables import Tables
+    plan = _final(Tables(spark, pings=_stored(spark)).type_distribution)
+    below = plan.split("Scan parquet")[0].split("Exchange")[-1]   # from the last exchange down to the scan
+    assert "HashAggregate" in below and "SortAggregate" not in below
+
+
+def test_histograms_read_their_source_once(spark):
+    from quayside.operators import explore
+    from quayside.plans.tables import Tables
+    t = Tables(spark, pings=_stored(spark))
+    for df in (explore.speed_histogram(t.pings), explore.dwell_histogram(t.vessel_visits)):
+        assert _final(df).split("Initial Plan")[0].count("Scan parquet") == 1
