@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.session import ensure_checkpoint_dir
+from quayside.session import ensure_checkpoint_dir, scratch_path
 
 #: A word, as every contract of this subpackage defines it: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -29,3 +29,13 @@ def cut(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spool(df: DataFrame, name: str) -> DataFrame:
+    """``cut`` for larger tables that are read several times: written as Parquet, so columns are packed and pruned.
+
+    The files are under ``spark.checkpoint.dir`` and stay there, as the result may be read at any later time.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

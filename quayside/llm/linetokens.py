@@ -6,7 +6,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Bytes that are worked on at once; a longer line is taken whole, its words in pieces of this size.
-STEP = 1 << 20
+STEP = 1 << 18
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)

@@ -11,8 +11,8 @@ not. Everything else of a text stays as it is.
    are indexed. Words in the prefix of one class only are dropped; of the others, each class first meets the earliest
    class with that word, and only what no such class matches meets all earlier ones. So a large group of variants
    costs a pair per variant and word, not a pair per two variants.
-4. Pairs that sizes (length filter) or what is left after the shared word (positional filter) rule out are never made;
-   the others are verified by their exact words.
+4. Pairs that sizes (length filter) or the places of the shared word (positional filter) rule out are never made; a
+   pair must share two words that pass, where the prefixes reach that far. The others are verified by their exact words.
 
 Defined cases: a null text has no lines and stays null; an empty one is one empty line; lines with fewer than ``LEAST``
 distinct words are always kept; a null doc_id comes before all others; rows of the same doc_id are one document: equal
@@ -29,12 +29,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.llm.common import cut, table
+from quayside.llm.common import cut, spool, table
 from quayside.llm.linetokens import Lines, line_sets
 from quayside.llm.registry import register
 
 #: Least similarity, least words of a line, bits of the table of word counts, bits of the tables of wanted places.
 SIMILAR, LEAST, SKETCH, WANTED = 0.8, 5, 22, 23
+_PART = 1 << 16
+_WORD = np.uint64((1 << 40) - 1)
 _PLACE = ["doc", "line"]
 
 
@@ -43,66 +45,89 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.where("text IS NOT NULL").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), "text")
 
 
+def _scan(each):
+    """A function of batches for mapInArrow from one of a batch; unused Arrow memory is given back at the end."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield from each(b)
+        pa.default_memory_pool().release_unused()
+    return run
+
+
 def _lines(b: pa.RecordBatch) -> tuple[np.ndarray, Lines]:
     texts = [t.as_py() for t in b.column("text").cast(pa.binary())]
     return b.column("doc").to_numpy(zero_copy_only=False), Lines(texts)
 
 
 def word_codes(docs: DataFrame) -> np.ndarray:
-    """How common words are, by the leading ``SKETCH`` bits of their hash: a logarithmic code of their count."""
+    """How common words are, by the leading ``SKETCH`` bits of their hash: a logarithmic code of their count.
+
+    Each task counts in a table of its own and sends what isn't 0, by parts of the table; parts are added up in tasks.
+    """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(1 << SKETCH, np.int64)
+        n = np.zeros(1 << SKETCH, np.uint32)
         for b in batches:
             for _, h in _lines(b)[1].tokens():
                 np.add.at(n, h >> np.uint64(64 - SKETCH), 1)
-        at = np.flatnonzero(n)
-        for i in range(0, len(at), 1 << 18):
-            some = at[i: i + (1 << 18)]
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(n[some])], ["bucket", "n"])
+        parts = n.reshape(-1, _PART)
+        places = [np.flatnonzero(p) for p in parts]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(parts), dtype=np.int32)), pa.array([at.astype(np.uint16).tobytes() for at in places], pa.binary()),
+             pa.array([p[at].tobytes() for p, at in zip(parts, places)], pa.binary())], ["part", "places", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for r in b.to_pylist():
+                sums = total.setdefault(r["part"], np.zeros(_PART, np.int64))
+                sums[np.frombuffer(r["places"], np.uint16)] += np.frombuffer(r["counts"], np.uint32)
+        codes = [np.minimum(255, 12 * np.log2(1 + x)).astype(np.uint8).tobytes() for x in total.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(codes, pa.binary())], ["part", "codes"])
 
-    counts = (docs.mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-              .select("bucket", F.expr("smallint(least(255, int(12 * log2(1 + n))))").alias("code")).toArrow())
+    counts = docs.mapInArrow(count, "part int, places binary, counts binary")
     codes = np.zeros(1 << SKETCH, np.uint8)
-    codes[counts["bucket"].to_numpy()] = counts["code"].to_numpy()
+    for r in counts.repartition("part").mapInArrow(add, "part int, codes binary").collect():
+        codes[r["part"] * _PART: (r["part"] + 1) * _PART] = np.frombuffer(bytes(r["codes"]), np.uint8)
     return codes
 
 
 def classes(docs: DataFrame, codes) -> DataFrame:
-    """One row per distinct word set: doc and line of its earliest line, n words, and its prefix (array)."""
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            doc, lines = _lines(b)
-            for line, n, k1, k2, rank in line_sets(lines, codes.value):
-                size = np.where(n >= LEAST, n - np.ceil(SIMILAR * n - 1e-9).astype(np.int64) + 1, 0)
-                start = np.cumsum(n) - n
-                inner = np.arange(len(rank)) - np.repeat(start, n) < np.repeat(size, n)
-                ok = size > 0
-                offsets = np.concatenate([[0], np.cumsum(size[ok])]).astype(np.int32)
-                if not ok.any():
-                    continue
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(k1[ok].view(np.int64)), pa.array(k2[ok].view(np.int64)), pa.array(doc[lines.doc[line[ok]]]),
-                     pa.array(lines.number[line[ok]].astype(np.int32)), pa.array(n[ok].astype(np.int32)),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(rank[inner].view(np.int64)))],
-                    ["k1", "k2", "doc", "line", "n", "prefix"])
-
-    sets = docs.mapInArrow(emit, "k1 long, k2 long, doc long, line int, n int, prefix array<long>")
+    """One row per distinct word set: doc and line of its earliest line, n words, and its prefix (array).
+
+    Words of a prefix are 40 bits of their hash; words that share them only make some more candidates.
+    """
+    def emit(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        doc, lines = _lines(b)
+        for line, n, k1, k2, rank in line_sets(lines, codes.value):
+            size = np.where(n >= LEAST, n - np.ceil(SIMILAR * n - 1e-9).astype(np.int64) + 1, 0)
+            start = np.cumsum(n) - n
+            inner = np.arange(len(rank)) - np.repeat(start, n) < np.repeat(size, n)
+            ok = size > 0
+            offsets = np.concatenate([[0], np.cumsum(size[ok])]).astype(np.int32)
+            if not ok.any():
+                continue
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(k1[ok].view(np.int64)), pa.array(k2[ok].view(np.int64)), pa.array(doc[lines.doc[line[ok]]]),
+                 pa.array(lines.number[line[ok]].astype(np.int32)), pa.array(n[ok].astype(np.int32)),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array((rank[inner] & _WORD).view(np.int64)))],
+                ["k1", "k2", "doc", "line", "n", "prefix"])
+
+    sets = docs.mapInArrow(_scan(emit), "k1 long, k2 long, doc long, line int, n int, prefix array<long>")
     return (sets.groupBy("k1", "k2").agg(F.min(F.struct("doc", "line", "n", "prefix")).alias("m"))
             .select("m.*"))
 
 
 def repeats(docs: DataFrame) -> DataFrame:
     """Lines of classes that have an earlier line: doc, line, k1."""
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            doc, lines = _lines(b)
-            for line, n, k1, k2, _ in line_sets(lines):
-                ok = n >= LEAST
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(k1[ok].view(np.int64)), pa.array(k2[ok].view(np.int64)), pa.array(doc[lines.doc[line[ok]]]),
-                     pa.array(lines.number[line[ok]].astype(np.int32))], ["k1", "k2", "doc", "line"])
-
-    all_lines = docs.mapInArrow(emit, "k1 long, k2 long, doc long, line int")
+    def emit(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        doc, lines = _lines(b)
+        for line, n, k1, k2, _ in line_sets(lines):
+            ok = n >= LEAST
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(k1[ok].view(np.int64)), pa.array(k2[ok].view(np.int64)), pa.array(doc[lines.doc[line[ok]]]),
+                 pa.array(lines.number[line[ok]].astype(np.int32))], ["k1", "k2", "doc", "line"])
+
+    all_lines = docs.mapInArrow(_scan(emit), "k1 long, k2 long, doc long, line int")
     first = (all_lines.groupBy("k1", "k2").agg(F.min(F.struct("doc", "line")).alias("first"), F.count(F.lit(1)).alias("m"))
              .where("m > 1").select(F.col("k1").alias("f1"), F.col("k2").alias("f2"), "first"))
     return (all_lines.join(first, (F.col("k1") == F.col("f1")) & (F.col("k2") == F.col("f2")))
@@ -119,11 +144,29 @@ def index(sets: DataFrame) -> DataFrame:
             .where("next IS NOT NULL OR doc0 <> doc OR line0 <> line").drop("next"))
 
 
+def _overlap(n: str, n0: str) -> str:
+    """Words that two sets of n and n0 must share to match; SQL."""
+    return f"ceil({SIMILAR / (1 + SIMILAR)!r} * ({n} + {n0}) - 1e-9)"
+
+
 def _passes(n: str, i: str, n0: str, i0: str) -> str:
-    """Length and positional filter for two classes that share the word at places i and i0."""
-    most = f"1 + least({n} - {i}, {n0} - {i0}) - 1"
+    """Length and positional filter for two classes that share the word at places i and i0.
+
+    Of the words that a match shares, all but one come at or after its first two; so either of these two has at least
+    all but one of them left in both sets.
+    """
     return (f"least({n}, {n0}) >= {SIMILAR} * greatest({n}, {n0}) - 1e-9 AND "
-            f"{most} >= {SIMILAR / (1 + SIMILAR)!r} * ({n} + {n0}) - 1e-9")
+            f"least({n} - {i}, {n0} - {i0}) >= {_overlap(n, n0)} - 1")
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    """Candidates (doc, line, doc0, line0) from a row per shared word that passes, with sizes n and n0.
+
+    A match shares two such words, if both prefixes reach as far as the second can be; else at least one.
+    """
+    reach = lambda n: f"{n} - {_overlap('n', 'n0')} + 2 <= {n} - ceil({SIMILAR} * {n} - 1e-9) + 1"
+    return (rows.groupBy(*_PLACE, "doc0", "line0").agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"), F.max("n0").alias("n0"))
+            .where(F.expr(f"c >= 2 OR NOT ({reach('n')} AND {reach('n0')})")).select(*_PLACE, "doc0", "line0"))
 
 
 def _bit_sql(columns: list[str]) -> str:
@@ -167,23 +210,23 @@ def jaccard(a: pa.Array, b: pa.Array) -> pa.Array:
 
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Of pairs (doc, line) and (doc0, line0), the former where the lines match: doc, line, k1."""
-    pairs = cut(pairs.distinct())
+    pairs = cut(pairs)
     places = pairs.select(*_PLACE).union(pairs.select("doc0", "line0")).distinct()
     bits = docs.sparkSession.sparkContext.broadcast(wanted(places, _PLACE))
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            doc, lines = _lines(b)
-            ask = _bits_of(bits.value, doc[lines.doc], lines.number)
-            for line, _, k1, _, _ in line_sets(lines):
-                ok = ask[line]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc[lines.doc[line[ok]]]), pa.array(lines.number[line[ok]].astype(np.int32)),
-                     pa.array(k1[ok].view(np.int64)), pa.array([lines.text(i) for i in line[ok]], pa.binary())],
-                    ["doc", "line", "k1", "words"])
-
-    found = docs.mapInArrow(emit, "doc long, line int, k1 long, words binary")
-    found = cut(found.join(places, _PLACE, "left_semi"))
+    def emit(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        doc, lines = _lines(b)
+        ask = np.flatnonzero(_bits_of(bits.value, doc[lines.doc], lines.number))
+        texts = [lines.text(i) for i in ask]
+        k1_of = np.zeros(len(ask), np.uint64)
+        for line, _, k1, _, _ in line_sets(Lines(texts)):
+            k1_of[line] = k1
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(doc[lines.doc[ask]]), pa.array(lines.number[ask].astype(np.int32)),
+             pa.array(k1_of.view(np.int64)), pa.array(texts, pa.binary())], ["doc", "line", "k1", "words"])
+
+    found = docs.mapInArrow(_scan(emit), "doc long, line int, k1 long, words binary")
+    found = spool(found, "candidate-lines")
     earlier = found.select(F.col("doc").alias("doc0"), F.col("line").alias("line0"), F.col("words").alias("words0"))
     return (pairs.join(found, _PLACE).join(earlier, ["doc0", "line0"])
             .where(jaccard("words", "words0") >= F.lit(SIMILAR)).select("doc", "line", "k1").distinct())
@@ -192,16 +235,26 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 def later_matches(docs: DataFrame) -> DataFrame:
     """Lines to remove: doc, line, k1 (a hash of its words). ``docs`` is as of ``_keyed``, and is scanned several times."""
     codes = docs.sparkSession.sparkContext.broadcast(word_codes(docs))
-    shared = cut(index(classes(docs, codes)))
-    first = (shared.where(F.expr("doc <> doc0 OR line <> line0") & F.expr(_passes("n", "i", "n0", "i0")))
-             .select(*_PLACE, "doc0", "line0"))
+    shared = spool(index(classes(docs, codes)), "shared-words")
+    first = _pairs(shared.where(F.expr("doc <> doc0 OR line <> line0") & F.expr(_passes("n", "i", "n0", "i0"))))
     matched = cut(verified(docs, first))
-    later = shared.join(matched, _PLACE, "left_anti")
-    x = shared.select("word", F.col("doc").alias("xd"), F.col("line").alias("xl"), F.col("n").alias("xn"), F.col("i").alias("xi"))
-    earlier = F.expr("(xd < doc OR (xd = doc AND xl < line)) AND NOT (xd = doc0 AND xl = line0)")
-    rest = (later.hint("merge").join(x, (later["word"] == x["word"]) & earlier & F.expr(_passes("n", "i", "xn", "xi")))
-            .select(*_PLACE, F.col("xd").alias("doc0"), F.col("xl").alias("line0")))
-    return cut(matched.union(verified(docs, rest)).union(repeats(docs)).distinct())
+    # what is matched asks no more: its size is negated, so that it fails the length filter as the later of a pair.
+    # Both sides of the join are the same rows, which are shuffled once.
+    bits = docs.sparkSession.sparkContext.broadcast(wanted(matched, _PLACE))
+
+    @F.arrow_udf(T.BooleanType())
+    def maybe(doc: pa.Array, line: pa.Array) -> pa.Array:
+        return pa.array(_bits_of(bits.value, doc.to_numpy(zero_copy_only=False), line.to_numpy(zero_copy_only=False)))
+
+    flagged = shared.select("word", *_PLACE, "n", "i").withColumn("maybe", maybe("doc", "line"))
+    known = matched.select(*_PLACE).distinct().withColumn("matched", F.lit(True))
+    asks = (flagged.where("NOT maybe").select("word", *_PLACE, "n", "i")
+            .union(flagged.where("maybe").join(known, _PLACE, "left").select("word", *_PLACE, F.expr("IF(matched, -n, n)").alias("n"), "i")))
+    earlier = "(x.doc < y.doc OR (x.doc = y.doc AND x.line < y.line))"
+    rest = (asks.alias("y").hint("merge")
+            .join(asks.alias("x"), F.expr(f"x.word = y.word AND {earlier} AND {_passes('y.n', 'y.i', 'abs(x.n)', 'x.i')}"))
+            .select("y.doc", "y.line", "y.n", F.col("x.doc").alias("doc0"), F.col("x.line").alias("line0"), F.expr("abs(x.n)").alias("n0")))
+    return cut(matched.union(verified(docs, _pairs(rest))).union(repeats(docs)).distinct())
 
 
 _CUT = T.StructType([T.StructField("text", T.StringType()), T.StructField("removed", T.LongType())])
