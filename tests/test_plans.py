@@ -54,6 +54,7 @@ def _stored(spark):
 
 
 def _final(df) -> str:
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "5000")   # whole filters in the plan's text
     df.collect()
     return df._jdf.queryExecution().executedPlan().toString()
 
