@@ -194,7 +194,71 @@ def _joined(column: str) -> Column:
     return F.expr(f"array_join(transform({column}, s -> concat(s.kind, ':', s.start, ':', s.end)), ',')")
 
 
-@register("op1_pii")
+def _oracle() -> str:
+    """DuckDB SQL of the query: matches by plain patterns, placed by what is between them; then the method."""
+    digits = "regexp_replace(v, '[^0-9]', '', 'g')"
+    luhn = (f"list_sum(list_transform(range(1, length({digits}) + 1), lambda i: CASE WHEN i % 2 = 0 THEN "
+            f"2 * substr(reverse({digits}), i, 1)::INT - CASE WHEN substr(reverse({digits}), i, 1)::INT > 4 THEN 9 ELSE 0 END "
+            f"ELSE substr(reverse({digits}), i, 1)::INT END)) % 10 = 0")
+    passes = {"email": "true", "ip": "list_aggregate(list_transform(string_split(v, '.'), lambda x: x::HUGEINT <= 255), 'bool_and')",
+              "card": f"length({digits}) BETWEEN 16 AND 19 AND {luhn}", "phone": f"length({digits}) BETWEEN 8 AND 15"}
+    size = lambda part, upto: f"coalesce(list_sum(list_transform({part}[1:{upto}], lambda x: length(x))), 0)"
+    kinds = " UNION ALL ".join(
+        f"SELECT rid, '{k}' AS kind, {n} AS place, s::BIGINT AS s, s::BIGINT + length(v) AS e, v FROM ("
+        f"SELECT rid, m[i] AS v, {size('b', 'i')} + {size('m', 'i - 1')} AS s FROM ("
+        f"SELECT rid, m, b, unnest(range(1, len(m) + 1)) AS i FROM (SELECT rid, regexp_extract_all(t, '{p}') AS m, "
+        f"string_split_regex(t, '{p}') AS b FROM d))) WHERE {passes[k]}"
+        for n, (k, p) in enumerate((k, p.replace("(", "(?:", 3 if k == "ip" else 1) if k != "phone" else p) for k, p in SQL_PATTERNS.items()))
+    word = r"[^\x20\x09-\x0D]"
+    left = f"substr(t, greatest(s - {REACH}, 0) + 1, s - greatest(s - {REACH}, 0))"
+    right = f"substr(t, e + 1, {REACH})"
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
+), spans AS ({kinds}
+), near AS (
+  SELECT DISTINCT rid, kind, v, context, lower(unnest(regexp_extract_all(context, '{TERM}'))) AS term FROM (
+    SELECT rid, kind, v, regexp_replace(
+        (CASE WHEN s > {REACH} THEN regexp_replace({left}, '^{word}+', '') ELSE {left} END) || ' ' ||
+        (CASE WHEN length(t) > e + {REACH} THEN regexp_replace({right}, '{word}+$', '') ELSE {right} END),
+        '{word}*@{word}*', ' ', 'g') AS context
+    FROM spans JOIN d USING (rid))
+), pairs AS (
+  SELECT kind, v, term, count(DISTINCT context) AS contexts, count(*) AS n_ct FROM near GROUP BY ALL HAVING count(DISTINCT context) >= {LEAST_CONTEXTS}
+), words AS (
+  SELECT rid, regexp_extract_all(t, '{TERM}') AS ws, string_split_regex(t, '{TERM}') AS b FROM d
+), terms AS (
+  SELECT term, count(*) AS n_t FROM (SELECT DISTINCT rid, lower(unnest(ws)) AS term FROM words) WHERE term IN (SELECT term FROM pairs) GROUP BY term
+), entities AS (
+  SELECT kind, v, count(DISTINCT rid) AS n_c FROM spans GROUP BY ALL
+), total AS (
+  SELECT count(*)::DOUBLE AS n FROM d
+), flagged AS (
+  SELECT term, bool_or(least(n_ct, n_t, n_c) >= n_t) AS removed
+  FROM pairs JOIN terms USING (term) JOIN entities USING (kind, v), total
+  WHERE n_c < n AND ln(n * least(n_ct, n_t, n_c) / (n_c * n_t)) / ln(n / n_c) >= {DISCLOSURE} GROUP BY term
+), hits AS (
+  SELECT rid, CASE WHEN removed THEN 'removed' ELSE 'term' END AS kind, s::BIGINT AS s, s::BIGINT + length(w) AS e FROM (
+    SELECT rid, removed, ws[i] AS w, {size('b', 'i')} + {size('ws', 'i - 1')} AS s FROM (
+      SELECT rid, ws, b, unnest(range(1, len(ws) + 1)) AS i FROM words
+      WHERE rid IN (SELECT rid FROM (SELECT rid, lower(unnest(ws)) AS term FROM words) WHERE term IN (SELECT term FROM flagged))) JOIN flagged ON flagged.term = lower(ws[i]))
+), kept AS (
+  SELECT * FROM hits h WHERE NOT EXISTS (SELECT 1 FROM spans x WHERE x.rid = h.rid AND h.s < x.e AND x.s < h.e)
+), every AS (
+  SELECT rid, kind, place, s, e FROM spans UNION ALL SELECT rid, kind, CASE kind WHEN 'removed' THEN 4 ELSE 5 END, s, e FROM kept
+), made AS (
+  SELECT rid, {', '.join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in PATTERNS)},
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY place, s) FILTER (WHERE place < 4) AS base,
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY place, s) AS spans
+  FROM every GROUP BY rid
+)
+SELECT d.doc_id, {', '.join(f"coalesce(m.n_{k}, 0) AS n_{k}" for k in PATTERNS)},
+       sha256(coalesce(m.base, '')) AS base_sha256, coalesce(m.spans, '') AS spans
+FROM d LEFT JOIN made m ON m.rid = d.rid
+"""
+
+
+@register("op1_pii", _oracle())
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data, and of terms that disclose it, in all documents."""
     s = sanitise(table(spark, sf_dir, "documents"))
