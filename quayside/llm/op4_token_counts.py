@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.llm.common import table
+from quayside.llm.common import cut, table
 from quayside.llm.op10_bpe import _codec, default_vocabulary
 from quayside.llm.registry import register
 
@@ -48,8 +48,9 @@ def histogram(lengths: DataFrame, length_col: str = "n_tokens") -> DataFrame:
     The sums are made in two levels, blocks of lengths and lengths within a block, so that no task gets more than a
     block or the list of blocks.
     """
-    h = (lengths.groupBy(F.col(length_col).alias("n_tokens")).agg(F.count(F.lit(1)).alias("n_docs"))
-         .where("n_tokens IS NOT NULL").withColumn("block", F.expr(f"n_tokens DIV {BLOCK}")))
+    # a row per length, used twice below: computed once, so that documents are encoded once
+    h = cut(lengths.groupBy(F.col(length_col).alias("n_tokens")).agg(F.count(F.lit(1)).alias("n_docs"))
+            .where("n_tokens IS NOT NULL").withColumn("block", F.expr(f"n_tokens DIV {BLOCK}")))
     above = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     blocks = (h.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum(F.expr("n_docs * n_tokens")).alias("t"))
