@@ -32,13 +32,13 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines that match an earlier one, and n_chars of what is left.
+    """Texts without lines that match an earlier one, and n_chars of what is left. All lines with a word are compared.
 
     A document that lost lines and has no word left is a copy, and goes; one with words left stays, however few a line.
     """
     prepare(spark)
     docs, back = _aside(docs, "n_lines", "n_removed", "_key", "_touched", "_doc", "_lines", "_new")
-    d = op2_line_dedup.dedup_lines(docs)
+    d = op2_line_dedup.dedup_lines(docs, least=1)
     left = d.where(F.expr(r"n_removed = 0 OR text RLIKE r'[^\x20\x09-\x0D]'"))
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))

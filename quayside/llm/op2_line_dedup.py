@@ -1,6 +1,6 @@
 """Line de-duplication: an exact set-similarity self-join of lines, after which later matches are removed.
 
-A line is the set of its words. Lines of at least ``LEAST`` words whose sets have a Jaccard similarity of ``SIMILAR``
+A line is the set of its words. Lines of at least ``least`` words (from 1 on; ``LEAST`` by default) whose sets have a Jaccard similarity of ``SIMILAR``
 or more match; a line is removed if an earlier line (by document, then line number) matches it, be that one removed or
 not. Everything else of a text stays as it is.
 
@@ -10,17 +10,19 @@ not. Everything else of a text stays as it is.
 3. Sets of n words that match share one of their first n - ceil(SIMILAR * n) + 1 words in this order. These prefixes
    are indexed. Words in the prefix of one class only are dropped; of the others, each class first meets the earliest
    class with that word, and only what no such class matches meets all earlier ones. So a large group of variants
-   costs a pair per variant and word, not a pair per two variants.
+   costs a pair per variant and word, not a pair per two variants. Sets of fewer than ``ALONE`` words match equal sets
+   only, so these are not indexed.
 4. Pairs that sizes (length filter) or the places of the shared word (positional filter) rule out are never made; a
    pair must share two words that pass, where the prefixes reach that far. The others are verified by their exact words.
 
-Defined cases: a null text has no lines and stays null; an empty one is one empty line; lines with fewer than ``LEAST``
+Defined cases: a null text has no lines and stays null; an empty one is one empty line; lines with fewer than ``least``
 distinct words are always kept; a null doc_id comes before all others; rows of the same doc_id are one document: equal
 lines at an equal number are not later than each other; all rows are returned, a text that loses all lines is empty; an
 empty table gives an empty result; other columns are carried along.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +37,8 @@ from quayside.llm.registry import register
 
 #: Least similarity, least words of a line, bits of the table of word counts, bits of the tables of wanted places.
 SIMILAR, LEAST, SKETCH, WANTED = 0.8, 5, 22, 23
+#: Fewest words of a set that a different set (of one word more) can match.
+ALONE = math.ceil(SIMILAR / (1 - SIMILAR) - 1e-9)
 _PART = 1 << 16
 _WORD = np.uint64((1 << 40) - 1)
 _PLACE = ["doc", "line"]
@@ -91,15 +95,15 @@ def word_codes(docs: DataFrame) -> np.ndarray:
     return codes
 
 
-def classes(docs: DataFrame, codes) -> DataFrame:
-    """One row per distinct word set: doc and line of its earliest line, n words, and its prefix (array).
+def classes(docs: DataFrame, codes, least: int = LEAST) -> DataFrame:
+    """One row per distinct word set that others can match: doc and line of its earliest line, n words, and its prefix (array).
 
     Words of a prefix are 40 bits of their hash; words that share them only make some more candidates.
     """
     def emit(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         doc, lines = _lines(b)
         for line, n, k1, k2, rank in line_sets(lines, codes.value):
-            size = np.where(n >= LEAST, n - np.ceil(SIMILAR * n - 1e-9).astype(np.int64) + 1, 0)
+            size = np.where(n >= max(least, ALONE), n - np.ceil(SIMILAR * n - 1e-9).astype(np.int64) + 1, 0)
             start = np.cumsum(n) - n
             inner = np.arange(len(rank)) - np.repeat(start, n) < np.repeat(size, n)
             ok = size > 0
@@ -117,12 +121,12 @@ def classes(docs: DataFrame, codes) -> DataFrame:
             .select("m.*"))
 
 
-def repeats(docs: DataFrame) -> DataFrame:
+def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """Lines of classes that have an earlier line: doc, line, k1."""
     def emit(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         doc, lines = _lines(b)
         for line, n, k1, k2, _ in line_sets(lines):
-            ok = n >= LEAST
+            ok = n >= least
             yield pa.RecordBatch.from_arrays(
                 [pa.array(k1[ok].view(np.int64)), pa.array(k2[ok].view(np.int64)), pa.array(doc[lines.doc[line[ok]]]),
                  pa.array(lines.number[line[ok]].astype(np.int32))], ["k1", "k2", "doc", "line"])
@@ -153,9 +157,9 @@ def _passes(n: str, i: str, n0: str, i0: str) -> str:
     """Length and positional filter for two classes that share the word at places i and i0.
 
     Of the words that a match shares, all but one come at or after its first two; so either of these two has at least
-    all but one of them left in both sets.
+    all but one of them left in both sets. Two different sets of ``ALONE`` words don't match.
     """
-    return (f"least({n}, {n0}) >= {SIMILAR} * greatest({n}, {n0}) - 1e-9 AND "
+    return (f"greatest({n}, {n0}) > {ALONE} AND least({n}, {n0}) >= {SIMILAR} * greatest({n}, {n0}) - 1e-9 AND "
             f"least({n} - {i}, {n0} - {i0}) >= {_overlap(n, n0)} - 1")
 
 
@@ -232,10 +236,10 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             .where(jaccard("words", "words0") >= F.lit(SIMILAR)).select("doc", "line", "k1").distinct())
 
 
-def later_matches(docs: DataFrame) -> DataFrame:
+def later_matches(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """Lines to remove: doc, line, k1 (a hash of its words). ``docs`` is as of ``_keyed``, and is scanned several times."""
     codes = docs.sparkSession.sparkContext.broadcast(word_codes(docs))
-    shared = spool(index(classes(docs, codes)), "shared-words")
+    shared = spool(index(classes(docs, codes, least)), "shared-words")
     first = _pairs(shared.where(F.expr("doc <> doc0 OR line <> line0") & F.expr(_passes("n", "i", "n0", "i0"))))
     matched = cut(verified(docs, first))
     # what is matched asks no more: its size is negated, so that it fails the length filter as the later of a pair.
@@ -254,7 +258,7 @@ def later_matches(docs: DataFrame) -> DataFrame:
     rest = (asks.alias("y").hint("merge")
             .join(asks.alias("x"), F.expr(f"x.word = y.word AND {earlier} AND {_passes('y.n', 'y.i', 'abs(x.n)', 'x.i')}"))
             .select("y.doc", "y.line", "y.n", F.col("x.doc").alias("doc0"), F.col("x.line").alias("line0"), F.expr("abs(x.n)").alias("n0")))
-    return cut(matched.union(verified(docs, _pairs(rest))).union(repeats(docs)).distinct())
+    return cut(matched.union(verified(docs, _pairs(rest))).union(repeats(docs, least)).distinct())
 
 
 _CUT = T.StructType([T.StructField("text", T.StringType()), T.StructField("removed", T.LongType())])
@@ -279,12 +283,14 @@ def without_lines(texts: pa.Array, removed: pa.Array) -> pa.Array:
     return pa.array(out, pa.struct([("text", pa.string()), ("removed", pa.int64())]))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """``docs`` with texts without later matches, and columns n_lines (before) and n_removed.
 
+    Lines of at least ``least`` words are compared: all that have a word, if it is 1.
+
     Documents that no removed line can belong to are passed through; only the others are shuffled, to meet their list.
     """
-    removed = later_matches(_keyed(docs))
+    removed = later_matches(_keyed(docs), least)
     bits = docs.sparkSession.sparkContext.broadcast(wanted(removed, ["doc"]))
 
     @F.arrow_udf(T.BooleanType())
