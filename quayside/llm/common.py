@@ -1,7 +1,8 @@
 """Small helpers shared by the operators: table access and lineage cuts."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from quayside.session import ensure_checkpoint_dir, scratch_path
 
@@ -39,3 +40,20 @@ def spool(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def numbered(df: DataFrame, by: list[str], order: list[Column], out_col: str, keep: list[Column]) -> DataFrame:
+    """``by``, columns ``keep``, and the place (from 0) of each row among those of equal ``by``, in some order.
+
+    One global range sort by ``by`` and ``order`` numbers the rows of each partition; a group that spans partitions gets
+    the sizes of its earlier pieces added, so no group has to fit in one task. Rows equal in all of this count by their place
+    in the input. ``by`` has no nulls.
+    """
+    placed = df.withColumn("_in", F.monotonically_increasing_id())
+    keys = [*map(F.col, by), *order, F.col("_in")]
+    s = cut(placed.repartitionByRange(*keys).sortWithinPartitions(*keys)
+            .select(*by, *keep, F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at")))
+    pieces = s.groupBy(*by, "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = F.sum("_n").over(Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    pieces = pieces.withColumn("_shift", F.coalesce(earlier, F.lit(0)) - F.col("_first")).drop("_first", "_n")
+    return s.join(pieces, [*by, "_part"]).withColumn(out_col, F.col("_at") + F.col("_shift")).drop("_part", "_at", "_shift")
