@@ -13,7 +13,7 @@ ORACLES: dict[str, str] = {}
 
 MODULES = (
     "op1_pii", "op2_line_dedup", "op3_quality_rules", "op4_token_counts", "op5_embedding_dedup", "op6_mixing", "op7_quality_classifier", "op8_chat_format", "op9_simhash", "op10_bpe",
-    "op12_divergence", "op13_prefix_trie",
+    "op11_ann", "op12_divergence", "op13_prefix_trie",
 )
 
 
