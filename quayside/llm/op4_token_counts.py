@@ -48,9 +48,10 @@ def histogram(lengths: DataFrame, length_col: str = "n_tokens") -> DataFrame:
     The sums are made in two levels, blocks of lengths and lengths within a block, so that no task gets more than a
     block or the list of blocks.
     """
-    # a row per length, used twice below: computed once, so that documents are encoded once
+    # a row per length, used twice below: computed once. Rows without a length are dropped from it only then, as the
+    # optimizer would move that filter below the aggregate and have the length computed for it and for the rows.
     h = cut(lengths.groupBy(F.col(length_col).alias("n_tokens")).agg(F.count(F.lit(1)).alias("n_docs"))
-            .where("n_tokens IS NOT NULL").withColumn("block", F.expr(f"n_tokens DIV {BLOCK}")))
+            .withColumn("block", F.expr(f"n_tokens DIV {BLOCK}"))).where("n_tokens IS NOT NULL")
     above = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     blocks = (h.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum(F.expr("n_docs * n_tokens")).alias("t"))

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quayside.llm import bpe, op4_token_counts, op10_bpe
@@ -121,3 +122,16 @@ def test_histogram_of_nothing(spark):
     assert empty.count() == 0
     assert [tuple(r) for r in op4_token_counts.at_limits(empty, [5]).collect()] == [(5, 0, 0, 0, 0)]
     assert op4_token_counts.quantiles(empty, [0.5]).first()["n_tokens"] is None
+
+
+def test_documents_are_encoded_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def length(i):
+        calls.add(1)
+        return i % 3 if i else None
+
+    rows = spark.range(30).withColumn("n_tokens", length("id"))
+    assert sorted((r["n_tokens"], r["n_docs"]) for r in op4_token_counts.histogram(rows).collect()) == [(0, 9), (1, 10), (2, 10)]
+    assert calls.value == 30
