@@ -1,6 +1,6 @@
 """Line de-duplication: an exact set-similarity self-join of lines, after which later matches are removed.
 
-A line is the set of its words. Lines of at least ``least`` words (from 1 on; ``LEAST`` by default) whose sets have a Jaccard similarity of ``SIMILAR``
+A line is the set of its words. Lines of at least ``least`` words (all that have a word, by default) whose sets have a Jaccard similarity of ``SIMILAR``
 or more match; a line is removed if an earlier line (by document, then line number) matches it, be that one removed or
 not. Everything else of a text stays as it is.
 
@@ -12,7 +12,8 @@ not. Everything else of a text stays as it is.
    class with that word, and only what no such class matches meets all earlier ones. So a large group of variants
    costs a pair per variant and word, not a pair per two variants. Sets of fewer than ``ALONE`` words match equal sets
    only, so these are not indexed.
-4. Pairs that sizes (length filter) or the places of the shared word (positional filter) rule out are never made; a
+4. Pairs that sizes (length filter) or the places of the shared word (positional filter) rule out are never made, nor those
+   whose words fall on too different bits of a 64-bit map: each bit that differs is a word that only one of them has. A
    pair must share two words that pass, where the prefixes reach that far. The others are verified by their exact words.
 
 Defined cases: a null text has no lines and stays null; an empty one is one empty line; lines with fewer than ``least``
@@ -36,7 +37,7 @@ from quayside.llm.linetokens import Lines, line_sets
 from quayside.llm.registry import register
 
 #: Least similarity, least words of a line, bits of the table of word counts, bits of the tables of wanted places.
-SIMILAR, LEAST, SKETCH, WANTED = 0.8, 5, 22, 23
+SIMILAR, LEAST, SKETCH, WANTED = 0.8, 1, 22, 23
 #: Fewest words of a set that a different set (of one word more) can match.
 ALONE = math.ceil(SIMILAR / (1 - SIMILAR) - 1e-9)
 _PART = 1 << 16
@@ -96,7 +97,7 @@ def word_codes(docs: DataFrame) -> np.ndarray:
 
 
 def classes(docs: DataFrame, codes, least: int = LEAST) -> DataFrame:
-    """One row per distinct word set that others can match: doc and line of its earliest line, n words, and its prefix (array).
+    """One row per distinct word set that others can match: doc and line of its earliest line, n words, their bits, and its prefix (array).
 
     Words of a prefix are 40 bits of their hash; words that share them only make some more candidates.
     """
@@ -113,11 +114,12 @@ def classes(docs: DataFrame, codes, least: int = LEAST) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(k1[ok].view(np.int64)), pa.array(k2[ok].view(np.int64)), pa.array(doc[lines.doc[line[ok]]]),
                  pa.array(lines.number[line[ok]].astype(np.int32)), pa.array(n[ok].astype(np.int32)),
+                 pa.array(np.bitwise_or.reduceat(np.uint64(1) << (rank & np.uint64(63)), start)[ok].view(np.int64)),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array((rank[inner] & _WORD).view(np.int64)))],
-                ["k1", "k2", "doc", "line", "n", "prefix"])
+                ["k1", "k2", "doc", "line", "n", "bits", "prefix"])
 
-    sets = docs.mapInArrow(_scan(emit), "k1 long, k2 long, doc long, line int, n int, prefix array<long>")
-    return (sets.groupBy("k1", "k2").agg(F.min(F.struct("doc", "line", "n", "prefix")).alias("m"))
+    sets = docs.mapInArrow(_scan(emit), "k1 long, k2 long, doc long, line int, n int, bits long, prefix array<long>")
+    return (sets.groupBy("k1", "k2").agg(F.min(F.struct("doc", "line", "n", "bits", "prefix")).alias("m"))
             .select("m.*"))
 
 
@@ -139,12 +141,12 @@ def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def index(sets: DataFrame) -> DataFrame:
-    """Prefix words that several classes share: word, doc, line, n, i (its place), and the earliest class with it."""
-    rows = sets.select(F.posexplode("prefix").alias("i", "word"), "doc", "line", "n")
+    """Prefix words that several classes share: word, doc, line, n, i (its place), bits, and the earliest class with it."""
+    rows = sets.select(F.posexplode("prefix").alias("i", "word"), "doc", "line", "n", "bits")
     by = Window.partitionBy("word").orderBy("doc", "line")
     lead = lambda c: F.first(c).over(by)  # noqa: E731  runs along the sorted rows
-    return (rows.select("word", "doc", "line", "n", "i", lead("doc").alias("doc0"), lead("line").alias("line0"),
-                        lead("n").alias("n0"), lead("i").alias("i0"), F.lead("line").over(by).alias("next"))
+    return (rows.select("word", "doc", "line", "n", "i", "bits", lead("doc").alias("doc0"), lead("line").alias("line0"),
+                        lead("n").alias("n0"), lead("i").alias("i0"), lead("bits").alias("bits0"), F.lead("line").over(by).alias("next"))
             .where("next IS NOT NULL OR doc0 <> doc OR line0 <> line").drop("next"))
 
 
@@ -153,14 +155,14 @@ def _overlap(n: str, n0: str) -> str:
     return f"ceil({SIMILAR / (1 + SIMILAR)!r} * ({n} + {n0}) - 1e-9)"
 
 
-def _passes(n: str, i: str, n0: str, i0: str) -> str:
-    """Length and positional filter for two classes that share the word at places i and i0.
+def _passes(n: str, i: str, b: str, n0: str, i0: str, b0: str) -> str:
+    """Length and positional filter for two classes that share the word at places i and i0, and that on the bits of their words.
 
     Of the words that a match shares, all but one come at or after its first two; so either of these two has at least
     all but one of them left in both sets. Two different sets of ``ALONE`` words don't match.
     """
     return (f"greatest({n}, {n0}) > {ALONE} AND least({n}, {n0}) >= {SIMILAR} * greatest({n}, {n0}) - 1e-9 AND "
-            f"least({n} - {i}, {n0} - {i0}) >= {_overlap(n, n0)} - 1")
+            f"least({n} - {i}, {n0} - {i0}) >= {_overlap(n, n0)} - 1 AND {n} + {n0} - bit_count({b} ^ {b0}) >= 2 * {_overlap(n, n0)}")
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -240,7 +242,7 @@ def later_matches(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """Lines to remove: doc, line, k1 (a hash of its words). ``docs`` is as of ``_keyed``, and is scanned several times."""
     codes = docs.sparkSession.sparkContext.broadcast(word_codes(docs))
     shared = spool(index(classes(docs, codes, least)), "shared-words")
-    first = _pairs(shared.where(F.expr("doc <> doc0 OR line <> line0") & F.expr(_passes("n", "i", "n0", "i0"))))
+    first = _pairs(shared.where(F.expr("doc <> doc0 OR line <> line0") & F.expr(_passes("n", "i", "bits", "n0", "i0", "bits0"))))
     matched = cut(verified(docs, first))
     # what is matched asks no more: its size is negated, so that it fails the length filter as the later of a pair.
     # Both sides of the join are the same rows, which are shuffled once.
@@ -250,13 +252,13 @@ def later_matches(docs: DataFrame, least: int = LEAST) -> DataFrame:
     def maybe(doc: pa.Array, line: pa.Array) -> pa.Array:
         return pa.array(_bits_of(bits.value, doc.to_numpy(zero_copy_only=False), line.to_numpy(zero_copy_only=False)))
 
-    flagged = shared.select("word", *_PLACE, "n", "i").withColumn("maybe", maybe("doc", "line"))
+    flagged = shared.select("word", *_PLACE, "n", "i", "bits").withColumn("maybe", maybe("doc", "line"))
     known = matched.select(*_PLACE).distinct().withColumn("matched", F.lit(True))
-    asks = (flagged.where("NOT maybe").select("word", *_PLACE, "n", "i")
-            .union(flagged.where("maybe").join(known, _PLACE, "left").select("word", *_PLACE, F.expr("IF(matched, -n, n)").alias("n"), "i")))
+    asks = (flagged.where("NOT maybe").select("word", *_PLACE, "n", "i", "bits")
+            .union(flagged.where("maybe").join(known, _PLACE, "left").select("word", *_PLACE, F.expr("IF(matched, -n, n)").alias("n"), "i", "bits")))
     earlier = "(x.doc < y.doc OR (x.doc = y.doc AND x.line < y.line))"
     rest = (asks.alias("y").hint("merge")
-            .join(asks.alias("x"), F.expr(f"x.word = y.word AND {earlier} AND {_passes('y.n', 'y.i', 'abs(x.n)', 'x.i')}"))
+            .join(asks.alias("x"), F.expr(f"x.word = y.word AND {earlier} AND {_passes('y.n', 'y.i', 'y.bits', 'abs(x.n)', 'x.i', 'x.bits')}"))
             .select("y.doc", "y.line", "y.n", F.col("x.doc").alias("doc0"), F.col("x.line").alias("line0"), F.expr("abs(x.n)").alias("n0")))
     return cut(matched.union(verified(docs, _pairs(rest))).union(repeats(docs, least)).distinct())
 
@@ -286,7 +288,7 @@ def without_lines(texts: pa.Array, removed: pa.Array) -> pa.Array:
 def dedup_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """``docs`` with texts without later matches, and columns n_lines (before) and n_removed.
 
-    Lines of at least ``least`` words are compared: all that have a word, if it is 1.
+    Lines of at least ``least`` words are compared: by default, all that have a word.
 
     Documents that no removed line can belong to are passed through; only the others are shuffled, to meet their list.
     """

@@ -140,7 +140,7 @@ def slow_line_dedup(rows):
                     for i, t in rows if t is not None for n, x in enumerate(t.split("\n")))
     gone = set()
     for b, (i, n, ws, _) in enumerate(places):
-        if len(ws) >= 5 and any(len(o) >= 5 and len(ws & o) / len(ws | o) >= 0.8 and (j, m) < (i, n) for j, m, o, _ in places[:b]):
+        if ws and any(o and len(ws & o) / len(ws | o) >= 0.8 and (j, m) < (i, n) for j, m, o, _ in places[:b]):
             gone.add((i, n))
     out = []
     for i, t in rows:
