@@ -34,8 +34,9 @@ from quayside.llm.registry import register
 
 #: Points of a shard, edges of a node, width of the beams when building and searching, nodes opened at once, relaxation.
 SHARD, DEGREE, BUILD_BEAM, BEAM, OPEN, RELAX = 4096, 32, 64, 128, 4, 1.2
-#: Points that are entered at once, query points of a block that a shard is searched for, most lengths that are broadcast.
-BATCH, BLOCK, LENGTHS = 512, 4096, 100_000
+#: Points that are entered at once, query points of a block that a shard is searched for, most lengths that are broadcast, most tasks
+#: that shards are dealt to (fewer bytes make no task cheaper here, so they are not merged by size).
+BATCH, BLOCK, LENGTHS, TASKS = 512, 4096, 100_000, 20_000
 _POINT = T.StructType([T.StructField("key", T.StringType()), T.StructField("vector", T.BinaryType()), T.StructField("dim", T.IntegerType())])
 
 
@@ -238,11 +239,13 @@ def search(shards: DataFrame, queries: DataFrame, k: int, width: int = BEAM) ->
 
     # each shard meets each block of queries of its length: both are dealt out by (shard, block)
     blocks = _small(queries.groupBy("dim").agg(F.max("blocks").alias("blocks")))
+    tasks = shards.join(blocks, "dim").agg(F.sum("blocks")).first()[0] or 1
     left = shards.join(blocks, "dim").withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
     right = (queries.withColumn("block", F.expr("int(pmod(xxhash64(id), blocks))"))
              .withColumn("shard", F.explode(F.expr("sequence(0, shards - 1)"))))
     keys = ["dim", "shard", "block"]
-    return (left.groupBy(*keys).cogroup(right.groupBy(*keys))
+    deal = lambda rows: rows.repartition(min(TASKS, tasks), *keys).groupBy(*keys)
+    return (deal(left).cogroup(deal(right))
             .applyInArrow(find, "query long, id long, least long, score double"))
 
 
@@ -266,7 +269,8 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, width: int = BEAM)
                                              F.greatest(F.lit(1), F.ceil(F.count_if("asked") / BLOCK)).cast("int").alias("blocks")))
     dealt = (points.join(sizes, "dim").withColumn("shard", F.expr("int(pmod(xxhash64(key), shards))"))
              .join(rows.select(F.col("row").alias("id"), "vector"), "id"))
-    shards = spool(index(dealt), "graph")
+    tasks = min(TASKS, sizes.agg(F.sum("shards")).first()[0] or 1)
+    shards = spool(index(dealt.repartition(tasks, "dim", "shard")), "graph")
     queries = dealt.where("asked").select("id", "dim", "vector", "shards", "blocks")
     found = search(shards, queries, k + 1, width)
 
