@@ -46,7 +46,10 @@ def coverage_filter(pings: DataFrame, real_vessels_only: bool = True) -> DataFra
 # ---------------------------------------------------------------------------
 # Points-in-regions as a join (table-driven regions, any number of them)
 # ---------------------------------------------------------------------------
-GRID_DEG = 0.1
+#: Width in degrees of a cell of level 0, and the levels: each halves it, to some 0.0005 degrees; negative ones double it.
+WIDEST, DEEPEST, HIGHEST = 512.0, 20, -10
+#: Coordinates beyond this count as this when cells are numbered (infinite bounds of a box).
+FARTHEST = 2e5
 
 
 def regions_frame(spark: SparkSession, regions: Mapping[str, geo.Box] = config.PORTS) -> DataFrame:
@@ -65,28 +68,50 @@ def regions_frame(spark: SparkSession, regions: Mapping[str, geo.Box] = config.P
                      *[F.col(c).cast("float").alias(c) for c in ("lat_min", "lat_max", "lon_min", "lon_max")])
 
 
-def _cell(c):
-    return F.floor(c.cast("double") / F.lit(GRID_DEG)).cast("long")
+def _level(low: str, high: str):
+    """How often the widest cell is halved and still as wide as the side: the side then touches two cells at most."""
+    side = (F.col(high).cast("double") - F.col(low).cast("double"))
+    return F.when(side <= WIDEST / 2 ** DEEPEST, DEEPEST).otherwise(F.greatest(F.lit(HIGHEST), F.floor(F.log2(F.lit(WIDEST) / side)))).cast("int")
+
+
+def _cell(c, level):
+    """Number of the cell of a coordinate; the division is by a power of 2, so it is exact and keeps the order."""
+    c = F.greatest(F.lit(-FARTHEST), F.least(F.lit(FARTHEST), c.cast("double")))
+    return F.floor(c * F.pow(F.lit(2.0), level) / F.lit(WIDEST)).cast("long")
 
 
 def region_cells(regions: DataFrame) -> DataFrame:
-    """Explode every region into the 0.1-degree grid cells its box touches."""
-    return (regions
-            .withColumn("cell_lat", F.explode(F.sequence(_cell(F.col("lat_min")), _cell(F.col("lat_max")))))
-            .withColumn("cell_lon", F.explode(F.sequence(_cell(F.col("lon_min")), _cell(F.col("lon_max"))))))
+    """The cells of each region, at most four: each axis has a level of its own, by the length of the box along it.
+
+    Adds level_lat, level_lon, cell_lat and cell_lon. Boxes without inside (a bound missing or not a number, or crossed) have no cells.
+    """
+    real = regions.where("lat_min <= lat_max AND lon_min <= lon_max AND NOT isnan(lat_max) AND NOT isnan(lon_max)")
+    placed = real.withColumn("level_lat", _level("lat_min", "lat_max")).withColumn("level_lon", _level("lon_min", "lon_max"))
+    for axis in ("lat", "lon"):
+        level = F.col(f"level_{axis}")
+        first, last = _cell(F.col(f"{axis}_min"), level), _cell(F.col(f"{axis}_max"), level)
+        placed = placed.withColumn(f"cell_{axis}", F.explode(F.sequence(first, last)))
+    return placed
 
 
 def region_join(pings: DataFrame, regions: DataFrame) -> DataFrame:
-    """All (ping, region) pairs whose box contains the ping.
+    """All (ping, region) pairs whose box contains the ping, for boxes of any sizes and any number of them.
 
-    A theta join would be a nested loop over pings x regions. Instead both sides get a
-    0.1-degree grid-cell key: the join is an equi-join on (cell_lat, cell_lon) plus the
-    exact float32 box test as a residual predicate. The region side is one row per cell;
-    Spark broadcasts it if its size in bytes allows that, and else shuffles on the cell key.
+    A theta join would be a nested loop over pings x regions. Instead a region is a few cells of a hierarchy of grids, of
+    about its own size along each axis, and a ping probes its one cell on each pair of levels that some region is on: an
+    equi-join on (levels, cells) plus the exact float32 box test. The pairs of levels, at most (DEEPEST - HIGHEST + 1)^2 and as a
+    rule a handful, are read from the region table beforehand. Spark broadcasts the cells if their size in bytes allows that, and
+    else shuffles both sides on the cell, with skewed cells split at run time.
     """
     cells = region_cells(regions)
-    p = pings.withColumn("cell_lat", _cell(F.col("latitude"))).withColumn("cell_lon", _cell(F.col("longitude")))
-    joined = p.join(cells, ["cell_lat", "cell_lon"], "inner").where(
+    levels = sorted(tuple(r) for r in cells.select("level_lat", "level_lon").distinct().collect())
+    probes = F.array(*[F.struct(F.lit(a).alias("level_lat"), F.lit(b).alias("level_lon"), _cell(F.col("latitude"), F.lit(a)).alias("cell_lat"),
+                                _cell(F.col("longitude"), F.lit(b)).alias("cell_lon")) for a, b in levels])
+    if not levels:
+        probes = F.lit(None).cast("array<struct<level_lat:int,level_lon:int,cell_lat:bigint,cell_lon:bigint>>")
+    key = ["level_lat", "level_lon", "cell_lat", "cell_lon"]
+    p = pings.where("latitude IS NOT NULL AND longitude IS NOT NULL").select("*", F.inline(probes))
+    joined = p.join(cells, key, "inner").where(
         F.col("latitude").between(F.col("lat_min"), F.col("lat_max"))
         & F.col("longitude").between(F.col("lon_min"), F.col("lon_max")))
-    return joined.drop("cell_lat", "cell_lon", "lat_min", "lat_max", "lon_min", "lon_max")
+    return joined.drop(*key, "lat_min", "lat_max", "lon_min", "lon_max")

@@ -30,7 +30,7 @@ def register(name: str, oracle_sql: str | None):
 def load_all() -> None:
     """Import every module that registers queries."""
     import importlib
-    for mod in ("q_facts", "q_kpis", "q_dashboard", "q_joins", "q_explore", "q_tracks", "q_sources"):
+    for mod in ("q_facts", "q_kpis", "q_dashboard", "q_joins", "q_explore", "q_tracks", "q_sources", "q_stored", "q_intervals"):
         try:
             importlib.import_module(f"quayside.plans.{mod}")
         except ModuleNotFoundError as e:

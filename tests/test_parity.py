@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 
-TABLES = ["events"]
+TABLES = ["events", "supplier"]
 
 
 def _norm(v):

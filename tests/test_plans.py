@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 # Queries that write files while being built (their plans read back what they wrote).
 WRITERS = {"scan_csv", "csv_layouts", "scan_periods", "filter_pings", "scan_filtered", "scan_core", "port_subset",
            "write_outputs", "load_tables", "table_overview", "export_payload", "tracks_json",
-           "incremental_ingest", "period_manifest", "size_reduction", "constraint_check"}
+           "incremental_ingest", "incremental_tables", "filter_counts", "map_documents", "period_manifest", "size_reduction", "constraint_check"}
 BANNED = ["CartesianProduct", "BroadcastNestedLoopJoin", "Expand", "BatchEvalPython", "ArrowEvalPython",
           "FlatMapGroupsInPandas"]
 
