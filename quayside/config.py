@@ -77,7 +77,6 @@ DAY_MAP_BUCKET_MINUTES = 10
 DAY_MAP_MIN_POINTS = 10
 MONTH_MAP_BUCKET_MINUTES = 1
 MONTH_MAP_MIN_POINTS = 3
-MONTH_MAP_DAYS = 28
 
 FLOW_PAD_DAYS = 3             # padding of the daily-flow export window
 SAMPLE_PER_PORT = 5000        # exploration scatter sample size

@@ -26,6 +26,11 @@ def minutes_since(ts: Column, epoch: str) -> Column:
     return (secs / F.lit(60.0)).cast("int")
 
 
+def minute_of_month(ts: Column) -> Column:
+    """Whole minutes since the start of the time's own month."""
+    return F.floor(F.timestamp_diff("SECOND", F.date_trunc("month", ts).cast("timestamp_ntz"), ts) / F.lit(60)).cast("int")
+
+
 def bucket(t: Column, width: int) -> Column:
     return F.floor(t / F.lit(width)).cast("int")
 

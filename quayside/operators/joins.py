@@ -37,12 +37,12 @@ def approach_pings(raw: DataFrame) -> DataFrame:
                      & vessel.is_real_vessel(F.col("mobile_type")) & F.col("ts").isNotNull())
 
 
-def approach_semi(raw: DataFrame, core: DataFrame) -> DataFrame:
-    """Corridor pings of vessels also seen in the core box: a left-semi join on MMSI.
+def approach_semi(raw: DataFrame, core: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Corridor pings of vessels also seen in the core box: a left-semi join on MMSI (or on the columns ``by``).
 
     The allow-list is the distinct MMSIs of the core pings. It is not hinted: AQE sees
     its real size after the aggregate and broadcasts it only when it is under the
     broadcast threshold, otherwise both sides are shuffled on mmsi.
     """
-    allow = core.select("mmsi").distinct()
-    return approach_pings(raw).join(allow, "mmsi", "left_semi")
+    by = by or ["mmsi"]
+    return approach_pings(raw).join(core.select(*by).distinct(), by, "left_semi")

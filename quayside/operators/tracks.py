@@ -1,9 +1,10 @@
 """Vessel tracks: dedupe, time-bucket downsampling, track arrays, as-of positions, trails.
 
 Track arrays are bounded by construction: a day track has at most 1440/10 = 144 points,
-a month track at most 28 * 1440 = 40,320 (one per minute), whatever the ping volume, so
+a month track at most 31 * 1440 = 44,640 (one per minute), whatever the ping volume, so
 ``collect_list`` per vessel never gathers an unbounded group. Everything before that is
-grouped per (vessel, bucket) with map-side partial aggregation.
+grouped per (vessel, bucket) with map-side partial aggregation. Months are those of the
+pings: a vessel has a track in each month that it was seen in, in minutes of that month.
 """
 from __future__ import annotations
 
@@ -14,6 +15,7 @@ from quayside import config
 from quayside.functions import geo, timeparts, vessel
 from quayside.operators import joins, regions
 
+MONTH_KEYS = ["month", "mmsi"]
 POINT_COLS = ("latitude", "longitude", "sog", "name", "type")
 
 
@@ -70,41 +72,40 @@ def day_tracks(raw: DataFrame, min_points: int = config.DAY_MAP_MIN_POINTS,
 # ---------------------------------------------------------------------------
 # Month map (core box + approach corridor)
 # ---------------------------------------------------------------------------
-def core_union_approach(raw: DataFrame, pings: DataFrame, epoch: str,
-                        days: int = config.MONTH_MAP_DAYS, with_approach: bool = True) -> DataFrame:
-    """Core pings (src 0) and, unless skipped, allow-listed corridor pings (src 1), with
-    minutes since ``epoch`` kept to [0, days * 1440)."""
-    cols = ["event_id", "mmsi", "ts", "latitude", "longitude", "sog", "name", "ship_type"]
-    core = joins.core_pings(pings)
+def core_union_approach(raw: DataFrame, pings: DataFrame, with_approach: bool = True) -> DataFrame:
+    """Core pings (src 0) and, unless skipped, corridor pings (src 1) of vessels with core pings in the same month, with
+    ``month`` and ``t``, the minutes since its start."""
+    cols = ["event_id", "month", "mmsi", "ts", "latitude", "longitude", "sog", "name", "ship_type"]
+    month = F.date_format("ts", "yyyy-MM")
+    core = joins.core_pings(pings).withColumn("month", month)
     both = core.select(*cols, F.lit(0).alias("src"))
     if with_approach:
-        both = both.unionByName(joins.approach_semi(raw, core).select(*cols, F.lit(1).alias("src")))
-    t = timeparts.minutes_since(F.col("ts"), epoch)
-    return (both.withColumn("t", t).where((F.col("t") >= 0) & (F.col("t") < days * 1440))
+        both = both.unionByName(joins.approach_semi(raw.withColumn("month", month), core, MONTH_KEYS).select(*cols, F.lit(1).alias("src")))
+    return (both.withColumn("t", timeparts.minute_of_month(F.col("ts")))
             .transform(lambda d: vessel.with_vessel_type(d, out="type", first_wins=True)))
 
 
 def dedupe_minute(points: DataFrame) -> DataFrame:
-    """First row per (mmsi, minute): core before corridor, then time, then event_id.
+    """First row per (month, mmsi, minute): core before corridor, then time, then event_id.
 
     A grouped minimum, so a task sends one row per vessel-minute, not every ping."""
     order = ["src", "ts", "event_id"]
-    rest = [c for c in points.columns if c not in ("mmsi", "t", *order)]
-    first = points.groupBy("mmsi", "t").agg(F.min(F.struct(*order, *rest)).alias("_p"))
-    return first.select("mmsi", "t", "_p.*").select(*points.columns)
+    rest = [c for c in points.columns if c not in (*MONTH_KEYS, "t", *order)]
+    first = points.groupBy(*MONTH_KEYS, "t").agg(F.min(F.struct(*order, *rest)).alias("_p"))
+    return first.select(*MONTH_KEYS, "t", "_p.*").select(*points.columns)
 
 
-def month_points(raw: DataFrame, pings: DataFrame, epoch: str, with_approach: bool = True,
-                 bucket_minutes: int = config.MONTH_MAP_BUCKET_MINUTES, days: int = config.MONTH_MAP_DAYS) -> DataFrame:
+def month_points(raw: DataFrame, pings: DataFrame, with_approach: bool = True,
+                 bucket_minutes: int = config.MONTH_MAP_BUCKET_MINUTES) -> DataFrame:
     """Deduplicated, 1-minute downsampled month points with rounded coordinates, speed
     only when valid, and the map zone index of the rounded position."""
-    pts = dedupe_minute(core_union_approach(raw, pings, epoch, days, with_approach))
+    pts = dedupe_minute(core_union_approach(raw, pings, with_approach))
     if bucket_minutes == 1:
-        # one row per (mmsi, minute) already: the downsample would be the identity, so
+        # one row per (month, mmsi, minute) already: the downsample would be the identity, so
         # skip its shuffle (the dedupe window has partitioned on the same key)
-        down = pts.withColumn("bucket", F.col("t")).select("mmsi", "bucket", "t", *POINT_COLS)
+        down = pts.withColumn("bucket", F.col("t")).select(*MONTH_KEYS, "bucket", "t", *POINT_COLS)
     else:
-        down = downsample(pts, ["mmsi"], bucket_minutes)
+        down = downsample(pts, MONTH_KEYS, bucket_minutes)
     lat = F.bround(F.col("latitude").cast("double"), 5)
     lon = F.bround(F.col("longitude").cast("double"), 5)
     return (down.withColumn("lat", lat).withColumn("lon", lon)
@@ -112,13 +113,13 @@ def month_points(raw: DataFrame, pings: DataFrame, epoch: str, with_approach: bo
             .withColumn("z", geo.zone_index(F.col("lat"), F.col("lon"))))
 
 
-def month_tracks(raw: DataFrame, pings: DataFrame, epoch: str, with_approach: bool = True,
-                 min_points: int = config.MONTH_MAP_MIN_POINTS, days: int = config.MONTH_MAP_DAYS) -> DataFrame:
-    """Per vessel: month track (>= min_points points), name/type from the downsampled points."""
-    pts = month_points(raw, pings, epoch, with_approach, days=days)
+def month_tracks(raw: DataFrame, pings: DataFrame, with_approach: bool = True,
+                 min_points: int = config.MONTH_MAP_MIN_POINTS) -> DataFrame:
+    """Per month and vessel: month track (>= min_points points), name/type from the downsampled points."""
+    pts = month_points(raw, pings, with_approach)
     point = F.struct(F.col("t"), F.col("lat"), F.col("lon"), F.col("sog_v").alias("sog"), F.col("z"))
     # track, dominant name and dominant type come from the same points: one aggregation
-    return (pts.groupBy("mmsi")
+    return (pts.groupBy(*MONTH_KEYS)
             .agg(F.array_sort(F.collect_list(point)).alias("track"),
                  F.mode("name", deterministic=True).alias("name"), F.mode("type", deterministic=True).alias("type"))
             .withColumn("name", F.trim(F.coalesce(F.col("name"), F.lit(""))))
@@ -134,8 +135,9 @@ def track_json(tracks: DataFrame, keep_nulls: bool) -> Column:
 
 def track_points(tracks: DataFrame) -> DataFrame:
     """Explode tracks back to one row per point (what playback walks)."""
-    return tracks.select("mmsi", "name", "type", F.posexplode("track").alias("idx", "p")) \
-                 .select("mmsi", "name", "type", "idx", "p.*")
+    keys = [c for c in MONTH_KEYS if c in tracks.columns]
+    return tracks.select(*keys, "name", "type", F.posexplode("track").alias("idx", "p")) \
+                 .select(*keys, "name", "type", "idx", "p.*")
 
 
 # ---------------------------------------------------------------------------
@@ -147,13 +149,19 @@ def in_view(lat: Column, lon: Column, box: tuple[float, float, float, float], pa
     return lat.between(box[0] - dy, box[1] + dy) & lon.between(box[2] - dx, box[3] + dx)
 
 
+def _keys(points: DataFrame) -> list[str]:
+    """What a track belongs to: the vessel, and the month where points have one."""
+    return [c for c in MONTH_KEYS if c in points.columns]
+
+
 def positions_asof(points: DataFrame, at_t: int, types: list[str] | None = None,
                    zones: list[int | None] | None = None) -> DataFrame:
-    """Newest point at or before ``at_t`` per vessel (one grouped max_by, no join), then
+    """Newest point at or before ``at_t`` per vessel (and month), one grouped max_by, no join, then
     the type and zone filters applied to that latest point."""
-    latest = (points.where(F.col("t") <= at_t).groupBy("mmsi", "type")
+    keys = _keys(points)
+    latest = (points.where(F.col("t") <= at_t).groupBy(*keys, "type")
               .agg(F.max_by(F.struct("t", "lat", "lon", "sog", "z"), F.col("t")).alias("p"))
-              .select("mmsi", "type", "p.*"))
+              .select(*keys, "type", "p.*"))
     if types is not None:
         latest = latest.where(F.col("type").isin(*types))
     if zones is not None:
@@ -166,34 +174,28 @@ def positions_asof(points: DataFrame, at_t: int, types: list[str] | None = None,
 
 
 def positions_asof_many(points: DataFrame, times: list[int]) -> DataFrame:
-    """As-of positions for several instants at once: each point is assigned to the first
-    instant at or after it, the newest point per (vessel, instant) is taken, and a forward
-    fill over the instants (window per vessel, at most len(times) rows) carries a vessel's
-    position into instants without a newer point."""
-    ts = sorted(times)
-    slot = F.lit(None).cast("int")
-    for i, t in reversed(list(enumerate(ts))):
-        slot = F.when(F.col("t") <= t, F.lit(i)).otherwise(slot)
-    per_slot = (points.withColumn("slot", slot).where(F.col("slot").isNotNull())
-                .groupBy("mmsi", "slot").agg(F.max_by(F.struct("t", "lat", "lon", "sog", "z"), F.col("t")).alias("p")))
-    vessels = points.select("mmsi").distinct()
-    grid = vessels.select("mmsi", F.explode(F.sequence(F.lit(0), F.lit(len(ts) - 1))).alias("slot"))
-    w = Window.partitionBy("mmsi").orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
-    filled = (grid.join(per_slot, ["mmsi", "slot"], "left")
-              .withColumn("p", F.last("p", ignorenulls=True).over(w)).where(F.col("p").isNotNull()))
-    at = F.element_at(F.array(*[F.lit(t) for t in ts]), F.col("slot") + 1)
-    return filled.select("mmsi", at.alias("at_t"), "p.*")
+    """As-of positions for several instants at once, in one pass over the points: each is assigned to the first instant at
+    or after it, the newest per (vessel, instant) is taken, and holds until the vessel's next instant with a point."""
+    keys, ts = _keys(points), sorted(times)
+    instants = F.array(*[F.lit(t) for t in ts])
+    slot = F.size(F.filter(instants, lambda x: x < F.col("t")))   # instants before the point: the place of the next one
+    per_slot = (points.withColumn("slot", slot).where(F.col("slot") < len(ts))
+                .groupBy(*keys, "slot").agg(F.max_by(F.struct("t", "lat", "lon", "sog", "z"), F.col("t")).alias("p")))
+    until = F.coalesce(F.lead("slot").over(Window.partitionBy(*keys).orderBy("slot")), F.lit(len(ts)))
+    held = per_slot.withColumn("until", until).withColumn("at", F.explode(F.sequence(F.col("slot"), F.col("until") - 1)))
+    return held.select(*keys, F.element_at(instants, F.col("at") + 1).alias("at_t"), "p.*")
 
 
 def trail_window(points: DataFrame, at_t: int, length: float) -> DataFrame:
     """Trail of each vessel at ``at_t``: its points in [at_t - length, at_t] plus its newest
     point at or before ``at_t`` (length may be infinite)."""
+    keys = _keys(points)
     p = points.where(F.col("t") <= at_t)
-    latest_t = F.max("t").over(Window.partitionBy("mmsi"))
+    latest_t = F.max("t").over(Window.partitionBy(*keys))
     p = p.withColumn("latest_t", latest_t)
     cond = F.col("t") == F.col("latest_t")
     if length != float("inf"):
         cond = cond | (F.col("t") >= F.lit(at_t - length))
     else:
         cond = F.lit(True)
-    return p.where(cond).select("mmsi", "t", "lat", "lon", (F.col("t") == F.col("latest_t")).alias("is_latest"))
+    return p.where(cond).select(*keys, "t", "lat", "lon", (F.col("t") == F.col("latest_t")).alias("is_latest"))

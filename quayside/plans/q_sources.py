@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quayside import config
+from quayside import config, pipeline
 from quayside.operators import quality, tracks
 from quayside.plans import oracle as o
 from quayside.plans import payload, q_facts, q_kpis, q_tracks  # noqa: F401  (CTEs, oracles)
-from quayside.plans.q_joins import EPOCH, reg
+from quayside.plans.q_joins import reg
 from quayside.plans.tables import TABLE_ATTRS, TABLE_COLUMNS, Tables, published
 from quayside.session import scratch_path
-from quayside.sources import ais_csv, filtered, manifest, sinks
+from quayside.sources import ais_csv, documents, filtered, manifest, sinks
 from quayside.streaming import ingest
 
 isod, isots = o.iso_date, o.iso_ts
@@ -249,11 +249,44 @@ def q_export_payload(spark, sf_dir):
     return out
 
 
+@reg("filter_counts", f"""
+SELECT count(*) AS "read", count(*) FILTER (WHERE long) AS too_long, count(*) FILTER (WHERE NOT long AND nameless) AS no_mmsi,
+       count(*) FILTER (WHERE NOT long AND NOT nameless AND NOT inside) AS outside,
+       count(*) FILTER (WHERE NOT long AND NOT nameless AND inside) AS written
+FROM (SELECT date > DATE '{SPLIT_DAY}' AND event_id % 97 = 0 AS long, event_id % 41 = 0 AS nameless,
+             {' OR '.join(o.box(b) for b in config.PORTS.values())} AS inside FROM raw) r""", ["raw"])
+def q_filter_counts(spark, sf_dir):
+    """What became of the lines of an archive with over-long lines and lines without MMSI, as counted by the filter step itself."""
+    raw = Tables(spark, sf_dir).raw.withColumn("mmsi", F.expr("IF(event_id % 41 = 0, NULL, mmsi)"))
+    path = scratch_path(spark, "count-archive")
+    late = F.col("date") > F.lit(SPLIT_DAY).cast("date")
+    ais_csv.write_raw_csv(raw.where(~late), f"{path}/early")
+    late_rows = raw.where(late).withColumn("Destination", F.when(F.col("event_id") % 97 == 0, F.lit("a,b,c")))
+    ais_csv.write_raw_csv(late_rows, f"{path}/late", columns=_PLAIN, quote="")
+    counts = filtered.filter_archive(spark, path, scratch_path(spark, "counted"))
+    return spark.createDataFrame([counts], "read long, too_long long, no_mmsi long, outside long, written long")
+
+
+_map_json = ("'{\"t\":' || CAST(t AS VARCHAR) || ',\"lat\":' || CAST(lat AS VARCHAR) || ',\"lon\":' || CAST(lon AS VARCHAR)"
+             " || coalesce(',\"sog\":' || CAST(sog AS VARCHAR), '') || coalesce(',\"z\":' || CAST(z AS VARCHAR), '') || '}'")
+
+
+@reg("map_documents", f"""
+SELECT month AS document, mmsi, name, type, '[' || string_agg({_map_json}, ',' ORDER BY t) || ']' AS track
+FROM month_track_pts GROUP BY month, mmsi, name, type
+UNION ALL SELECT {isod('date')}, mmsi, name, type, track_json FROM day_tracks_short""", ["month_track_pts", "day_tracks_short"])
+def q_map_documents(spark, sf_dir):
+    """The map documents of all months and days (vessels of two points and more, as the test data is thin), read back."""
+    path = scratch_path(spark, "maps")
+    pipeline.run_maps(Tables(spark, sf_dir), path, day_points=2)
+    return documents.read_vessels(spark, f"{path}/months").unionByName(documents.read_vessels(spark, f"{path}/days"))
+
+
 @reg("tracks_json", "SELECT mmsi, n_points FROM month_keep", ["month_keep"])
 def q_tracks_json(spark, sf_dir):
     """Month tracks serialised as JSON lines and parsed back: points per vessel."""
     t = Tables(spark, sf_dir)
-    tr = tracks.month_tracks(t.raw, t.pings, EPOCH, days=q_tracks.MONTH_DAYS)
+    tr = tracks.month_tracks(t.raw, t.pings)
     path = scratch_path(spark, "tracks")
     tr.select(F.to_json(F.struct("mmsi", "name", "type", "track")).alias("value")).write.mode("overwrite").text(path)
     back = spark.read.schema("mmsi long, name string, type string, "

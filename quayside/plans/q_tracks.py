@@ -2,8 +2,6 @@
 A11, P19, J9-J11)."""
 from __future__ import annotations
 
-import calendar
-
 from pyspark.sql import functions as F
 
 from quayside import config
@@ -11,14 +9,12 @@ from quayside.functions import vessel
 from quayside.operators import tracks
 from quayside.plans import oracle as o
 from quayside.plans import q_joins  # noqa: F401  (core / approach CTEs)
-from quayside.plans.q_joins import EPOCH, reg
+from quayside.plans.q_joins import reg
 from quayside.plans.tables import Tables
 
 ASOF_T = 20160            # minute 20,160 of the month = day 15, 00:00
 TRAIL_MINUTES = 360       # the 6-hour trail
 
-MONTH_DAYS = calendar.monthrange(*map(int, EPOCH.split("-")[:2]))[1]   # the whole month of the data
-MONTH_MINUTES = MONTH_DAYS * 1440
 # A viewport of the harbour, its padding, and filters of the as-of queries.
 VIEW, VIEW_PAD = (56.12, 56.19, 10.18, 10.28), 0.1
 ASOF_TYPES, ASOF_ZONES = ["Cargo", "Tanker", "Passenger"], [0, 1, None]
@@ -120,56 +116,53 @@ def q_display_name(spark, sf_dir):
 
 # ---- month map -----------------------------------------------------------------
 o.cte("month_union", ["core", "approach"], f"""
-SELECT * FROM (
-  SELECT *, CAST(trunc(date_diff('second', TIMESTAMP '{EPOCH}', ts) / 60e0) AS INTEGER) AS t,
-         {o.type_first_wins()} AS type
-  FROM (SELECT event_id, mmsi, ts, latitude, longitude, sog, name, ship_type, 0 AS src FROM core
-        UNION ALL
-        SELECT event_id, mmsi, ts, latitude, longitude, sog, name, ship_type, 1 AS src FROM approach a
-        WHERE a.mmsi IN (SELECT mmsi FROM core)) u) x
-WHERE t >= 0 AND t < {MONTH_MINUTES}""")
+SELECT *, CAST(floor(date_diff('second', date_trunc('month', ts), ts) / 60e0) AS INTEGER) AS t, {o.type_first_wins()} AS type
+FROM (SELECT event_id, strftime(ts, '%Y-%m') AS month, mmsi, ts, latitude, longitude, sog, name, ship_type, 0 AS src FROM core
+      UNION ALL
+      SELECT event_id, strftime(ts, '%Y-%m'), mmsi, ts, latitude, longitude, sog, name, ship_type, 1 AS src FROM approach a
+      WHERE EXISTS (SELECT 1 FROM core c WHERE c.mmsi = a.mmsi AND date_trunc('month', c.ts) = date_trunc('month', a.ts))) u""")
 o.cte("month_dedup", ["month_union"], """
-SELECT * FROM month_union QUALIFY row_number() OVER (PARTITION BY mmsi, t ORDER BY src, ts, event_id) = 1""")
+SELECT * FROM month_union QUALIFY row_number() OVER (PARTITION BY month, mmsi, t ORDER BY src, ts, event_id) = 1""")
 o.cte("month_down", ["month_dedup"], f"""
-SELECT mmsi, CAST(floor(t / {config.MONTH_MAP_BUCKET_MINUTES}) AS INTEGER) AS bucket, first(t ORDER BY ts, event_id) AS t,
+SELECT month, mmsi, CAST(floor(t / {config.MONTH_MAP_BUCKET_MINUTES}) AS INTEGER) AS bucket, first(t ORDER BY ts, event_id) AS t,
        {_first('latitude')} AS latitude, {_first('longitude')} AS longitude, {_first('sog')} AS sog,
        {_first('name')} AS name, {_first('type')} AS type
-FROM month_dedup GROUP BY mmsi, bucket""")
+FROM month_dedup GROUP BY month, mmsi, bucket""")
 o.cte("month_pts", ["month_down"], f"""
 SELECT *, {o.zone_index_case('lat', 'lon')} AS z FROM (
-  SELECT mmsi, t, round_even(CAST(latitude AS DOUBLE), 5) AS lat, round_even(CAST(longitude AS DOUBLE), 5) AS lon,
+  SELECT month, mmsi, t, round_even(CAST(latitude AS DOUBLE), 5) AS lat, round_even(CAST(longitude AS DOUBLE), 5) AS lon,
          CASE WHEN sog < 102.3e0 THEN round_even(CAST(sog AS DOUBLE), 1) END AS sog, name, type
   FROM month_down) p""")
-o.cte("month_name", ["month_pts"], _mode("name", "mmsi", "month_pts"))
-o.cte("month_type", ["month_pts"], _mode("type", "mmsi", "month_pts"))
+o.cte("month_name", ["month_pts"], _mode("name", "month, mmsi", "month_pts"))
+o.cte("month_type", ["month_pts"], _mode("type", "month, mmsi", "month_pts"))
 o.cte("month_keep", ["month_pts", "month_name", "month_type"], f"""
-SELECT k.mmsi, trim(coalesce(n.name, '')) AS name, ty.type, k.n_points
-FROM (SELECT mmsi, count(*) AS n_points FROM month_pts GROUP BY mmsi HAVING count(*) >= {config.MONTH_MAP_MIN_POINTS}) k
-LEFT JOIN month_name n ON n.mmsi = k.mmsi JOIN month_type ty ON ty.mmsi = k.mmsi""")
+SELECT k.month, k.mmsi, trim(coalesce(n.name, '')) AS name, ty.type, k.n_points
+FROM (SELECT month, mmsi, count(*) AS n_points FROM month_pts GROUP BY month, mmsi HAVING count(*) >= {config.MONTH_MAP_MIN_POINTS}) k
+LEFT JOIN month_name n ON n.mmsi = k.mmsi AND n.month = k.month JOIN month_type ty ON ty.mmsi = k.mmsi AND ty.month = k.month""")
 o.cte("month_track_pts", ["month_keep", "month_pts"], """
-SELECT k.mmsi, k.name, k.type, CAST(row_number() OVER (PARTITION BY p.mmsi ORDER BY p.t) - 1 AS INTEGER) AS idx,
+SELECT k.month, k.mmsi, k.name, k.type, CAST(row_number() OVER (PARTITION BY p.month, p.mmsi ORDER BY p.t) - 1 AS INTEGER) AS idx,
        p.t, p.lat, p.lon, p.sog, p.z
-FROM month_pts p JOIN month_keep k ON k.mmsi = p.mmsi""")
+FROM month_pts p JOIN month_keep k ON k.mmsi = p.mmsi AND k.month = p.month""")
 
 
-@reg("core_union_approach", "SELECT src, event_id, mmsi, t FROM month_union", ["month_union"])
+@reg("core_union_approach", "SELECT src, event_id, month, mmsi, t FROM month_union", ["month_union"])
 def q_core_union_approach(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return tracks.core_union_approach(t.raw, t.pings, EPOCH, MONTH_DAYS).select("src", "event_id", "mmsi", "t")
+    return tracks.core_union_approach(t.raw, t.pings).select("src", "event_id", "month", "mmsi", "t")
 
 
-@reg("dedupe_minute", "SELECT mmsi, t, src, event_id FROM month_dedup", ["month_dedup"])
+@reg("dedupe_minute", "SELECT month, mmsi, t, src, event_id FROM month_dedup", ["month_dedup"])
 def q_dedupe_minute(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return tracks.dedupe_minute(tracks.core_union_approach(t.raw, t.pings, EPOCH, MONTH_DAYS)).select("mmsi", "t", "src", "event_id")
+    return tracks.dedupe_minute(tracks.core_union_approach(t.raw, t.pings)).select("month", "mmsi", "t", "src", "event_id")
 
 
-@reg("downsample_1m", "SELECT mmsi, bucket, t, latitude, longitude, sog, name, type FROM month_down", ["month_down"])
+@reg("downsample_1m", "SELECT month, mmsi, bucket, t, latitude, longitude, sog, name, type FROM month_down", ["month_down"])
 def q_downsample_1m(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    pts = tracks.dedupe_minute(tracks.core_union_approach(t.raw, t.pings, EPOCH, MONTH_DAYS))
-    return tracks.downsample(pts, ["mmsi"], config.MONTH_MAP_BUCKET_MINUTES).select(
-        "mmsi", "bucket", "t", "latitude", "longitude", "sog", "name", "type")
+    pts = tracks.dedupe_minute(tracks.core_union_approach(t.raw, t.pings))
+    return tracks.downsample(pts, tracks.MONTH_KEYS, config.MONTH_MAP_BUCKET_MINUTES).select(
+        "month", "mmsi", "bucket", "t", "latitude", "longitude", "sog", "name", "type")
 
 
 _pt_json = ("'{\"t\":' || CAST(t AS VARCHAR) || ',\"lat\":' || CAST(lat AS VARCHAR) || ',\"lon\":' || CAST(lon AS VARCHAR)"
@@ -177,34 +170,34 @@ _pt_json = ("'{\"t\":' || CAST(t AS VARCHAR) || ',\"lat\":' || CAST(lat AS VARCH
 
 
 @reg("tracks_month", f"""
-SELECT mmsi, name, type, CAST(count(*) AS INTEGER) AS n_points, '[' || string_agg({_pt_json}, ',' ORDER BY t) || ']' AS track_json
-FROM month_track_pts GROUP BY mmsi, name, type""", ["month_track_pts"])
+SELECT month, mmsi, name, type, CAST(count(*) AS INTEGER) AS n_points, '[' || string_agg({_pt_json}, ',' ORDER BY t) || ']' AS track_json
+FROM month_track_pts GROUP BY month, mmsi, name, type""", ["month_track_pts"])
 def q_tracks_month(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    tr = tracks.month_tracks(t.raw, t.pings, EPOCH, days=MONTH_DAYS)
-    return tr.select("mmsi", "name", "type", "n_points", tracks.track_json(tr, keep_nulls=False).alias("track_json"))
+    tr = tracks.month_tracks(t.raw, t.pings)
+    return tr.select("month", "mmsi", "name", "type", "n_points", tracks.track_json(tr, keep_nulls=False).alias("track_json"))
 
 
-@reg("track_points", "SELECT mmsi, name, type, idx, t, lat, lon, sog, z FROM month_track_pts", ["month_track_pts"])
+@reg("track_points", "SELECT month, mmsi, name, type, idx, t, lat, lon, sog, z FROM month_track_pts", ["month_track_pts"])
 def q_track_points(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return tracks.track_points(tracks.month_tracks(t.raw, t.pings, EPOCH, days=MONTH_DAYS))
+    return tracks.track_points(tracks.month_tracks(t.raw, t.pings))
 
 
 def _month_points(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return tracks.track_points(tracks.month_tracks(t.raw, t.pings, EPOCH, days=MONTH_DAYS))
+    return tracks.track_points(tracks.month_tracks(t.raw, t.pings))
 
 
 @reg("positions_asof", f"""
-SELECT mmsi, type, t, lat, lon, sog, z FROM month_track_pts WHERE t <= {ASOF_T}
-QUALIFY row_number() OVER (PARTITION BY mmsi ORDER BY t DESC) = 1""", ["month_track_pts"])
+SELECT month, mmsi, type, t, lat, lon, sog, z FROM month_track_pts WHERE t <= {ASOF_T}
+QUALIFY row_number() OVER (PARTITION BY month, mmsi ORDER BY t DESC) = 1""", ["month_track_pts"])
 def q_positions_asof(spark, sf_dir):
     return tracks.positions_asof(_month_points(spark, sf_dir), ASOF_T)
 
 
-_latest = f"""SELECT mmsi, type, t, lat, lon, sog, z FROM month_track_pts WHERE t <= {ASOF_T}
-QUALIFY row_number() OVER (PARTITION BY mmsi ORDER BY t DESC) = 1"""
+_latest = f"""SELECT month, mmsi, type, t, lat, lon, sog, z FROM month_track_pts WHERE t <= {ASOF_T}
+QUALIFY row_number() OVER (PARTITION BY month, mmsi ORDER BY t DESC) = 1"""
 
 
 @reg("positions_asof_filtered", f"""
@@ -219,30 +212,30 @@ _dy, _dx = ((VIEW[i + 1] - VIEW[i]) * VIEW_PAD for i in (0, 2))
 
 
 @reg("positions_in_view", f"""
-SELECT type, count(*) AS vessels, count(*) FILTER (WHERE lat BETWEEN {o.d(VIEW[0] - _dy)} AND {o.d(VIEW[1] + _dy)}
-       AND lon BETWEEN {o.d(VIEW[2] - _dx)} AND {o.d(VIEW[3] + _dx)}) AS visible FROM ({_latest}) p GROUP BY type""", ["month_track_pts"])
+SELECT month, type, count(*) AS vessels, count(*) FILTER (WHERE lat BETWEEN {o.d(VIEW[0] - _dy)} AND {o.d(VIEW[1] + _dy)}
+       AND lon BETWEEN {o.d(VIEW[2] - _dx)} AND {o.d(VIEW[3] + _dx)}) AS visible FROM ({_latest}) p GROUP BY month, type""", ["month_track_pts"])
 def q_positions_in_view(spark, sf_dir):
     """Vessels per type at the instant, and how many of them a padded viewport shows."""
     p = tracks.positions_asof(_month_points(spark, sf_dir), ASOF_T)
     shown = tracks.in_view(F.col("lat"), F.col("lon"), VIEW, VIEW_PAD)
-    return p.groupBy("type").agg(F.count(F.lit(1)).alias("vessels"), F.count_if(shown).alias("visible"))
+    return p.groupBy("month", "type").agg(F.count(F.lit(1)).alias("vessels"), F.count_if(shown).alias("visible"))
 
 
 @reg("trail_window", f"""
-SELECT mmsi, t, lat, lon, t = max(t) OVER (PARTITION BY mmsi) AS is_latest FROM month_track_pts
+SELECT month, mmsi, t, lat, lon, t = max(t) OVER (PARTITION BY month, mmsi) AS is_latest FROM month_track_pts
 WHERE t <= {ASOF_T}
-QUALIFY t >= {ASOF_T - TRAIL_MINUTES} OR t = max(t) OVER (PARTITION BY mmsi)""", ["month_track_pts"])
+QUALIFY t >= {ASOF_T - TRAIL_MINUTES} OR t = max(t) OVER (PARTITION BY month, mmsi)""", ["month_track_pts"])
 def q_trail_window(spark, sf_dir):
     return tracks.trail_window(_month_points(spark, sf_dir), ASOF_T, TRAIL_MINUTES)
 
 
-ASOF_GRID = [2880 * k for k in range(1, 16)]     # every second day at 00:00 of the map month
+ASOF_GRID = [2880 * k for k in range(1, 16)]     # every second day at 00:00 of a month
 
 
 @reg("positions_asof_many", f"""
-SELECT p.mmsi, g.at_t, p.t, p.lat, p.lon, p.sog, p.z
+SELECT p.month, p.mmsi, g.at_t, p.t, p.lat, p.lon, p.sog, p.z
 FROM month_track_pts p JOIN (VALUES {', '.join(f'({x})' for x in ASOF_GRID)}) g(at_t) ON p.t <= g.at_t
-QUALIFY row_number() OVER (PARTITION BY p.mmsi, g.at_t ORDER BY p.t DESC) = 1""", ["month_track_pts"])
+QUALIFY row_number() OVER (PARTITION BY p.month, p.mmsi, g.at_t ORDER BY p.t DESC) = 1""", ["month_track_pts"])
 def q_positions_asof_many(spark, sf_dir):
     """As-of positions for a grid of instants in one pass: points are assigned to the
     first instant at or after them, the newest per (vessel, instant) is kept, and a

@@ -54,10 +54,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a private one only when none is set.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object-store) folder and is
-    used as is. Only when it is unset, as in local tests, is a fresh temporary folder set.
+    used as is. Only when it is unset and all runs in one process, as in local tests, is a fresh temporary folder set.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not current and not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not current:
         current = tempfile.mkdtemp(prefix="quayside-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)

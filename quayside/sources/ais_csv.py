@@ -2,8 +2,8 @@
 
 Files of an archive need not share one layout: columns are mapped by the HEADER NAME of
 each file, never by position. Files are grouped by header line (the first line of each,
-read from the file system), and every group is scanned as text lines that are parsed with
-its own names. What makes a line bad is counted in the line itself -- more fields than its
+found by a scan), and every group is scanned as text lines that are parsed with its own
+names. What makes a line bad is counted in the line itself -- more fields than its
 header has -- so it does not depend on the columns a query selects. Short lines are padded
 with nulls; every field is converted with ``try_cast`` / ``try_to_timestamp``, so an
 unparsable number or time becomes null instead of failing the job. A record is one line:
@@ -12,8 +12,9 @@ fields may be quoted, but hold no line feed.
 from __future__ import annotations
 
 import csv
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from quayside import config
@@ -41,31 +42,46 @@ TOO_LONG = "too_long"       # the line has more fields than its header
 PERIOD_RE = r"aisdk-(\d{4}-\d{2}(?:-\d{2})?)"
 
 
-def layouts(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Header line -> the CSV files under ``path`` (a folder, file or glob) that begin with it.
+def _any(spark: SparkSession, path: str) -> bool:
+    """Whether a folder, file or glob is there: one call to its file system."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.globStatus(root))
+
+
+def _csv(reader: DataFrameReader) -> DataFrameReader:
+    return reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+
+
+def file_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """file and header: the first line of each CSV file under some paths, found by a scan; files that begin with an empty line have none.
 
-    One line per file is read on the driver, through Hadoop's file system API; empty files have no layout."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
+    The line is the first of the split that begins the file: a task numbers what it reads in order."""
+    lines = _csv(spark.read).text(paths).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    begins = lines.where("file_block_start = 0").select("file_path", "value", F.monotonically_increasing_id().alias("place"))
+    return (begins.groupBy(F.col("file_path").alias("file")).agg(F.min_by("value", "place").alias("header")).where("header <> ''"))
+
+
+def layouts(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Header line -> the CSV files under ``path`` (a folder, file or glob) that begin with it. No file is read by the driver."""
     found: dict[str, list[str]] = {}
-    for status in fs.globStatus(root) or []:
-        files = fs.listFiles(status.getPath(), True)
-        while files.hasNext():
-            f = files.next().getPath()
-            if not f.getName().endswith(".csv") or f.getName()[0] in "_.":
-                continue
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(f), "UTF-8"))
-            try:
-                line = reader.readLine()
-            finally:
-                reader.close()
-            if line:
-                found.setdefault(line, []).append(f.toString())
+    if _any(spark, path):
+        for r in file_headers(spark, path).collect():
+            found.setdefault(r["header"], []).append(unquote(r["file"]))
     return found
 
 
+def catalogue(spark: SparkSession, path: str, store: str) -> DataFrame:
+    """file and header of all CSV files under ``path``, kept as a table at ``store``: only files that it doesn't know yet are read."""
+    known = spark.read.schema("file string, header string").parquet(store) if _any(spark, store) else None
+    if _any(spark, path):
+        listed = _csv(spark.read.format("binaryFile")).load(path).select(F.col("_metadata.file_path").alias("file"))
+        new = [unquote(r["file"]) for r in (listed if known is None else listed.join(known, "file", "left_anti")).collect()]
+        if new:
+            file_headers(spark, new).write.mode("append").parquet(store)
+    return spark.read.schema("file string, header string").parquet(store) if _any(spark, store) else spark.createDataFrame([], "file string, header string")
+
+
 def header_names(line: str) -> list[str]:
     return [n.strip().lstrip("﻿") for n in next(csv.reader([line]))]
 

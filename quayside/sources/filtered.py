@@ -7,7 +7,7 @@ idempotent "already filtered" rule; readers get partition pruning on ``date`` an
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions import vessel
@@ -18,17 +18,33 @@ from quayside.sources import ais_csv
 FILTERED_COLUMNS = ["event_id", *ais_csv.ENGINE_NAMES, "port", "date"]
 
 
-def write_filtered(raw: DataFrame, path: str) -> None:
-    """Box filter + port label, written as one folder per day (S3). Only the days present are overwritten.
+def write_filtered(raw: DataFrame, path: str) -> int:
+    """Box filter + port label, written as one folder per day (S3). Only the days present are overwritten. Returns the rows written.
+
+    They are counted by the write itself, behind the filter, so that this still reaches the scan.
 
     Rows are rebalanced by day: a day goes to few writers, and a day that holds a large part of all rows to as many as
     its size calls for, since adaptive execution may split what a rebalance deals out."""
     for name, typ in ais_csv.RAW_FIELDS.values():
         if name not in raw.columns:
             raw = raw.withColumn(name, F.lit(None).cast("timestamp_ntz" if typ == "timestamp" else typ))
-    pings = regions.filter_and_label(raw).select(*FILTERED_COLUMNS)
+    written = Observation()
+    pings = regions.filter_and_label(raw).select(*FILTERED_COLUMNS).observe(written, F.count(F.lit(1)).alias("rows"))
     (pings.hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("compression", "snappy").partitionBy("date").parquet(path))
+    return written.get["rows"]
+
+
+def filter_archive(spark: SparkSession, csv_root: str, path: str) -> dict[str, int]:
+    """The filter step from archive files to filtered days, and what became of their lines, counted while they are written:
+    ``read``, ``too_long`` (more fields than the header), ``no_mmsi``, ``outside`` (of all boxes) and ``written``."""
+    seen = Observation()
+    bad, nameless = F.col(ais_csv.TOO_LONG), F.col("mmsi").isNull()
+    rows = ais_csv.scan_periods(spark, csv_root).observe(
+        seen, F.count(F.lit(1)).alias("read"), F.count_if(bad).alias("too_long"), F.count_if(~bad & nameless).alias("no_mmsi"))
+    written = write_filtered(ais_csv.as_pings(rows), path)
+    n = seen.get
+    return n | {"outside": n["read"] - n["too_long"] - n["no_mmsi"] - written, "written": written}
 
 
 def read_filtered(spark: SparkSession, path: str) -> DataFrame:

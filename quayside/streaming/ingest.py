@@ -20,21 +20,26 @@ from quayside.sources import ais_csv
 from quayside.sources.filtered import FILTERED_COLUMNS
 
 
-def raw_stream(spark: SparkSession, src_glob: str, max_files: int = 64) -> DataFrame:
-    """New files as pings. Each line is parsed with the layout of its file, which is looked up by path; a file that came
-    after the layouts were listed fails its micro-batch, which the next run repeats with a new list."""
-    found = sorted(ais_csv.layouts(spark, src_glob).items())
-    files = spark.createDataFrame([(f, i) for i, (_, fs) in enumerate(found) for f in fs], "listed string, layout int")
+def layout_store(checkpoint_dir: str) -> str:
+    """Where the layouts of known files are kept, beside the stream's checkpoint."""
+    return checkpoint_dir.rstrip("/") + "-layouts"
+
+
+def raw_stream(spark: SparkSession, src_glob: str, store: str, max_files: int = 64) -> DataFrame | None:
+    """New files as pings; None if there are no files. Each line is parsed with the layout of its file, which is looked up by path
+    in the catalogue at ``store``; a file that came after the catalogue was brought up to date fails its micro-batch, which the
+    next run repeats with a new one."""
+    files = ais_csv.catalogue(spark, src_glob, store)
+    headers = sorted(r["header"] for r in files.select("header").distinct().collect())
+    if not headers:
+        return None
     lines = (spark.readStream.option("maxFilesPerTrigger", max_files).text(src_glob)
-             .select("value", F.col("_metadata.file_path").alias("file")))
-    path = F.regexp_replace("file", "^file:/+", "/")
-    lines = lines.join(files.withColumn("listed", F.regexp_replace("listed", "^file:/+", "/")), path == F.col("listed"), "left")
-    row, header = F.lit(None), F.lit(None)
-    for i, (h, _) in enumerate(found):
-        row = F.when(F.col("layout") == i, ais_csv.parsed(F.col("value"), h)).otherwise(row)
-        header = F.when(F.col("layout") == i, F.lit(h)).otherwise(header)
-    known = F.when(F.col("layout").isNull(), F.raise_error(F.concat(F.lit("no layout for "), F.col("file")))).otherwise(F.lit(True))
-    rows = lines.where(known & (F.col("value") != header) & (F.trim("value") != "")).select(row.alias("r"), "file")
+             .select("value", F.col("_metadata.file_path").alias("file"))).join(files, "file", "left")
+    row = F.lit(None)
+    for h in headers:
+        row = F.when(F.col("header") == h, ais_csv.parsed(F.col("value"), h)).otherwise(row)
+    known = F.when(F.col("header").isNull(), F.raise_error(F.concat(F.lit("no layout for "), F.col("file")))).otherwise(F.lit(True))
+    rows = lines.where(known & (F.col("value") != F.col("header")) & (F.trim("value") != "")).select(row.alias("r"), "file")
     return ais_csv.as_pings(ais_csv.with_period(rows, "file").select("r.*", "period", "period_date"))
 
 
@@ -44,9 +49,10 @@ def filtered_stream(raw: DataFrame) -> DataFrame:
 
 def run_ingest(spark: SparkSession, src_glob: str, out_dir: str, checkpoint_dir: str, max_files: int = 64) -> None:
     """Drain all new files once (availableNow) and wait for the stream to finish; nothing to do without files."""
-    if not ais_csv.layouts(spark, src_glob):
+    raw = raw_stream(spark, src_glob, layout_store(checkpoint_dir), max_files)
+    if raw is None:
         return
-    q = (filtered_stream(raw_stream(spark, src_glob, max_files)).writeStream
+    q = (filtered_stream(raw).writeStream
          .format("parquet").option("checkpointLocation", checkpoint_dir).partitionBy("date")
          .outputMode("append").trigger(availableNow=True).start(out_dir))
     q.awaitTermination()
