@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quayside import config, pipeline
+from quayside.functions import geo
 from quayside.operators import quality, tracks
 from quayside.plans import oracle as o
 from quayside.plans import payload, q_facts, q_kpis, q_tracks  # noqa: F401  (CTEs, oracles)
@@ -320,23 +321,82 @@ def _storage(spark, sf_dir):
     return raw_root, filt_root, sub_root
 
 
-@reg("period_manifest", None)
+# Two states of a storage in which each ping takes 16 bytes: which days it has as archive, unpacked, filtered and as Aarhus subset.
+# In the second state some files of the first are gone, some are new, and the filtered days hold every second ping only.
+_STATES = [{"archives": (1, 8), "raw": (1, 20), "filtered": (1, 15), "subset": (1, 10), "step": 1},
+           {"archives": (6, 30), "raw": (11, 24), "filtered": (5, 18), "subset": (9, 18), "step": 2}]
+_LINE = 16
+_KINDS = {"raw": "true", "filtered": "inside", "subset": "inside AND port = 'aarhus'"}
+
+
+def _state_sql(i: int) -> str:
+    """Bytes of one state by period: days and their month."""
+    s = _STATES[i]
+    days = lambda kind: f"day(date) BETWEEN {s[kind][0]} AND {s[kind][1]}"
+    size = lambda kind, step: f"nullif({_LINE} * count(*) FILTER (WHERE {_KINDS[kind]} AND {days(kind)} AND event_id % {step} = 0), 0)"
+    period = lambda p: (f"SELECT {p} AS period, bool_or({days('archives')}) AS zipped, {size('raw', 1)} AS raw_size, "
+                        f"{size('filtered', s['step'])} AS filtered_size, {size('subset', s['step'])} AS subset_size FROM labelled GROUP BY 1")
+    by_month = period("strftime(date, '%Y-%m')").replace(size("raw", 1), "NULL").replace(f"bool_or({days('archives')})", "false")
+    return f"{period(isod('date'))} UNION ALL {by_month}"
+
+
+_red = lambda out, inp: f"round_even((1e0 - {out}::DOUBLE / nullif({inp}, 0)::DOUBLE) * 1000e0, 0) / 10e0"
+
+
+def _manifest_sql(i: int) -> str:
+    """The manifest after a state: what was seen once stays, sizes are the new ones where there are any."""
+    before = "m0" if i else "(SELECT NULL AS period, false AS raw, false AS unzipped, false AS filtered, 0 AS unzipped_size, 0 AS filtered_size, 0 AS subset_size, NULL::DOUBLE AS fc, NULL::DOUBLE AS ac)"
+    return f"""
+SELECT *, coalesce(nullif({_red('filtered_size', 'unzipped_size')}, 0e0), p_fc) AS fc, coalesce(nullif({_red('subset_size', 'filtered_size')}, 0e0), p_ac) AS ac FROM (
+  SELECT c.period, coalesce(s.zipped, false) OR s.raw_size IS NOT NULL OR coalesce(p.raw, false) AS raw, s.raw_size IS NOT NULL OR coalesce(p.unzipped, false) AS unzipped,
+         s.filtered_size IS NOT NULL OR coalesce(p.filtered, false) AS filtered, coalesce(nullif(s.raw_size, 0), nullif(p.unzipped_size, 0)) AS unzipped_size,
+         coalesce(nullif(s.filtered_size, 0), nullif(p.filtered_size, 0)) AS filtered_size, coalesce(nullif(s.subset_size, 0), nullif(p.subset_size, 0)) AS subset_size,
+         p.fc AS p_fc, p.ac AS p_ac
+  FROM calendar c LEFT JOIN s{i} s ON s.period = c.period LEFT JOIN {before} p ON p.period = c.period) x"""
+
+
+o.cte("labelled", ["raw"], f"SELECT *, {' OR '.join(o.box(b) for b in config.PORTS.values())} AS inside, {o._port_case} AS port FROM raw")
+o.cte("calendar", [], f"""
+SELECT strftime(d, '%Y-%m') AS period FROM generate_series(DATE '{config.MONTHLY_START}', DATE '{config.MONTHLY_END}', INTERVAL 1 MONTH) g(d)
+UNION ALL SELECT strftime(d, '%Y-%m-%d') FROM generate_series(DATE '{config.DAILY_START}', DATE '{config.DAILY_END}', INTERVAL 1 DAY) g(d)""")
+for _i in (0, 1):
+    o.cte(f"s{_i}", ["labelled"], _state_sql(_i))
+    o.cte(f"m{_i}", ["calendar", f"s{_i}", *(["m0"] if _i else [])], _manifest_sql(_i))
+
+
+def _state(spark, t: Tables, state: dict, prefix: str) -> list:
+    """Write one state of the storage and observe it: raw, filtered and subset sizes, archives."""
+    root = scratch_path(spark, prefix)
+    pings = t.raw.select("event_id", "date", geo.any_region("latitude", "longitude", config.PORTS).alias("inside"),
+                         geo.region_label("latitude", "longitude", config.PORTS).alias("port"))
+    line = F.lpad(F.col("event_id").cast("string"), _LINE - 1, "0").alias("value")
+    days = lambda kind: F.dayofmonth("date").between(*state[kind])
+    period = F.concat(F.lit("aisdk-"), F.date_format("date", "yyyy-MM-dd")).alias("period")
+    for kind, rows in _KINDS.items():
+        step = 1 if kind == "raw" else state["step"]
+        kept = pings.where(F.expr(rows) & days(kind) & (F.col("event_id") % step == 0))
+        folder = period if kind == "raw" else F.date_format("date", "yyyy-MM-dd").alias("date")
+        kept.select(line, folder).write.partitionBy("period" if kind == "raw" else "date").text(f"{root}/{kind}")
+    pings.where(days("archives")).select(period).distinct().select(F.lit("").alias("value"), "period").write.partitionBy("period").text(f"{root}/archives")
+    return [manifest.observed_raw(spark, f"{root}/raw", "*.txt"), manifest.observed_by_date(spark, f"{root}/filtered", "filtered_size", "*.txt"),
+            manifest.observed_by_date(spark, f"{root}/subset", "filtered_aarhus_size", "*.txt"), manifest.observed_archives(spark, f"{root}/archives", "*.txt")]
+
+
+@reg("period_manifest", """
+SELECT period, raw, unzipped, CAST(unzipped_size AS BIGINT) AS unzipped_size, filtered, CAST(filtered_size AS BIGINT) AS filtered_size,
+       fc AS filtered_compression, CAST(subset_size AS BIGINT) AS filtered_aarhus_size, ac AS filtered_aarhus_compression FROM m1""", ["m1"])
 def q_period_manifest(spark, sf_dir):
-    """Calendar x observed artefacts x previous manifest. Run 1 sees the month's archive,
-    filtered and Aarhus files; run 2 sees none of them (deleted) and keeps the flags and
-    sizes of run 1 (sticky). Sizes depend on file encoding, hence rows-only."""
-    raw_root, filt_root, sub_root = _storage(spark, sf_dir)
-    cal = manifest.period_calendar(spark)
-    run1 = manifest.period_manifest(cal, manifest.observed_raw(spark, raw_root),
-                                    manifest.observed_by_date(spark, filt_root, "filtered_size"),
-                                    manifest.observed_by_date(spark, sub_root + "/port=aarhus", "filtered_aarhus_size"))
-    first_path = scratch_path(spark, "manifest")
-    run1.write.mode("overwrite").parquet(first_path)
-    prev = spark.read.parquet(first_path)
-    empty = spark.createDataFrame([], "period string, unzipped_size long")
-    empty_f = spark.createDataFrame([], "period string, filtered_size long")
-    empty_a = spark.createDataFrame([], "period string, filtered_aarhus_size long")
-    return manifest.period_manifest(cal, empty, empty_f, empty_a, previous=prev)
+    """The manifest of a second state of the storage, with that of the first as previous: calendar x observed artefacts x what
+    was known. Flags stay once set, sizes are the new ones where files are there."""
+    t, cal = Tables(spark, sf_dir), manifest.period_calendar(spark)
+    previous = None
+    for i, state in enumerate(_STATES):
+        *sizes, archives = _state(spark, t, state, f"state{i}")
+        out = manifest.period_manifest(cal, *sizes, previous=previous, archives=archives)
+        if i == 0:
+            out.write.parquet(path := scratch_path(spark, "manifest"))
+            previous = spark.read.parquet(path)
+    return out
 
 
 @reg("size_reduction", None)

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quayside.functions import numeric
-from quayside.operators import sketches
+from quayside.operators import quality, sketches
 from quayside.plans import oracle as o
 from quayside.plans.q_joins import reg
-from quayside.plans.tables import TABLE_ATTRS, TABLE_COLUMNS, Tables
+from quayside.plans import dashboard, kpis, q_dashboard, q_kpis, q_sources  # noqa: F401  (their SQL)
+from quayside.plans.registry import ORACLES
+from quayside.plans.registry import register
+from quayside.plans.tables import TABLE_ATTRS, TABLE_COLUMNS, StoredTables, Tables, published
 from quayside.session import scratch_path
 from quayside.sources import ais_csv
 from quayside.streaming import maintain
@@ -107,3 +110,34 @@ def q_speed_count_rollup(spark, sf_dir):
                      *[numeric.round_even(F.col(q), 2).alias(q) for q in _QUANTILES])
         out = s if out is None else out.unionByName(s)
     return out
+
+
+def _store(spark, sf_dir) -> StoredTables:
+    """The ten tables of the data, written by day, to be read from there."""
+    root = scratch_path(spark, "stored")
+    maintain.write_tables(Tables(spark, sf_dir).materialized(), root)
+    return StoredTables(spark, root)
+
+
+def _same_sql(name: str):
+    """A query on stored tables has the rows of the one that starts from pings, and so its SQL."""
+    return register(f"stored_{name}", ORACLES[name])
+
+
+@_same_sql("port_summary")
+def q_stored_port_summary(spark, sf_dir):
+    """The port summary from stored tables: no ping is read."""
+    return kpis.port_summary_df(_store(spark, sf_dir))
+
+
+@_same_sql("constraint_check")
+def q_stored_constraint_check(spark, sf_dir):
+    """Keys and rules checked on the stored tables, one pass over each."""
+    t = _store(spark, sf_dir)
+    return quality.constraint_check({tb: published(t.table(tb), tb) for tb in TABLE_ATTRS})
+
+
+@_same_sql("congestion_heatmap")
+def q_stored_congestion_heatmap(spark, sf_dir):
+    """The weekday-hour heatmap from the stored hourly table."""
+    return kpis.congestion_heatmap(_store(spark, sf_dir))

@@ -127,6 +127,30 @@ class Tables:
         return Tables(self.spark, pings=self.pings.checkpoint(eager=True))
 
 
+class StoredTables(Tables):
+    """The ten tables as read from where they are stored by day (``streaming.maintain``): every KPI and roll-up that takes
+    :class:`Tables` runs on these, from the stored rows alone. Pings are not read; a date window prunes folders."""
+
+    def __init__(self, spark: SparkSession, root: str, date_from: str | None = None, date_to: str | None = None):
+        super().__init__(spark, date_from=date_from, date_to=date_to)
+        self.root = root.rstrip("/")
+
+    def window(self, date_from: str | None, date_to: str | None) -> "StoredTables":
+        w = super().window(date_from, date_to)
+        return self if w is self else StoredTables(self.spark, self.root, w.date_from, w.date_to)
+
+    @property
+    def pings(self) -> DataFrame:
+        raise ValueError("stored tables have no pings")
+
+    def _read(self, table: str) -> DataFrame:
+        df = self.spark.read.schema(TABLE_SCHEMAS[table]).parquet(f"{self.root}/{table}")
+        for c in ("first_seen", "last_seen"):
+            if c in df.columns:
+                df = df.withColumn(c, F.to_timestamp_ntz(c, F.lit("yyyy-MM-dd HH:mm:ss")))
+        return self._window(df)
+
+
 # Published table name -> attribute, in load order.
 TABLE_ATTRS = {
     "port_hourly_stats": "port_hourly_stats",
@@ -159,6 +183,18 @@ TABLE_COLUMNS = {
                                 "sog_p95", "sog_p975"],
 }
 
+#: Types of the columns; those not named here are strings.
+_COLUMN_TYPES = ({"date": "date"} | dict.fromkeys(("mmsi", "vessel_count", "ping_count", "count", "unique_vessels", "entries", "exits"), "bigint")
+                 | dict.fromkeys(("hour", "entry_hour", "exit_hour"), "int")
+                 | dict.fromkeys(("dwell_minutes", "avg_dwell_minutes", "sog_mean", "sog_median", "sog_p025", "sog_p95", "sog_p975",
+                                  "pct_stationary"), "double"))
+#: A stored table's schema; ``date`` is the name of its folders.
+TABLE_SCHEMAS = {t: ", ".join(f"`{c}` {_COLUMN_TYPES.get(c, 'string')}" for c in cs) for t, cs in TABLE_COLUMNS.items()}
+
+for _table, _attr in TABLE_ATTRS.items():
+    setattr(StoredTables, _attr, property(lambda self, name=_table: self._read(name)))
+
+
 PRIMARY_KEYS = {
     "port_hourly_stats": ["port", "date", "hour", "vessel_type"],
     "vessel_visits": ["mmsi", "port", "date"],

@@ -38,15 +38,21 @@ def file_sizes(spark: SparkSession, root: str, glob: str) -> DataFrame:
             .load(root).select("path", "length"))
 
 
-def observed_raw(spark: SparkSession, root: str) -> DataFrame:
-    f = file_sizes(spark, root, "*.csv")
+def observed_raw(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
+    """Bytes of the unpacked files of each period."""
+    f = file_sizes(spark, root, glob)
     return (f.withColumn("period", F.regexp_extract("path", r"aisdk-(\d{4}-\d{2}(?:-\d{2})?)", 1))
             .groupBy("period").agg(F.sum("length").alias("unzipped_size")))
 
 
-def observed_by_date(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Bytes per day and per month of a date-partitioned Parquet folder."""
-    f = file_sizes(spark, root, "*.parquet").withColumn("day", F.regexp_extract("path", r"date=(\d{4}-\d{2}-\d{2})", 1))
+def observed_archives(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
+    """Periods whose downloaded archive is there."""
+    return file_sizes(spark, root, glob).select(F.regexp_extract("path", r"aisdk-(\d{4}-\d{2}(?:-\d{2})?)", 1).alias("period")).distinct()
+
+
+def observed_by_date(spark: SparkSession, root: str, name: str, glob: str = "*.parquet") -> DataFrame:
+    """Bytes per day and per month of a folder partitioned by date."""
+    f = file_sizes(spark, root, glob).withColumn("day", F.regexp_extract("path", r"date=(\d{4}-\d{2}-\d{2})", 1))
     days = f.groupBy(F.col("day").alias("period")).agg(F.sum("length").alias(name))
     months = f.groupBy(F.substring("day", 1, 7).alias("period")).agg(F.sum("length").alias(name))
     return days.unionByName(months)

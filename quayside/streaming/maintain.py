@@ -47,6 +47,12 @@ def _replace(df: DataFrame, path: str, *by: str) -> None:
      .partitionBy("date", *by).parquet(path))
 
 
+def write_tables(t: Tables, root: str) -> None:
+    """All ten tables of a data set, stored by day as the stream stores them."""
+    for table in TABLE_ATTRS:
+        _replace(published(t.table(table), table), f"{root.rstrip('/')}/{table}")
+
+
 def _around(days: list[dt.date], reach: int) -> list[dt.date]:
     """The given days and those up to ``reach`` days before and after."""
     return sorted({d + dt.timedelta(k) for d in days for k in range(-reach, reach + 1)})

@@ -9,7 +9,8 @@ from conftest import SF_SMALL
 # Queries that write files while being built (their plans read back what they wrote).
 WRITERS = {"scan_csv", "csv_layouts", "scan_periods", "filter_pings", "scan_filtered", "scan_core", "port_subset",
            "write_outputs", "load_tables", "table_overview", "export_payload", "tracks_json",
-           "incremental_ingest", "incremental_tables", "filter_counts", "map_documents", "period_manifest", "size_reduction", "constraint_check"}
+           "incremental_ingest", "incremental_tables", "filter_counts", "map_documents",
+           "stored_port_summary", "stored_constraint_check", "stored_congestion_heatmap", "period_manifest", "size_reduction", "constraint_check"}
 BANNED = ["CartesianProduct", "BroadcastNestedLoopJoin", "Expand", "BatchEvalPython", "ArrowEvalPython",
           "FlatMapGroupsInPandas"]
 
@@ -86,3 +87,22 @@ def test_histograms_read_their_source_once(spark):
     t = Tables(spark, pings=_stored(spark))
     for df in (explore.speed_histogram(t.pings), explore.dwell_histogram(t.vessel_visits)):
         assert _final(df).split("Initial Plan")[0].count("Scan parquet") == 1
+
+
+def test_kpis_on_stored_tables_read_no_pings(spark):
+    """From stored tables, the port summary scans the three tables that it needs, and only the days asked for."""
+    from quayside.plans import kpis
+    from quayside.plans.tables import StoredTables, Tables
+    from quayside.session import scratch_path
+    from quayside.streaming import maintain
+    root = scratch_path(spark, "t-stored")
+    maintain.write_tables(Tables(spark, SF_SMALL), root)
+    stored = StoredTables(spark, root).window("2024-01-03", "2024-01-09")
+    df = kpis.port_summary_df(stored)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert {f.split("/")[-3] for f in df.inputFiles()} == {"port_hourly_stats", "vessel_visits", "port_daily_flow"}
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 3 and all("PartitionFilters: [isnotnull(date" in s for s in scans)
+    assert not [b for b in BANNED if b in plan]
+    want = kpis.port_summary_df(Tables(spark, SF_SMALL).window("2024-01-03", "2024-01-09")).select("port", "total_vessel_hours", "avg_dwell_minutes")
+    assert sorted(map(tuple, kpis.port_summary_df(stored).select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
