@@ -7,7 +7,9 @@
    (``SAMPLE`` points by hash order); any vantage points and medians give right results, they only decide how even
    the shards are. By the triangle inequality, a point's partners within ``max_bits`` can be in the other branch only
    if its distance is within ``max_bits`` of the median: there, the point is sent both ways, to the other side as a
-   query only. So every pair meets in the shard of either point.
+   query only. So every pair meets in the shard of either point. A sample makes so many shards only; those that are still
+   large are split again in the same way, each by a tree that a task fits on a sample of its own points, until none is
+   (``split_large``). What is left large is what no vantage point divides: points within a few bits of each other.
 4. Within a shard, a vantage-point tree over its own points is joined with all points that came, branch by branch,
    with the same bound. Linked points are united in place, so a shard gives one row per linked point at most, not a
    row per pair, however dense a group is.
@@ -20,6 +22,7 @@ input are ignored, an empty table gives an empty result.
 """
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +40,9 @@ from quayside.llm.registry import register
 
 #: Points that the tree over the shards is fitted on, at most; points that a shard should have; points of a leaf.
 SAMPLE, SHARD, LEAF = 8192, 4096, 64
+#: A shard of more rows than this many times ``SHARD`` is split again, if it has less than ``SHRUNK`` of the rows of the one it
+#: was split from; its rows are dealt in pieces of ``PIECE``.
+ROOM, SHRUNK, PIECE = 16, 0.9, 1 << 17
 #: Distances that are held at once when leaves are compared.
 TILE = 1 << 22
 
@@ -162,6 +168,52 @@ def link_shard(points: np.ndarray, home: np.ndarray, max_bits: int) -> np.ndarra
     return parent
 
 
+_DEALT = "shard string, fp long, home boolean, whole long"
+
+
+def _routed(tree: Node | int, fp: np.ndarray, home: np.ndarray, max_bits: int, name: str, whole: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_DEALT`` for some points of one shard; who came to it as a query only stays one."""
+    for shard, at, own in route(tree, fp.view(np.uint64), max_bits):
+        yield pa.RecordBatch.from_arrays([pa.array([f"{name}/{shard}"] * len(at)), pa.array(fp[at]), pa.array(own & home[at]),
+                                          pa.array(np.full(len(at), whole))], ["shard", "fp", "home", "whole"])
+
+
+def split_large(dealt: DataFrame, max_bits: int) -> DataFrame:
+    """``dealt`` (rows of ``_DEALT``) with large shards split again, round by round, by trees of their own.
+
+    A tree is fitted in a task, on a bounded sample of a shard's own points by hash order, and meets the shard's rows in pieces
+    of bounded size. Rounds grow with the logarithm of the number of points over ``SAMPLE``.
+    """
+    while True:
+        sizes = dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.max("whole").alias("from"))
+        large = cut(sizes.where((F.col("n") > ROOM * SHARD) & (F.col("n") < SHRUNK * F.col("from")))
+                    .select("shard", "n", F.expr(f"1 + n DIV {PIECE}").alias("pieces")))
+        if large.isEmpty():
+            return dealt
+
+        def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+            n = int(pdf["n"].iloc[0])
+            tree = fit_tree(pdf["fp"].to_numpy().view(np.uint64), max(1, (n // SHARD).bit_length()))
+            return pd.DataFrame({"shard": pdf["shard"].iloc[:1], "n": [n], "pieces": pdf["pieces"].iloc[:1], "tree": [pickle.dumps(tree)]})
+
+        def deal(rows: pa.Table, trees: pa.Table) -> pa.Table:
+            out = []
+            if rows.num_rows and trees.num_rows:
+                fp, home = rows.column("fp").to_numpy(), rows.column("home").to_numpy(zero_copy_only=False)
+                out = list(_routed(pickle.loads(trees.column("tree")[0].as_py()), fp, home, max_bits, trees.column("shard")[0].as_py(), trees.column("n")[0].as_py()))
+            return pa.Table.from_batches(out, pa.schema([("shard", pa.string()), ("fp", pa.int64()), ("home", pa.bool_()), ("whole", pa.int64())]))
+
+        rows = dealt.join(large, "shard")
+        by_hash = Window.partitionBy("shard").orderBy(F.xxhash64("fp"), "fp")
+        trees = (rows.where("home").withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= SAMPLE).select("shard", "fp", "n", "pieces")
+                 .groupBy("shard").applyInPandas(fit, "shard string, n long, pieces long, tree binary"))
+        trees = trees.withColumn("piece", F.explode(F.expr("sequence(0L, pieces - 1)"))).select("shard", "piece", "n", "tree")
+        pieces = rows.withColumn("piece", F.expr("pmod(xxhash64(fp), pieces)")).select("shard", "piece", "fp", "home")
+        parts = pieces.groupBy("shard", "piece").cogroup(trees.groupBy("shard", "piece")).applyInArrow(deal, _DEALT)
+        # a large shard without points of its own has no tree, and no pairs to find
+        dealt = cut(dealt.join(large.select("shard"), "shard", "left_anti").unionByName(parts))
+
+
 def link_points(points: DataFrame, max_bits: int = 2) -> DataFrame:
     """Components of distinct fingerprints: stars ``(u, v)`` as of ``graph.components``.
 
@@ -174,9 +226,7 @@ def link_points(points: DataFrame, max_bits: int = 2) -> DataFrame:
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             p = b.column(0).to_numpy(zero_copy_only=False)
-            for shard, at, home in route(tree, p.view(np.uint64), max_bits):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), shard, np.int32)), pa.array(p[at]),
-                                                  pa.array(home)], ["shard", "fp", "home"])
+            yield from _routed(tree, p, np.ones(len(p), bool), max_bits, "", n + 1 if n > SHARD else 0)
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("fp")
@@ -185,7 +235,7 @@ def link_points(points: DataFrame, max_bits: int = 2) -> DataFrame:
         linked = root != np.arange(len(p))
         return pd.DataFrame({"u": p[linked], "v": p[root[linked]]})
 
-    dealt = points.mapInArrow(deal, "shard int, fp long, home boolean")
+    dealt = split_large(points.mapInArrow(deal, _DEALT), max_bits)
     return components(dealt.groupBy("shard").applyInPandas(link, "u long, v long"))
 
 

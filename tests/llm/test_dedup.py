@@ -105,6 +105,38 @@ def test_every_pair_meets_in_a_shard_of_either():
             assert home[a] in seen[b] and home[b] in seen[a]
 
 
+def test_large_shards_are_split_again(spark, monkeypatch):
+    """With a sample that makes few shards, the others come from splitting: all of bounded size, and no pair is lost."""
+    for name, value in (("SAMPLE", 64), ("SHARD", 40), ("ROOM", 4), ("PIECE", 100), ("LEAF", 8)):
+        monkeypatch.setattr(op9_simhash, name, value)
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 63, 900, dtype=np.uint64) * np.uint64(2)
+    near = base[:300] ^ (np.uint64(1) << rng.integers(0, 64, 300).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 300).astype(np.uint64))
+    points = np.unique(np.concatenate([base, near]))
+    df = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "fp long")
+    seen = []
+    split = op9_simhash.split_large
+
+    def watched(dealt, bits):
+        seen.append((dealt, out := split(dealt, bits)))
+        return out
+
+    monkeypatch.setattr(op9_simhash, "split_large", watched)
+    got = {r["u"]: r["v"] for r in op9_simhash.link_points(df).collect()}
+    pairs = [(a, b) for a, b in itertools.combinations(range(len(points)), 2) if bin(int(points[a]) ^ int(points[b])).count("1") <= 2]
+    signed = [int(p) for p in points.view(np.int64)]
+    order = sorted(range(len(points)), key=lambda i: signed[i])
+    place = {i: k for k, i in enumerate(order)}
+    root = classes(len(points), [(place[a], place[b]) for a, b in pairs])
+    want = {signed[i]: signed[order[root[place[i]]]] for i in range(len(points)) if order[root[place[i]]] != i}
+    assert got == want and len(pairs) >= 200
+    (before, after), = seen
+    largest = lambda d: max(r["count"] for r in d.groupBy("shard").count().collect())
+    assert largest(before) > 400 and largest(after) < largest(before) / 2
+    homes = after.where("home").groupBy("fp").count()
+    assert homes.count() == len(points) and homes.where("count <> 1").count() == 0
+
+
 def test_simhash_cases(spark):
     text = " ".join(f"w{i}" for i in range(300))
     rows = [(5, text, 1), (3, text, 2), (3, text, 3), (9, text + " tail", 4), (None, text, 5), (7, "other words here", 6),
