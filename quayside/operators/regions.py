@@ -46,8 +46,9 @@ def coverage_filter(pings: DataFrame, real_vessels_only: bool = True) -> DataFra
 # ---------------------------------------------------------------------------
 # Points-in-regions as a join (table-driven regions, any number of them)
 # ---------------------------------------------------------------------------
-#: Width in degrees of a cell of level 0, and the levels: each halves it, to some 0.0005 degrees; negative ones double it.
-WIDEST, DEEPEST, HIGHEST = 512.0, 20, -10
+#: Width in degrees of a cell of level 0, and the levels: each halves it, to some 0.0005 degrees; negative ones double it. Only
+#: every ``STEP``-th level is used: fewer levels are fewer probes of a ping, for cells of up to 2^STEP times a box's side.
+WIDEST, DEEPEST, HIGHEST, STEP = 512.0, 20, -10, 2
 #: Coordinates beyond this count as this when cells are numbered (infinite bounds of a box).
 FARTHEST = 2e5
 
@@ -71,7 +72,8 @@ def regions_frame(spark: SparkSession, regions: Mapping[str, geo.Box] = config.P
 def _level(low: str, high: str):
     """How often the widest cell is halved and still as wide as the side: the side then touches two cells at most."""
     side = (F.col(high).cast("double") - F.col(low).cast("double"))
-    return F.when(side <= WIDEST / 2 ** DEEPEST, DEEPEST).otherwise(F.greatest(F.lit(HIGHEST), F.floor(F.log2(F.lit(WIDEST) / side)))).cast("int")
+    fitting = F.floor(F.floor(F.log2(F.lit(WIDEST) / side)) / STEP) * STEP
+    return F.when(side <= WIDEST / 2 ** DEEPEST, DEEPEST).otherwise(F.greatest(F.lit(HIGHEST), fitting)).cast("int")
 
 
 def _cell(c, level):
@@ -80,13 +82,18 @@ def _cell(c, level):
     return F.floor(c * F.pow(F.lit(2.0), level) / F.lit(WIDEST)).cast("long")
 
 
+def _levelled(regions: DataFrame) -> DataFrame:
+    """Regions with an inside, and the level of their cells along each axis."""
+    real = regions.where("lat_min <= lat_max AND lon_min <= lon_max AND NOT isnan(lat_max) AND NOT isnan(lon_max)")
+    return real.withColumn("level_lat", _level("lat_min", "lat_max")).withColumn("level_lon", _level("lon_min", "lon_max"))
+
+
 def region_cells(regions: DataFrame) -> DataFrame:
     """The cells of each region, at most four: each axis has a level of its own, by the length of the box along it.
 
     Adds level_lat, level_lon, cell_lat and cell_lon. Boxes without inside (a bound missing or not a number, or crossed) have no cells.
     """
-    real = regions.where("lat_min <= lat_max AND lon_min <= lon_max AND NOT isnan(lat_max) AND NOT isnan(lon_max)")
-    placed = real.withColumn("level_lat", _level("lat_min", "lat_max")).withColumn("level_lon", _level("lon_min", "lon_max"))
+    placed = _levelled(regions)
     for axis in ("lat", "lon"):
         level = F.col(f"level_{axis}")
         first, last = _cell(F.col(f"{axis}_min"), level), _cell(F.col(f"{axis}_max"), level)
@@ -99,12 +106,12 @@ def region_join(pings: DataFrame, regions: DataFrame) -> DataFrame:
 
     A theta join would be a nested loop over pings x regions. Instead a region is a few cells of a hierarchy of grids, of
     about its own size along each axis, and a ping probes its one cell on each pair of levels that some region is on: an
-    equi-join on (levels, cells) plus the exact float32 box test. The pairs of levels, at most (DEEPEST - HIGHEST + 1)^2 and as a
-    rule a handful, are read from the region table beforehand. Spark broadcasts the cells if their size in bytes allows that, and
+    equi-join on (levels, cells) plus the exact float32 box test. The pairs of levels, at most ((DEEPEST - HIGHEST) / STEP + 1)^2 and as
+    a rule a handful, are read from the region table beforehand. Spark broadcasts the cells if their size in bytes allows that, and
     else shuffles both sides on the cell, with skewed cells split at run time.
     """
     cells = region_cells(regions)
-    levels = sorted(tuple(r) for r in cells.select("level_lat", "level_lon").distinct().collect())
+    levels = sorted(tuple(r) for r in _levelled(regions).select("level_lat", "level_lon").distinct().collect())
     probes = F.array(*[F.struct(F.lit(a).alias("level_lat"), F.lit(b).alias("level_lon"), _cell(F.col("latitude"), F.lit(a)).alias("cell_lat"),
                                 _cell(F.col("longitude"), F.lit(b)).alias("cell_lon")) for a, b in levels])
     if not levels:
