@@ -59,6 +59,61 @@ def test_verdicts(spark):
     assert op3_quality_rules.judge(docs.limit(0)).count() == 0
 
 
+def _plain(rng, n=100):
+    """Lines of ten words of four to six lower-case letters."""
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(4, 7))) for _ in range(n)]
+    return "\n".join(" ".join(words[i: i + 10]) for i in range(0, n, 10))
+
+
+def _outlier(metric, rng):
+    """A document that the base rules and the first fences pass, and that is unlike ``_plain`` in one metric."""
+    words = _plain(rng, 200).split()
+    if metric == "symbols":
+        words = [w + "#" if i % 10 == 0 else w for i, w in enumerate(words)]
+    elif metric == "upper":
+        words = [w.upper() if i % 10 == 0 else w for i, w in enumerate(words)]
+    elif metric == "repeated":
+        words[100:116] = words[:16]
+    elif metric == "word_length":
+        words = [w + "a" if i % 20 else w for i, w in enumerate(_plain(rng, 1000).split())]
+    lines = [" ".join(words[i: i + 10]) for i in range(0, len(words), 10)]
+    if metric == "dup_lines":
+        lines = [x for i, line in enumerate(lines) for x in ([line, "read more"] if i % 3 == 0 else [line])]
+    return "\n".join(lines)
+
+
+@pytest.mark.parametrize("metric", list(op3_quality_rules.METRICS))
+def test_an_outlier_goes_where_it_is_rare_and_stays_where_it_is_usual(spark, metric):
+    rng = random.Random(metric)
+    rows = [(i, "en", "clean", _plain(rng)) for i in range(300)] + [(300, "en", "clean", _outlier(metric, rng))]
+    rows += [(1000 + i, "en", "other", _outlier(metric, rng) if i % 10 == 0 else _plain(rng)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")
+    got = {r["doc_id"]: r for r in op3_quality_rules.judge(docs).collect()}
+    assert not got[300]["base_failed"] and got[300]["usual"]  # neither the base rules nor the first fences see it
+    assert not got[300]["kept"]
+    assert all(got[i]["kept"] for i in range(300))
+    assert all(got[1000 + i]["kept"] for i in range(300))
+
+
+def test_a_group_of_junk_does_not_move_the_fences(spark):
+    """A tenth of the source is full of symbols: the first fences take it out before the second are made."""
+    rng = random.Random(4)
+    junk = lambda: " ".join(w + "##$" for w in _plain(rng).split())
+    rows = [(i, "en", "s", junk() if i % 10 == 0 else _plain(rng)) for i in range(400)] + [(400, "en", "s", _outlier("symbols", rng))]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")
+    kept = {r["doc_id"] for r in op3_quality_rules.judge(docs).where("kept").collect()}
+    assert kept == {i for i in range(400) if i % 10}
+
+
+def test_a_few_occurrences_are_free(spark):
+    """One symbol, or one repeated line, in a short document of a source without any."""
+    rng = random.Random(5)
+    rows = [(i, "en", "s", _plain(rng)) for i in range(300)]
+    rows += [(300, "en", "s", _plain(rng, 20) + " cost $5"), (301, "en", "s", "home\n" + _plain(rng, 20) + "\nhome")]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")
+    assert op3_quality_rules.judge(docs).where("kept").count() == 302
+
+
 def test_sketches_merge(spark):
     rng = random.Random(3)
     rows = [(i, "en", f"s{i % 3}", rng.choice([rng.randrange(50), rng.randrange(5000), 10**6])) for i in range(3000)]
@@ -67,7 +122,7 @@ def test_sketches_merge(spark):
     s = op3_quality_rules.sketch(m)
     assert s.where("metric = 'symbols' AND source = 's0'").count() < 500
     for keys, own in ((["lang"], lambda r: True), (["lang", "source"], lambda r: r[2] == "s1")):
-        q = [r for r in op3_quality_rules.quartiles(s, keys, "x_").collect() if len(keys) == 1 or r["source"] == "s1"][0]
+        q = [r for r in op3_quality_rules.percentiles(s, keys, "x_").collect() if len(keys) == 1 or r["source"] == "s1"][0]
         values = sorted(r[3] for r in rows if own(r))
         assert q["x_n"] == len(values)
         for k in (1, 2, 3):
