@@ -1,18 +1,23 @@
 """Information-theoretic sanitisation of personal data, in DataFrame functions only.
 
 Protected entities are the values of four kinds of personal data (email, ip, card, phone), found by pattern in whole
-texts. Terms can give an entity away without naming it: over the whole corpus, a term t (a run of letters) that stands
-near an entity c discloses, of the information that naming c would give,
+texts and compared without case and separators, and two classes of them: the domains of emails and the networks (first
+two parts) of ips. Terms can give an entity away without naming it: over the whole corpus, a term t (a run of letters
+and digits) that occurs in documents with an entity c discloses, of the information that naming c would give,
 
     PMI(c; t) / IC(c) = log(N * n(c, t) / (n(c) * n(t))) / log(N / n(c)),
 
-with documents counted: N all, n(c) and n(t) those with c and with t, n(c, t) those with t near c. Terms that stand
-near an entity in at least ``LEAST_CONTEXTS`` different contexts (so that copies of one text prove nothing) and disclose
-at least ``DISCLOSURE`` of it are sanitised wherever they occur: removed if they never occur without the entity (all of
-the information), else generalised to a placeholder, as entities are generalised to their kind.
+with documents counted over their whole texts: N all, n(c) and n(t) those with c and with t, n(c, t) those with both.
+Terms are sanitised wherever they occur if they disclose at least ``DISCLOSURE`` of an entity, and if this is no chance:
+in at least ``LEAST_TEXTS`` different texts (copies of one text prove nothing), and in so many that the information
+these give, texts * IC(c), exceeds log(V * S / ``CHANCE``), as V terms are tried with S entities. They are removed if they
+never occur without the entity (all of the information), else generalised to a placeholder, as entities are
+generalised to their kind. What the four patterns match is no term.
 
-Term counts are aggregated before they are shuffled; contexts are a few terms per entity. What is broadcast is counted
-first (``BROADCAST_ROWS``), and joined by a shuffle beyond that.
+Entities that are in the same texts disclose the same, and are one. Terms are held against entities only where their
+own count still allows the threshold, which the common ones don't.
+
+Term counts are aggregated before they are shuffled. What is broadcast is counted first (``BROADCAST_ROWS``), and joined by a shuffle beyond that.
 
 Defined cases: a null text counts as empty; rows with a null doc_id are kept; repeated rows count as often as they occur
 and get the same spans; spans of one kind never overlap, a term inside an entity is left to it; an entity that is in
@@ -44,9 +49,11 @@ SQL_PATTERNS = {
 HINTS = {"email": "@", "ip": "[0-9][.][0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": "[+][0-9]"}
 _BYTE = r"0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _IP = rf"^{_BYTE}[.]{_BYTE}[.]{_BYTE}[.]{_BYTE}$"
-TERM = r"\p{L}{3,}"
-#: Characters on either side of an entity that are its context; contexts, and share of the information, to act on.
-REACH, LEAST_CONTEXTS, DISCLOSURE = 80, 3, 0.95
+TERM = r"[\p{L}\p{N}]{3,}"
+#: Digits that are long enough for a card: what terms leave out of that kind's pattern.
+CARD_LONG, CARD_LONG_SQL = r"[0-9](?:[\x20-]?[0-9]){15,}+", r"[0-9](?:[\x20-]?[0-9]){15,}"
+#: Different texts, share of the information, and chance of any term being sanitised wrongly, to act on.
+LEAST_TEXTS, DISCLOSURE, CHANCE = 3, 0.95, 0.01
 BROADCAST_ROWS = 100_000
 _SPANS = "array<struct<kind:string,start:int,end:int,value:string>>"
 
@@ -79,51 +86,77 @@ def entity_spans(kind: str) -> Column:
     return F.expr(f"CASE WHEN {hint} THEN {found} ELSE CAST(array() AS {_SPANS}) END")
 
 
-def near_terms() -> Column:
-    """For each entity of a row, the terms near it: distinct (kind, value, term, context).
+def own_terms() -> Column:
+    """The distinct terms of column ``text``, outside what the patterns match.
 
-    Words that the reach cuts in two, and words with an @, are no context.
+    Matches become line ends, which no pattern takes, so that they join nothing to a new match.
     """
-    left = (f"regexp_replace(substr(text, greatest(s.start - {REACH}, 0) + 1, s.start - greatest(s.start - {REACH}, 0)), "
-            f"IF(s.start > {REACH}, r'^[^\\x20\\x09-\\x0D]+', r'^$'), '')")
-    right = (f"regexp_replace(substr(text, s.end + 1, {REACH}), "
-             f"IF(char_length(text) > s.end + {REACH}, r'[^\\x20\\x09-\\x0D]+$', r'^$'), '')")
-    context = f"regexp_replace(concat({left}, ' ', {right}), r'[^\\x20\\x09-\\x0D]*@[^\\x20\\x09-\\x0D]*', ' ')"
-    contexts = f"transform(entities, s -> named_struct('kind', s.kind, 'value', s.value, 'context', {context}))"
-    return F.expr(f"array_distinct(flatten(transform({contexts}, c -> transform("
-                  f"regexp_extract_all(c.context, r'{TERM}', 0), t -> named_struct('kind', c.kind, 'value', c.value, "
-                  f"'term', lower(t), 'context', md5(c.context))))))")
+    text = "text"
+    for kind in ("email", "ip", "phone", "card"):
+        hint = f"contains(text, '{HINTS[kind]}')" if len(HINTS[kind]) == 1 else f"text RLIKE r'{HINTS[kind]}'"
+        pattern = CARD_LONG if kind == "card" else PATTERNS[kind]
+        text = f"transform({text if text != 'text' else 'array(text)'}, x -> IF({hint}, regexp_replace(x, r'{pattern}', '\n'), x))"
+    return F.expr(f"array_distinct(transform(regexp_extract_all({text}[0], r'{TERM}', 0), t -> lower(t)))")
+
+
+def entity_names() -> Column:
+    """The distinct (kind, value) that column ``entities`` stands for: values without case and separators, and classes."""
+    name = lambda kind, value: f"named_struct('kind', {kind}, 'value', {value})"
+    email = f"array({name(chr(39) + 'email' + chr(39), 'lower(e.value)')}, {name(chr(39) + 'domain' + chr(39), 'lower(substring_index(e.value, chr(64), -1))')})"
+    ip = f"array({name(chr(39) + 'ip' + chr(39), 'e.value')}, {name(chr(39) + 'network' + chr(39), 'substring_index(e.value, chr(46), 2)')})"
+    digits = f"array({name('e.kind', 'regexp_replace(e.value, r' + chr(39) + '[^0-9]' + chr(39) + ', ' + chr(39) * 2 + ')')})"
+    return F.expr(f"array_distinct(flatten(transform(entities, e -> CASE e.kind WHEN 'email' THEN {email} WHEN 'ip' THEN {ip} ELSE {digits} END)))")
 
 
 def find_entities(docs: DataFrame) -> DataFrame:
-    """doc_id, h (hash of the text), entities (spans by kind, then start) and near (as of ``near_terms``) per row."""
+    """doc_id, h (hash of the text), entities (spans by kind, then start), and own (terms) of rows with entities."""
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     d = d.withColumn("entities", F.concat(*[entity_spans(k) for k in PATTERNS]))
     return d.select("doc_id", F.xxhash64("text").alias("h"), "entities",
-                    F.when(F.expr("size(entities) > 0"), near_terms()).alias("near"))
+                    F.when(F.expr("size(entities) > 0"), own_terms()).alias("own"))
+
 
+def entity_sets(found: DataFrame, least_texts: int) -> DataFrame:
+    """Entities in enough different texts, those in the same texts as one: h, copies (rows of that text), own, and sets,
+    an array of (s1, s2: two hashes of the set's texts; n_c: rows with it). Texts without any are left out."""
+    one = cut(found.where("size(entities) > 0").groupBy("h")
+              .agg(F.count(F.lit(1)).alias("copies"), F.any_value("entities").alias("entities"), F.any_value("own").alias("own")))
+    named = one.select("h", "copies", F.explode(entity_names()).alias("e")).select("h", "copies", "e.kind", "e.value")
+    often = cut(named.groupBy("kind", "value")
+                .agg(F.sum("copies").alias("n_c"), F.count(F.lit(1)).alias("texts"),
+                     F.bit_xor(F.xxhash64("h", F.lit(1))).alias("s1"), F.bit_xor(F.xxhash64("h", F.lit(2))).alias("s2"))
+                .where(F.col("texts") >= least_texts).drop("texts"))
+    sets = (named.drop("copies").join(_small(often, often.count()), ["kind", "value"])
+            .groupBy("h").agg(F.collect_set(F.struct("s1", "s2", "n_c")).alias("sets")))
+    return one.select("h", "copies", "own").join(sets, "h")
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, least_contexts: int = LEAST_CONTEXTS,
+
+def disclosing_terms(docs: DataFrame, found: DataFrame, least_texts: int = LEAST_TEXTS,
                      disclosure: float = DISCLOSURE) -> DataFrame:
     """Terms to sanitise: term, disclosure (the largest of any entity) and removed (never without the entity).
 
     ``found`` is as of ``find_entities``. Counts of terms cover all documents.
     """
     n = found.count()
-    entity = (found.select(F.explode(F.expr("array_distinct(transform(entities, e -> named_struct('kind', e.kind, 'value', e.value)))")).alias("e"))
-              .groupBy("e.kind", "e.value").agg(F.count(F.lit(1)).alias("n_c")))
-    near = (found.select(F.explode("near").alias("x")).groupBy("x.kind", "x.value", "x.term", "x.context")
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .groupBy("kind", "value", "term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("rows").alias("n_ct"))
-            .where(F.col("contexts") >= least_contexts))
-    near = cut(near)
-    if near.isEmpty():
-        return near.select("term", F.lit(0.0).alias("disclosure"), F.lit(False).alias("removed"))
-    terms = (docs.select(F.explode(F.expr(f"array_distinct(transform(regexp_extract_all(text, r'{TERM}', 0), t -> lower(t)))")).alias("term"))
-             .groupBy("term").agg(F.count(F.lit(1)).alias("n_t")))
-    scored = (terms.join(near, "term").join(entity, ["kind", "value"])
-              .withColumn("n_ct", F.expr("least(n_ct, n_t, n_c)")).where(F.expr(f"n_c < {n}"))
-              .withColumn("disclosure", F.expr(f"ln({n}.0D * n_ct / (n_c * n_t)) / ln({n}.0D / n_c)")))
+    held = cut(entity_sets(found, least_texts))
+    sets = held.select(F.explode("sets").alias("s")).select("s.*").distinct().where(F.col("n_c") < n)
+    s, most = sets.agg(F.count(F.lit(1)), F.max("n_c")).first()
+    tried = cut(held.select("copies", F.explode("own").alias("term")).groupBy("term")
+                .agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= least_texts).select("term"))
+    v = tried.count()
+    if not s or not v:
+        return tried.select("term", F.lit(0.0).alias("disclosure"), F.lit(False).alias("removed"))
+    # n(c, t) is at most n(c), so that a term of more documents than this can't reach the threshold
+    allows = lambda n_c: f"n_t <= {1 + 1e-9} * pow({n}.0D, {1 - disclosure}D) * pow({n_c}, {disclosure}D)"
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
+    terms = cut(texts.select(F.explode(own_terms()).alias("term")).join(_small(tried, v), "term", "left_semi")
+                .groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).where(allows(f"{most}.0D")))
+    pairs = (held.select("h", "copies", "sets", F.explode("own").alias("term")).join(_small(terms, v), "term")
+             .select("h", "copies", "term", "n_t", F.explode(F.expr(f"filter(sets, s -> s.n_c < {n} AND {allows('s.n_c')})")).alias("s"))
+             .groupBy("s", "term", "n_t").agg(F.sum("copies").alias("n_ct"), F.count(F.lit(1)).alias("texts"))
+             .where(F.col("texts") >= least_texts).select("s.n_c", "term", "n_t", "n_ct", "texts"))
+    scored = (pairs.withColumn("disclosure", F.expr(f"ln({n}.0D * n_ct / (n_c * n_t)) / ln({n}.0D / n_c)"))
+              .where(F.expr(f"texts * ln({n}.0D / n_c) >= ln({v}.0D * {s} / {CHANCE}D)")))
     return (scored.where(F.col("disclosure") >= disclosure).groupBy("term")
             .agg(F.max("disclosure").alias("disclosure"), F.max(F.expr("n_ct >= n_t")).alias("removed")))
 
@@ -155,11 +188,11 @@ def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame | None:
         f"'end', {start} + char_length(words[x.i]), 'value', words[x.i]))").alias("terms"))
 
 
-def sanitise(docs: DataFrame, least_contexts: int = LEAST_CONTEXTS, disclosure: float = DISCLOSURE) -> DataFrame:
+def sanitise(docs: DataFrame, least_texts: int = LEAST_TEXTS, disclosure: float = DISCLOSURE) -> DataFrame:
     """doc_id, h, entities and terms: all spans of each row. Texts without them are made by ``sanitised_text``."""
     docs = docs.select("doc_id", "text")
     found = cut(find_entities(docs))
-    spans = term_spans(docs, disclosing_terms(docs, found, least_contexts, disclosure))
+    spans = term_spans(docs, disclosing_terms(docs, found, least_texts, disclosure))
     none = F.expr(f"CAST(array() AS {_SPANS})")
     if spans is None:
         return found.select("doc_id", "h", "entities", none.alias("terms"))
@@ -209,34 +242,43 @@ def _oracle() -> str:
         f"SELECT rid, m, b, unnest(range(1, len(m) + 1)) AS i FROM (SELECT rid, regexp_extract_all(t, '{p}') AS m, "
         f"string_split_regex(t, '{p}') AS b FROM d))) WHERE {passes[k]}"
         for n, (k, p) in enumerate((k, p.replace("(", "(?:", 3 if k == "ip" else 1) if k != "phone" else p) for k, p in SQL_PATTERNS.items()))
-    word = r"[^\x20\x09-\x0D]"
-    left = f"substr(t, greatest(s - {REACH}, 0) + 1, s - greatest(s - {REACH}, 0))"
-    right = f"substr(t, e + 1, {REACH})"
+    blank = "t"
+    for kind in ("email", "ip", "phone", "card"):
+        p = CARD_LONG_SQL if kind == "card" else SQL_PATTERNS[kind]
+        blank = f"regexp_replace({blank}, '{p}', chr(10), 'g')"
     return f"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
 ), spans AS ({kinds}
-), near AS (
-  SELECT DISTINCT rid, kind, v, context, lower(unnest(regexp_extract_all(context, '{TERM}'))) AS term FROM (
-    SELECT rid, kind, v, regexp_replace(
-        (CASE WHEN s > {REACH} THEN regexp_replace({left}, '^{word}+', '') ELSE {left} END) || ' ' ||
-        (CASE WHEN length(t) > e + {REACH} THEN regexp_replace({right}, '{word}+$', '') ELSE {right} END),
-        '{word}*@{word}*', ' ', 'g') AS context
-    FROM spans JOIN d USING (rid))
-), pairs AS (
-  SELECT kind, v, term, count(DISTINCT context) AS contexts, count(*) AS n_ct FROM near GROUP BY ALL HAVING count(DISTINCT context) >= {LEAST_CONTEXTS}
+), texts AS (
+  SELECT rid, md5(t) AS h FROM d
+), names AS (
+  SELECT DISTINCT rid, x.kind AS kind, x.v AS v FROM (SELECT rid, unnest(CASE kind
+      WHEN 'email' THEN [{{'kind': 'email', 'v': lower(v)}}, {{'kind': 'domain', 'v': lower(string_split(v, '@')[2])}}]
+      WHEN 'ip' THEN [{{'kind': 'ip', 'v': v}}, {{'kind': 'network', 'v': array_to_string(string_split(v, '.')[1:2], '.')}}]
+      ELSE [{{'kind': kind, 'v': {digits}}}] END) AS x FROM spans)
+), often AS (
+  SELECT kind, v, count(*) AS n_c, md5(string_agg(DISTINCT h, ',' ORDER BY h)) AS same
+  FROM names JOIN texts USING (rid) GROUP BY kind, v HAVING count(DISTINCT h) >= {LEAST_TEXTS}
+), held AS (
+  SELECT DISTINCT rid, h, same, n_c FROM names JOIN texts USING (rid) JOIN often USING (kind, v)
 ), words AS (
   SELECT rid, regexp_extract_all(t, '{TERM}') AS ws, string_split_regex(t, '{TERM}') AS b FROM d
+), own AS (
+  SELECT DISTINCT rid, lower(unnest(regexp_extract_all({blank}, '{TERM}'))) AS term FROM d
+), tried AS (
+  SELECT term FROM own JOIN texts USING (rid) WHERE rid IN (SELECT rid FROM held) GROUP BY term HAVING count(DISTINCT h) >= {LEAST_TEXTS}
 ), terms AS (
-  SELECT term, count(*) AS n_t FROM (SELECT DISTINCT rid, lower(unnest(ws)) AS term FROM words) WHERE term IN (SELECT term FROM pairs) GROUP BY term
-), entities AS (
-  SELECT kind, v, count(DISTINCT rid) AS n_c FROM spans GROUP BY ALL
+  SELECT term, count(*) AS n_t FROM own WHERE term IN (SELECT term FROM tried) GROUP BY term
 ), total AS (
-  SELECT count(*)::DOUBLE AS n FROM d
+  SELECT (SELECT count(*)::DOUBLE FROM d) AS n, (SELECT count(*)::DOUBLE FROM tried) AS v,
+         (SELECT count(DISTINCT same) FROM often, (SELECT count(*) AS n FROM d) WHERE n_c < n) AS s
+), pairs AS (
+  SELECT same, n_c, term, count(*) AS n_ct, count(DISTINCT h) AS texts FROM held JOIN own USING (rid) GROUP BY ALL HAVING count(DISTINCT h) >= {LEAST_TEXTS}
 ), flagged AS (
-  SELECT term, bool_or(least(n_ct, n_t, n_c) >= n_t) AS removed
-  FROM pairs JOIN terms USING (term) JOIN entities USING (kind, v), total
-  WHERE n_c < n AND ln(n * least(n_ct, n_t, n_c) / (n_c * n_t)) / ln(n / n_c) >= {DISCLOSURE} GROUP BY term
+  SELECT term, bool_or(n_ct >= n_t) AS removed
+  FROM pairs JOIN terms USING (term), total
+  WHERE n_c < n AND ln(n * n_ct / (n_c * n_t)) / ln(n / n_c) >= {DISCLOSURE} AND texts * ln(n / n_c) >= ln(v * s / {CHANCE}) GROUP BY term
 ), hits AS (
   SELECT rid, CASE WHEN removed THEN 'removed' ELSE 'term' END AS kind, s::BIGINT AS s, s::BIGINT + length(w) AS e FROM (
     SELECT rid, removed, ws[i] AS w, {size('b', 'i')} + {size('ws', 'i - 1')} AS s FROM (

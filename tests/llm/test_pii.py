@@ -36,37 +36,45 @@ def base(text):
     return out
 
 
-def slow_terms(texts, least_contexts, disclosure):
-    reach = op1_pii.REACH
-    terms = collections.Counter(t for x in texts for t in {w.lower() for w in re.findall(r"[^\W\d_]{3,}", x)})
-    entities, contexts, near = collections.Counter(), collections.defaultdict(set), collections.Counter()
-    for x in texts:
-        spans, pairs = base(x), set()
-        entities.update({(k, v) for k, _, _, v in spans})
-        for k, s, e, v in spans:
-            left, right = x[max(0, s - reach): s], x[e: e + reach]
-            left = re.sub(r"^[^ \t-\r]+", "", left) if s > reach else left
-            right = re.sub(r"[^ \t-\r]+$", "", right) if len(x) > e + reach else right
-            c = re.sub(r"[^ \t-\r]*@[^ \t-\r]*", " ", left + " " + right)
-            pairs |= {(k, v, t.lower(), c) for t in re.findall(r"[^\W\d_]{3,}", c)}
-        for k, v, t, c in pairs:
-            contexts[k, v, t].add(c)
-            near[k, v, t] += 1
+def slow_terms(texts, least_texts, disclosure):
+    def own(x):
+        for p in (PATTERNS["email"], PATTERNS["ip"], PATTERNS["phone"], r"[0-9]([\x20-]?[0-9]){15,}"):
+            x = re.sub(p, "\n", x, flags=re.ASCII)
+        return {w.lower() for w in re.findall(r"[^\W_]{3,}", x)}
+
+    def names(x):
+        for kind, _, _, v in base(x):
+            yield kind, v.lower() if kind == "email" else v if kind == "ip" else re.sub("[^0-9]", "", v)
+            if kind in ("email", "ip"):
+                yield ("domain", v.lower().split("@")[1]) if kind == "email" else ("network", ".".join(v.split(".")[:2]))
+
+    with_term, with_entity = collections.defaultdict(list), collections.defaultdict(list)
+    for i, x in enumerate(texts):
+        for t in own(x):
+            with_term[t].append(i)
+        for c in set(names(x)):
+            with_entity[c].append(i)
+    often = {tuple(rows) for rows in with_entity.values() if len({texts[i] for i in rows}) >= least_texts}
+    near = {i for rows in often for i in rows}
+    tried = {t for t, rows in with_term.items() if len({texts[i] for i in rows if i in near}) >= least_texts}
     n, out = len(texts), {}
-    for (k, v, t), cs in contexts.items():
-        n_c = entities[k, v]
-        n_ct = min(near[k, v, t], terms[t], n_c)
-        if len(cs) >= least_contexts and n_c < n:
-            share = math.log(n * n_ct / (n_c * terms[t])) / math.log(n / n_c)
+    sets = [set(rows) for rows in often if len(rows) < n]
+    for t in tried:
+        for rows in sets:
+            both = rows.intersection(with_term[t])
+            different = len({texts[i] for i in both})
+            if different < least_texts or different * math.log(n / len(rows)) < math.log(len(tried) * len(sets) / op1_pii.CHANCE):
+                continue
+            share = math.log(n * len(both) / (len(rows) * len(with_term[t]))) / math.log(n / len(rows))
             if share >= disclosure:
-                out[t] = out.get(t, False) or n_ct >= terms[t]
+                out[t] = out.get(t, False) or len(both) >= len(with_term[t])
     return out
 
 
 def spans_of(text, terms):
     found = base(text)
     own = []
-    for m in re.finditer(r"[^\W\d_]{3,}", text):
+    for m in re.finditer(r"[^\W_]{3,}", text):
         t = m.group().lower()
         if t in terms and not any(m.start() < e and s < m.end() for _, s, e, _ in found):
             own.append(("removed" if terms[t] else "term", m.start(), m.end(), m.group()))
@@ -83,7 +91,7 @@ def compare(spark, rows, **limits):
     got = sorted((repr(r["doc_id"]), joined([tuple(x) for x in r["entities"]]), joined(sorted(tuple(x) for x in r["terms"])))
                  for r in found.collect())
     texts = [t or "" for _, t, *_ in rows]
-    terms = slow_terms(texts, limits.get("least_contexts", op1_pii.LEAST_CONTEXTS), limits.get("disclosure", op1_pii.DISCLOSURE))
+    terms = slow_terms(texts, limits.get("least_texts", op1_pii.LEAST_TEXTS), limits.get("disclosure", op1_pii.DISCLOSURE))
     want = sorted((repr(i), *map(joined, spans_of(t or "", terms))) for i, t, *_ in rows)
     assert got == want
     return terms, docs
@@ -130,6 +138,35 @@ def test_disclosing_terms(spark):
     assert out[0] == rows[0][1] and out[500] == ""
 
 
+def test_terms_at_the_query_s_own_limits(spark):
+    """Far from the entity, with digits, in a fixed signature, under different writings of it, and of a whole domain."""
+    rng = random.Random(6)
+    words = [a + b for a in ("tar", "mel", "vin", "sol", "que") for b in ("ona", "ika", "ush", "ert", "odd")]
+    text = lambda k: " ".join(rng.choice(words) for _ in range(k))
+    rows = [(i, text(50), 0, "") for i in range(300)]
+    writings = ["+49 (30) 555-0199", "+49 30 5550199", "+49305550199"]
+    for i in range(9):
+        rows.append((1000 + i, f"Hallberg {text(60)} call {writings[i % 3]}", 0, ""))  # at the other end of the text
+        rows.append((2000 + i, f"{text(10)} staff4711 {text(3)} P.Er@one.example {text(9)}", 0, ""))
+        rows.append((3000 + i, f"{text(20 + i)}\n-- \nYours, Nadja Office 12 n.adja@two.example", 0, ""))  # the same block
+        rows.append((4000 + i, f"{text(9)} mail x{i}@firm.example or the Quillfeather desk {text(5)}", 0, ""))
+        rows.append((5000 + i, f"{text(9)} Lonely {text(5)}" + (" 10.1.2.3" if i < 5 else ""), 0, ""))  # half of it without
+    terms, docs = compare(spark, rows)
+    assert {"hallberg", "staff4711", "nadja", "quillfeather"} <= {t for t, gone in terms.items() if gone}
+    assert not {"lonely", *words} & set(terms)
+    out = {r["doc_id"]: r["text"] for r in op1_pii.sanitised(docs).collect()}
+    assert not any(re.search("hallberg|4711|nadja|quillfeather", t, re.I) for t in out.values())
+    assert all(out[i] == rows[i][1] for i in range(300))
+
+
+def test_a_common_entity_needs_more_texts(spark):
+    """An address in a third of all documents: words of a few of these are no evidence."""
+    rng = random.Random(7)
+    rows = [(i, f"w{i // 4}x w{rng.randrange(90)}y some words" + (" info@site.example" if i % 12 < 4 else ""), 0, "") for i in range(360)]
+    terms, _ = compare(spark, rows)
+    assert not terms
+
+
 def test_terms_by_shuffle(spark, monkeypatch):
     monkeypatch.setattr(op1_pii, "BROADCAST_ROWS", 0)
     compare(spark, disclosing(), disclosure=0.8)
