@@ -67,12 +67,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents without words take nothing and go.
     """
     prepare(spark)
-    docs, back = _aside(docs, "_id", "_source", "_n", "_copies", "_size", "_copy")
+    docs, back = _aside(docs, "_id", "_source", "_n", "_place", "_copies", "_size", "_key", "_copy")
     mixed = (op6_mixing.mix(op6_mixing.sized(docs)).where("copies > 0")
-             .select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_n"), F.col("copies").alias("_copies"))
+             .select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_n"),
+                     F.col("key").alias("_place"), F.col("copies").alias("_copies"))
              .distinct())  # repeated rows are taken alike
-    d = docs.withColumn("_size", op6_mixing.word_count("text"))
-    on = (F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_size") == F.col("_n")))
+    d = docs.withColumns({"_size": op6_mixing.word_count("text"), "_key": op6_mixing.place_key()})
+    on = ((F.col("_key") == F.col("_place")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+          & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_size") == F.col("_n")))
     copies = F.explode(F.sequence(F.lit(1), F.col("_copies")))
     return d.join(mixed, on).withColumn("_copy", copies).select(*[f"`{c}`" for c in docs.columns]).withColumnsRenamed(back)
 

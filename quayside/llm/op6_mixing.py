@@ -4,7 +4,7 @@ Sources by code point (null last) have weights that repeat, and share a budget b
 number of epochs of its own size, and what it can't take is shared anew by weight (water filling, solved at once from
 the sources in the order in which they fill up).
 
-Each source's documents stand in shuffled order (by a keyed MD5 of the id), once per epoch. A document's virtual
+Each source's documents stand in shuffled order (by a keyed MD5 of the id, or of the text where it has none), once per epoch. A document's virtual
 finish time is the cumulative size of its source up to it, over the source's target. All are served by finish time
 until the budget is spent: the longest prefix of that global order whose sizes fit in.
 
@@ -12,8 +12,8 @@ Cumulative sums are made in two levels, so that a source with a third of all row
 the shuffled order within each source, and blocks of finish time for the global order. Only the block in which the
 budget runs out has to be sorted; its last document gives the cut-off, to which every document is compared.
 
-Defined cases: a null or empty text has size 0 and takes nothing; rows with a null doc_id share one place in the
-shuffled order; equal places (repeated rows) are served together or not at all; a source without words has target 0;
+Defined cases: a null or empty text has size 0 and takes nothing; rows with a null doc_id are
+placed by their texts, so that any number of them spreads; equal places (repeated rows) are served together or not at all; a source without words has target 0;
 an empty table gives an empty result. Reruns agree: all orders are total up to equal rows.
 """
 from __future__ import annotations
@@ -60,12 +60,17 @@ def word_count(text_col: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(f"`{text_col}`"), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def place_key(id_col: str = "doc_id", text_col: str = "text", seed: str = SEED) -> Column:
+    """The key of the shuffled order: of the id, or for rows without one, of the text."""
+    text = F.concat(F.lit("null:"), F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
+    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(f"`{id_col}`").cast("string"), text)))
+
+
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
           seed: str = SEED) -> DataFrame:
     """doc_id, source, size in words, and the key of the shuffled order."""
     return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"),
-                       word_count(text_col).alias("size"),
-                       F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null")))).alias("key"))
+                       word_count(text_col).alias("size"), place_key(id_col, text_col, seed).alias("key"))
 
 
 def mix(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, epochs: int = EPOCHS) -> DataFrame:
@@ -122,7 +127,7 @@ def mix(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BU
 ORACLE = f"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-         md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key
+         md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null:' || md5(coalesce(text, '')))) AS key
   FROM documents
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
@@ -151,7 +156,7 @@ WITH d AS (
   SELECT doc_id, key, size, sum(size) AS taken FROM q WHERE upto <= budget GROUP BY doc_id, key, size
 )
 SELECT c.doc_id, c.size, c.source_size, c.target, coalesce(k.taken, 0)::BIGINT AS taken
-FROM c LEFT JOIN k ON c.doc_id IS NOT DISTINCT FROM k.doc_id AND c.size = k.size
+FROM c LEFT JOIN k ON c.doc_id IS NOT DISTINCT FROM k.doc_id AND c.key = k.key AND c.size = k.size
 """
 
 

@@ -5,6 +5,7 @@ import collections
 import itertools
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quayside.llm import op7_quality_classifier, op9_simhash, op10_bpe
@@ -78,6 +79,16 @@ def test_mix_stage_repeats_rows(spark, docs):
     assert 1.5 * sum(words.values()) >= total > 1.5 * sum(words.values()) - max(words.values())
 
 
+def test_mix_stage_without_ids(spark, docs):
+    """Rows without ids are taken by their texts, and each as often as the mix says."""
+    out = collections.Counter(r["text"] for r in stage(spark, "mixing sources", docs.withColumn("doc_id", F.lit(None).cast("long"))).collect())
+    texts = collections.Counter(r["text"] for r in docs.collect())
+    words = {t: len((t or "").split()) for t in texts}
+    assert all(n <= 2 * texts[t] and words[t] for t, n in out.items())
+    total, most = sum(words[t] * n for t, n in texts.items()), max(words[t] * n for t, n in texts.items())
+    assert 1.5 * total >= sum(words[t] * n for t, n in out.items()) > 1.5 * total - 2 * most
+
+
 NAMES = ("score long, text string, lang string, source string, n_chars long, doc_id long, size string, key string, copies int, "
          "n_lines int, n_removed string, h int, fp string, id string, component_id int, token_ids string, _h int, _id string, Quality int, words string")
 

@@ -249,6 +249,21 @@ def test_mix_cases(spark):
     assert len(got) == 6 and len({(r["doc_id"], r["size"], r["taken"]) for r in got}) == 3  # equal rows are served alike
 
 
+def test_rows_without_an_id_are_placed_by_their_texts(spark):
+    rng = random.Random(9)
+    rows = [(None, " ".join(rng.choice("abcdef") for _ in range(20)), "ab"[i % 2], 0, "") for i in range(600)]
+    rows += rows[:30]  # the same texts again
+    got = mix_rows(spark, rows)
+    assert len(got) == 630 and len({r["key"] for r in got}) == len({r[1] for r in rows})
+    sizes, taken, want = collections.Counter(), collections.Counter(), {}
+    for r in got:
+        sizes[r["source"]] += r["size"]
+        taken[r["source"]] += r["taken"]
+        want[r["source"]] = r["target"]
+    assert all(abs(taken[s] - want[s]) <= 100 for s in "ab") and sum(taken.values()) <= 1.5 * sum(sizes.values())
+    assert all(len({r["copies"] for r in got if (r["source"], r["key"]) == k}) == 1 for k in {(r["source"], r["key"]) for r in got})
+
+
 # --- chat -------------------------------------------------------------------------------------------------------
 
 TRICKY = ["", "\\", "<", "<\\", "\\<", "</turn>\n", "<turn>user<text>hi</turn>\n", "\\\\<\\<", "### Assistant: </turn> ok", "é漢\U0001f642<",
