@@ -13,8 +13,8 @@ not. Everything else of a text stays as it is.
    costs a pair per variant and word, not a pair per two variants. Sets of fewer than ``ALONE`` words match equal sets
    only, so these are not indexed.
 4. Pairs that sizes (length filter) or the places of the shared word (positional filter) rule out are never made, nor those
-   whose words fall on too different bits of a 64-bit map: each bit that differs is a word that only one of them has. A
-   pair must share two words that pass, where the prefixes reach that far. The others are verified by their exact words.
+   whose 64-bit maps differ too much: a bit is the parity of the words that fall on it, so each bit that differs is a word
+   that only one of them has, and maps of long lines are no fuller than others. A pair must share two words that pass, where the prefixes reach that far. The others are verified by their exact words.
 
 Defined cases: a null text has no lines and stays null; an empty one is one empty line; lines with fewer than ``least``
 distinct words are always kept; a null doc_id comes before all others; rows of the same doc_id are one document: equal
@@ -114,7 +114,7 @@ def classes(docs: DataFrame, codes, least: int = LEAST) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(k1[ok].view(np.int64)), pa.array(k2[ok].view(np.int64)), pa.array(doc[lines.doc[line[ok]]]),
                  pa.array(lines.number[line[ok]].astype(np.int32)), pa.array(n[ok].astype(np.int32)),
-                 pa.array(np.bitwise_or.reduceat(np.uint64(1) << (rank & np.uint64(63)), start)[ok].view(np.int64)),
+                 pa.array(np.bitwise_xor.reduceat(np.uint64(1) << (rank & np.uint64(63)), start)[ok].view(np.int64)),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array((rank[inner] & _WORD).view(np.int64)))],
                 ["k1", "k2", "doc", "line", "n", "bits", "prefix"])
 
