@@ -17,7 +17,8 @@ not. Everything else of a text stays as it is.
    that only one of them has, and maps of long lines are no fuller than others. A pair must share two words that pass, where the prefixes reach that far. The others are verified by their exact words.
 
 Defined cases: a null text has no lines and stays null; an empty one is one empty line; lines with fewer than ``least``
-distinct words are always kept; a null doc_id comes before all others; rows of the same doc_id are one document: equal
+distinct words are always kept; rows without a doc_id are documents of their own and come before all others, by a hash of
+their text (of copies, any one stays); rows of the same doc_id are one document: equal
 lines at an equal number are not later than each other; all rows are returned, a text that loses all lines is empty; an
 empty table gives an empty result; other columns are carried along.
 """
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.llm.common import cut, spool, table
+from quayside.llm.common import cut, numbered, spool, table
 from quayside.llm.linetokens import Lines, line_sets
 from quayside.llm.registry import register
 
@@ -45,9 +46,32 @@ _WORD = np.uint64((1 << 40) - 1)
 _PLACE = ["doc", "line"]
 
 
+def with_keys(docs: DataFrame) -> DataFrame:
+    """``docs`` with the document each row is, as a number in order (_key): the id, or a number of its own before all ids.
+
+    Only rows without an id are numbered, by a range sort, and written, so that all scans see the same numbers. Where there
+    is no room before the least id, ids are replaced by their places.
+    """
+    key = F.col("doc_id").cast("long")
+    least, without = docs.agg(F.min(key), F.count_if(key.isNull())).first()
+    if not without:
+        return docs.withColumn("_key", key)
+    rows = docs.where(key.isNull()).select(F.lit(0).alias("_all"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    rows = numbered(rows, ["_all"], [F.xxhash64("_row.text")], "_number", [F.col("_row")])
+    first = (least or 0) - without
+    named = docs.where(key.isNotNull()).withColumn("_key", key)
+    if first < -(1 << 63):
+        ids = named.select(F.lit(0).alias("_all"), "_key").distinct()
+        ids = cut(numbered(ids, ["_all"], [F.col("_key")], "_place", [F.col("_key")]).select(F.col("_key").alias("_id"), "_place"))
+        named = named.join(ids, F.col("_key") == F.col("_id")).withColumn("_key", F.col("_place")).drop("_id", "_place")
+        first = -without
+    own = spool(rows.select("_row", (F.col("_number") + F.lit(first)).alias("_key")), "without-id")
+    return named.unionByName(own.select("_row.*", "_key"))
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
-    """doc (the id, without nulls) and text of the documents that have a text."""
-    return docs.where("text IS NOT NULL").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), "text")
+    """doc (its number) and text of the documents that have a text, from rows as of ``with_keys``."""
+    return docs.where("text IS NOT NULL").select(F.col("_key").alias("doc"), "text")
 
 
 def _scan(each):
@@ -292,6 +316,8 @@ def dedup_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
     Documents that no removed line can belong to are passed through; only the others are shuffled, to meet their list.
     """
+    aside = {c: f"_own_{i}_{c}" for i, c in enumerate(docs.columns) if c.lower() in ("_key", "_touched", "_doc", "_lines", "_new")}
+    docs = with_keys(docs.withColumnsRenamed(aside))
     removed = later_matches(_keyed(docs), least)
     bits = docs.sparkSession.sparkContext.broadcast(wanted(removed, ["doc"]))
 
@@ -299,17 +325,16 @@ def dedup_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     def touched(doc: pa.Array) -> pa.Array:
         return pa.array(_bits_of(bits.value, doc.to_numpy(zero_copy_only=False)))
 
-    rest = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
+    rest = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed", "_key")]
     n_lines = F.coalesce(F.when(F.col("text").isNotNull(), F.size(F.split("text", "\n"))), F.lit(0)).cast("long")
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    d = docs.select(*[F.col(f"`{c}`") for c in rest], "text", n_lines.alias("n_lines"), key.alias("_key"), touched(key).alias("_touched"))
+    d = docs.select(*[F.col(f"`{c}`") for c in rest], "text", n_lines.alias("n_lines"), "_key", touched("_key").alias("_touched"))
     same = d.where("NOT _touched").drop("_key", "_touched").withColumn("n_removed", F.lit(0).cast("long"))
     lists = removed.groupBy(F.col("doc").alias("_doc")).agg(F.collect_set(F.struct("line", "k1")).alias("_lines"))
     met = (d.where("_touched").join(lists, F.col("_key") == F.col("_doc"), "left")
            .withColumn("_new", without_lines("text", "_lines")))
     changed = met.select(*[F.col(f"`{c}`") for c in rest], F.col("_new.text").alias("text"), "n_lines",
                          F.col("_new.removed").alias("n_removed"))
-    return same.unionByName(changed)
+    return same.unionByName(changed).withColumnsRenamed({v: k for k, v in aside.items()})
 
 
 ORACLE = f"""

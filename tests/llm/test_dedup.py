@@ -222,6 +222,25 @@ def test_repeated_rows_are_one_document(spark):
     assert (5, 1, 0, "quite another line with enough words") in got and (5, 1, 1, "") in got
 
 
+@pytest.mark.parametrize("least", [-(1 << 63), -3, 0])
+def test_rows_without_an_id_are_documents_of_their_own(spark, least):
+    """They come first, by the hash of their texts; of full copies one stays, wherever ids leave room for numbers."""
+    rng = random.Random(least)
+    base = [[f"u{g}-{i}" for i in range(12)] for g in range(6)]
+    texts = ["\n".join(" ".join(rng.sample(b, rng.choice([10, 12, 12]))) for b in rng.sample(base, 3)) for _ in range(20)]
+    texts += [texts[0]] * 5 + ["", "\n", None, None]
+    rows = [(None, t) for t in texts] + [(least, texts[0]), (least + 1, "quite new words here"), (7, texts[1])]
+    order = sorted((t for t in texts if t is not None), key=lambda t: (xxhash.xxh64(t.encode(), seed=42).intdigest() ^ 1 << 63))
+    numbers = [(n - len(order) - 1, t) for n, t in enumerate(order)]
+    place = {least: 0, least + 1: 1, 7: 2}
+    want = slow_line_dedup(numbers + [(place[i], t) for i, t in rows if i is not None])
+    back = {v: k for k, v in place.items()}
+    want = sorted([(back.get(i), *r) for i, *r in want] + [(None, 0, 0, None)] * 2, key=repr)
+    got = line_result(spark, rows)
+    assert got == want
+    assert sum(i is None and n == gone == 3 for i, n, gone, _ in got) >= 5  # all but one of the copies lost all lines
+
+
 def test_group_of_variants(spark):
     """A large group in which only some variants match the earliest: the rest must meet the others."""
     rng = random.Random(6)
@@ -236,10 +255,10 @@ def test_group_of_variants(spark):
 
 
 def test_line_dedup_of_nothing_and_other_columns(spark):
-    d = spark.createDataFrame([(1, "a b c d e", "keep", 7), (2, "a b c d e", None, 8)], "doc_id long, text string, doc string, line int")
+    d = spark.createDataFrame([(1, "a b c d e", "keep", 7, 5), (2, "a b c d e", None, 8, 6)], "doc_id long, text string, doc string, line int, _key int")
     out = op2_line_dedup.dedup_lines(d)
-    assert out.columns == ["doc_id", "doc", "line", "text", "n_lines", "n_removed"]
-    assert sorted(map(tuple, out.collect())) == [(1, "keep", 7, "a b c d e", 1, 0), (2, None, 8, "", 1, 1)]
+    assert out.columns == ["doc_id", "doc", "line", "_key", "text", "n_lines", "n_removed"]
+    assert sorted(map(tuple, out.collect())) == [(1, "keep", 7, 5, "a b c d e", 1, 0), (2, None, 8, 6, "", 1, 1)]
     assert op2_line_dedup.dedup_lines(d.limit(0)).count() == 0
 
 
