@@ -17,7 +17,9 @@ generalised to their kind. What the four patterns match is no term.
 Entities that are in the same texts disclose the same, and are one. Terms are held against entities only where their
 own count still allows the threshold, which the common ones don't.
 
-Term counts are aggregated before they are shuffled. What is broadcast is counted first (``BROADCAST_ROWS``), and joined by a shuffle beyond that.
+Term counts are aggregated before they are shuffled. What is broadcast is counted first, rows and bytes
+(``BROADCAST_ROWS``, ``BROADCAST_BYTES``), and joined by a shuffle beyond that. Places in texts are sums of lengths by blocks
+of ``BLOCK`` matches or words, so that very long texts with many of them cost little more than their share.
 
 Defined cases: a null text counts as empty; rows with a null doc_id are kept; repeated rows count as often as they occur
 and get the same spans; spans of one kind never overlap, a term inside an entity is left to it; an entity that is in
@@ -54,7 +56,7 @@ TERM = r"[\p{L}\p{N}]{3,}"
 CARD_LONG, CARD_LONG_SQL = r"[0-9](?:[\x20-]?[0-9]){15,}+", r"[0-9](?:[\x20-]?[0-9]){15,}"
 #: Different texts, share of the information, and chance of any term being sanitised wrongly, to act on.
 LEAST_TEXTS, DISCLOSURE, CHANCE = 3, 0.95, 0.01
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS, BROADCAST_BYTES, BLOCK = 100_000, 16 << 20, 128
 _SPANS = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
@@ -66,22 +68,38 @@ def _passes(kind: str) -> str:
             "phone": f"length({digits}) BETWEEN 8 AND 15"}[kind]
 
 
+def _let(name: str, value: str, of: str) -> str:
+    """SQL ``of`` with ``name`` for a value that is computed once."""
+    return f"transform(array({value}), {name} -> {of})[0]"
+
+
+def _sum(lengths: str) -> str:
+    return f"aggregate({lengths}, 0, (a, n) -> a + n)"
+
+
+def _block_starts(lengths: str) -> str:
+    """SQL: the sum of the lengths before each block of ``BLOCK`` of them."""
+    sums = f"transform(sequence(0, size({lengths}) DIV {BLOCK}), j -> {_sum(f'slice({lengths}, int(j) * {BLOCK} + 1, {BLOCK})')})"
+    return _let("sums", sums, f"transform(sums, (s, j) -> {_sum('slice(sums, 1, j)')})")
+
+
+def _before(lengths: str, starts: str, i: str) -> str:
+    """SQL: the sum of the first ``i`` lengths."""
+    return f"({starts}[{i} DIV {BLOCK}] + {_sum(f'slice({lengths}, int({i} DIV {BLOCK}) * {BLOCK} + 1, {i} % {BLOCK})')})"
+
+
 def entity_spans(kind: str) -> Column:
     """The spans of one kind in column ``text``: matches that pass, with starts and exclusive ends in code points.
 
     Splitting at the matches gives what is between them, so lengths of both, summed up, give the places.
     """
     p = PATTERNS[kind]
-    found = f"""
-      filter(aggregate(
-        zip_with(regexp_extract_all(text, r'{p}', 0), split(text, r'{p}', -1),
-                 (m, b) -> named_struct('m', m, 'b', b)),
-        named_struct('at', 0, 'out', CAST(array() AS {_SPANS})),
-        (a, x) -> IF(x.m IS NULL, a, named_struct(
-            'at', a.at + char_length(x.b) + char_length(x.m),
-            'out', concat(a.out, array(named_struct('kind', '{kind}', 'start', a.at + char_length(x.b),
-                          'end', a.at + char_length(x.b) + char_length(x.m), 'value', x.m))))),
-        a -> a.out), x -> {_passes(kind)})"""
+    parts = (f"zip_with(regexp_extract_all(text, r'{p}', 0), split(text, r'{p}', -1), (m, b) -> "
+             "named_struct('m', m, 'b', char_length(b), 'n', char_length(b) + coalesce(char_length(m), 0)))")
+    span = f"named_struct('kind', '{kind}', 'start', at + x.b, 'end', at + x.n, 'value', x.m)"
+    spans = f"transform(parts, (x, i) -> {_let('at', _before('lengths', 'starts', 'i'), span)})"
+    found = _let("parts", parts, _let("lengths", "transform(parts, x -> x.n)", _let("starts", _block_starts("lengths"), spans)))
+    found = f"filter({found}, x -> x.value IS NOT NULL AND {_passes(kind)})"
     hint = f"contains(text, '{HINTS[kind]}')" if len(HINTS[kind]) == 1 else f"text RLIKE r'{HINTS[kind]}'"
     return F.expr(f"CASE WHEN {hint} THEN {found} ELSE CAST(array() AS {_SPANS}) END")
 
@@ -126,7 +144,7 @@ def entity_sets(found: DataFrame, least_texts: int) -> DataFrame:
                 .agg(F.sum("copies").alias("n_c"), F.count(F.lit(1)).alias("texts"),
                      F.bit_xor(F.xxhash64("h", F.lit(1))).alias("s1"), F.bit_xor(F.xxhash64("h", F.lit(2))).alias("s2"))
                 .where(F.col("texts") >= least_texts).drop("texts"))
-    sets = (named.drop("copies").join(_small(often, often.count()), ["kind", "value"])
+    sets = (named.drop("copies").join(_small(often), ["kind", "value"])
             .groupBy("h").agg(F.collect_set(F.struct("s1", "s2", "n_c")).alias("sets")))
     return one.select("h", "copies", "own").join(sets, "h")
 
@@ -149,9 +167,9 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, least_texts: int = LEAST
     # n(c, t) is at most n(c), so that a term of more documents than this can't reach the threshold
     allows = lambda n_c: f"n_t <= {1 + 1e-9} * pow({n}.0D, {1 - disclosure}D) * pow({n_c}, {disclosure}D)"
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-    terms = cut(texts.select(F.explode(own_terms()).alias("term")).join(_small(tried, v), "term", "left_semi")
+    terms = cut(texts.select(F.explode(own_terms()).alias("term")).join(_small(tried), "term", "left_semi")
                 .groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).where(allows(f"{most}.0D")))
-    pairs = (held.select("h", "copies", "sets", F.explode("own").alias("term")).join(_small(terms, v), "term")
+    pairs = (held.select("h", "copies", "sets", F.explode("own").alias("term")).join(_small(terms), "term")
              .select("h", "copies", "term", "n_t", F.explode(F.expr(f"filter(sets, s -> s.n_c < {n} AND {allows('s.n_c')})")).alias("s"))
              .groupBy("s", "term", "n_t").agg(F.sum("copies").alias("n_ct"), F.count(F.lit(1)).alias("texts"))
              .where(F.col("texts") >= least_texts).select("s.n_c", "term", "n_t", "n_ct", "texts"))
@@ -161,31 +179,34 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, least_texts: int = LEAST
             .agg(F.max("disclosure").alias("disclosure"), F.max(F.expr("n_ct >= n_t")).alias("removed")))
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` for a broadcast, if its (known) number of rows is bounded; else as it is, for a shuffle."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def _small(df: DataFrame) -> DataFrame:
+    """``df`` (as computed by ``cut``) for a broadcast, if its rows and bytes are bounded; else as it is, for a shuffle."""
+    size = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
 
 
 def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame | None:
     """Spans of the terms to sanitise: doc_id, h, terms (spans by start); rows without any are left out."""
     terms = cut(terms.select("term", "removed"))
-    if not (n := terms.count()):
+    if terms.isEmpty():
         return None
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
     hits = (d.select("doc_id", "h", F.posexplode(F.expr(f"regexp_extract_all(text, r'{TERM}', 0)")).alias("i", "word"))
-            .withColumn("term", F.lower("word")).join(_small(terms, n), "term")
+            .withColumn("term", F.lower("word")).join(_small(terms), "term")
             .groupBy("doc_id", "h").agg(F.array_sort(F.collect_set(F.struct("i", "removed"))).alias("at")))
     hits = cut(hits)
-    hits = _small(hits, hits.count()).withColumnsRenamed({"doc_id": "k", "h": "kh"})
+    hits = _small(hits).withColumnsRenamed({"doc_id": "k", "h": "kh"})
     on = F.col("doc_id").eqNullSafe(F.col("k")) & (F.col("h") == F.col("kh"))
     words = (d.join(hits, on).dropDuplicates(["doc_id", "h"])
              .select("doc_id", "h", "at", F.expr(f"regexp_extract_all(text, r'{TERM}', 0)").alias("words"),
                      F.expr(f"split(text, r'{TERM}', -1)").alias("between")))
-    start = ("aggregate(slice(words, 1, x.i), 0, (a, w) -> a + char_length(w)) + "
-             "aggregate(slice(between, 1, x.i + 1), 0, (a, w) -> a + char_length(w))")
-    return words.select("doc_id", "h", F.expr(
-        f"transform(at, x -> named_struct('kind', IF(x.removed, 'removed', 'term'), 'start', {start}, "
-        f"'end', {start} + char_length(words[x.i]), 'value', words[x.i]))").alias("terms"))
+    span = ("named_struct('kind', IF(x.removed, 'removed', 'term'), 'start', start, "
+            "'end', start + char_length(words[x.i]), 'value', words[x.i])")
+    start = f"{_before('lengths', 'starts', 'x.i')} + char_length(between[x.i])"
+    lengths = "zip_with(words, between, (w, b) -> coalesce(char_length(w), 0) + char_length(b))"
+    return words.select("doc_id", "h", F.expr(_let("lengths", lengths, _let(
+        "starts", _block_starts("lengths"), f"transform(at, x -> {_let('start', start, span)})"))).alias("terms"))
 
 
 def sanitise(docs: DataFrame, least_texts: int = LEAST_TEXTS, disclosure: float = DISCLOSURE) -> DataFrame:

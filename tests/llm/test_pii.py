@@ -159,6 +159,15 @@ def test_terms_at_the_query_s_own_limits(spark):
     assert all(out[i] == rows[i][1] for i in range(300))
 
 
+def test_many_spans_in_one_text(spark):
+    """Several blocks of entities and of terms in one long text, with characters of more than one byte."""
+    rows = disclosing()
+    long = " ".join(f"é{i} \U0001f600 üs.er{i}@x{i % 7}.example 10.{i % 300}.0.7 Ziggy" for i in range(1000))
+    assert len(base(long)) > 5 * op1_pii.BLOCK
+    terms, _ = compare(spark, [*rows, (600, long, 0, ""), (601, "Ziggy " * 1000, 0, "")], disclosure=0.7)
+    assert "ziggy" in terms
+
+
 def test_a_common_entity_needs_more_texts(spark):
     """An address in a third of all documents: words of a few of these are no evidence."""
     rng = random.Random(7)
@@ -167,8 +176,9 @@ def test_a_common_entity_needs_more_texts(spark):
     assert not terms
 
 
-def test_terms_by_shuffle(spark, monkeypatch):
-    monkeypatch.setattr(op1_pii, "BROADCAST_ROWS", 0)
+@pytest.mark.parametrize("limit", ["BROADCAST_ROWS", "BROADCAST_BYTES"])
+def test_terms_by_shuffle(spark, monkeypatch, limit):
+    monkeypatch.setattr(op1_pii, limit, 0)
     compare(spark, disclosing(), disclosure=0.8)
 
 
