@@ -15,8 +15,8 @@ not. Everything else of a text stays as it is.
 4. Pairs that sizes (length filter) or the places of the shared word (positional filter) rule out are never made, nor those
    whose 64-bit maps differ too much: a bit is the parity of the words that fall on it, so each bit that differs is a word
    that only one of them has, and maps of long lines are no fuller than others. A pair must share two words that pass,
-   where the prefixes reach that far. The others are verified by their exact words: a line is held against the nearest
-   one by the maps first, and if that is no match, against all.
+   where the prefixes reach that far. The others are verified by their exact words: a line that
+   meets all earlier ones is held against the nearest by the maps first, and if that is no match, against the others.
 
 Defined cases: a null text has no lines and stays null; an empty one is one empty line; lines with fewer than ``least``
 distinct words are always kept; rows without a doc_id are documents of their own and come before all others, by a hash of
@@ -41,8 +41,6 @@ from quayside.llm.registry import register
 
 #: Least similarity, least words of a line, bits of the table of word counts, bits of the tables of wanted places.
 SIMILAR, LEAST, SKETCH, WANTED = 0.8, 1, 22, 23
-#: Words that candidates share at least, if their prefixes reach as far.
-MOST_SHARED = 2
 #: Fewest words of a set that a different set (of one word more) can match.
 ALONE = math.ceil(SIMILAR / (1 - SIMILAR) - 1e-9)
 _PART = 1 << 16
@@ -183,31 +181,24 @@ def _overlap(n: str, n0: str) -> str:
     return f"ceil({SIMILAR / (1 + SIMILAR)!r} * ({n} + {n0}) - 1e-9)"
 
 
-def _shared(n: str, n0: str) -> str:
-    """Words that two sets of n and n0 that match share within both prefixes, at most ``MOST_SHARED``; SQL."""
-    return f"least({MOST_SHARED}, {_overlap(n, n0)} + 1 - ceil({SIMILAR} * greatest({n}, {n0}) - 1e-9))"
-
-
 def _passes(n: str, i: str, b: str, n0: str, i0: str, b0: str) -> str:
     """Length and positional filter for two classes that share the word at places i and i0, and that on the bits of their words.
 
-    Of the words that a match shares, as many come at or after each of the first ``_shared`` as are left without those
-    before it. Two different sets of ``ALONE`` words don't match.
+    Of the words that a match shares, all but one come at or after its first two; so either of these two has at least
+    all but one of them left in both sets. Two different sets of ``ALONE`` words don't match.
     """
     return (f"greatest({n}, {n0}) > {ALONE} AND least({n}, {n0}) >= {SIMILAR} * greatest({n}, {n0}) - 1e-9 AND "
-            f"least({n} - {i}, {n0} - {i0}) >= {_overlap(n, n0)} + 1 - {_shared(n, n0)} AND "
-            f"{n} + {n0} - bit_count({b} ^ {b0}) >= 2 * {_overlap(n, n0)}")
+            f"least({n} - {i}, {n0} - {i0}) >= {_overlap(n, n0)} - 1 AND {n} + {n0} - bit_count({b} ^ {b0}) >= 2 * {_overlap(n, n0)}")
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
-    """Candidates (doc, line, doc0, line0, far) from a row per shared word that passes, with sizes and bits.
+    """Candidates (doc, line, doc0, line0, far) from a row per shared word that passes, with sizes n and n0 and ``far``.
 
-    ``far`` is the share of words that the bits show to be in one set only. Pairs share ``_shared`` words that pass.
+    A match shares two such words, if both prefixes reach as far as the second can be; else at least one.
     """
-    one = lambda c: F.min(c).alias(c)  # noqa: E731  the same in all rows of a pair
-    return (rows.groupBy(*_PLACE, "doc0", "line0").agg(F.count(F.lit(1)).alias("c"), *map(one, ("n", "n0", "bits", "bits0")))
-            .where(F.expr(f"c >= {_shared('n', 'n0')}"))
-            .select(*_PLACE, "doc0", "line0", F.expr("bit_count(bits ^ bits0) / (n + n0)").alias("far")))
+    reach = lambda n: f"{n} - {_overlap('n', 'n0')} + 2 <= {n} - ceil({SIMILAR} * {n} - 1e-9) + 1"
+    return (rows.groupBy(*_PLACE, "doc0", "line0").agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"), F.max("n0").alias("n0"), F.max("far").alias("far"))
+            .where(F.expr(f"c >= 2 OR NOT ({reach('n')} AND {reach('n0')})")).select(*_PLACE, "doc0", "line0", "far"))
 
 
 def _bit_sql(columns: list[str]) -> str:
@@ -249,10 +240,11 @@ def jaccard(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out, pa.float64())
 
 
-def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def verified(docs: DataFrame, pairs: DataFrame, nearest_first: bool = False) -> DataFrame:
     """Of pairs (doc, line) and (doc0, line0), the former where the lines match: doc, line, k1.
 
-    One match will do for a line, so each is held against its nearest by ``far``, and those without a match against all.
+    One match will do for a line: with ``nearest_first``, each is held against its nearest by ``far`` (the share of words that
+    the bits show to be in one set only), and those without a match against all.
     """
     pairs = cut(pairs)
     places = pairs.select(*_PLACE).union(pairs.select("doc0", "line0")).distinct()
@@ -277,6 +269,8 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         return (some.join(found, _PLACE).join(earlier, ["doc0", "line0"])
                 .where(jaccard("words", "words0") >= F.lit(SIMILAR)).select("doc", "line", "k1").distinct())
 
+    if not nearest_first:
+        return matching(pairs)
     nearest = pairs.groupBy(*_PLACE).agg(F.min(F.struct("far", "doc0", "line0")).alias("m"), F.count(F.lit(1)).alias("pairs"))
     matched = cut(matching(nearest.select(*_PLACE, "m.doc0", "m.line0")))
     others = (nearest.where("pairs > 1").select(*_PLACE, F.col("m.doc0").alias("d0"), F.col("m.line0").alias("l0"))
@@ -289,8 +283,8 @@ def later_matches(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """Lines to remove: doc, line, k1 (a hash of its words). ``docs`` is as of ``_keyed``, and is scanned several times."""
     codes = docs.sparkSession.sparkContext.broadcast(word_codes(docs))
     shared = spool(index(classes(docs, codes, least)), "shared-words")
-    first = _pairs(shared.where(F.expr("doc <> doc0 OR line <> line0") & F.expr(_passes("n", "i", "bits", "n0", "i0", "bits0"))))
-    matched = cut(verified(docs, first))
+    first = shared.where(F.expr("doc <> doc0 OR line <> line0") & F.expr(_passes("n", "i", "bits", "n0", "i0", "bits0")))
+    matched = cut(verified(docs, _pairs(first.withColumn("far", F.lit(0.0)))))
     # what is matched asks no more: its size is negated, so that it fails the length filter as the later of a pair.
     # Both sides of the join are the same rows, which are shuffled once.
     bits = docs.sparkSession.sparkContext.broadcast(wanted(matched, _PLACE))
@@ -306,9 +300,9 @@ def later_matches(docs: DataFrame, least: int = LEAST) -> DataFrame:
     earlier = "(x.doc < y.doc OR (x.doc = y.doc AND x.line < y.line))"
     rest = (asks.alias("y").hint("merge")
             .join(asks.alias("x"), F.expr(f"x.word = y.word AND {earlier} AND {_passes('y.n', 'y.i', 'y.bits', 'abs(x.n)', 'x.i', 'x.bits')}"))
-            .select("y.doc", "y.line", "y.n", "y.bits", F.col("x.doc").alias("doc0"), F.col("x.line").alias("line0"),
-                    F.expr("abs(x.n)").alias("n0"), F.col("x.bits").alias("bits0")))
-    return cut(matched.union(verified(docs, _pairs(rest))).union(repeats(docs, least)).distinct())
+            .select("y.doc", "y.line", "y.n", F.col("x.doc").alias("doc0"), F.col("x.line").alias("line0"), F.expr("abs(x.n)").alias("n0"),
+                    F.expr("bit_count(y.bits ^ x.bits) / (y.n + abs(x.n))").alias("far")))
+    return cut(matched.union(verified(docs, _pairs(rest), nearest_first=True)).union(repeats(docs, least)).distinct())
 
 
 _CUT = T.StructType([T.StructField("text", T.StringType()), T.StructField("removed", T.LongType())])
