@@ -102,3 +102,37 @@ def test_query_against_the_plain_version(spark):
         assert r["predicted"] == (r["score"] >= 0.3)
     # the cut leaves as many labelled documents below it as there are bad ones
     assert sum(got[doc]["score"] < 0.3 for doc, _ in known) == sum(q == 0 for _, q in known)
+
+
+def test_all_labelled_documents_teach(spark):
+    """The first 20,000 in hash order all have label 1: only the others tell what a bad text is."""
+    ids = spark.range(24_000).selectExpr("id AS doc_id").orderBy("doc_id")
+    rank = {r["doc_id"]: i for i, r in enumerate(ids.where(~op7.held_out(ids.doc_id)).selectExpr("doc_id", "xxhash64(doc_id) AS h").orderBy("h").collect())}
+    more = spark.range(24_000, 27_000).selectExpr("id AS doc_id")
+    late = {r["doc_id"] for r in more.where(~op7.held_out(more.doc_id)).collect()}
+    biggest = max(rank, key=rank.get)
+    h = {r["doc_id"]: r["h"] for r in ids.union(more).selectExpr("doc_id", "xxhash64(doc_id) AS h").collect()}
+    order = sorted([*rank, *late], key=h.get)
+    assert len(order) > 21_000 and biggest in rank
+    quality = {d: int(i < 20_500) for i, d in enumerate(order)}
+    docs = spark.createDataFrame([(d, "plain words in a row" if q else "LOUD! #1 $$ WORDS!!") for d, q in quality.items()], "doc_id long, text string")
+    got = op7.classify(docs, spark.createDataFrame(list(quality.items()), "doc_id long, quality int")).collect()
+    assert all(r["predicted"] == quality[r["doc_id"]] for r in got) and len(got) == len(quality)
+
+
+def test_blocks_together_are_one_fit(spark):
+    """Many small blocks, more than there are bad labels: nearly the model of one block, and the same cut."""
+    rng = np.random.default_rng(3)
+    quality = {i: int(rng.random() < 0.9) for i in range(400)}
+    word = lambda i: " ".join(rng.choice(["alpha", "BETA", "x1", "y!", "# z"], 30, p=[0.6, 0.1, 0.1, 0.1, 0.1] if quality[i] else [0.3, 0.3, 0.1, 0.2, 0.1]))
+    docs = spark.createDataFrame([(i, word(i)) for i in quality], "doc_id long, text string").cache()
+    labels = spark.createDataFrame(list(quality.items()), "doc_id long, quality int")
+    one, many = op7.train(docs, labels), op7.train(docs, labels, block=5)
+    used = {i: q for i, q in quality.items() if zlib.crc32(str(i).encode()) % 5}
+    assert len(used) / 5 > sum(q == 0 for q in used.values())
+    score = {r["doc_id"]: (r["a"], r["b"]) for r in docs.select("doc_id", one.score(op7.features("text")).alias("a"), many.score(op7.features("text")).alias("b")).collect()}
+    for k in (0, 1):
+        assert sum(score[i][k] < 0.3 for i in used) == sum(q == 0 for q in used.values())
+    assert np.corrcoef(*np.array(list(score.values())).T)[0, 1] > 0.9
+    good, bad = op7.drawn(50, 20_000, 1000, 1)
+    assert set(good) == set(range(50)) and set(bad) == set(range(20_000)) and len(good) == len(bad)
