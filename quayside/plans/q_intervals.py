@@ -77,9 +77,4 @@ def q_region_cover(spark, sf_dir):
     """Pings and vessels in each of many boxes whose sizes differ by a factor of ten thousand."""
     boxes = read_table(spark, sf_dir, "supplier").selectExpr(*_BOX).selectExpr(*_BOUNDS)
     pings = Tables(spark, sf_dir).raw.select("event_id", "mmsi", "latitude", "longitude")
-    found = regions.region_join(pings, boxes)
-    # a vessel's pings in a region are counted first, so that a region with most pings is not counted in one place
-    per_vessel = found.groupBy("region", "mmsi").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("a"), F.max("event_id").alias("b"))
-    return per_vessel.groupBy("region").agg(F.sum("n").alias("pings"), F.count(F.lit(1)).alias("vessels"),
-                                            F.min("a").alias("first_event"), F.max("b").alias("last_event"))
-
+    return regions.region_counts(pings, boxes)

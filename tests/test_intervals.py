@@ -103,3 +103,36 @@ def test_a_region_has_four_cells_at_most(spark):
     cells = regions.region_cells(spark.createDataFrame(boxes(9, 400), BOX)).groupBy("region").count()
     assert 1 <= cells.agg(F.min("count")).first()[0] and cells.agg(F.max("count")).first()[0] <= 4
     assert regions.region_join(spark.createDataFrame([(1, 5.0, 5.0)], "event_id long, latitude float, longitude float"), spark.createDataFrame([], BOX)).count() == 0
+
+
+@pytest.mark.parametrize("seed, dense", [(0, 1), (1, 3), (2, 256)])
+def test_region_counts_against_every_pair(spark, monkeypatch, seed, dense):
+    monkeypatch.setattr(regions, "DENSE", dense)
+    rng, f = random.Random(seed + 90), np.float32
+    regs = boxes(seed, 60)
+    regs += regs[:5] + [(None, 50.0, 60.0, 5.0, 15.0)]  # repeated, and without a key
+    near = [(rng.uniform(54, 56), rng.uniform(9, 11)) for _ in range(4)]
+    ship = lambda: rng.choice([None, 0, -40_000, 219_000_001, 219_000_002, 219_000_003, 219_400_000, 1 << 40])
+    pings = [(i, ship(), *((a + rng.gauss(0, 0.2), o + rng.gauss(0, 0.2)) if i % 2 else (rng.uniform(49, 61), rng.uniform(4, 16)))) for i, (a, o) in
+             ((i, rng.choice(near)) for i in range(500))]
+    pings += [(1000 + i, ship(), *rng.choice([(b[1], b[3]), (b[2], b[4])])) for i, b in enumerate(regs[:60])]  # corners
+    pings += [(2000, 1, math.nan, 9.0), (2001, 1, None, 9.0), (2002, 1, 1e9, -1e9), (2003, 1, math.inf, 9.0), (2004, 1, 55.125, 9.125), (None, 1, 55.0, 9.0)]
+    got = regions.region_counts(spark.createDataFrame(pings, "event_id long, mmsi long, latitude float, longitude float"), spark.createDataFrame(regs, BOX))
+    want: dict = {}
+    for r, a, b, c, d in regs:
+        for e, m, y, x in pings:
+            if None not in (y, x, a, b, c, d) and f(a) <= f(y) <= f(b) and f(c) <= f(x) <= f(d):
+                want.setdefault(r, []).append((e, m))
+    ids = lambda v: [e for e, _ in v if e is not None]
+    assert {r.region: (r.pings, r.vessels, r.first_event, r.last_event) for r in got.collect()} == {
+        r: (len(v), len({m for _, m in v}), min(ids(v), default=None), max(ids(v), default=None)) for r, v in want.items()}
+
+
+def test_a_box_takes_tiles_as_a_whole(spark, monkeypatch):
+    """2,000 pings in 100 boxes that hold them all: no row for each ping and box."""
+    made, join = [], regions.region_join
+    monkeypatch.setattr(regions, "region_join", lambda p, r: made.append(join(p, r)) or made[-1])
+    pings = spark.range(2000).selectExpr("id AS event_id", "id % 300 AS mmsi", "FLOAT(55 + id % 41 / 100) AS latitude", "FLOAT(9 + id % 37 / 100) AS longitude")
+    found = regions.region_counts(pings, spark.createDataFrame([(i, 54.0 - i, 57.0, 8.0, 11.0 + i) for i in range(100)], BOX)).collect()
+    assert [(r.pings, r.vessels, r.first_event, r.last_event) for r in found] == [(2000, 300, 0, 1999)] * 100
+    assert made and sum(m.count() for m in made) < 2000
