@@ -9,12 +9,13 @@ not. Everything else of a text stays as it is.
 2. Equal sets are one class, of which the earliest line is compared; its other lines are removed.
 3. Sets of n words that match share one of their first n - ceil(SIMILAR * n) + 1 words in this order. These prefixes
    are indexed. Words in the prefix of one class only are dropped; of the others, each class first meets the earliest
-   class with that word, and only what no such class matches meets all earlier ones. So a large group of variants
-   costs a pair per variant and word, not a pair per two variants. Sets of fewer than ``ALONE`` words match equal sets
-   only, so these are not indexed.
+   class with that word and the ``BEFORE`` classes right before it, and only what none of these matches meets all earlier
+   ones. So most of a large group of variants costs a few pairs per variant and word, not a pair per two variants. Sets of
+   fewer than ``ALONE`` words match equal sets only, so these are not indexed.
 4. Pairs that sizes (length filter) or the places of the shared word (positional filter) rule out are never made, nor those
-   whose 64-bit maps differ too much: a bit is the parity of the words that fall on it, so each bit that differs is a word
-   that only one of them has, and maps of long lines are no fuller than others. A pair must share two words that pass,
+   whose bit maps differ too much: a bit is the parity of the words that fall on it, so each bit that differs is a word
+   that only one of them has. Long lines differ in more words than a short map can show, so they have maps of more bits
+   (64, and 128 and 192 of more than ``WIDE`` words). A pair must share two words that pass,
    where the prefixes reach that far. The others are verified by their exact words: a line that
    meets all earlier ones is held against the nearest by the maps first, and if that is no match, against the others.
 
@@ -41,11 +42,14 @@ from quayside.llm.registry import register
 
 #: Least similarity, least words of a line, bits of the table of word counts, bits of the tables of wanted places.
 SIMILAR, LEAST, SKETCH, WANTED = 0.8, 1, 22, 23
+#: Sets of more words than these have a second and a third part of their bit maps. Classes before it that a class first meets.
+WIDE, BEFORE = (48, 144), 2
 #: Fewest words of a set that a different set (of one word more) can match.
 ALONE = math.ceil(SIMILAR / (1 - SIMILAR) - 1e-9)
 _PART = 1 << 16
 _WORD = np.uint64((1 << 40) - 1)
 _PLACE = ["doc", "line"]
+_MAPS = ["bits", "more", "most"]
 
 
 def with_keys(docs: DataFrame) -> DataFrame:
@@ -123,7 +127,7 @@ def word_codes(docs: DataFrame) -> np.ndarray:
 
 
 def classes(docs: DataFrame, codes, least: int = LEAST) -> DataFrame:
-    """One row per distinct word set that others can match: doc and line of its earliest line, n words, their bits, and its prefix (array).
+    """One row per distinct word set that others can match: doc and line of its earliest line, n words, their bit maps, and its prefix (array).
 
     Words of a prefix are 40 bits of their hash; words that share them only make some more candidates.
     """
@@ -140,15 +144,29 @@ def classes(docs: DataFrame, codes, least: int = LEAST) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(k1[ok].view(np.int64)), pa.array(k2[ok].view(np.int64)), pa.array(doc[lines.doc[line[ok]]]),
                  pa.array(lines.number[line[ok]].astype(np.int32)), pa.array(n[ok].astype(np.int32)),
-                 pa.array(np.bitwise_xor.reduceat(np.uint64(1) << (rank & np.uint64(63)), start)[ok].view(np.int64)),
+                 *_maps(n, rank, start, ok),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array((rank[inner] & _WORD).view(np.int64)))],
-                ["k1", "k2", "doc", "line", "n", "bits", "prefix"])
+                ["k1", "k2", "doc", "line", "n", *_MAPS, "prefix"])
 
-    sets = docs.mapInArrow(_scan(emit), "k1 long, k2 long, doc long, line int, n int, bits long, prefix array<long>")
-    return (sets.groupBy("k1", "k2").agg(F.min(F.struct("doc", "line", "n", "bits", "prefix")).alias("m"))
+    sets = docs.mapInArrow(_scan(emit), "k1 long, k2 long, doc long, line int, n int, bits long, more long, most long, prefix array<long>")
+    return (sets.groupBy("k1", "k2").agg(F.min(F.struct("doc", "line", "n", *_MAPS, "prefix")).alias("m"))
             .select("m.*"))
 
 
+def _maps(n: np.ndarray, rank: np.ndarray, start: np.ndarray, ok: np.ndarray) -> list[pa.Array]:
+    """Bit maps of sets: ``bits`` of all words; ``more`` of half of them and ``most`` of a quarter in the other half, for long sets.
+
+    So the words of a set of more than ``WIDE[1]`` words are in three maps, ``more``, ``most`` and what is left of ``bits``.
+    """
+    bit = np.uint64(1) << (rank & np.uint64(63))
+    half, quarter = (rank >> np.uint64(6)) & np.uint64(1) == 1, (rank >> np.uint64(7)) & np.uint64(1) == 1
+    out = [pa.array(np.bitwise_xor.reduceat(bit, start)[ok].view(np.int64))]
+    for least, of in zip(WIDE, (half, ~half & quarter)):
+        part = np.bitwise_xor.reduceat(np.where(of, bit, np.uint64(0)), start)[ok]
+        out.append(pa.array(part.view(np.int64), mask=n[ok] <= least))
+    return out
+
+
 def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """Lines of classes that have an earlier line: doc, line, k1."""
     def emit(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -167,13 +185,17 @@ def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def index(sets: DataFrame) -> DataFrame:
-    """Prefix words that several classes share: word, doc, line, n, i (its place), bits, and the earliest class with it."""
-    rows = sets.select(F.posexplode("prefix").alias("i", "word"), "doc", "line", "n", "bits")
+    """Prefix words that several classes share: word, doc, line, n, i (its place), bit maps, and ``met``: doc0 and line0 of
+    the earliest class with the word and of the ``BEFORE`` ones before, where the pair passes."""
+    rows = sets.select(F.posexplode("prefix").alias("i", "word"), "doc", "line", "n", *_MAPS)
     by = Window.partitionBy("word").orderBy("doc", "line")
-    lead = lambda c: F.first(c).over(by)  # noqa: E731  runs along the sorted rows
-    return (rows.select("word", "doc", "line", "n", "i", "bits", lead("doc").alias("doc0"), lead("line").alias("line0"),
-                        lead("n").alias("n0"), lead("i").alias("i0"), lead("bits").alias("bits0"), F.lead("line").over(by).alias("next"))
-            .where("next IS NOT NULL OR doc0 <> doc OR line0 <> line").drop("next"))
+    cols = [*_PLACE, "n", "i", *_MAPS]  # one by one: structs of them would be shuffled beside them
+    of = {"m0": F.first, **{f"m{k}": lambda c, k=k: F.lag(c, k) for k in range(1, BEFORE + 1)}}  # the first of all, 1 before, 2 before
+    rows = rows.select("*", *[f(c).over(by).alias(m + c) for m, f in of.items() for c in cols], F.lead("line").over(by).alias("next"))
+    other = [f"(doc <> {m}doc OR line <> {m}line)" + (f" AND ({m}doc <> m0doc OR {m}line <> m0line)" if m != "m0" else "") for m in of]
+    passed = [f"IF({o} AND {_passes('', m)}, struct({m}doc AS doc0, {m}line AS line0), NULL)" for o, m in zip(other, of)]
+    return (rows.where("next IS NOT NULL OR doc <> m0doc OR line <> m0line")
+            .select("word", *cols, F.expr(f"array_compact(array({', '.join(passed)}))").alias("met")))
 
 
 def _overlap(n: str, n0: str) -> str:
@@ -181,14 +203,24 @@ def _overlap(n: str, n0: str) -> str:
     return f"ceil({SIMILAR / (1 + SIMILAR)!r} * ({n} + {n0}) - 1e-9)"
 
 
-def _passes(n: str, i: str, b: str, n0: str, i0: str, b0: str) -> str:
-    """Length and positional filter for two classes that share the word at places i and i0, and that on the bits of their words.
+def _differ(y: str, x: str) -> str:
+    """Words that only one of two classes has, as far as the bit maps of both show; SQL."""
+    bits, more, most = (f"({y}{c} ^ {x}{c})" for c in _MAPS)
+    return (f"coalesce(bit_count({bits} ^ {more} ^ {most}) + bit_count({most}) + bit_count({more}), "
+            f"bit_count({bits} ^ {more}) + bit_count({more}), bit_count({bits}))")
+
+
+def _passes(y: str, x: str, n0: str = "") -> str:
+    """Length and positional filter for two classes that share the word at places i, and that on the bits of their words; SQL.
+
+    ``y`` and ``x`` are put before the columns; ``n0`` is the size of x, if not that column.
 
     Of the words that a match shares, all but one come at or after its first two; so either of these two has at least
     all but one of them left in both sets. Two different sets of ``ALONE`` words don't match.
     """
+    n, n0 = f"{y}n", n0 or f"{x}n"
     return (f"greatest({n}, {n0}) > {ALONE} AND least({n}, {n0}) >= {SIMILAR} * greatest({n}, {n0}) - 1e-9 AND "
-            f"least({n} - {i}, {n0} - {i0}) >= {_overlap(n, n0)} - 1 AND {n} + {n0} - bit_count({b} ^ {b0}) >= 2 * {_overlap(n, n0)}")
+            f"least({n} - {y}i, {n0} - {x}i) >= {_overlap(n, n0)} - 1 AND {n} + {n0} - {_differ(y, x)} >= 2 * {_overlap(n, n0)}")
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -283,8 +315,8 @@ def later_matches(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """Lines to remove: doc, line, k1 (a hash of its words). ``docs`` is as of ``_keyed``, and is scanned several times."""
     codes = docs.sparkSession.sparkContext.broadcast(word_codes(docs))
     shared = spool(index(classes(docs, codes, least)), "shared-words")
-    first = shared.where(F.expr("doc <> doc0 OR line <> line0") & F.expr(_passes("n", "i", "bits", "n0", "i0", "bits0")))
-    matched = cut(verified(docs, _pairs(first.withColumn("far", F.lit(0.0)))))
+    first = shared.select(*_PLACE, F.inline("met")).select(*_PLACE, "doc0", "line0").distinct()
+    matched = cut(verified(docs, first))
     # what is matched asks no more: its size is negated, so that it fails the length filter as the later of a pair.
     # Both sides of the join are the same rows, which are shuffled once.
     bits = docs.sparkSession.sparkContext.broadcast(wanted(matched, _PLACE))
@@ -293,15 +325,15 @@ def later_matches(docs: DataFrame, least: int = LEAST) -> DataFrame:
     def maybe(doc: pa.Array, line: pa.Array) -> pa.Array:
         return pa.array(_bits_of(bits.value, doc.to_numpy(zero_copy_only=False), line.to_numpy(zero_copy_only=False)))
 
-    flagged = shared.select("word", *_PLACE, "n", "i", "bits").withColumn("maybe", maybe("doc", "line"))
+    flagged = shared.drop("met").withColumn("maybe", maybe("doc", "line"))
     known = matched.select(*_PLACE).distinct().withColumn("matched", F.lit(True))
-    asks = (flagged.where("NOT maybe").select("word", *_PLACE, "n", "i", "bits")
-            .union(flagged.where("maybe").join(known, _PLACE, "left").select("word", *_PLACE, F.expr("IF(matched, -n, n)").alias("n"), "i", "bits")))
+    asks = (flagged.where("NOT maybe").select("word", *_PLACE, "n", "i", *_MAPS)
+            .union(flagged.where("maybe").join(known, _PLACE, "left").select("word", *_PLACE, F.expr("IF(matched, -n, n)").alias("n"), "i", *_MAPS)))
     earlier = "(x.doc < y.doc OR (x.doc = y.doc AND x.line < y.line))"
     rest = (asks.alias("y").hint("merge")
-            .join(asks.alias("x"), F.expr(f"x.word = y.word AND {earlier} AND {_passes('y.n', 'y.i', 'y.bits', 'abs(x.n)', 'x.i', 'x.bits')}"))
+            .join(asks.alias("x"), F.expr(f"x.word = y.word AND {earlier} AND {_passes('y.', 'x.', 'abs(x.n)')}"))
             .select("y.doc", "y.line", "y.n", F.col("x.doc").alias("doc0"), F.col("x.line").alias("line0"), F.expr("abs(x.n)").alias("n0"),
-                    F.expr("bit_count(y.bits ^ x.bits) / (y.n + abs(x.n))").alias("far")))
+                    F.expr(f"{_differ('y.', 'x.')} / (y.n + abs(x.n))").alias("far")))
     return cut(matched.union(verified(docs, _pairs(rest), nearest_first=True)).union(repeats(docs, least)).distinct())
 
 

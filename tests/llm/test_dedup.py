@@ -254,6 +254,45 @@ def test_group_of_variants(spark):
     assert line_result(spark, rows) == slow_line_dedup(rows)
 
 
+def candidates(monkeypatch):
+    """The numbers of pairs that are verified, filled in as lines are compared."""
+    found, verified = [], op2_line_dedup.verified
+
+    def counted(docs, pairs, **options):
+        found.append(pairs.count())
+        return verified(docs, pairs, **options)
+
+    monkeypatch.setattr(op2_line_dedup, "verified", counted)
+    return found
+
+
+def test_long_lines_that_only_share_words_are_no_candidates(spark, monkeypatch):
+    """Of some 180 words, which fill 64 bits: pairs must not grow with the square of the lines that share words."""
+    rng = random.Random(11)
+    vocabulary = [f"l{i}" for i in range(700)]
+    lines = [" ".join(rng.sample(vocabulary, rng.randrange(170, 190))) for _ in range(60)]
+    words = lines[0].split()
+    lines += [" ".join(words[:-12] + [f"new{i}" for i in range(12)]), " ".join(words[10:])]  # both match the first
+    rows = list(enumerate(lines))
+    found = candidates(monkeypatch)
+    assert line_result(spark, rows) == slow_line_dedup(rows)
+    assert 2 <= sum(found) <= 60
+
+
+def test_variants_that_drift_meet_the_line_before(spark, monkeypatch):
+    """Each matches the one before, few the earliest: they need not meet all earlier ones, of which there are 7,140."""
+    rng = random.Random(12)
+    words, rows = [f"d{i}" for i in range(60)], []
+    for i in range(120):
+        for j in rng.sample(range(60), 3):
+            words[j] = f"x{i}-{j}"
+        rows.append((i, " ".join(words)))
+    found = candidates(monkeypatch)
+    got = line_result(spark, rows)
+    assert got == slow_line_dedup(rows) and sum(r[2] for r in got) == 119
+    assert sum(found[1:]) == 0 and found[0] <= 3 * 120
+
+
 def test_line_dedup_of_nothing_and_other_columns(spark):
     d = spark.createDataFrame([(1, "a b c d e", "keep", 7, 5), (2, "a b c d e", None, 8, 6)], "doc_id long, text string, doc string, line int, _key int")
     out = op2_line_dedup.dedup_lines(d)
