@@ -5,22 +5,24 @@ from collections.abc import Iterator
 
 import numpy as np
 
-#: Bytes that are worked on at once; a longer line is taken whole, its words in pieces of this size.
+#: Bytes that are worked on at once; a longer line is taken whole. Bytes whose words are hashed at once.
 STEP = 1 << 18
+_PIECE = 1 << 16
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_powers = np.ones(1, np.uint64)
+#: What a byte counts in the hash of its word; white space: nothing.
+_VALUE = np.where(_SPACE, 0, np.arange(1, 257)).astype(np.uint64)
+_BASE = 0x9E3779B97F4A7C15
+_powers: dict[int, np.ndarray] = {}
 
 
-def _power(n: int) -> np.ndarray:
-    """Powers of an odd base, modulo 2 ** 64, for words of up to ``n`` bytes."""
-    global _powers
-    if len(_powers) < n:
-        steps = np.full(max(n, 64), _BASE, np.uint64)
+def _power(base: int, n: int) -> np.ndarray:
+    """At least ``n`` powers of an odd base, modulo 2 ** 64."""
+    if len(_powers.get(base, ())) < n:
+        steps = np.full(max(n, _PIECE), base, np.uint64)
         steps[0] = 1
-        _powers = np.multiply.accumulate(steps)
-    return _powers
+        _powers[base] = np.multiply.accumulate(steps)
+    return _powers[base]
 
 
 def mixed(h: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -58,26 +60,37 @@ class Lines:
             starts, ends = np.flatnonzero(~space & before), np.flatnonzero(space & ~before)
             if len(starts):
                 line = at + np.searchsorted(self.feeds[at:to] - begin, starts)
-                yield line, mixed(self._hashes(part, space, starts, ends))
+                yield line, mixed(self._hashes(part, starts, ends))
             at = to
 
     @staticmethod
-    def _hashes(part: np.ndarray, space: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        power, out, at = _power(int((ends - starts).max())), [], 0
+    def _hashes(part: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Sums of (byte + 1) * base ** (its place in the word): powers by the place in a piece, brought back to each word's start."""
+        out, at = [], 0
         while at < len(starts):
-            to = max(at + 1, int(np.searchsorted(ends, starts[at] + 2 * STEP)))
+            to = max(at + 1, int(np.searchsorted(ends, starts[at] + _PIECE)))
             low, high = starts[at], ends[to - 1]
             first = starts[at:to] - low
-            place = np.arange(high - low) - np.repeat(first, np.diff(np.append(first, high - low)))
-            blank = space[low:high]
-            place[blank] = 0
-            value = (part[low:high].astype(np.uint64) + np.uint64(1)) * power[place]
-            value[blank] = 0
-            out.append(np.add.reduceat(value, first))
+            value = _VALUE[part[low:high]]
+            value *= _power(_BASE, high - low)[:high - low]
+            out.append(np.add.reduceat(value, first) * _power(pow(_BASE, -1, 1 << 64), int(first[-1]) + 1)[first])
             at = to
         return np.concatenate(out)
 
 
+def _order(line: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The order by line, then rank: by one number of 64 bits, unless what it leaves out matters."""
+    near = line - line[0]
+    if near[-1] < 1 << 16:
+        key = (near.astype(np.uint64) << np.uint64(48)) | (rank >> np.uint64(16))
+        order = np.argsort(key)
+        key, rank = key[order], rank[order]
+        if not ((key[1:] == key[:-1]) & (rank[1:] != rank[:-1])).any():
+            return order
+        rank = rank[np.argsort(order)]
+    return np.lexsort((rank, line))
+
+
 def line_sets(lines: Lines, codes: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, ...]]:
     """Sets of distinct words, for runs of lines: line, size, two hashes of the set, and its words in order.
 
@@ -88,7 +101,7 @@ def line_sets(lines: Lines, codes: np.ndarray | None = None) -> Iterator[tuple[n
     for line, h in lines.tokens():
         code = codes[h >> np.uint64(bits)].astype(np.uint64) if codes is not None else np.uint64(0)
         rank = (code << np.uint64(56)) | (h >> np.uint64(8))
-        order = np.lexsort((rank, line))
+        order = _order(line, rank)
         line, rank = line[order], rank[order]
         new_line = np.concatenate([[True], line[1:] != line[:-1]])
         keep = new_line | np.concatenate([[True], rank[1:] != rank[:-1]])

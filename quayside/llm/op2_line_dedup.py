@@ -8,16 +8,18 @@ not. Everything else of a text stays as it is.
    is the same for all tasks, so the order is too; hash collisions only make it a little less sharp.
 2. Equal sets are one class, of which the earliest line is compared; its other lines are removed.
 3. Sets of n words that match share one of their first n - ceil(SIMILAR * n) + 1 words in this order. These prefixes
-   are indexed. Words in the prefix of one class only are dropped; of the others, each class first meets the earliest
-   class with that word and the ``BEFORE`` classes right before it, and only what none of these matches meets all earlier
-   ones. So most of a large group of variants costs a few pairs per variant and word, not a pair per two variants. Sets of
-   fewer than ``ALONE`` words match equal sets only, so these are not indexed.
-4. Pairs that sizes (length filter) or the places of the shared word (positional filter) rule out are never made, nor those
+   are the index: rows are dealt by word and sorted by place, and each class meets the earliest class with its word and
+   the ``BEFORE`` right before it, many pairs at once in numpy. Sets of fewer than ``ALONE`` words match equal sets only, so
+   these are not indexed.
+4. Pairs that sizes (length filter) or the places of the shared word (positional filter) rule out are dropped there, and those
    whose bit maps differ too much: a bit is the parity of the words that fall on it, so each bit that differs is a word
    that only one of them has. Long lines differ in more words than a short map can show, so they have maps of more bits
-   (64, and 128 and 192 of more than ``WIDE`` words). A pair must share two words that pass,
-   where the prefixes reach that far. The others are verified by their exact words: a line that
-   meets all earlier ones is held against the nearest by the maps first, and if that is no match, against the others.
+   (64, and 128 and 192 of more than ``WIDE`` words). Of what is left, the ``NEAREST`` by the maps are kept per class and word.
+   A pair must share two words that pass, where the prefixes reach that far.
+5. These pairs are verified by their exact words: each line against its nearest first, then those without a match
+   against the others. A line without a match that had earlier classes out of reach in 3, or more than 4 keeps, meets
+   all earlier ones in a join on the words. So a large group of variants costs some pairs per variant and word, not a
+   pair per two variants, and no pair is lost.
 
 Defined cases: a null text has no lines and stays null; an empty one is one empty line; lines with fewer than ``least``
 distinct words are always kept; rows without a doc_id are documents of their own and come before all others, by a hash of
@@ -32,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,8 +44,10 @@ from quayside.llm.registry import register
 
 #: Least similarity, least words of a line, bits of the table of word counts, bits of the tables of wanted places.
 SIMILAR, LEAST, SKETCH, WANTED = 0.8, 1, 22, 23
-#: Sets of more words than these have a second and a third part of their bit maps. Classes before it that a class first meets.
-WIDE, BEFORE = (48, 144), 2
+#: Sets of more words than these have a second and a third part of their bit maps.
+WIDE = (48, 144)
+#: Classes before it that a class meets at once, and how many of them are kept, per word. Index rows and pairs of classes worked on at once.
+BEFORE, NEAREST, ROWS, PAIRS = 1024, 16, 1 << 16, 1 << 20
 #: Fewest words of a set that a different set (of one word more) can match.
 ALONE = math.ceil(SIMILAR / (1 - SIMILAR) - 1e-9)
 _PART = 1 << 16
@@ -126,21 +130,20 @@ def word_codes(docs: DataFrame) -> np.ndarray:
     return codes
 
 
-def classes(docs: DataFrame, codes, least: int = LEAST) -> DataFrame:
-    """One row per distinct word set that others can match: doc and line of its earliest line, n words, their bit maps, and its prefix (array).
+def word_sets(docs: DataFrame, codes, least: int = LEAST) -> DataFrame:
+    """A row per line of at least ``least`` words: two hashes of its set, doc, line, n words, their bit maps, and its prefix (array).
 
-    Words of a prefix are 40 bits of their hash; words that share them only make some more candidates.
+    Words of a prefix are 40 bits of their hash; words that share them only make some more candidates. Sets that only
+    equal ones match have an empty prefix.
     """
     def emit(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         doc, lines = _lines(b)
         for line, n, k1, k2, rank in line_sets(lines, codes.value):
-            size = np.where(n >= max(least, ALONE), n - np.ceil(SIMILAR * n - 1e-9).astype(np.int64) + 1, 0)
+            ok = n >= least
+            size = np.where(ok & (n >= ALONE), n - np.ceil(SIMILAR * n - 1e-9).astype(np.int64) + 1, 0)
             start = np.cumsum(n) - n
             inner = np.arange(len(rank)) - np.repeat(start, n) < np.repeat(size, n)
-            ok = size > 0
             offsets = np.concatenate([[0], np.cumsum(size[ok])]).astype(np.int32)
-            if not ok.any():
-                continue
             yield pa.RecordBatch.from_arrays(
                 [pa.array(k1[ok].view(np.int64)), pa.array(k2[ok].view(np.int64)), pa.array(doc[lines.doc[line[ok]]]),
                  pa.array(lines.number[line[ok]].astype(np.int32)), pa.array(n[ok].astype(np.int32)),
@@ -148,8 +151,12 @@ def classes(docs: DataFrame, codes, least: int = LEAST) -> DataFrame:
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array((rank[inner] & _WORD).view(np.int64)))],
                 ["k1", "k2", "doc", "line", "n", *_MAPS, "prefix"])
 
-    sets = docs.mapInArrow(_scan(emit), "k1 long, k2 long, doc long, line int, n int, bits long, more long, most long, prefix array<long>")
-    return (sets.groupBy("k1", "k2").agg(F.min(F.struct("doc", "line", "n", *_MAPS, "prefix")).alias("m"))
+    return docs.mapInArrow(_scan(emit), "k1 long, k2 long, doc long, line int, n int, bits long, more long, most long, prefix array<long>")
+
+
+def classes(sets: DataFrame) -> DataFrame:
+    """One row per distinct word set that others can match, that of its earliest line: doc, line, n, bit maps, prefix."""
+    return (sets.where("size(prefix) > 0").groupBy("k1", "k2").agg(F.min(F.struct("doc", "line", "n", *_MAPS, "prefix")).alias("m"))
             .select("m.*"))
 
 
@@ -167,17 +174,9 @@ def _maps(n: np.ndarray, rank: np.ndarray, start: np.ndarray, ok: np.ndarray) ->
     return out
 
 
-def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def repeats(sets: DataFrame) -> DataFrame:
     """Lines of classes that have an earlier line: doc, line, k1."""
-    def emit(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        doc, lines = _lines(b)
-        for line, n, k1, k2, _ in line_sets(lines):
-            ok = n >= least
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(k1[ok].view(np.int64)), pa.array(k2[ok].view(np.int64)), pa.array(doc[lines.doc[line[ok]]]),
-                 pa.array(lines.number[line[ok]].astype(np.int32))], ["k1", "k2", "doc", "line"])
-
-    all_lines = docs.mapInArrow(_scan(emit), "k1 long, k2 long, doc long, line int")
+    all_lines = sets.select("k1", "k2", "doc", "line")
     first = (all_lines.groupBy("k1", "k2").agg(F.min(F.struct("doc", "line")).alias("first"), F.count(F.lit(1)).alias("m"))
              .where("m > 1").select(F.col("k1").alias("f1"), F.col("k2").alias("f2"), "first"))
     return (all_lines.join(first, (F.col("k1") == F.col("f1")) & (F.col("k2") == F.col("f2")))
@@ -185,17 +184,111 @@ def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def index(sets: DataFrame) -> DataFrame:
-    """Prefix words that several classes share: word, doc, line, n, i (its place), bit maps, and ``met``: doc0 and line0 of
-    the earliest class with the word and of the ``BEFORE`` ones before, where the pair passes."""
-    rows = sets.select(F.posexplode("prefix").alias("i", "word"), "doc", "line", "n", *_MAPS)
-    by = Window.partitionBy("word").orderBy("doc", "line")
-    cols = [*_PLACE, "n", "i", *_MAPS]  # one by one: structs of them would be shuffled beside them
-    of = {"m0": F.first, **{f"m{k}": lambda c, k=k: F.lag(c, k) for k in range(1, BEFORE + 1)}}  # the first of all, 1 before, 2 before
-    rows = rows.select("*", *[f(c).over(by).alias(m + c) for m, f in of.items() for c in cols], F.lead("line").over(by).alias("next"))
-    other = [f"(doc <> {m}doc OR line <> {m}line)" + (f" AND ({m}doc <> m0doc OR {m}line <> m0line)" if m != "m0" else "") for m in of]
-    passed = [f"IF({o} AND {_passes('', m)}, struct({m}doc AS doc0, {m}line AS line0), NULL)" for o, m in zip(other, of)]
-    return (rows.where("next IS NOT NULL OR doc <> m0doc OR line <> m0line")
-            .select("word", *cols, F.expr(f"array_compact(array({', '.join(passed)}))").alias("met")))
+    """A row per word of a prefix: word, doc, line, n, i (its place), bit maps."""
+    return sets.select(F.posexplode("prefix").alias("i", "word"), *_PLACE, "n", *_MAPS)
+
+
+class Met:
+    """Index rows of some words, in order of word and place, and the pairs of them that pass.
+
+    ``known`` rows are at the front, of the first word only: its earliest class and the last ones of those met before.
+    ``gone``: whether others were met between these, which are not here any more.
+    """
+
+    def __init__(self, rows: dict[str, np.ndarray], known: int, gone: bool):
+        self.rows, self.known = rows, known
+        word = rows["word"]
+        new = np.concatenate([[True], word[1:] != word[:-1]])
+        self.first = np.maximum.accumulate(np.where(new, np.arange(len(word)), 0))
+        self.gone = (self.first == 0) & gone
+
+    def pairs(self) -> Iterator[pa.RecordBatch]:
+        """Rows as of ``near``."""
+        y = np.arange(self.known, len(self.first))
+        back = y - self.first[y]
+        out = self.gone[y] | (back > BEFORE + 1)  # some earlier ones are out of reach
+        reach = np.minimum(back, BEFORE)
+        far_off = back > BEFORE  # beside those in reach, it meets the earliest
+        count = reach + far_off
+        ends = np.cumsum(count)
+        at = 0
+        while at < len(y):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS)))
+            yield self._passing(y[at:to], reach[at:to], count[at:to], out[at:to])
+            at = to
+
+    def _passing(self, y: np.ndarray, reach: np.ndarray, count: np.ndarray, out: np.ndarray) -> pa.RecordBatch:
+        of = np.repeat(np.arange(len(y)), count)
+        step = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+        a = y[of]
+        b = np.where(step < reach[of], a - 1 - step, self.first[a])
+        n, i = self.rows["n"], self.rows["i"]
+        na, nb = n[a], n[b]
+        least, most = np.minimum(na, nb), np.maximum(na, nb)
+        keep = np.flatnonzero((least >= SIMILAR * most - 1e-9) & (most > ALONE))
+        of, a, b, na, nb = of[keep], a[keep], b[keep], na[keep], nb[keep]
+        share = np.ceil(SIMILAR / (1 + SIMILAR) * (na + nb) - 1e-9)
+        keep = np.flatnonzero(np.minimum(na - i[a], nb - i[b]) >= share - 1)
+        of, a, b, na, nb, share = of[keep], a[keep], b[keep], na[keep], nb[keep], share[keep]
+        bits, more, most = ((self.rows[c][a] ^ self.rows[c][b]).view(np.uint64) for c in _MAPS)
+        both = np.minimum(na, nb)
+        more[both <= WIDE[0]] = 0
+        most[both <= WIDE[1]] = 0
+        differ = sum(np.bitwise_count(x).astype(np.int64) for x in (bits ^ more ^ most, more, most))
+        doc, line = self.rows["doc"], self.rows["line"]
+        keep = np.flatnonzero((na + nb - differ >= 2 * share) & ((doc[a] != doc[b]) | (line[a] != line[b])))
+        far = differ[keep] / (na[keep] + nb[keep])
+        keep = keep[order := np.lexsort((far, of[keep]))]
+        of, far = of[keep], far[order]
+        place = np.arange(len(of)) - np.searchsorted(of, of)
+        out = out.copy()
+        out[of[place >= NEAREST]] = True
+        keep, far = keep[place < NEAREST], far[place < NEAREST]
+        a, b, na, nb = a[keep], b[keep], na[keep], nb[keep]
+        asks = y[out]
+        null = np.repeat([False, True], [len(a), len(asks)])
+        column = lambda x, t, m=None: pa.array(np.concatenate([x, np.zeros(len(asks), x.dtype)]).astype(t), mask=m)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([doc[a], doc[asks]])), pa.array(np.concatenate([line[a], line[asks]]).astype(np.int32)),
+             column(na, np.int32), column(doc[b], np.int64, null), column(line[b], np.int32, null), column(nb, np.int32), column(far, np.float64)],
+            ["doc", "line", "n", "doc0", "line0", "n0", "far"])
+
+    def last(self) -> tuple[dict[str, np.ndarray], bool]:
+        """What a class with the last word still to come meets, and ``gone`` for it."""
+        first, end = self.first[-1], len(self.first)
+        begin = max(first + 1, end - BEFORE)
+        at = np.concatenate([[first], np.arange(begin, end)])
+        return {c: x[at] for c, x in self.rows.items()}, bool(self.gone[-1]) or begin > first + 1
+
+
+def near(rows: DataFrame) -> DataFrame:
+    """Of an index, the nearest pairs that pass: doc, line, n, doc0, line0, n0, far (as of ``verified``), a row per shared word.
+
+    A class that has more earlier ones with a word than these tell of has a row without doc0 and line0.
+    """
+    cols = ["word", *_PLACE, "n", "i", *_MAPS]
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict[str, np.ndarray]] = []
+        known, gone, some = 0, False, 0
+
+        def met() -> Met:
+            return Met({c: np.concatenate([h[c] for h in held]) for c in cols}, known, gone)
+
+        for b in batches:
+            held.append({c: b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in cols})
+            some += b.num_rows
+            if some >= ROWS:
+                yield from (m := met()).pairs()
+                rows, gone = m.last()
+                held, known, some = [rows], len(rows["word"]), 0
+        if some:
+            yield from met().pairs()
+        pa.default_memory_pool().release_unused()
+
+    maps = [F.coalesce(c, F.lit(0)).alias(c) for c in _MAPS]
+    return (rows.select("word", *_PLACE, "n", "i", *maps).repartition("word").sortWithinPartitions("word", *_PLACE)
+            .mapInArrow(meet, "doc long, line int, n int, doc0 long, line0 int, n0 int, far double"))
 
 
 def _overlap(n: str, n0: str) -> str:
@@ -210,15 +303,15 @@ def _differ(y: str, x: str) -> str:
             f"bit_count({bits} ^ {more}) + bit_count({more}), bit_count({bits}))")
 
 
-def _passes(y: str, x: str, n0: str = "") -> str:
+def _passes(y: str, x: str) -> str:
     """Length and positional filter for two classes that share the word at places i, and that on the bits of their words; SQL.
 
-    ``y`` and ``x`` are put before the columns; ``n0`` is the size of x, if not that column.
+    ``y`` and ``x`` are put before the columns.
 
     Of the words that a match shares, all but one come at or after its first two; so either of these two has at least
     all but one of them left in both sets. Two different sets of ``ALONE`` words don't match.
     """
-    n, n0 = f"{y}n", n0 or f"{x}n"
+    n, n0 = f"{y}n", f"{x}n"
     return (f"greatest({n}, {n0}) > {ALONE} AND least({n}, {n0}) >= {SIMILAR} * greatest({n}, {n0}) - 1e-9 AND "
             f"least({n} - {y}i, {n0} - {x}i) >= {_overlap(n, n0)} - 1 AND {n} + {n0} - {_differ(y, x)} >= 2 * {_overlap(n, n0)}")
 
@@ -314,27 +407,27 @@ def verified(docs: DataFrame, pairs: DataFrame, nearest_first: bool = False) ->
 def later_matches(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """Lines to remove: doc, line, k1 (a hash of its words). ``docs`` is as of ``_keyed``, and is scanned several times."""
     codes = docs.sparkSession.sparkContext.broadcast(word_codes(docs))
-    shared = spool(index(classes(docs, codes, least)), "shared-words")
-    first = shared.select(*_PLACE, F.inline("met")).select(*_PLACE, "doc0", "line0").distinct()
-    matched = cut(verified(docs, first))
-    # what is matched asks no more: its size is negated, so that it fails the length filter as the later of a pair.
-    # Both sides of the join are the same rows, which are shuffled once.
-    bits = docs.sparkSession.sparkContext.broadcast(wanted(matched, _PLACE))
-
-    @F.arrow_udf(T.BooleanType())
-    def maybe(doc: pa.Array, line: pa.Array) -> pa.Array:
-        return pa.array(_bits_of(bits.value, doc.to_numpy(zero_copy_only=False), line.to_numpy(zero_copy_only=False)))
-
-    flagged = shared.drop("met").withColumn("maybe", maybe("doc", "line"))
-    known = matched.select(*_PLACE).distinct().withColumn("matched", F.lit(True))
-    asks = (flagged.where("NOT maybe").select("word", *_PLACE, "n", "i", *_MAPS)
-            .union(flagged.where("maybe").join(known, _PLACE, "left").select("word", *_PLACE, F.expr("IF(matched, -n, n)").alias("n"), "i", *_MAPS)))
+    sets = spool(word_sets(docs, codes, least), "word-sets")
+    met = spool(near(index(classes(sets))), "near-classes")
+    pairs = cut(_pairs(met.where("doc0 IS NOT NULL")))
+    nearest = pairs.groupBy(*_PLACE).agg(F.min(F.struct("far", "doc0", "line0")).alias("m")).select(*_PLACE, "m.doc0", "m.line0")
+    found = cut(verified(docs, nearest))
+    others = cut(pairs.join(found, _PLACE, "left_anti").join(nearest, [*_PLACE, "doc0", "line0"], "left_anti"))
+    if not others.isEmpty():
+        found = cut(found.union(verified(docs, others)))
+    asks = cut(met.where("doc0 IS NULL").select(*_PLACE).distinct().join(found, _PLACE, "left_anti"))
+    if not asks.isEmpty():
+        found = found.union(verified(docs, _pairs(all_earlier(classes(sets), asks)), nearest_first=True))
+    return cut(found.union(repeats(sets)).distinct())
+
+
+def all_earlier(sets: DataFrame, asks: DataFrame) -> DataFrame:
+    """Rows as of ``_pairs`` of the classes ``asks`` (doc, line) with all earlier ones, by the words of their prefixes."""
     earlier = "(x.doc < y.doc OR (x.doc = y.doc AND x.line < y.line))"
-    rest = (asks.alias("y").hint("merge")
-            .join(asks.alias("x"), F.expr(f"x.word = y.word AND {earlier} AND {_passes('y.', 'x.', 'abs(x.n)')}"))
-            .select("y.doc", "y.line", "y.n", F.col("x.doc").alias("doc0"), F.col("x.line").alias("line0"), F.expr("abs(x.n)").alias("n0"),
-                    F.expr(f"{_differ('y.', 'x.')} / (y.n + abs(x.n))").alias("far")))
-    return cut(matched.union(verified(docs, _pairs(rest), nearest_first=True)).union(repeats(docs, least)).distinct())
+    return (index(sets.join(asks, _PLACE, "left_semi")).alias("y")
+            .join(index(sets).alias("x"), F.expr(f"x.word = y.word AND {earlier} AND {_passes('y.', 'x.')}"))
+            .select("y.doc", "y.line", "y.n", F.col("x.doc").alias("doc0"), F.col("x.line").alias("line0"), F.col("x.n").alias("n0"),
+                    F.expr(f"{_differ('y.', 'x.')} / (y.n + x.n)").alias("far")))
 
 
 _CUT = T.StructType([T.StructField("text", T.StringType()), T.StructField("removed", T.LongType())])
