@@ -55,11 +55,12 @@ class Lines:
             begin = self.start[at]
             to = max(at + 1, int(np.searchsorted(self.feeds, begin + STEP)))
             part = self.data[begin: self.feeds[to - 1] + 1]
-            space = _SPACE[part]
+            space = (part == 32) | (part - np.uint8(9) < 5)
             before = np.concatenate([[True], space[:-1]])
             starts, ends = np.flatnonzero(~space & before), np.flatnonzero(space & ~before)
             if len(starts):
-                line = at + np.searchsorted(self.feeds[at:to] - begin, starts)
+                upto = np.searchsorted(starts, self.feeds[at:to] - begin)  # words up to the end of each line
+                line = np.repeat(np.arange(at, to), np.diff(upto, prepend=0))
                 yield line, mixed(self._hashes(part, starts, ends))
             at = to
 

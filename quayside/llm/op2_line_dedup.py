@@ -107,7 +107,7 @@ def word_codes(docs: DataFrame) -> np.ndarray:
         n = np.zeros(1 << SKETCH, np.uint32)
         for b in batches:
             for _, h in _lines(b)[1].tokens():
-                np.add.at(n, h >> np.uint64(64 - SKETCH), 1)
+                np.add.at(n, (h >> np.uint64(64 - SKETCH)).astype(np.int64), np.uint32(1))  # without casts it is ten times as fast
         parts = n.reshape(-1, _PART)
         places = [np.flatnonzero(p) for p in parts]
         yield pa.RecordBatch.from_arrays(
@@ -192,11 +192,11 @@ class Met:
     """Index rows of some words, in order of word and place, and the pairs of them that pass.
 
     ``known`` rows are at the front, of the first word only: its earliest class and the last ones of those met before.
-    ``gone``: whether others were met between these, which are not here any more.
+    ``gone``: whether others were met between these, which are not here any more. ``before`` and ``nearest``: as ``BEFORE``, ``NEAREST``.
     """
 
-    def __init__(self, rows: dict[str, np.ndarray], known: int, gone: bool):
-        self.rows, self.known = rows, known
+    def __init__(self, rows: dict[str, np.ndarray], known: int, gone: bool, before: int, nearest: int):
+        self.rows, self.known, self.before, self.nearest = rows, known, before, nearest
         word = rows["word"]
         new = np.concatenate([[True], word[1:] != word[:-1]])
         self.first = np.maximum.accumulate(np.where(new, np.arange(len(word)), 0))
@@ -206,9 +206,9 @@ class Met:
         """Rows as of ``near``."""
         y = np.arange(self.known, len(self.first))
         back = y - self.first[y]
-        out = self.gone[y] | (back > BEFORE + 1)  # some earlier ones are out of reach
-        reach = np.minimum(back, BEFORE)
-        far_off = back > BEFORE  # beside those in reach, it meets the earliest
+        out = self.gone[y] | (back > self.before + 1)  # some earlier ones are out of reach
+        reach = np.minimum(back, self.before)
+        far_off = back > self.before  # beside those in reach, it meets the earliest
         count = reach + far_off
         ends = np.cumsum(count)
         at = 0
@@ -242,8 +242,8 @@ class Met:
         of, far = of[keep], far[order]
         place = np.arange(len(of)) - np.searchsorted(of, of)
         out = out.copy()
-        out[of[place >= NEAREST]] = True
-        keep, far = keep[place < NEAREST], far[place < NEAREST]
+        out[of[place >= self.nearest]] = True
+        keep, far = keep[place < self.nearest], far[place < self.nearest]
         a, b, na, nb = a[keep], b[keep], na[keep], nb[keep]
         asks = y[out]
         null = np.repeat([False, True], [len(a), len(asks)])
@@ -256,7 +256,7 @@ class Met:
     def last(self) -> tuple[dict[str, np.ndarray], bool]:
         """What a class with the last word still to come meets, and ``gone`` for it."""
         first, end = self.first[-1], len(self.first)
-        begin = max(first + 1, end - BEFORE)
+        begin = max(first + 1, end - self.before)
         at = np.concatenate([[first], np.arange(begin, end)])
         return {c: x[at] for c, x in self.rows.items()}, bool(self.gone[-1]) or begin > first + 1
 
@@ -267,18 +267,19 @@ def near(rows: DataFrame) -> DataFrame:
     A class that has more earlier ones with a word than these tell of has a row without doc0 and line0.
     """
     cols = ["word", *_PLACE, "n", "i", *_MAPS]
+    before, nearest, at_once = BEFORE, NEAREST, ROWS
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict[str, np.ndarray]] = []
         known, gone, some = 0, False, 0
 
         def met() -> Met:
-            return Met({c: np.concatenate([h[c] for h in held]) for c in cols}, known, gone)
+            return Met({c: np.concatenate([h[c] for h in held]) for c in cols}, known, gone, before, nearest)
 
         for b in batches:
             held.append({c: b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in cols})
             some += b.num_rows
-            if some >= ROWS:
+            if some >= at_once:
                 yield from (m := met()).pairs()
                 rows, gone = m.last()
                 held, known, some = [rows], len(rows["word"]), 0
@@ -409,23 +410,36 @@ def later_matches(docs: DataFrame, least: int = LEAST) -> DataFrame:
     codes = docs.sparkSession.sparkContext.broadcast(word_codes(docs))
     sets = spool(word_sets(docs, codes, least), "word-sets")
     met = spool(near(index(classes(sets))), "near-classes")
-    pairs = cut(_pairs(met.where("doc0 IS NOT NULL")))
-    nearest = pairs.groupBy(*_PLACE).agg(F.min(F.struct("far", "doc0", "line0")).alias("m")).select(*_PLACE, "m.doc0", "m.line0")
-    found = cut(verified(docs, nearest))
-    others = cut(pairs.join(found, _PLACE, "left_anti").join(nearest, [*_PLACE, "doc0", "line0"], "left_anti"))
-    if not others.isEmpty():
-        found = cut(found.union(verified(docs, others)))
+    found = cut(verified(docs, _pairs(met.where("doc0 IS NOT NULL")), nearest_first=True))
     asks = cut(met.where("doc0 IS NULL").select(*_PLACE).distinct().join(found, _PLACE, "left_anti"))
     if not asks.isEmpty():
-        found = found.union(verified(docs, _pairs(all_earlier(classes(sets), asks)), nearest_first=True))
+        found = found.union(verified(docs, _pairs(all_earlier(sets, asks)), nearest_first=True))
     return cut(found.union(repeats(sets)).distinct())
 
 
 def all_earlier(sets: DataFrame, asks: DataFrame) -> DataFrame:
-    """Rows as of ``_pairs`` of the classes ``asks`` (doc, line) with all earlier ones, by the words of their prefixes."""
+    """Rows as of ``_pairs`` of the classes ``asks`` (doc, line) with all earlier ones, by the words of their prefixes.
+
+    Only index rows of the words that these have are dealt out, a table of bits tells which.
+    """
+    words = sets.join(asks, _PLACE, "left_semi").select(F.explode("prefix").alias("word"))
+    bits = sets.sparkSession.sparkContext.broadcast(wanted(words, ["word"]))
+    cols = ["k1", "k2", *_PLACE, "n", *_MAPS]
+
+    def emit(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        prefix = b.column("prefix")
+        word, n = prefix.flatten().to_numpy(zero_copy_only=False), prefix.value_lengths().to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(n)), n)
+        i = np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n)
+        ok = np.flatnonzero(_bits_of(bits.value, word))
+        yield pa.RecordBatch.from_arrays([pa.array(word[ok]), pa.array(i[ok].astype(np.int32)), *[b.column(c).take(pa.array(row[ok])) for c in cols]],
+                                         ["word", "i", *cols])
+
+    rows = sets.select(*cols, "prefix").mapInArrow(_scan(emit), "word long, i int, k1 long, k2 long, doc long, line int, n int, bits long, more long, most long")
+    x = cut(rows.groupBy("word", "k1", "k2").agg(F.min(F.struct(*_PLACE, "n", "i", *_MAPS)).alias("m")).select("word", "m.*"))
     earlier = "(x.doc < y.doc OR (x.doc = y.doc AND x.line < y.line))"
-    return (index(sets.join(asks, _PLACE, "left_semi")).alias("y")
-            .join(index(sets).alias("x"), F.expr(f"x.word = y.word AND {earlier} AND {_passes('y.', 'x.')}"))
+    return (x.join(asks, _PLACE, "left_semi").alias("y")
+            .join(x.alias("x"), F.expr(f"x.word = y.word AND {earlier} AND {_passes('y.', 'x.')}"))
             .select("y.doc", "y.line", "y.n", F.col("x.doc").alias("doc0"), F.col("x.line").alias("line0"), F.col("x.n").alias("n0"),
                     F.expr(f"{_differ('y.', 'x.')} / (y.n + x.n)").alias("far")))
 
@@ -437,16 +451,17 @@ _CUT = T.StructType([T.StructField("text", T.StringType()), T.StructField("remov
 def without_lines(texts: pa.Array, removed: pa.Array) -> pa.Array:
     """Texts without the lines (line, k1) listed for each, and how many these were."""
     raw = [t.as_py() for t in texts.cast(pa.binary())]
-    lines = Lines([t or b"" for t in raw])
-    k1_of = np.zeros(len(lines.feeds), np.uint64)
-    for line, _, k1, _, _ in line_sets(lines):
+    split = [(t or b"").split(b"\n") for t in raw]
+    listed = [(i, r["line"], r["k1"]) for i, gone in enumerate(removed.to_pylist()) for r in gone or [] if r["line"] < len(split[i])]
+    k1_of = np.zeros(len(listed), np.uint64)
+    for line, _, k1, _, _ in line_sets(Lines([split[i][j] for i, j, _ in listed])):
         k1_of[line] = k1
-    first = np.searchsorted(lines.doc, np.arange(len(raw)))
+    drops = [set() for _ in raw]
+    for (i, j, k1), found in zip(listed, k1_of.view(np.int64).tolist()):
+        if k1 == found:
+            drops[i].add(j)
     out = []
-    for i, (t, gone) in enumerate(zip(raw, removed.to_pylist())):
-        kept = (t or b"").split(b"\n")
-        drop = {r["line"] for r in gone or []
-                if r["line"] < len(kept) and int(k1_of[first[i] + r["line"]].view(np.int64)) == r["k1"]}
+    for t, kept, drop in zip(raw, split, drops):
         text = b"\n".join(x for j, x in enumerate(kept) if j not in drop).decode("utf-8", "surrogatepass")
         out.append({"text": None if t is None else text, "removed": len(drop)})
     return pa.array(out, pa.struct([("text", pa.string()), ("removed", pa.int64())]))

@@ -10,6 +10,7 @@ import pytest
 import xxhash
 
 from quayside.llm import graph, op2_line_dedup, op5_embedding_dedup, op9_simhash
+from quayside.llm.linetokens import Lines, _order
 
 
 def classes(n, linked):
@@ -293,6 +294,60 @@ def test_variants_that_drift_meet_the_line_before(spark, monkeypatch):
     assert sum(found[1:]) == 0 and found[0] <= 3 * 120
 
 
+@pytest.mark.parametrize("before, nearest, rows", [(1, 1, 4), (2, 3, 7), (3, 1, 1 << 16)])
+def test_what_is_out_of_reach_is_met_later(spark, monkeypatch, before, nearest, rows):
+    """Few classes met at once, few of them kept, words over several runs of rows: the others are met in the second join."""
+    for name, value in (("BEFORE", before), ("NEAREST", nearest), ("ROWS", rows)):
+        monkeypatch.setattr(op2_line_dedup, name, value)
+    rng = random.Random(before)
+    vocabulary = [f"r{i}" for i in range(14)]
+    base = [vocabulary[a:] + [f"b{a}-{i}" for i in range(14 + a)] for a in range(6)]
+    docs = []
+    for i in range(90):
+        words = list(rng.choice(base))
+        for _ in range(rng.choice([0, 1, 2, 3, 4, 5])):
+            words[rng.randrange(len(words))] = f"n{i}-{rng.randrange(3)}"
+        docs.append((i, " ".join(words) + rng.choice(["", "\n" + " ".join(rng.choice(base))])))
+    found = candidates(monkeypatch)
+    assert line_result(spark, docs) == slow_line_dedup(docs)
+    assert len(found) == 2 and found[1] > 0
+
+
+def test_texts_are_scanned_three_times(spark, monkeypatch):
+    """For the counts of words, the sets and the lines to verify: repeats and second candidates need no scan of their own."""
+    kind = type(spark.range(1))
+    scans, scan = [], kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda d, *a, **k: (scans.append(d.columns), scan(d, *a, **k))[1])
+    rng = random.Random(3)
+    base = [f"v{i}" for i in range(30)]
+    rows = []
+    for i in range(40):
+        words = list(base)
+        for j in rng.sample(range(30), rng.choice([0, 1, 3, 5])):
+            words[j] = f"n{i}-{j}"
+        rows.append((i, " ".join(words)))
+    assert line_result(spark, rows) == slow_line_dedup(rows)
+    assert scans.count(["doc", "text"]) == 3
+
+
+def test_words_cut_in_pieces_hash_alike():
+    """A word's hash does not depend on its place, nor the order of a set on how it is sorted."""
+    rng = np.random.default_rng(5)
+    words = ["é", "a", "b|c", "z" * 70_000, *(f"w{i}" for i in range(3000))]
+    mixed = words * 20
+    random.Random(5).shuffle(mixed)
+    text = "\t".join(mixed)
+    lines = Lines([text.encode(), b"", b" \n\n b|c\x0bz a\r", "\n".join(words).encode()])
+    hashes, at = {}, np.concatenate([h for _, h in lines.tokens()])
+    for word, h in zip(text.split() + ["b|c", "z", "a"] + words, at):
+        assert hashes.setdefault(word, h) == h
+    assert len(set(hashes.values())) == len(hashes)
+    line = np.sort(rng.integers(0, 50, 4000))
+    rank = rng.integers(0, 1 << 17, 4000).astype(np.uint64)  # alike in the leading bits
+    order = _order(line, rank)
+    assert (line[order] == line).all() and (rank[order] == rank[np.lexsort((rank, line))]).all()
+
+
 def test_line_dedup_of_nothing_and_other_columns(spark):
     d = spark.createDataFrame([(1, "a b c d e", "keep", 7, 5), (2, "a b c d e", None, 8, 6)], "doc_id long, text string, doc string, line int, _key int")
     out = op2_line_dedup.dedup_lines(d)
