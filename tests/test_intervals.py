@@ -136,3 +136,40 @@ def test_a_box_takes_tiles_as_a_whole(spark, monkeypatch):
     found = regions.region_counts(pings, spark.createDataFrame([(i, 54.0 - i, 57.0, 8.0, 11.0 + i) for i in range(100)], BOX)).collect()
     assert [(r.pings, r.vessels, r.first_event, r.last_event) for r in found] == [(2000, 300, 0, 1999)] * 100
     assert made and sum(m.count() for m in made) < 2000
+
+
+@pytest.mark.parametrize("leaf, small", [(1, -1), (4, 10**6)])
+def test_region_counts_of_split_tiles(spark, monkeypatch, leaf, small):
+    """Pings in heaps of a few metres to some kilometres, so that borders cross tiles of all levels; with no table broadcast, or all."""
+    monkeypatch.setattr(regions, "LEAF", leaf)
+    monkeypatch.setattr(regions, "SMALL", small)
+    monkeypatch.setattr(regions, "FEW_BITS", small)
+    monkeypatch.setattr(regions, "DENSE", 5)
+    rng, f = random.Random(leaf), np.float32
+    heaps = [(rng.uniform(-20, 60), rng.uniform(-20, 15), rng.choice([1e-4, 1e-3, 0.01, 0.1])) for _ in range(6)]
+    pings = [(i, rng.randrange(40), rng.gauss(a, d), rng.gauss(o, d)) for i in range(600) for a, o, d in [rng.choice(heaps)]]
+    pings += [(700, 1, 3e5, 3e5), (701, 2, 1e30, -1e30), (702, 3, math.inf, 0.0), (703, 4, -0.0, 0.0)]
+    regs = [(i, a - h, a + rng.random() * h, o - rng.random() * w, o + w) for i in range(80) for a, o, d in [rng.choice(heaps)]
+            for h, w in [(d * rng.choice([0.5, 1, 2, 100]), d * rng.choice([0.5, 1, 2, 100]))]]
+    regs += [(90, 2.5e5, math.inf, 0.0, math.inf), (91, 1e29, 1e31, -math.inf, 0.0), (92, 4e5, math.inf, -1.0, 1.0), (93, 0.0, 0.0, -0.0, 0.0)]
+    got = regions.region_counts(spark.createDataFrame(pings, "event_id long, mmsi long, latitude float, longitude float"), spark.createDataFrame(regs, BOX))
+    want: dict = {}
+    for r, a, b, c, d in regs:
+        for e, m, y, x in pings:
+            if f(a) <= f(y) <= f(b) and f(c) <= f(x) <= f(d):
+                want.setdefault(r, []).append((e, m))
+    assert "BroadcastExchange" not in got._jdf.queryExecution().executedPlan().toString() or small > 0
+    assert {r.region: (r.pings, r.vessels, r.first_event, r.last_event) for r in got.collect()} == {
+        r: (len(v), len({m for _, m in v}), min(v)[0], max(v)[0]) for r, v in want.items()}
+    assert len(want) > 60 and {90, 91, 92, 93} <= want.keys()
+
+
+def test_pings_are_never_broadcast(spark, monkeypatch):
+    """However small Spark takes the pings to be: ``inline`` makes a row of each for every pair of levels."""
+    monkeypatch.setattr(regions, "SMALL", 1000, raising=False)
+    pings = spark.range(5000).selectExpr("id AS event_id", "FLOAT(54 + id % 100 / 20) AS latitude", "FLOAT(8 + id % 90 / 30) AS longitude")
+    for n in (100, 1000):
+        boxes = spark.range(n).selectExpr("id AS region", "FLOAT(54) AS lat_min", "FLOAT(54.1 + id % 7) AS lat_max", "FLOAT(8) AS lon_min", "FLOAT(8.1 + id % 5) AS lon_max")
+        boxes = boxes.crossJoin(spark.range(1).toDF("one")).drop("one").checkpoint()  # taken for larger than it is
+        plan = regions.region_join(pings, boxes)._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in plan and "BuildRight" in plan) if n == 100 else "Broadcast" not in plan
